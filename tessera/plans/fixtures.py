@@ -38,3 +38,70 @@ typed_docs AS (
   UNION ALL
   SELECT 'pages', page_id, 'HTML-to-text', html FROM pages)
 """
+
+
+# segments_json: one request per document; the payload shape depends on the
+# language: a JSON array with one segment (en), plain text (fr), an empty
+# JSON array (de), or two segments of which the second has empty text (es).
+def segments_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents")
+    one = F.to_json(F.array(F.struct(F.col("text"), F.create_map(F.lit("source"), F.col("source"))
+                                     .alias("metadata"))))
+    two = F.to_json(F.array(
+        F.struct(F.col("text"), F.create_map(F.lit("lang"), F.col("lang")).alias("metadata")),
+        F.struct(F.lit("").alias("text"), F.create_map().cast("map<string,string>").alias("metadata"))))
+    payload = (F.when(F.col("lang") == "en", one).when(F.col("lang") == "fr", F.col("text"))
+               .when(F.col("lang") == "de", F.lit("[]")).otherwise(two))
+    return d.select(F.col("doc_id").alias("req_id"), payload.alias("input"))
+
+
+SEGMENTS_JSON_SQL = """
+segments_json AS (
+  SELECT doc_id AS req_id,
+    CASE WHEN lang = 'en' THEN to_json([{'text': text, 'metadata': MAP {'source': source}}])::VARCHAR
+         WHEN lang = 'fr' THEN text
+         WHEN lang = 'de' THEN '[]'
+         ELSE to_json([{'text': text, 'metadata': MAP {'lang': lang}},
+                       {'text': '', 'metadata': MAP {}::MAP(VARCHAR, VARCHAR)}])::VARCHAR END AS input
+  FROM documents)
+"""
+
+
+# embeddings_json: one request per stored vector; by label: a single object
+# (0), an array holding the vector and an empty one (1), a vector of the
+# wrong dimension (2: only its first half is serialised), broken JSON (3),
+# otherwise an array with one object.
+def embeddings_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "embeddings")
+    obj = F.struct(F.concat(F.lit("vector "), F.col("vec_id").cast("string")).alias("text"),
+                   F.col("embedding"),
+                   F.create_map(F.lit("label"), F.col("label").cast("string")).alias("metadata"))
+    empty = F.struct(F.lit("empty").alias("text"), F.array().cast("array<float>").alias("embedding"),
+                     F.create_map().cast("map<string,string>").alias("metadata"))
+    half = obj.withField("embedding", F.slice("embedding", 1, F.size("embedding") / 2))
+    payload = (F.when(F.col("label") == 0, F.to_json(obj))
+               .when(F.col("label") == 1, F.to_json(F.array(obj, empty)))
+               .when(F.col("label") == 2, F.to_json(F.array(half)))
+               .when(F.col("label") == 3, F.concat(F.lit("[{\"text\": \"vector "),
+                                                   F.col("vec_id").cast("string"), F.lit("\"")))
+               .otherwise(F.to_json(F.array(obj))))
+    return e.select(F.col("vec_id").alias("req_id"), payload.alias("input"))
+
+
+EMBEDDINGS_JSON_SQL = """
+embeddings_json AS (
+  SELECT vec_id AS req_id,
+    CASE WHEN label = 0 THEN to_json({'text': 'vector ' || vec_id, 'embedding': embedding,
+                                      'metadata': MAP {'label': label::VARCHAR}})::VARCHAR
+         WHEN label = 1 THEN to_json([{'text': 'vector ' || vec_id, 'embedding': embedding,
+                                       'metadata': MAP {'label': label::VARCHAR}},
+                                      {'text': 'empty', 'embedding': []::FLOAT[],
+                                       'metadata': MAP {}::MAP(VARCHAR, VARCHAR)}])::VARCHAR
+         WHEN label = 2 THEN to_json([{'text': 'vector ' || vec_id,
+                                       'embedding': embedding[1:len(embedding) // 2],
+                                       'metadata': MAP {'label': label::VARCHAR}}])::VARCHAR
+         WHEN label = 3 THEN '[{"text": "vector ' || vec_id || '"'
+         ELSE to_json([{'text': 'vector ' || vec_id, 'embedding': embedding,
+                        'metadata': MAP {'label': label::VARCHAR}}])::VARCHAR END AS input
+  FROM embeddings)
+"""

@@ -1 +1,378 @@
-"""Registered queries."""
+"""Registered queries: splitting, decoding, validation, embedding, ingest,
+store round-trips and retrieval."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tessera.functions.text import content_uuid
+from tessera.operators import validate as VAL
+from tessera.operators.embed import hash_embed, token_buckets
+from tessera.operators.ingest import dedup_first, drop_existing
+from tessera.operators.split import split_documents, split_window
+from tessera.plans import fixtures as FX
+from tessera.plans import sqlgen as G
+from tessera.plans.knowledge import (DEFAULT_DIM, classify_ingest, get_from_knowledge,
+                                     ingest_summary, prepare_knowledge, rag_context)
+from tessera.plans.registry import register
+from tessera.sources.tables import table
+from tessera.sources.vector_store import (load_snapshot, save_snapshot, scratch_path,
+                                          store_append, store_scan)
+
+RAG_K = 5
+RAG_MIN_SCORE = 0.75
+
+
+def _docs(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", "text")
+
+
+@register("split_recursive")
+def q_split_recursive(spark, sf_dir):
+    """Recursive split (paragraph, line, sentence, word, cut), 1000/200."""
+    return split_documents(_docs(spark, sf_dir), "Recursive", 1000, 200)
+
+
+@register("split_paragraph")
+def q_split_paragraph(spark, sf_dir):
+    """G1: paragraph split (then sentence, word, cut), 1000/200."""
+    return split_documents(_docs(spark, sf_dir), "ByParagraph", 1000, 200)
+
+
+@register("split_sentence")
+def q_split_sentence(spark, sf_dir):
+    """Sentence split (then word, cut), 1000/200."""
+    return split_documents(_docs(spark, sf_dir), "BySentence", 1000, 200)
+
+
+@register("split_window", """
+SELECT doc_id, u.i::INTEGER AS index, substr(text, u.i * 800 + 1, 1000) AS text
+FROM documents, unnest(range(0, (greatest(length(text) - 200 - 1, 0) // 800) + 1)) AS u(i)
+WHERE length(text) > 0
+""")
+def q_split_window(spark, sf_dir):
+    """Fixed 1000-character windows advancing by 800."""
+    return split_window(_docs(spark, sf_dir), 1000, 200)
+
+
+_SEG_TYPE = '[{"text":"VARCHAR","metadata":"MAP(VARCHAR, VARCHAR)"}]'
+_META_SQL = ("array_to_string(list_sort(list_transform(map_entries({m}), "
+             "lambda e: e.key || '=' || e.value)), ';')")
+
+
+def _meta(col):
+    return F.array_join(F.array_sort(F.transform(
+        F.map_entries(col), lambda e: F.concat(e["key"], F.lit("="), e["value"]))), ";")
+
+
+_SEGMENTS_DECODED_SQL = f"""
+WITH {FX.SEGMENTS_JSON_SQL},
+d AS (SELECT req_id, input,
+        CASE WHEN json_valid(input) AND json_type(input) = 'ARRAY'
+             THEN from_json(input, '{_SEG_TYPE}') END AS arr FROM segments_json),
+e AS (SELECT req_id, CASE WHEN coalesce(len(arr), 0) > 0 THEN arr
+        ELSE [{{'text': input, 'metadata': MAP {{}}::MAP(VARCHAR, VARCHAR)}}] END AS segs FROM d),
+x AS (SELECT req_id, (u.i - 1)::INTEGER AS pos, segs[u.i].text AS text, segs[u.i].metadata AS m
+      FROM e, unnest(range(1, len(segs) + 1)) AS u(i))
+"""
+
+
+def _segments_decoded(spark, sf_dir):
+    sj = FX.segments_json(spark, sf_dir)
+    return sj.select("req_id", F.posexplode(VAL.decode_segments("input")).alias("pos", "seg"))
+
+
+@register("segments_decode", _SEGMENTS_DECODED_SQL + f"""
+SELECT req_id, len(list(pos))::INTEGER AS n_segments FROM x GROUP BY req_id
+""")
+def q_segments_decode(spark, sf_dir):
+    """P10: JSON segment arrays; plain text / [] become one segment."""
+    sj = FX.segments_json(spark, sf_dir)
+    return sj.select("req_id", F.size(VAL.decode_segments("input")).alias("n_segments"))
+
+
+@register("segments_explode", _SEGMENTS_DECODED_SQL + f"""
+SELECT req_id, pos, text, {_META_SQL.format(m='m')} AS meta FROM x
+""")
+def q_segments_explode(spark, sf_dir):
+    """Decoded segments exploded to rows with their position."""
+    return _segments_decoded(spark, sf_dir).select(
+        "req_id", "pos", F.col("seg.text").alias("text"), _meta(F.col("seg.metadata")).alias("meta"))
+
+
+@register("validate_segments", _SEGMENTS_DECODED_SQL + """
+SELECT req_id, pos, CASE WHEN text IS NULL OR length(text) = 0 THEN '701162' END AS error_code FROM x
+""")
+def q_validate_segments(spark, sf_dir):
+    """segments with NULL / empty text are quarantined (701162)."""
+    return _segments_decoded(spark, sf_dir).select(
+        "req_id", "pos", VAL.segment_error(F.col("seg.text")).alias("error_code"))
+
+
+_EMB_TYPE = '{"text":"VARCHAR","embedding":"FLOAT[]","metadata":"MAP(VARCHAR, VARCHAR)"}'
+_EMBEDDINGS_DECODED_SQL = f"""
+WITH {FX.EMBEDDINGS_JSON_SQL},
+d AS (SELECT req_id, input, json_valid(input) AS ok, ltrim(input) LIKE '[%' AS is_arr FROM embeddings_json),
+p AS (SELECT req_id,
+        CASE WHEN ok AND is_arr THEN from_json(input, '[{_EMB_TYPE}]')
+             WHEN ok THEN [from_json(input, '{_EMB_TYPE}')] END AS arr FROM d),
+x AS (SELECT req_id, (u.i - 1)::INTEGER AS pos, arr[u.i].text AS text, arr[u.i].embedding AS embedding
+      FROM p, unnest(CASE WHEN coalesce(len(arr), 0) > 0 THEN range(1, len(arr) + 1) ELSE [NULL] END) AS u(i))
+"""
+
+
+def _embeddings_decoded(spark, sf_dir):
+    ej = FX.embeddings_json(spark, sf_dir)
+    return ej.select("req_id", F.posexplode_outer(VAL.decode_embeddings("input")).alias("pos", "e"))
+
+
+@register("embeddings_decode", _EMBEDDINGS_DECODED_SQL + """
+SELECT req_id, pos, text, len(embedding)::INTEGER AS dim FROM x
+""")
+def q_embeddings_decode(spark, sf_dir):
+    """JSON array of embeddings or a single object."""
+    return _embeddings_decoded(spark, sf_dir).select(
+        "req_id", "pos", F.col("e.text").alias("text"), F.size("e.embedding").alias("dim"))
+
+
+@register("validate_embeddings", _EMBEDDINGS_DECODED_SQL + """
+SELECT req_id, pos, CASE WHEN text IS NULL OR length(text) = 0 OR embedding IS NULL
+  OR len(embedding) = 0 THEN '701111' END AS error_code FROM x
+""")
+def q_validate_embeddings(spark, sf_dir):
+    """text and vector must be non-empty (701111)."""
+    return _embeddings_decoded(spark, sf_dir).select(
+        "req_id", "pos", VAL.embedding_error(F.col("e.text"), F.col("e.embedding")).alias("error_code"))
+
+
+@register("validate_dimension", _EMBEDDINGS_DECODED_SQL + """
+SELECT req_id, pos, CASE WHEN text IS NULL OR length(text) = 0 OR embedding IS NULL
+  OR len(embedding) = 0 OR len(embedding) <> 64 THEN '701111' END AS error_code FROM x
+""")
+def q_validate_dimension(spark, sf_dir):
+    """F16: vectors must have the store's dimension (64 here)."""
+    return _embeddings_decoded(spark, sf_dir).select(
+        "req_id", "pos",
+        VAL.embedding_error(F.col("e.text"), F.col("e.embedding"), 64).alias("error_code"))
+
+
+@register("query_vector_decode", """
+WITH q AS (SELECT vec_id, CASE WHEN label = 3 THEN '[]' WHEN label = 4 THEN NULL
+                               ELSE to_json(embedding)::VARCHAR END AS input FROM embeddings),
+v AS (SELECT vec_id, CASE WHEN json_valid(input) THEN from_json(input, '["FLOAT"]') END AS v FROM q)
+SELECT vec_id, CASE WHEN coalesce(len(v), 0) > 0 THEN len(v) END::INTEGER AS dim,
+       CASE WHEN coalesce(len(v), 0) = 0 THEN '701121' END AS error_code FROM v
+""")
+def q_query_vector_decode(spark, sf_dir):
+    """Query vector from JSON; empty / NULL -> 701121."""
+    e = table(spark, sf_dir, "embeddings")
+    inp = (F.when(F.col("label") == 3, F.lit("[]")).when(F.col("label") == 4, F.lit(None))
+           .otherwise(F.to_json("embedding")))
+    v = VAL.decode_query_vector(inp)
+    return e.select("vec_id", F.size(v).alias("dim"),
+                    F.when(v.isNull(), F.lit("701121")).alias("error_code")).withColumn(
+        "dim", F.when(F.col("dim") > 0, F.col("dim")))
+
+
+_TOKENS_SQL = r"""
+toks AS (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+')) AS tok FROM documents),
+counts AS (SELECT doc_id, (('0x' || substr(md5(tok), 1, 8))::BIGINT % 256)::INTEGER AS bucket,
+                  count(*) AS cnt FROM toks WHERE length(tok) > 0 GROUP BY ALL)
+"""
+
+
+@register("hash_embed", f"WITH {_TOKENS_SQL} SELECT doc_id, bucket, cnt FROM counts")
+def q_hash_embed(spark, sf_dir):
+    """M1: token -> bucket assignment of the hashing embedder (dim 256), as
+    sparse counts per document."""
+    d = _docs(spark, sf_dir)
+    return (d.select("doc_id", F.explode(token_buckets("text", DEFAULT_DIM)).alias("bucket"))
+            .groupBy("doc_id", "bucket").agg(F.count(F.lit(1)).alias("cnt")))
+
+
+@register("hash_embed_dense", f"""
+WITH {_TOKENS_SQL},
+m AS (SELECT *, max(cnt) OVER (PARTITION BY doc_id) AS mx FROM counts)
+SELECT doc_id, len(list(bucket))::INTEGER AS nnz, min(bucket) FILTER (WHERE cnt = mx)::INTEGER AS top_bucket,
+       256 AS dim
+FROM m GROUP BY doc_id
+""")
+def q_hash_embed_dense(spark, sf_dir):
+    """M1: dense L2-normalised vectors; non-zero count and arg-max bucket."""
+    e = hash_embed(_docs(spark, sf_dir), DEFAULT_DIM).where(F.col("embedding").isNotNull())
+    v = F.col("embedding")
+    return e.select("doc_id", F.size(F.filter(v, lambda x: x > 0)).alias("nnz"),
+                    (F.array_position(v, F.array_max(v)) - 1).cast("int").alias("top_bucket"),
+                    F.size(v).alias("dim"))
+
+
+@register("ingest_dedup", f"""
+WITH c AS (SELECT {G.uuid3('text')} AS id, doc_id, lang FROM documents),
+k AS (SELECT id, min(doc_id) AS doc_id FROM c GROUP BY id)
+SELECT id, doc_id FROM k WHERE id NOT IN (SELECT id FROM c WHERE lang = 'en')
+""")
+def q_ingest_dedup(spark, sf_dir):
+    """J-2: content ids, first copy (lowest doc_id) wins, and ids already in
+    the store (here: a store holding the English documents) are skipped."""
+    d = table(spark, sf_dir, "documents")
+    rows = d.select(content_uuid("text").alias("id"), "doc_id", F.lit(0).alias("index"))
+    existing = d.where(F.col("lang") == "en").select(content_uuid("text").alias("id"))
+    kept, _ = dedup_first(rows, ["doc_id", "index"])
+    new, _ = drop_existing(kept, existing)
+    return new.select("id", "doc_id")
+
+
+def _embedded_docs(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return hash_embed(d, DEFAULT_DIM).select(
+        content_uuid("text").alias("id"), "embedding", "text",
+        F.create_map(F.lit("doc_id"), F.col("doc_id").cast("string"),
+                     F.lit("lang"), F.col("lang")).alias("metadata"), "lang", "doc_id")
+
+
+def _write_lang_store(spark, sf_dir) -> str:
+    path = scratch_path(spark, "store")
+    e = _embedded_docs(spark, sf_dir)
+    for lang in ("en", "fr", "de", "es"):
+        store_append(e.where(F.col("lang") == lang).drop("lang"), path, "docs", lang)
+    return path
+
+
+@register("store_append", """
+SELECT 'docs' AS store, lang AS namespace, doc_id, length(text)::BIGINT AS n_chars FROM documents
+""")
+def q_store_append(spark, sf_dir):
+    """Append vectors to a store in four namespaces, read everything back."""
+    path = _write_lang_store(spark, sf_dir)
+    return store_scan(spark, path).select("store", "namespace", "doc_id",
+                                          F.length("text").cast("bigint").alias("n_chars"))
+
+
+@register("store_namespace_scan", """
+SELECT doc_id, lang AS namespace FROM documents WHERE lang = 'fr'
+""")
+def q_store_namespace_scan(spark, sf_dir):
+    """S3: select one namespace of a store (partition pruning)."""
+    path = _write_lang_store(spark, sf_dir)
+    return store_scan(spark, path, "docs", "fr").select("doc_id", "namespace")
+
+
+@register("store_snapshot_roundtrip", """
+SELECT doc_id, length(text)::BIGINT AS n_chars, lang
+FROM documents
+""")
+def q_store_snapshot_roundtrip(spark, sf_dir):
+    """Save a store as a JSON snapshot and load it back by schema."""
+    path = scratch_path(spark, "snapshot")
+    e = _embedded_docs(spark, sf_dir).select("id", "embedding", "text", "metadata",
+                                             F.lit("docs").alias("store"),
+                                             F.lit("__default__").alias("namespace"))
+    save_snapshot(e, path)
+    back = load_snapshot(spark, path)
+    return back.select(F.col("metadata")["doc_id"].cast("bigint").alias("doc_id"),
+                       F.length("text").cast("bigint").alias("n_chars"),
+                       F.col("metadata")["lang"].alias("lang"))
+
+
+@register("ingest_summary", f"""
+WITH {FX.TYPED_DOCS_SQL},
+p AS (SELECT origin, doc_id,
+        CASE WHEN lower(type) = 'markdown-to-text' THEN payload
+             WHEN lower(type) = 'html-to-text' AND {G.has_body('payload')} THEN {G.html_text('payload')} END AS text
+      FROM typed_docs),
+v AS (SELECT *, text IS NOT NULL AND length(text) > 0 AND
+        len(list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+'), lambda x: length(x) > 0)) > 0 AS ok
+      FROM p),
+g AS (SELECT {G.uuid3('text')} AS id FROM v WHERE ok),
+s AS (SELECT 'invalid' AS status, count(*) FILTER (WHERE NOT ok) AS n FROM v
+      UNION ALL SELECT 'written', count(DISTINCT id) FROM g
+      UNION ALL SELECT 'duplicate', count(*) - count(DISTINCT id) FROM g)
+SELECT status, n, status IN ('written', 'duplicate') AS success FROM s WHERE n > 0
+""")
+def q_ingest_summary(spark, sf_dir):
+    """A3/A4: ingest outcome counts (written / duplicate / invalid) with the
+    success flag, over parse -> embed -> validate -> dedup of all documents
+    and pages."""
+    docs = FX.typed_docs(spark, sf_dir)
+    keys = ("origin", "doc_id")
+    prepared = prepare_knowledge(docs, split=False, key_cols=keys)
+    return ingest_summary(classify_ingest(prepared, None, True, keys))
+
+
+@register("add_to_knowledge")
+def q_add_to_knowledge(spark, sf_dir):
+    """M4: parse -> recursive split -> embed -> validate -> dedup -> store,
+    then the stored rows are read back."""
+    from tessera.plans.knowledge import add_to_knowledge
+    path = scratch_path(spark, "kb")
+    docs = FX.typed_docs(spark, sf_dir)
+    add_to_knowledge(docs, path, "kb", None, key_cols=("origin", "doc_id"))
+    return store_scan(spark, path, "kb").select(
+        "id", F.col("metadata")["origin"].alias("origin"),
+        F.col("metadata")["doc_id"].cast("bigint").alias("doc_id"),
+        F.col("metadata")["index"].cast("int").alias("index"),
+        F.length("text").alias("n_chars"))
+
+
+_RETRIEVAL_SQL = f"""
+WITH {_TOKENS_SQL},
+btoks AS (SELECT item_id, unnest(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+')) AS tok FROM benchmark),
+bcounts AS (SELECT item_id, (('0x' || substr(md5(tok), 1, 8))::BIGINT % 256)::INTEGER AS bucket,
+                   count(*) AS cnt FROM btoks WHERE length(tok) > 0 GROUP BY ALL),
+ids AS (SELECT doc_id, {G.uuid3('text')} AS id FROM documents),
+firsts AS (SELECT id, min(doc_id) AS doc_id FROM ids GROUP BY id),
+dn AS (SELECT doc_id, sqrt(sum(cnt * cnt)) AS n FROM counts GROUP BY doc_id),
+qn AS (SELECT item_id, sqrt(sum(cnt * cnt)) AS n FROM bcounts GROUP BY item_id),
+dp AS (SELECT b.item_id, c.doc_id, sum(b.cnt * c.cnt) AS dp FROM bcounts b JOIN counts c USING (bucket)
+       GROUP BY ALL),
+sc AS (SELECT dp.item_id AS query_id, f.id, f.doc_id,
+              round((1 + dp.dp / (qn.n * dn.n)) / 2, 6) AS score
+       FROM dp JOIN firsts f ON f.doc_id = dp.doc_id JOIN qn USING (item_id) JOIN dn ON dn.doc_id = dp.doc_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank
+      FROM sc WHERE score >= {RAG_MIN_SCORE})
+"""
+
+
+def _kb_hits(spark, sf_dir):
+    store = prepare_knowledge(_docs(spark, sf_dir), parse_docs=False, split=False)
+    kept, _ = dedup_first(store.where(F.col("error_code").isNull()), ["doc_id", "index"])
+    questions = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    hits = get_from_knowledge(kept, questions, RAG_K, RAG_MIN_SCORE)
+    return questions, hits
+
+
+@register("get_from_knowledge", _RETRIEVAL_SQL + """
+SELECT query_id, rank::INTEGER AS rank, doc_id, round(score, 3) AS score FROM r WHERE rank <= 5
+""")
+def q_get_from_knowledge(spark, sf_dir):
+    """M5: embed the benchmark questions, search the de-duplicated document
+    store, top 5 with relevance >= 0.75."""
+    _, hits = _kb_hits(spark, sf_dir)
+    return hits.select("query_id", "rank", F.col("metadata")["doc_id"].cast("bigint").alias("doc_id"),
+                       F.round("score", 3).alias("score"))
+
+
+@register("rag_context", _RETRIEVAL_SQL + """
+, ctx AS (SELECT query_id, string_agg(d.text, '\n\n' ORDER BY rank) AS context, count(*) AS n_matches
+        FROM r JOIN documents d USING (doc_id) WHERE rank <= 5 GROUP BY query_id)
+SELECT b.item_id AS query_id, coalesce(ctx.context, '') AS context, coalesce(ctx.n_matches, 0)::INTEGER AS n_matches
+FROM benchmark b LEFT JOIN ctx ON ctx.query_id = b.item_id
+""")
+def q_rag_context(spark, sf_dir):
+    """J-6: each question with its retrieved passages joined in rank order."""
+    questions, hits = _kb_hits(spark, sf_dir)
+    return rag_context(questions.select("query_id"), hits).select("query_id", "context", "n_matches")
+
+
+def flagship(spark, sf_dir):
+    """documents -> recursive split -> hash embed -> dedup'd store (written
+    to the shared scratch folder) -> benchmark passages as queries -> top 5."""
+    from tessera.plans.knowledge import add_to_knowledge
+    path = scratch_path(spark, "flagship")
+    add_to_knowledge(_docs(spark, sf_dir), path, "kb", None, parse_docs=False)
+    store = store_scan(spark, path, "kb")
+    questions = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    hits = get_from_knowledge(store, questions, RAG_K, RAG_MIN_SCORE)
+    return hits.select("query_id", "rank", "score",
+                       F.col("metadata")["doc_id"].cast("bigint").alias("doc_id"),
+                       F.col("metadata")["index"].cast("int").alias("segment"), "text")
