@@ -105,3 +105,55 @@ embeddings_json AS (
                         'metadata': MAP {'label': label::VARCHAR}}])::VARCHAR END AS input
   FROM embeddings)
 """
+
+
+# messages: one row per conversation turn.
+def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.operators.memory import role_type
+    c = table(spark, sf_dir, "conversations")
+    return c.select(F.col("conv_id").cast("string").alias("session_id"), F.col("turn").alias("seq"),
+                    role_type("role").alias("type"), "text",
+                    F.lit(None).cast("array<struct<id:string,name:string,arguments:string>>")
+                    .alias("tool_requests"),
+                    F.lit(None).cast("string").alias("tool_result_id"))
+
+
+MESSAGES_SQL = """
+messages AS (
+  SELECT conv_id::VARCHAR AS session_id, turn AS seq,
+         CASE lower(role) WHEN 'system' THEN 'SYSTEM' WHEN 'user' THEN 'USER'
+              WHEN 'assistant' THEN 'AI' WHEN 'tool' THEN 'TOOL' END AS type, text
+  FROM conversations)
+"""
+
+
+# agent_log: every event as a message of its user's session (seq = event id):
+# signup -> SYSTEM, view -> USER, click -> AI tool request for id k<k> with no
+# text, purchase -> TOOL result for id k<k>, error -> AI text answer.
+def agent_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events")
+    tid = F.concat(F.lit("k"), F.get_json_object("props", "$.k"))
+    typ = (F.when(F.col("event_type") == "signup", "SYSTEM").when(F.col("event_type") == "view", "USER")
+           .when(F.col("event_type").isin("click", "error"), "AI").otherwise("TOOL"))
+    text = (F.when(F.col("event_type") == "click", F.lit(None).cast("string"))
+            .when(F.col("event_type") == "purchase",
+                  F.concat(F.lit("result "), F.col("value").cast("string")))
+            .otherwise(F.col("props")))
+    reqs = F.when(F.col("event_type") == "click", F.array(F.struct(
+        tid.alias("id"), F.lit("lookup").alias("name"), F.col("props").alias("arguments"))))
+    return e.select(F.col("user_id").cast("string").alias("session_id"), F.col("event_id").alias("seq"),
+                    typ.alias("type"), text.alias("text"), reqs.alias("tool_requests"),
+                    F.when(F.col("event_type") == "purchase", tid).alias("tool_result_id"))
+
+
+AGENT_LOG_SQL = """
+agent_log AS (
+  SELECT user_id::VARCHAR AS session_id, event_id AS seq,
+         CASE WHEN event_type = 'signup' THEN 'SYSTEM' WHEN event_type = 'view' THEN 'USER'
+              WHEN event_type IN ('click', 'error') THEN 'AI' ELSE 'TOOL' END AS type,
+         CASE WHEN event_type = 'click' THEN NULL
+              WHEN event_type = 'purchase' THEN 'result ' || value::VARCHAR ELSE props END AS text,
+         CASE WHEN event_type IN ('click', 'purchase') THEN 'k' || json_extract_string(props, '$.k') END AS tid,
+         event_type
+  FROM events)
+"""

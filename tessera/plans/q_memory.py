@@ -1 +1,240 @@
-"""Registered queries."""
+"""Registered queries: conversation memory."""
+
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from tessera.functions.text import summary_extract
+from tessera.operators import memory as M
+from tessera.operators.infer import extractive_answer_factory
+from tessera.plans import fixtures as FX
+from tessera.plans.registry import register
+from tessera.sources import memory_store as MS
+from tessera.sources.tables import table
+from tessera.sources.vector_store import scratch_path
+
+WINDOW_N = 4
+OVERFLOW_LIMIT = 6
+
+
+@register("memory_window", f"""
+WITH {FX.MESSAGES_SQL},
+r AS (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY seq DESC) AS rn FROM messages)
+SELECT session_id, seq, type, (row_number() OVER (PARTITION BY session_id ORDER BY seq) - 1)::INTEGER AS pos
+FROM r WHERE rn <= {WINDOW_N}
+""")
+def q_memory_window(spark, sf_dir):
+    """Last 4 messages per session, oldest first."""
+    return M.last_n(FX.messages(spark, sf_dir), WINDOW_N).select("session_id", "seq", "type", "pos")
+
+
+@register("memory_scan", f"""
+WITH {FX.MESSAGES_SQL},
+s AS (SELECT DISTINCT session_id FROM messages WHERE type = 'SYSTEM')
+SELECT session_id, seq, (row_number() OVER (PARTITION BY session_id ORDER BY seq) - 1)::INTEGER AS pos
+FROM messages WHERE session_id IN (SELECT session_id FROM s)
+""")
+def q_memory_scan(spark, sf_dir):
+    """Full history (oldest first) of a set of sessions given as a table
+    (here: the sessions that have a system message)."""
+    msgs = FX.messages(spark, sf_dir)
+    wanted = msgs.where(F.col("type") == "SYSTEM").select("session_id")
+    return MS.scan_sessions(msgs, wanted).select("session_id", "seq", "pos")
+
+
+@register("memory_append", f"""
+WITH {FX.MESSAGES_SQL} SELECT session_id, seq, type FROM messages
+""")
+def q_memory_append(spark, sf_dir):
+    """Append user turns, then the other turns, to a memory table."""
+    path = scratch_path(spark, "memory")
+    msgs = FX.messages(spark, sf_dir)
+    MS.append_messages(msgs.where(F.col("type") == "USER"), path)
+    MS.append_messages(msgs.where(F.col("type") != "USER"), path)
+    return MS.read_messages(spark, path).select("session_id", "seq", "type")
+
+
+@register("memory_json_roundtrip", f"""
+WITH {FX.MESSAGES_SQL}
+SELECT session_id, seq, type, 'TEXT' AS content_type, text FROM messages
+""")
+def q_memory_json_roundtrip(spark, sf_dir):
+    """Save sessions as JSON (one object per session), load back;
+    legacy messages with text only are lifted to one TEXT content part."""
+    path = scratch_path(spark, "memory-json")
+    MS.save_sessions_json(FX.messages(spark, sf_dir), path)
+    back = MS.load_sessions_json(spark, path)
+    return back.select("session_id", "seq", "type", F.col("contents")[0]["type"].alias("content_type"),
+                       F.col("contents")[0]["text"].alias("text"))
+
+
+@register("memory_delete_sessions", f"""
+WITH {FX.MESSAGES_SQL}
+SELECT session_id, seq FROM messages
+WHERE session_id NOT IN (SELECT session_id FROM messages WHERE type = 'SYSTEM')
+""")
+def q_memory_delete_sessions(spark, sf_dir):
+    """Delete a set of sessions (here: those with a system message)."""
+    msgs = FX.messages(spark, sf_dir)
+    gone = msgs.where(F.col("type") == "SYSTEM").select("session_id")
+    return MS.delete_sessions(msgs, gone).select("session_id", "seq")
+
+
+@register("system_message_fix", f"""
+WITH {FX.AGENT_LOG_SQL},
+f AS (SELECT session_id, min(seq) FILTER (WHERE type = 'SYSTEM') AS first_sys, min(seq) AS min_seq
+      FROM agent_log GROUP BY session_id)
+SELECT a.session_id, a.seq, a.type FROM agent_log a JOIN f USING (session_id)
+WHERE a.type <> 'SYSTEM' OR a.seq = f.first_sys
+UNION ALL
+SELECT session_id, min_seq - 1, 'SYSTEM' FROM f WHERE first_sys IS NULL
+""")
+def q_system_message_fix(spark, sf_dir):
+    """One system message per session, the first; a default one is added
+    in front where none exists."""
+    return M.fix_system_message(FX.agent_log(spark, sf_dir)).select("session_id", "seq", "type")
+
+
+_SANITIZE_SQL = f"""
+WITH {FX.AGENT_LOG_SQL},
+ev AS (SELECT session_id, seq, tid, 0 AS kind FROM agent_log WHERE event_type = 'click'
+       UNION ALL SELECT session_id, seq, tid, 1 FROM agent_log WHERE event_type = 'purchase'),
+l AS (SELECT *, lag(kind) OVER (PARTITION BY session_id, tid ORDER BY seq, kind) AS prev FROM ev),
+kept AS (SELECT session_id, seq, tid FROM l WHERE kind = 1 AND prev = 0),
+ans AS (SELECT DISTINCT session_id, tid FROM kept),
+bad AS (SELECT e.session_id, e.seq FROM ev e LEFT JOIN ans a USING (session_id, tid)
+        WHERE e.kind = 0 AND a.tid IS NULL)
+"""
+
+
+@register("memory_sanitize", _SANITIZE_SQL + """
+SELECT session_id, seq, type FROM agent_log
+WHERE (type <> 'TOOL' AND (session_id, seq) NOT IN (SELECT (session_id, seq) FROM bad))
+   OR (type = 'TOOL' AND (session_id, seq) IN (SELECT (session_id, seq) FROM kept))
+""")
+def q_memory_sanitize(spark, sf_dir):
+    """W5/J-5: drop orphan tool results and unanswered tool requests."""
+    return M.sanitize_tool_messages(FX.agent_log(spark, sf_dir)).select("session_id", "seq", "type")
+
+
+@register("tool_request_text", f"""
+WITH {FX.AGENT_LOG_SQL}
+SELECT session_id, seq, CASE WHEN event_type = 'click' THEN 'Tool Execution Request' ELSE text END AS text
+FROM agent_log
+""")
+def q_tool_request_text(spark, sf_dir):
+    """AI tool-request messages without text get a fixed text."""
+    return M.tool_request_text(FX.agent_log(spark, sf_dir)).select("session_id", "seq", "text")
+
+
+@register("memory_overflow", f"""
+WITH {FX.MESSAGES_SQL}
+SELECT session_id, count(*) AS n_messages, count(*) >= {OVERFLOW_LIMIT} AS overflow
+FROM messages GROUP BY session_id
+""")
+def q_memory_overflow(spark, sf_dir):
+    """Sessions whose history reached the limit (6)."""
+    return M.overflow(FX.messages(spark, sf_dir), OVERFLOW_LIMIT)
+
+
+_TRANSCRIPT_SQL = f"""
+WITH {FX.MESSAGES_SQL},
+r AS (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY seq DESC) AS rn FROM messages),
+w AS (SELECT * FROM r WHERE rn <= {WINDOW_N}),
+l AS (SELECT session_id, seq, CASE WHEN type = 'USER' THEN 'User: ' || coalesce(text, '') || chr(10)
+                                   WHEN type = 'AI' AND text IS NOT NULL THEN 'Assistant: ' || text || chr(10) END AS line
+      FROM w),
+t AS (SELECT session_id, string_agg(line, '' ORDER BY seq) AS transcript, count(*)::INTEGER AS n_lines
+      FROM l WHERE line IS NOT NULL GROUP BY session_id)
+"""
+
+
+@register("transcript", _TRANSCRIPT_SQL + "SELECT session_id, transcript, n_lines FROM t")
+def q_transcript(spark, sf_dir):
+    """User/Assistant transcript of the last 4 messages per session."""
+    return M.transcript(M.last_n(FX.messages(spark, sf_dir), WINDOW_N))
+
+
+@register("memory_rebuild", _TRANSCRIPT_SQL + f"""
+, s AS (SELECT session_id, arg_min(text, seq) AS text FROM messages WHERE type = 'SYSTEM' GROUP BY session_id)
+SELECT session_id, 0::BIGINT AS seq, 'SYSTEM' AS type, text FROM s WHERE session_id IN (SELECT session_id FROM t)
+UNION ALL
+SELECT session_id, 1::BIGINT, 'USER', '{M.SUMMARY_PREFIX.replace(chr(10), "' || chr(10) || '")}' || transcript FROM t
+""")
+def q_memory_rebuild(spark, sf_dir):
+    """Memory rebuilt as system message + summary message (the summary
+    here is the last-4 transcript)."""
+    msgs = FX.messages(spark, sf_dir)
+    tr = M.transcript(M.last_n(msgs, WINDOW_N)).select("session_id", F.col("transcript").alias("summary"))
+    sys_msgs = (msgs.where(F.col("type") == "SYSTEM").groupBy("session_id")
+                .agg(F.min_by("text", "seq").alias("text")).join(tr, "session_id", "left_semi"))
+    return M.rebuild_with_summary(sys_msgs, tr)
+
+
+@register("memory_summarize")
+def q_memory_summarize(spark, sf_dir):
+    """M3/M7: overflowing sessions (>= 6 messages) summarised by the batch
+    completion hook (deterministic extractive stand-in) and rebuilt."""
+    return M.summarize_overflowing(FX.messages(spark, sf_dir), OVERFLOW_LIMIT, WINDOW_N,
+                                   extractive_answer_factory)
+
+
+@register("summary_extract", """
+WITH o AS (SELECT conv_id, turn,
+             CASE WHEN role = 'assistant' THEN '<analysis>draft</analysis>' || chr(10) || '<summary>' || chr(10)
+                  || text || chr(10) || '</summary>' WHEN role = 'user' THEN text ELSE '' END AS answer
+           FROM conversations)
+SELECT conv_id, turn,
+  CASE WHEN answer IS NULL OR length(answer) = 0 THEN ''
+       WHEN regexp_matches(answer, '(?s)<summary>\\s*(.+?)\\s*</summary>')
+         THEN regexp_extract(answer, '(?s)<summary>\\s*(.+?)\\s*</summary>', 1)
+       ELSE regexp_replace(answer, '^\\s+|\\s+$', '', 'g') END AS summary
+FROM o
+""")
+def q_summary_extract(spark, sf_dir):
+    """The <summary> part of model answers (answers shaped from turns)."""
+    c = table(spark, sf_dir, "conversations")
+    answer = (F.when(F.col("role") == "assistant",
+                     F.concat(F.lit("<analysis>draft</analysis>\n<summary>\n"), F.col("text"),
+                              F.lit("\n</summary>")))
+              .when(F.col("role") == "user", F.col("text")).otherwise(F.lit("")))
+    return c.select("conv_id", "turn", summary_extract(answer).alias("summary"))
+
+
+@register("history_validate", """
+SELECT conv_id::VARCHAR AS session_id, count(*) AS n_messages,
+       bool_and(coalesce(role IN ('user', 'assistant') AND text IS NOT NULL, false)) AS valid,
+       CASE WHEN NOT bool_and(coalesce(role IN ('user', 'assistant') AND text IS NOT NULL, false))
+            THEN '701172' END AS error_code
+FROM conversations GROUP BY conv_id
+""")
+def q_history_validate(spark, sf_dir):
+    """A history is usable iff all roles are user/assistant with content."""
+    c = table(spark, sf_dir, "conversations").withColumn("session_id", F.col("conv_id").cast("string"))
+    return M.history_validate(c)
+
+
+@register("list_trim", """
+SELECT conv_id, turn, array_to_string(CASE WHEN len(w) > 5 THEN w[len(w) - 4:] ELSE w END, ' ') AS tail
+FROM (SELECT conv_id, turn, string_split(text, ' ') AS w FROM conversations)
+""")
+def q_list_trim(spark, sf_dir):
+    """Trim an in-hand list (the words of each turn) to its last 5."""
+    c = table(spark, sf_dir, "conversations")
+    w = F.split("text", " ")
+    return c.select("conv_id", "turn", F.array_join(M.trim_list(w, 5), " ").alias("tail"))
+
+
+@register("session_default", """
+SELECT event_id, CASE WHEN length(coalesce(s, '')) = 0 THEN 'default' ELSE s END AS session_id
+FROM (SELECT event_id, CASE WHEN event_type = 'signup' THEN '' WHEN event_type = 'error' THEN NULL
+                            ELSE user_id::VARCHAR END AS s FROM events)
+""")
+def q_session_default(spark, sf_dir):
+    """Blank / NULL session ids become 'default'."""
+    from tessera.functions.text import session_default
+    e = table(spark, sf_dir, "events")
+    s = (F.when(F.col("event_type") == "signup", F.lit("")).when(F.col("event_type") == "error", F.lit(None))
+         .otherwise(F.col("user_id").cast("string")))
+    return e.select("event_id", session_default(s).alias("session_id"))
