@@ -157,3 +157,85 @@ agent_log AS (
          event_type
   FROM events)
 """
+
+
+# tool_calls: click and view events as calls of tools "search" / "browse";
+# request id k<k>; views carry a trailing comma in their JSON arguments.
+def tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events").where(F.col("event_type").isin("click", "view"))
+    return e.select(F.col("user_id").cast("string").alias("session_id"),
+                    F.concat(F.lit("k"), F.get_json_object("props", "$.k")).alias("request_id"),
+                    F.when(F.col("event_type") == "click", "search").otherwise("browse").alias("name"),
+                    F.when(F.col("event_type") == "view", F.replace("props", F.lit("}"), F.lit(",}")))
+                    .otherwise(F.col("props")).alias("arguments"),
+                    F.col("ts").cast("timestamp").alias("ts"), F.col("event_id").alias("seq"))
+
+
+TOOL_CALLS_SQL = """
+tool_calls AS (
+  SELECT user_id::VARCHAR AS session_id, 'k' || json_extract_string(props, '$.k') AS request_id,
+         CASE WHEN event_type = 'click' THEN 'search' ELSE 'browse' END AS name,
+         CASE WHEN event_type = 'view' THEN replace(props, '}', ',}') ELSE props END AS arguments,
+         ts, event_id AS seq
+  FROM events WHERE event_type IN ('click', 'view'))
+"""
+
+
+# tool_results: purchase events as results for request id k<k>; small
+# values give a blank result.
+def tool_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events").where(F.col("event_type") == "purchase")
+    return e.select(F.col("user_id").cast("string").alias("session_id"),
+                    F.concat(F.lit("k"), F.get_json_object("props", "$.k")).alias("request_id"),
+                    F.when(F.col("value") < 5, F.lit(" "))
+                    .otherwise(F.concat(F.lit("paid "), F.col("value").cast("string"))).alias("result"),
+                    F.col("ts").cast("timestamp").alias("ts"), F.col("event_id").alias("seq"))
+
+
+TOOL_RESULTS_SQL = """
+tool_results AS (
+  SELECT user_id::VARCHAR AS session_id, 'k' || json_extract_string(props, '$.k') AS request_id,
+         CASE WHEN value < 5 THEN ' ' ELSE 'paid ' || value::VARCHAR END AS result, ts, event_id AS seq
+  FROM events WHERE event_type = 'purchase')
+"""
+
+
+# tool_catalog: one tool per event type except "view"; the signup tool has
+# a blank description and names carry whitespace.
+def tool_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events").select("event_type").distinct().where(F.col("event_type") != "view")
+    name = (F.when(F.col("event_type") == "click", "search").when(F.col("event_type") == "signup", "sign up")
+            .when(F.col("event_type") == "error", "report\terror").otherwise("buy now"))
+    desc = F.when(F.col("event_type") == "signup", F.lit("  ")).otherwise(F.concat(F.lit("Tool for "),
+                                                                                  F.col("event_type")))
+    return e.select(name.alias("name"), desc.alias("description"))
+
+
+TOOL_CATALOG_SQL = """
+tool_catalog AS (
+  SELECT CASE event_type WHEN 'click' THEN 'search' WHEN 'signup' THEN 'sign up'
+              WHEN 'error' THEN 'report' || chr(9) || 'error' ELSE 'buy now' END AS name,
+         CASE WHEN event_type = 'signup' THEN '  ' ELSE 'Tool for ' || event_type END AS description
+  FROM (SELECT DISTINCT event_type FROM events WHERE event_type <> 'view'))
+"""
+
+
+# model_calls: every conversation turn is a model call of request conv_id;
+# user turns count as input tokens, assistant turns as output tokens (words).
+def model_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.functions.text import word_count
+    c = table(spark, sf_dir, "conversations")
+    wc = word_count("text").cast("bigint")
+    return c.select(F.col("conv_id").alias("request_id"), F.col("turn").alias("call_no"),
+                    F.when(F.col("role") == "user", wc).otherwise(F.lit(0).cast("bigint")).alias("input_tokens"),
+                    F.when(F.col("role") == "assistant", wc).otherwise(F.lit(0).cast("bigint"))
+                    .alias("output_tokens"))
+
+
+MODEL_CALLS_SQL = """
+model_calls AS (
+  SELECT conv_id AS request_id, turn AS call_no,
+         CASE WHEN role = 'user' THEN (CASE WHEN length(trim(text)) = 0 THEN 0 ELSE len(string_split(trim(text), ' ')) END) ELSE 0 END::BIGINT AS input_tokens,
+         CASE WHEN role = 'assistant' THEN (CASE WHEN length(trim(text)) = 0 THEN 0 ELSE len(string_split(trim(text), ' ')) END) ELSE 0 END::BIGINT AS output_tokens
+  FROM conversations)
+"""
