@@ -239,3 +239,55 @@ model_calls AS (
          CASE WHEN role = 'assistant' THEN (CASE WHEN length(trim(text)) = 0 THEN 0 ELSE len(string_split(trim(text), ' ')) END) ELSE 0 END::BIGINT AS output_tokens
   FROM conversations)
 """
+
+
+# store_meta: documents with their metadata map (quality only where the
+# document is labelled, so that key is sometimes missing).
+def store_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents")
+    lab = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    m = F.map_filter(F.create_map(F.lit("lang"), F.col("lang"), F.lit("source"), F.col("source"),
+                                  F.lit("n_chars"), F.col("n_chars").cast("string"),
+                                  F.lit("quality"), F.col("quality").cast("string")),
+                     lambda k, v: v.isNotNull())
+    return d.join(lab, "doc_id", "left").select("doc_id", m.alias("metadata"))
+
+
+STORE_META_SQL = """
+store_meta AS (
+  SELECT d.doc_id, d.lang, d.source, d.n_chars::VARCHAR AS n_chars, l.quality::VARCHAR AS quality
+  FROM documents d LEFT JOIN labels l USING (doc_id))
+"""
+
+
+# attachments: one chat request per document; the attachment JSON shape
+# depends on the language (object / array with an untyped entry / array with
+# an unsupported and a mixed-case text type / none).  German requests carry
+# an empty prompt.
+def attachments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents")
+
+    def att(t, c):
+        return F.struct(F.lit(t).alias("type"), c.alias("content"))
+    untyped = F.struct(F.lit("no type").alias("content"))
+    js = (F.when(F.col("lang") == "en", F.to_json(att("text/plain", F.col("source"))))
+          .when(F.col("lang") == "fr", F.concat(F.lit("["), F.to_json(att("image/png", F.col("source"))),
+                                                F.lit(","), F.to_json(untyped), F.lit("]")))
+          .when(F.col("lang") == "de", F.to_json(F.array(att("application/zip", F.col("source")),
+                                                         att("TEXT/markdown", F.col("lang"))))))
+    prompt = F.when(F.col("lang") == "de", F.lit("")).otherwise(
+        F.concat(F.lit("Summarise document "), F.col("doc_id").cast("string")))
+    return d.select(F.col("doc_id").alias("req_id"), prompt.alias("prompt"), js.alias("attachments"))
+
+
+ATTACHMENTS_SQL = """
+attachments AS (
+  SELECT doc_id AS req_id,
+         CASE WHEN lang = 'de' THEN '' ELSE 'Summarise document ' || doc_id END AS prompt,
+         CASE WHEN lang = 'en' THEN to_json({'type': 'text/plain', 'content': source})::VARCHAR
+              WHEN lang = 'fr' THEN '[' || to_json({'type': 'image/png', 'content': source})::VARCHAR || ','
+                                    || to_json({'content': 'no type'})::VARCHAR || ']'
+              WHEN lang = 'de' THEN to_json([{'type': 'application/zip', 'content': source},
+                                             {'type': 'TEXT/markdown', 'content': lang}])::VARCHAR END AS attachments
+  FROM documents)
+"""
