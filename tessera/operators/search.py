@@ -83,16 +83,21 @@ def vector_topk(store: DataFrame, queries: DataFrame, k: int, min_score: float =
     """Exact top-``k`` store rows per query by cosine relevance ``(1+cos)/2``.
 
     ``min_score`` is applied before ranking.  Result columns:
-    ``query_id, id, score, rank`` (names taken from the arguments).  Block
-    counts default to sizes derived from the row counts, which costs one
-    ``count`` per side: pass them when the inputs are expensive to recompute.
+    ``query_id, id, score, rank`` (names taken from the arguments).
+
+    ``store_blocks`` defaults to the store's partition count (at least the
+    default parallelism): a scan's partitions are bounded by the file split
+    size and a shuffle's by AQE's advisory size, so each block stays within
+    one partition's worth of vectors without running a job on the store.
+    ``query_blocks`` defaults to a size derived from one ``count`` of the
+    query side (the smaller side in retrieval).
     """
     spark = store.sparkSession
     par = spark.sparkContext.defaultParallelism
     if dim is None:
         dim = 1536
     if store_blocks is None:
-        store_blocks = _blocks(store.count(), dim, par)
+        store_blocks = max(par, store.rdd.getNumPartitions())
     if query_blocks is None:
         query_blocks = _blocks(queries.count(), dim, 1)
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera import errors as E
 from tessera.operators.embed import hash_embed
-from tessera.operators.ingest import dedup_first, drop_existing, with_content_id
+from tessera.operators.ingest import with_content_id
 from tessera.operators.parse import parse
 from tessera.operators.search import vector_topk
 from tessera.operators.split import DEFAULT_MAX_CHARS, DEFAULT_OVERLAP, split_documents
@@ -19,94 +19,117 @@ from tessera.sources.vector_store import store_append, store_ids, store_scan
 DEFAULT_DIM = 256
 
 
-def prepare_knowledge(docs: DataFrame, *, parse_docs: bool = True, split: bool = True,
-                      embed: bool = True, strategy: str = "Recursive",
-                      max_chars: int = DEFAULT_MAX_CHARS, overlap: int = DEFAULT_OVERLAP,
-                      dim: int = DEFAULT_DIM, avoid_dups: bool = True,
-                      key_cols: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """parse -> split -> embed -> validate -> content id, lazily.
+def prepare_segments(docs: DataFrame, *, parse_docs: bool = True, split: bool = True,
+                     strategy: str = "Recursive", max_chars: int = DEFAULT_MAX_CHARS,
+                     overlap: int = DEFAULT_OVERLAP, avoid_dups: bool = True,
+                     key_cols: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """parse -> split -> validate -> content id, one lazy pass (no branch
+    re-reads the input).
 
     Input: ``key_cols`` + ``type``/``payload`` (when parsing) or ``text``.
-    Output: ``key_cols, index, id, text, embedding, metadata, error_code``.
+    Output: ``key_cols, index, id, text, error_code``; a document that fails
+    to parse or split yields one row with its code.
     """
-    df = docs
     if parse_docs:
-        df = parse(df).select(*key_cols, "text", "error_code")
+        df = parse(docs).select(*key_cols, "text", "error_code")
     else:
-        df = df.select(*key_cols, "text", F.lit(None).cast("string").alias("error_code"))
-    parsed_bad = df.where(F.col("error_code").isNotNull())
-    ok = df.where(F.col("error_code").isNull()).drop("error_code")
+        df = docs.select(*key_cols, "text", F.lit(None).cast("string").alias("error_code"))
     if split:
-        segs = split_documents(ok, strategy, max_chars, overlap)
+        # posexplode_outer keeps failed documents as one row (NULL index).
+        segs = split_documents(df.withColumnRenamed("error_code", "_parse_code"),
+                               strategy, max_chars, overlap)
+        segs = segs.withColumn("error_code", F.coalesce("_parse_code", "error_code")).drop("_parse_code")
     else:
-        segs = ok.select(*key_cols, F.lit(0).alias("index"), "text",
-                         F.lit(None).cast("string").alias("error_code"))
+        segs = df.withColumn("index", F.when(F.col("error_code").isNull(), F.lit(0)))
     segs = segs.withColumn("error_code", F.coalesce("error_code", segment_error("text")))
-    if embed:
-        segs = hash_embed(segs, dim)
+    segs = with_content_id(segs, avoid_dups)
+    return segs.withColumn("id", F.when(F.col("error_code").isNull(), F.col("id")))
+
+
+def dedup_segments(segs: DataFrame, *, key_cols: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """One row per content id (first by ``key_cols, index`` wins) with the
+    number of ``copies``; invalid rows pass through one by one.
+
+    A single partial aggregate: every map task collapses its copies before
+    the shuffle, so an id holding a third of all rows stays cheap.
+    """
+    order = F.struct(*[F.col(c) for c in key_cols], F.col("index"))
+    payload = F.struct(*[F.col(c) for c in segs.columns])
+    own_key = F.to_json(F.struct(*[F.col(c) for c in key_cols], F.col("index")))
+    group = F.when(F.col("error_code").isNull(), F.concat(F.lit("id:"), F.col("id"))).otherwise(
+        F.concat(F.lit("bad:"), own_key, F.lit(":"), F.col("error_code")))
+    return (segs.withColumn("_g", group).groupBy("_g")
+            .agg(F.min_by(payload, order).alias("_r"), F.count(F.lit(1)).alias("copies"))
+            .select("_r.*", "copies"))
+
+
+def classify_ingest(unique: DataFrame, existing_ids: DataFrame | None, dim: int = DEFAULT_DIM) -> DataFrame:
+    """Embed the unique segments and tag them: ``status`` written / invalid,
+    ``stored`` (id already in the store), ``copies``.  Embedding happens
+    after de-duplication, so copies are never embedded."""
+    emb = hash_embed(unique, dim)
+    emb = emb.withColumn("error_code", F.coalesce("error_code", embedding_error("text", "embedding", dim)))
+    if existing_ids is not None:
+        ids = existing_ids.select("id").distinct().withColumn("stored", F.lit(True))
+        emb = emb.join(ids, "id", "left").withColumn("stored", F.coalesce("stored", F.lit(False)))
     else:
-        segs = segs.withColumn("embedding", F.lit(None).cast("array<float>"))
-    segs = segs.withColumn("error_code", F.coalesce("error_code", embedding_error("text", "embedding", dim)))
+        emb = emb.withColumn("stored", F.lit(False))
+    return emb.withColumn("status", F.when(F.col("error_code").isNotNull(), F.lit("invalid"))
+                          .when(F.col("stored"), F.lit("duplicate")).otherwise(F.lit("written")))
+
+
+def _status_counts() -> list:
+    """Count expressions over classified rows (a row stands for ``copies``)."""
+    inv = F.col("status") == "invalid"
+    return [F.sum(F.when(F.col("status") == "written", 1).otherwise(0)).alias("written"),
+            F.sum(F.when(inv, F.col("copies")).otherwise(0)).alias("invalid"),
+            F.sum(F.when(inv, 0).when(F.col("status") == "duplicate", F.col("copies"))
+                  .otherwise(F.col("copies") - 1)).alias("duplicate")]
+
+
+def ingest_summary(classified: DataFrame) -> DataFrame:
+    """Counts per status plus the success flag (any row written or already
+    present); one aggregate over the classified rows."""
+    totals = classified.agg(*_status_counts())
+    rows = F.explode(F.array(*[F.struct(F.lit(s).alias("status"), F.col(s).cast("bigint").alias("n"))
+                               for s in ("written", "duplicate", "invalid")]))
+    return (totals.select(rows.alias("r")).select("r.*").where(F.col("n") > 0)
+            .withColumn("success", F.col("status").isin("written", "duplicate")))
+
+
+def knowledge_rows(docs: DataFrame, existing_ids: DataFrame | None = None, *, dim: int = DEFAULT_DIM,
+                   key_cols: tuple[str, ...] = ("doc_id",), **opts) -> DataFrame:
+    """Lazy classified rows (``status``, ``copies``) with store columns
+    ``id, embedding, text, metadata`` (metadata: index + key columns)."""
+    segs = prepare_segments(docs, key_cols=key_cols, **opts)
+    classified = classify_ingest(dedup_segments(segs, key_cols=key_cols), existing_ids, dim)
     meta = F.create_map(F.lit("index"), F.col("index").cast("string"),
                         *[x for k in key_cols for x in (F.lit(k), F.col(k).cast("string"))])
-    segs = with_content_id(segs.withColumn("metadata", meta), avoid_dups)
-    parsed_bad = parsed_bad.select(*key_cols, F.lit(None).cast("int").alias("index"),
-                                   F.lit(None).cast("string").alias("id"), "text",
-                                   F.lit(None).cast("array<float>").alias("embedding"),
-                                   F.lit(None).cast("map<string,string>").alias("metadata"),
-                                   "error_code")
-    return segs.select(*parsed_bad.columns).unionByName(parsed_bad)
-
-
-def classify_ingest(prepared: DataFrame, existing_ids: DataFrame | None,
-                    avoid_dups: bool = True,
-                    key_cols: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Tag every prepared row with ``status`` written / duplicate / invalid."""
-    good = prepared.where(F.col("error_code").isNull())
-    bad = prepared.where(F.col("error_code").isNotNull()).withColumn("status", F.lit("invalid"))
-    if avoid_dups:
-        kept, dups = dedup_first(good, [*key_cols, "index"])
-        kept = kept.select(*good.columns)
-        new, old = drop_existing(kept, existing_ids)
-        tagged = (new.withColumn("status", F.lit("written"))
-                  .unionByName(old.withColumn("status", F.lit("duplicate")))
-                  .unionByName(dups.withColumn("status", F.lit("duplicate"))))
-    else:
-        tagged = good.withColumn("status", F.lit("written"))
-    return tagged.unionByName(bad)
+    return classified.withColumn("metadata", meta)
 
 
 def add_to_knowledge(docs: DataFrame, store_path: str, store: str | None = None,
-                     namespace: str | None = None, **opts) -> DataFrame:
-    """Write new vectors to the store; return per-status counts.
+                     namespace: str | None = None, *, dim: int = DEFAULT_DIM,
+                     key_cols: tuple[str, ...] = ("doc_id",), **opts) -> dict[str, int]:
+    """parse -> split -> validate -> dedup -> embed -> append to the store,
+    in one pass; the status counts are observed during the write.
 
-    Raises when rows were given and none could be written (all invalid),
-    like the original's all-failed rule.
+    Returns ``{"written", "duplicate", "invalid"}``.  Raises when rows were
+    given and none could be written or were already present.
     """
+    from pyspark.sql import Observation
+
     spark = docs.sparkSession
-    avoid = opts.get("avoid_dups", True)
-    keys = opts.get("key_cols", ("doc_id",))
-    prepared = prepare_knowledge(docs, **opts)
-    tagged = classify_ingest(prepared, store_ids(spark, store_path, store, namespace), avoid, keys)
-    tagged = tagged.persist()
-    try:
-        written = tagged.where(F.col("status") == "written").select(
-            "id", "embedding", "text", "metadata")
-        store_append(written, store_path, store, namespace)
-        summary = ingest_summary(tagged)
-        rows = {r["status"]: r["n"] for r in summary.collect()}
-    finally:
-        tagged.unpersist()
-    if rows and rows.get("written", 0) == 0 and rows.get("duplicate", 0) == 0:
+    rows = knowledge_rows(docs, store_ids(spark, store_path, store, namespace), dim=dim,
+                          key_cols=key_cols, **opts)
+    obs = Observation("ingest")
+    observed = rows.observe(obs, *_status_counts())
+    written = observed.where(F.col("status") == "written").select("id", "embedding", "text", "metadata")
+    store_append(written, store_path, store, namespace)
+    counts = {k: int(v or 0) for k, v in obs.get.items()}
+    if sum(counts.values()) > 0 and counts["written"] == 0 and counts["duplicate"] == 0:
         raise E.TesseraError(E.INVALID_INGEST, "no row could be ingested")
-    return summary
-
-
-def ingest_summary(tagged: DataFrame) -> DataFrame:
-    """Counts per status plus the success flag (any row written or already
-    present)."""
-    counts = tagged.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
-    return counts.withColumn("success", F.col("status").isin("written", "duplicate"))
+    return counts
 
 
 def embed_queries(queries: DataFrame, dim: int = DEFAULT_DIM, *, text_col: str = "text") -> DataFrame:

@@ -12,8 +12,8 @@ from tessera.operators.ingest import dedup_first, drop_existing
 from tessera.operators.split import split_documents, split_window
 from tessera.plans import fixtures as FX
 from tessera.plans import sqlgen as G
-from tessera.plans.knowledge import (DEFAULT_DIM, classify_ingest, get_from_knowledge,
-                                     ingest_summary, prepare_knowledge, rag_context)
+from tessera.plans.knowledge import (DEFAULT_DIM, get_from_knowledge, ingest_summary,
+                                     knowledge_rows, rag_context)
 from tessera.plans.registry import register
 from tessera.sources.tables import table
 from tessera.sources.vector_store import (load_snapshot, save_snapshot, scratch_path,
@@ -293,10 +293,8 @@ def q_ingest_summary(spark, sf_dir):
     """A3/A4: ingest outcome counts (written / duplicate / invalid) with the
     success flag, over parse -> embed -> validate -> dedup of all documents
     and pages."""
-    docs = FX.typed_docs(spark, sf_dir)
-    keys = ("origin", "doc_id")
-    prepared = prepare_knowledge(docs, split=False, key_cols=keys)
-    return ingest_summary(classify_ingest(prepared, None, True, keys))
+    rows = knowledge_rows(FX.typed_docs(spark, sf_dir), split=False, key_cols=("origin", "doc_id"))
+    return ingest_summary(rows)
 
 
 @register("add_to_knowledge")
@@ -334,8 +332,8 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id
 
 
 def _kb_hits(spark, sf_dir):
-    store = prepare_knowledge(_docs(spark, sf_dir), parse_docs=False, split=False)
-    kept, _ = dedup_first(store.where(F.col("error_code").isNull()), ["doc_id", "index"])
+    rows = knowledge_rows(_docs(spark, sf_dir), parse_docs=False, split=False)
+    kept = rows.where(F.col("status") == "written")
     questions = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
     hits = get_from_knowledge(kept, questions, RAG_K, RAG_MIN_SCORE)
     return questions, hits
