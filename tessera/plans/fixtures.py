@@ -108,9 +108,9 @@ embeddings_json AS (
 
 
 # messages: one row per conversation turn.
-def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def messages(spark: SparkSession, sf_dir: str, conversations: DataFrame | None = None) -> DataFrame:
     from tessera.operators.memory import role_type
-    c = table(spark, sf_dir, "conversations")
+    c = conversations if conversations is not None else table(spark, sf_dir, "conversations")
     return c.select(F.col("conv_id").cast("string").alias("session_id"), F.col("turn").alias("seq"),
                     role_type("role").alias("type"), "text",
                     F.lit(None).cast("array<struct<id:string,name:string,arguments:string>>")
@@ -161,8 +161,9 @@ agent_log AS (
 
 # tool_calls: click and view events as calls of tools "search" / "browse";
 # request id k<k>; views carry a trailing comma in their JSON arguments.
-def tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events").where(F.col("event_type").isin("click", "view"))
+def tool_calls(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+    e = events if events is not None else table(spark, sf_dir, "events")
+    e = e.where(F.col("event_type").isin("click", "view"))
     return e.select(F.col("user_id").cast("string").alias("session_id"),
                     F.concat(F.lit("k"), F.get_json_object("props", "$.k")).alias("request_id"),
                     F.when(F.col("event_type") == "click", "search").otherwise("browse").alias("name"),
@@ -183,8 +184,9 @@ tool_calls AS (
 
 # tool_results: purchase events as results for request id k<k>; small
 # values give a blank result.
-def tool_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events").where(F.col("event_type") == "purchase")
+def tool_results(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+    e = events if events is not None else table(spark, sf_dir, "events")
+    e = e.where(F.col("event_type") == "purchase")
     return e.select(F.col("user_id").cast("string").alias("session_id"),
                     F.concat(F.lit("k"), F.get_json_object("props", "$.k")).alias("request_id"),
                     F.when(F.col("value") < 5, F.lit(" "))

@@ -42,4 +42,4 @@ def oracle_sql() -> dict[str, str]:
 def _load() -> None:
     # Importing the modules registers their queries.
     from tessera.plans import (q_knowledge, q_memory, q_scalar, q_search,  # noqa: F401
-                               q_text, q_tools)
+                               q_stream, q_text, q_tools)
