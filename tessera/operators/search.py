@@ -75,6 +75,27 @@ def _local_topk(ids: np.ndarray, smat: np.ndarray, qids: np.ndarray, qmat: np.nd
     return np.concatenate(out_q), np.concatenate(out_s), np.concatenate(out_v)
 
 
+def _score_groups(s: DataFrame, q: DataFrame, keys: list[str], k: int, min_score: float,
+                  qid_type: T.DataType, id_type: T.DataType) -> DataFrame:
+    """Cogroup store rows (``_id, _v``) and query rows (``_qid, _qv``) on
+    ``keys`` and keep each group's local top-k per query."""
+    out_schema = T.StructType([
+        T.StructField("_qid", qid_type), T.StructField("_id", id_type),
+        T.StructField("score", T.DoubleType())])
+
+    def score_block(sdf: pd.DataFrame, qdf: pd.DataFrame) -> pd.DataFrame:
+        if len(sdf) == 0 or len(qdf) == 0:
+            return pd.DataFrame({"_qid": pd.Series([], dtype=object),
+                                 "_id": pd.Series([], dtype=object),
+                                 "score": pd.Series([], dtype="float64")})
+        qi, si, sc = _local_topk(sdf["_id"].to_numpy(), _matrix(sdf["_v"]),
+                                 qdf["_qid"].to_numpy(), _matrix(qdf["_qv"]), k, min_score)
+        return pd.DataFrame({"_qid": qi, "_id": si, "score": sc})
+
+    return (s.groupBy(*keys).cogroup(q.groupBy(*keys))
+            .applyInPandas(score_block, out_schema))
+
+
 def vector_topk(store: DataFrame, queries: DataFrame, k: int, min_score: float = 0.0, *,
                 id_col: str = "id", vec_col: str = "embedding",
                 query_id_col: str = "query_id", query_vec_col: str = "embedding",
@@ -112,24 +133,78 @@ def vector_topk(store: DataFrame, queries: DataFrame, k: int, min_score: float =
          .withColumn("_qb", F.pmod(F.xxhash64("_qid"), F.lit(query_blocks)).cast("int"))
          .withColumn("_sb", F.explode(F.sequence(F.lit(0), F.lit(store_blocks - 1)))))
 
-    out_schema = T.StructType([
-        T.StructField("_qid", qid_type), T.StructField("_id", id_type),
-        T.StructField("score", T.DoubleType())])
+    partial = _score_groups(s, q, ["_sb", "_qb"], k, min_score, qid_type, id_type)
+    w = Window.partitionBy("_qid").orderBy(F.col("score").desc(), F.col("_id").asc())
+    return (partial.withColumn("rank", F.row_number().over(w))
+            .where(F.col("rank") <= k)
+            .select(F.col("_qid").alias(query_id_col), F.col("_id").alias(id_col),
+                    "score", F.col("rank").cast("int").alias("rank")))
 
-    def score_block(sdf: pd.DataFrame, qdf: pd.DataFrame) -> pd.DataFrame:
-        if len(sdf) == 0 or len(qdf) == 0:
-            return pd.DataFrame({"_qid": pd.Series([], dtype=object),
-                                 "_id": pd.Series([], dtype=object),
-                                 "score": pd.Series([], dtype="float64")})
-        qi, si, sc = _local_topk(sdf["_id"].to_numpy(), _matrix(sdf["_v"]),
-                                 qdf["_qid"].to_numpy(), _matrix(qdf["_qv"]), k, min_score)
-        return pd.DataFrame({"_qid": qi, "_id": si, "score": sc})
 
-    partial = (s.groupBy("_sb", "_qb")
-               .cogroup(q.groupBy("_sb", "_qb"))
-               .applyInPandas(score_block, out_schema))
+def _lsh_codes(dim: int, n_tables: int, n_bits: int, seed: int):
+    """pandas UDF: one bucket code per table from random hyperplanes (sign
+    random projection, Charikar 2002).  The hyperplane matrix is fixed by
+    the parameters (``n_tables * n_bits * dim`` doubles)."""
+    rng = np.random.default_rng(seed)
+    planes = rng.standard_normal((n_tables * n_bits, dim))
+    weights = (1 << np.arange(n_bits)).astype(np.int64)
+
+    @F.pandas_udf(T.ArrayType(T.IntegerType()))
+    def codes(vs: pd.Series) -> pd.Series:
+        m = _matrix(vs)
+        if m.shape[0] == 0:
+            return pd.Series([], dtype=object)
+        bits = (m @ planes.T > 0).reshape(len(vs), n_tables, n_bits)
+        return pd.Series(list((bits * weights).sum(axis=2).astype(np.int32)))
+    return codes
+
+
+def vector_topk_approx(store: DataFrame, queries: DataFrame, k: int, min_score: float = 0.0, *,
+                       dim: int, id_col: str = "id", vec_col: str = "embedding",
+                       query_id_col: str = "query_id", query_vec_col: str = "embedding",
+                       n_tables: int = 8, n_bits: int = 6, seed: int = 17,
+                       block_rows: int | None = None) -> DataFrame:
+    """Approximate top-``k``: candidates share an LSH bucket in at least one
+    of ``n_tables`` tables; candidates are scored exactly.
+
+    Buckets are equi-join keys of a cogroup.  A hot bucket (many vectors) is
+    split into sub-blocks on both sides (the other side is replicated per
+    sub-block), sized from a pre-aggregated count per bucket; that count
+    table has at most ``n_tables * 2**n_bits`` rows, so broadcasting it is
+    bounded by the parameters.  No candidate pairs are materialised: each
+    group emits only its local top-k.
+    """
+    if block_rows is None:
+        block_rows = max(1, BLOCK_BYTES // max(1, dim * 8))
+    codes = _lsh_codes(dim, n_tables, n_bits, seed)
+    id_type = store.schema[id_col].dataType
+    qid_type = queries.schema[query_id_col].dataType
+    s = (store.select(F.col(id_col).alias("_id"), F.col(vec_col).alias("_v"))
+         .where(F.col("_v").isNotNull() & (F.size("_v") > 0))
+         .select("_id", "_v", F.posexplode(codes(F.col("_v"))).alias("_t", "_b")))
+    q = (queries.select(F.col(query_id_col).alias("_qid"), F.col(query_vec_col).alias("_qv"))
+         .where(F.col("_qv").isNotNull() & (F.size("_qv") > 0))
+         .select("_qid", "_qv", F.posexplode(codes(F.col("_qv"))).alias("_t", "_b")))
+
+    def sub_blocks(df: DataFrame, name: str) -> DataFrame:
+        return (df.groupBy("_t", "_b").agg(F.count(F.lit(1)).alias("_n"))
+                .select("_t", "_b", F.ceil(F.col("_n") / F.lit(block_rows)).cast("int").alias(name)))
+
+    sizes = (sub_blocks(s, "_ns").join(sub_blocks(q, "_nq"), ["_t", "_b"], "inner"))
+    sizes = F.broadcast(sizes)  # <= n_tables * 2**n_bits rows
+    s = (s.join(sizes, ["_t", "_b"])
+         .withColumn("_sb", F.pmod(F.xxhash64("_id"), F.col("_ns")).cast("int"))
+         .withColumn("_qb", F.explode(F.sequence(F.lit(0), F.col("_nq") - 1))))
+    q = (q.join(sizes, ["_t", "_b"])
+         .withColumn("_qb", F.pmod(F.xxhash64("_qid"), F.col("_nq")).cast("int"))
+         .withColumn("_sb", F.explode(F.sequence(F.lit(0), F.col("_ns") - 1))))
+    s = s.select("_t", "_b", "_sb", "_qb", "_id", "_v")
+    q = q.select("_t", "_b", "_sb", "_qb", "_qid", "_qv")
+    partial = _score_groups(s, q, ["_t", "_b", "_sb", "_qb"], k, min_score, qid_type, id_type)
+    # the same pair can be found through several tables: same exact score
+    pairs = partial.groupBy("_qid", "_id").agg(F.max("score").alias("score"))
     w = Window.partitionBy("_qid").orderBy(F.col("score").desc(), F.col("_id").asc())
-    return (partial.withColumn("rank", F.row_number().over(w))
+    return (pairs.withColumn("rank", F.row_number().over(w))
             .where(F.col("rank") <= k)
             .select(F.col("_qid").alias(query_id_col), F.col("_id").alias(id_col),
                     "score", F.col("rank").cast("int").alias("rank")))

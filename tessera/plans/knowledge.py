@@ -163,3 +163,30 @@ def rag_context(questions: DataFrame, matches: DataFrame, *, query_id_col: str =
     return (questions.join(ctx, query_id_col, "left")
             .withColumn("context", F.coalesce("context", F.lit("")))
             .withColumn("n_matches", F.coalesce("n_matches", F.lit(0))))
+
+
+RAG_TEMPLATE = ("Answer the question using the knowledge below.\n\n"
+                "Question: ${question}\n\nKnowledge:\n${exists(context) ? context : \"\"}")
+
+
+def rag_chat(questions: DataFrame, store: DataFrame, complete_fn_factory, *, k: int = 5,
+             min_score: float = 0.75, output_type: str = "string", query_id_col: str = "query_id",
+             template: str = RAG_TEMPLATE, dim: int = DEFAULT_DIM) -> DataFrame:
+    """render -> embed -> search -> attach knowledge -> complete -> coerce.
+
+    ``questions``: ``query_id, question``.  Returns ``query_id, prompt,
+    answer, n_matches`` + the typed views of the answer and ``error_code``.
+    """
+    from tessera.functions.prompt import render_prompts
+    from tessera.operators.infer import coerce_output, complete
+
+    q = questions.withColumnRenamed("question", "text")
+    hits = get_from_knowledge(store, q.select(query_id_col, "text"), k, min_score, dim=dim,
+                              query_id_col=query_id_col)
+    with_ctx = rag_context(q.withColumnRenamed("text", "question"), hits, query_id_col=query_id_col)
+    prompts = render_prompts(with_ctx, template)
+    answered = complete(prompts.select(query_id_col, "prompt", "n_matches"), complete_fn_factory)
+    typed = coerce_output("answer", "_out_type")
+    answered = answered.withColumn("_out_type", F.lit(output_type))
+    return answered.select(query_id_col, "prompt", "answer", "n_matches",
+                           *[c.alias(n) for n, c in typed.items()])

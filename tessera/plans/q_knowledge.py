@@ -374,3 +374,64 @@ def flagship(spark, sf_dir):
     return hits.select("query_id", "rank", "score",
                        F.col("metadata")["doc_id"].cast("bigint").alias("doc_id"),
                        F.col("metadata")["index"].cast("int").alias("segment"), "text")
+
+
+@register("batch_complete")
+def q_batch_complete(spark, sf_dir):
+    """M2: chat completion over a table of prompts (the benchmark passages)
+    through the Arrow-batched hook, with the deterministic stand-in model."""
+    from tessera.functions.prompt import render_prompts
+    from tessera.operators.infer import complete, extractive_answer_factory
+    b = table(spark, sf_dir, "benchmark")
+    prompts = render_prompts(b, "Summarise:\n\n${text}")
+    return complete(prompts.select("item_id", "prompt"), extractive_answer_factory).select("item_id", "answer")
+
+
+@register("rag_chat")
+def q_rag_chat(spark, sf_dir):
+    """M6: each benchmark passage as a question: retrieve from the document
+    store, render the prompt with the knowledge, complete, coerce."""
+    from tessera.operators.infer import extractive_answer_factory
+    from tessera.plans.knowledge import rag_chat
+    rows = knowledge_rows(_docs(spark, sf_dir), parse_docs=False, split=False)
+    store = rows.where(F.col("status") == "written").select("id", "embedding", "text", "metadata")
+    qs = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"),
+                                                  F.col("text").alias("question"))
+    return rag_chat(qs, store, extractive_answer_factory, k=RAG_K, min_score=RAG_MIN_SCORE).select(
+        "query_id", "n_matches", "answer", "str_value", "error_code")
+
+
+_PARSE_CODES_SQL = f"""
+WITH {FX.TYPED_DOCS_SQL}
+SELECT CASE WHEN lower(type) NOT IN ('markdown-to-text', 'html-to-text', 'pdf-to-text', 'doc-to-text',
+                 'docx-to-text', 'ppt-to-text', 'pptx-to-text', 'xls-to-text', 'xlsx-to-text') THEN '701143'
+            WHEN payload IS NULL THEN '701141'
+            WHEN lower(type) = 'html-to-text' AND NOT {G.has_body('payload')} THEN '701141' END AS code
+FROM typed_docs
+"""
+
+
+@register("quarantine_codes", f"""
+SELECT stage, code AS error_code, count(*) AS n FROM (
+  SELECT 'parse' AS stage, code FROM ({_PARSE_CODES_SQL})
+  UNION ALL
+  SELECT 'ingest', code FROM ({_EMBEDDINGS_DECODED_SQL}
+    SELECT CASE WHEN text IS NULL OR length(text) = 0 OR embedding IS NULL OR len(embedding) = 0
+                  OR len(embedding) <> 64 THEN '701111' END AS code FROM x)
+  UNION ALL
+  SELECT 'embed', code FROM ({_SEGMENTS_DECODED_SQL}
+    SELECT CASE WHEN text IS NULL OR length(text) = 0 THEN '701162' END AS code FROM x)
+) WHERE code IS NOT NULL GROUP BY ALL
+""")
+def q_quarantine_codes(spark, sf_dir):
+    """§2.12: quarantined rows per stage and error code (parse, embedding
+    ingest validation, segment validation)."""
+    from tessera.operators.parse import parse
+    p = parse(FX.typed_docs(spark, sf_dir)).select(F.lit("parse").alias("stage"), F.col("error_code"))
+    e = _embeddings_decoded(spark, sf_dir).select(
+        F.lit("ingest").alias("stage"),
+        VAL.embedding_error(F.col("e.text"), F.col("e.embedding"), 64).alias("error_code"))
+    s = _segments_decoded(spark, sf_dir).select(F.lit("embed").alias("stage"),
+                                                VAL.segment_error(F.col("seg.text")).alias("error_code"))
+    return (p.unionByName(e).unionByName(s).where(F.col("error_code").isNotNull())
+            .groupBy("stage", "error_code").agg(F.count(F.lit(1)).alias("n")))

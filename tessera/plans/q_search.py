@@ -73,3 +73,14 @@ def q_vector_normalize(spark, sf_dir):
     return unit.select("vec_id", F.size("embedding").alias("dim"),
                        F.round(V.l2_norm("embedding"), 6).alias("norm_in"),
                        F.round(V.l2_norm("unit"), 6).alias("norm_out"))
+
+
+@register("vector_topk_approx")
+def q_vector_topk_approx(spark, sf_dir):
+    """J-7: approximate top-5 (8 LSH tables x 6 bits) with exact re-scoring;
+    every stored vector is also a query."""
+    from tessera.operators.search import vector_topk_approx
+    emb = table(spark, sf_dir, "embeddings")
+    store = emb.select(F.col("vec_id").alias("id"), "embedding")
+    queries = emb.select(F.col("vec_id").alias("query_id"), "embedding")
+    return vector_topk_approx(store, queries, TOPK_K, TOPK_MIN_SCORE, dim=EMB_DIM)
