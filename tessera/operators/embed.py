@@ -47,7 +47,10 @@ def _histogram_udf(dim: int):
         with np.errstate(invalid="ignore", divide="ignore"):
             unit = np.where(norms > 0, counts / norms, 0.0).astype(np.float32)
         return pd.Series([None if lens[i] == 0 else unit[i] for i in range(n)])
-    return histogram
+    # Non-deterministic only to the optimizer: it must not copy the UDF into
+    # a pushed-down filter (that would evaluate it twice, once before a
+    # repartition on the unspread input).
+    return histogram.asNondeterministic()
 
 
 def hash_embed(df: DataFrame, dim: int = 256, *, text_col: str = "text",

@@ -156,7 +156,7 @@ def _lsh_codes(dim: int, n_tables: int, n_bits: int, seed: int):
             return pd.Series([], dtype=object)
         bits = (m @ planes.T > 0).reshape(len(vs), n_tables, n_bits)
         return pd.Series(list((bits * weights).sum(axis=2).astype(np.int32)))
-    return codes
+    return codes.asNondeterministic()  # evaluate once; never copied into pushed filters
 
 
 def vector_topk_approx(store: DataFrame, queries: DataFrame, k: int, min_score: float = 0.0, *,

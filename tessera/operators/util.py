@@ -14,3 +14,25 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     join strategy to the optimizer (sort-merge / AQE)."""
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+# Inputs up to this many rows are spread over all cores before CPU-heavy
+# row-wise work; larger inputs already come in many splits.
+SMALL_INPUT_ROWS = 2_000_000
+
+
+def spread_small(df: DataFrame, max_rows: int = SMALL_INPUT_ROWS, per_core: int = 2) -> DataFrame:
+    """Round-robin a *small* input (proved by a capped count) over
+    ``per_core`` x default-parallelism partitions.
+
+    A small file is often a single parquet row group, i.e. one task, which
+    leaves every other core idle during text-heavy work.  A large input is
+    left untouched: it is read in many splits already and a shuffle would
+    only add cost."""
+    if df.isStreaming:
+        return df
+    n = df.limit(max_rows + 1).count()
+    if n > max_rows:
+        return df
+    par = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(par * per_core)

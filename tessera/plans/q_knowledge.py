@@ -14,6 +14,7 @@ from tessera.plans import fixtures as FX
 from tessera.plans import sqlgen as G
 from tessera.plans.knowledge import (DEFAULT_DIM, get_from_knowledge, ingest_summary,
                                      knowledge_rows, rag_context)
+from tessera.operators.util import spread_small
 from tessera.plans.registry import register
 from tessera.sources.tables import table
 from tessera.sources.vector_store import (load_snapshot, save_snapshot, scratch_path,
@@ -24,7 +25,7 @@ RAG_MIN_SCORE = 0.75
 
 
 def _docs(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spread_small(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 @register("split_recursive")
@@ -293,7 +294,8 @@ def q_ingest_summary(spark, sf_dir):
     """A3/A4: ingest outcome counts (written / duplicate / invalid) with the
     success flag, over parse -> embed -> validate -> dedup of all documents
     and pages."""
-    rows = knowledge_rows(FX.typed_docs(spark, sf_dir), split=False, key_cols=("origin", "doc_id"))
+    rows = knowledge_rows(spread_small(FX.typed_docs(spark, sf_dir)), split=False,
+                          key_cols=("origin", "doc_id"))
     return ingest_summary(rows)
 
 
@@ -303,7 +305,7 @@ def q_add_to_knowledge(spark, sf_dir):
     then the stored rows are read back."""
     from tessera.plans.knowledge import add_to_knowledge
     path = scratch_path(spark, "kb")
-    docs = FX.typed_docs(spark, sf_dir)
+    docs = spread_small(FX.typed_docs(spark, sf_dir))
     add_to_knowledge(docs, path, "kb", None, key_cols=("origin", "doc_id"))
     return store_scan(spark, path, "kb").select(
         "id", F.col("metadata")["origin"].alias("origin"),

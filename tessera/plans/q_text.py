@@ -8,6 +8,7 @@ from tessera.functions import text as X
 from tessera.operators.parse import parse, route
 from tessera.plans import sqlgen as G
 from tessera.plans.fixtures import TYPED_DOCS_SQL, typed_docs
+from tessera.operators.util import spread_small
 from tessera.plans.registry import register
 from tessera.sources.tables import table
 
@@ -69,7 +70,8 @@ SELECT page_id, {G.html_text('html')} AS text FROM pages
 """)
 def q_html_to_text(spark, sf_dir):
     """Visible body text of every page, native regex chain."""
-    return table(spark, sf_dir, "pages").select("page_id", X.html_to_text("html").alias("text"))
+    pages = spread_small(table(spark, sf_dir, "pages"))
+    return pages.select("page_id", X.html_to_text("html").alias("text"))
 
 
 @register("html_to_markdown", f"""
@@ -77,8 +79,8 @@ SELECT page_id, {G.html_markdown('html')} AS markdown FROM pages
 """)
 def q_html_to_markdown(spark, sf_dir):
     """Markdown rendering of every page."""
-    return table(spark, sf_dir, "pages").select("page_id",
-                                                X.html_to_markdown("html").alias("markdown"))
+    pages = spread_small(table(spark, sf_dir, "pages"))
+    return pages.select("page_id", X.html_to_markdown("html").alias("markdown"))
 
 
 @register("content_uuid", f"""
