@@ -28,19 +28,19 @@ def _docs(spark, sf_dir):
     return spread_small(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-@register("split_recursive")
+@register("split_recursive", G.split_sql("Recursive", 1000, 200))
 def q_split_recursive(spark, sf_dir):
     """Recursive split (paragraph, line, sentence, word, cut), 1000/200."""
     return split_documents(_docs(spark, sf_dir), "Recursive", 1000, 200)
 
 
-@register("split_paragraph")
+@register("split_paragraph", G.split_sql("ByParagraph", 1000, 200))
 def q_split_paragraph(spark, sf_dir):
     """G1: paragraph split (then sentence, word, cut), 1000/200."""
     return split_documents(_docs(spark, sf_dir), "ByParagraph", 1000, 200)
 
 
-@register("split_sentence")
+@register("split_sentence", G.split_sql("BySentence", 1000, 200))
 def q_split_sentence(spark, sf_dir):
     """Sentence split (then word, cut), 1000/200."""
     return split_documents(_docs(spark, sf_dir), "BySentence", 1000, 200)
