@@ -62,18 +62,20 @@ def coerce_output(text_col: str, type_col: str) -> dict[str, F.Column]:
 def extractive_answer_factory() -> CompleteFn:
     """Deterministic stand-in model used by tests and registered queries:
     answers with the first sentence of the last non-empty paragraph of the
-    prompt, wrapped in ``<summary>`` tags."""
+    prompt (ASCII whitespace rules), wrapped in ``<summary>`` tags."""
     import re
 
+    ws = " \t\n\r\f\v"
+
     def fn(prompts: list[str]) -> list[str | None]:
         out = []
         for p in prompts:
             if p is None:
                 out.append(None)
                 continue
-            paras = [x.strip() for x in re.split(r"\n\s*\n", p) if x.strip()]
+            paras = [x.strip(ws) for x in re.split(r"\n\s*\n", p, flags=re.ASCII) if x.strip(ws)]
             last = paras[-1] if paras else ""
-            first = re.split(r"(?<=[.!?])\s+", last, maxsplit=1)[0]
+            first = re.split(r"(?<=[.!?])\s+", last, maxsplit=1, flags=re.ASCII)[0]
             out.append(f"<analysis>extractive</analysis>\n<summary>\n{first}\n</summary>")
         return out
     return fn

@@ -299,7 +299,25 @@ def q_ingest_summary(spark, sf_dir):
     return ingest_summary(rows)
 
 
-@register("add_to_knowledge")
+_ADD_SQL = f"""
+WITH {FX.TYPED_DOCS_SQL},
+parsed AS (
+  SELECT origin || ':' || doc_id AS doc_id,
+         CASE WHEN lower(type) = 'markdown-to-text' THEN payload
+              WHEN lower(type) = 'html-to-text' AND {G.has_body('payload')} THEN {G.html_text('payload')} END AS text
+  FROM typed_docs),
+good AS (SELECT doc_id, text FROM parsed WHERE text IS NOT NULL),
+sp AS (SELECT * FROM ({G.split_sql("Recursive", 1000, 200, source="good")})),
+seg AS (SELECT split_part(doc_id, ':', 1) AS origin, split_part(doc_id, ':', 2)::BIGINT AS doc_num, index, text
+        FROM sp WHERE error_code IS NULL
+          AND len(list_filter(regexp_split_to_array(lower(text), '[^\p{{L}}\p{{N}}]+'), lambda x: length(x) > 0)) > 0),
+ids AS (SELECT {G.uuid3('text')} AS id, origin, doc_num, index, text FROM seg),
+firsts AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY origin, doc_num, index) AS rn FROM ids)
+SELECT id, origin, doc_num AS doc_id, index, length(text)::INTEGER AS n_chars FROM firsts WHERE rn = 1
+"""
+
+
+@register("add_to_knowledge", _ADD_SQL)
 def q_add_to_knowledge(spark, sf_dir):
     """M4: parse -> recursive split -> embed -> validate -> dedup -> store,
     then the stored rows are read back."""
@@ -378,7 +396,9 @@ def flagship(spark, sf_dir):
                        F.col("metadata")["index"].cast("int").alias("segment"), "text")
 
 
-@register("batch_complete")
+@register("batch_complete", f"""
+SELECT item_id, {G.extractive_answer("'Summarise:' || chr(10) || chr(10) || text")} AS answer FROM benchmark
+""")
 def q_batch_complete(spark, sf_dir):
     """M2: chat completion over a table of prompts (the benchmark passages)
     through the Arrow-batched hook, with the deterministic stand-in model."""
@@ -389,7 +409,17 @@ def q_batch_complete(spark, sf_dir):
     return complete(prompts.select("item_id", "prompt"), extractive_answer_factory).select("item_id", "answer")
 
 
-@register("rag_chat")
+@register("rag_chat", _RETRIEVAL_SQL + f"""
+, ctx AS (SELECT query_id, string_agg(d.text, chr(10) || chr(10) ORDER BY rank) AS context, count(*) AS n
+          FROM r JOIN documents d USING (doc_id) WHERE rank <= 5 GROUP BY query_id),
+pr AS (SELECT b.item_id AS query_id, coalesce(ctx.n, 0)::INTEGER AS n_matches,
+         'Answer the question using the knowledge below.' || chr(10) || chr(10) || 'Question: ' || b.text
+         || chr(10) || chr(10) || 'Knowledge:' || chr(10) || coalesce(ctx.context, '') AS prompt
+       FROM benchmark b LEFT JOIN ctx ON ctx.query_id = b.item_id)
+SELECT query_id, n_matches, {G.extractive_answer('prompt')} AS answer, {G.extractive_answer('prompt')} AS str_value,
+       NULL::VARCHAR AS error_code
+FROM pr
+""")
 def q_rag_chat(spark, sf_dir):
     """M6: each benchmark passage as a question: retrieve from the document
     store, render the prompt with the knowledge, complete, coerce."""

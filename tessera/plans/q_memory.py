@@ -9,6 +9,7 @@ from tessera.functions.text import summary_extract
 from tessera.operators import memory as M
 from tessera.operators.infer import extractive_answer_factory
 from tessera.plans import fixtures as FX
+from tessera.plans import sqlgen as G
 from tessera.plans.registry import register
 from tessera.sources import memory_store as MS
 from tessera.sources.tables import table
@@ -172,7 +173,24 @@ def q_memory_rebuild(spark, sf_dir):
     return M.rebuild_with_summary(sys_msgs, tr)
 
 
-@register("memory_summarize")
+@register("memory_summarize", f"""
+WITH {FX.MESSAGES_SQL},
+ov AS (SELECT session_id FROM messages GROUP BY session_id HAVING count(*) >= {OVERFLOW_LIMIT} AND count(*) > 2),
+msgs AS (SELECT * FROM messages WHERE session_id IN (SELECT session_id FROM ov)),
+r AS (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY seq DESC) AS rn FROM msgs),
+w AS (SELECT * FROM r WHERE rn <= {WINDOW_N}),
+l AS (SELECT session_id, seq, CASE WHEN type = 'USER' THEN 'User: ' || coalesce(text, '') || chr(10)
+                                   WHEN type = 'AI' AND text IS NOT NULL THEN 'Assistant: ' || text || chr(10) END AS line
+      FROM w WHERE type <> 'SYSTEM'),
+t AS (SELECT session_id, string_agg(line, '' ORDER BY seq) AS transcript FROM l WHERE line IS NOT NULL GROUP BY session_id),
+a AS (SELECT session_id, {G.extractive_answer(G.q(M.SUMMARY_PROMPT) + ' || transcript')} AS answer FROM t),
+s AS (SELECT session_id, {G.summary_of('answer')} AS summary FROM a),
+ok AS (SELECT * FROM s WHERE length(summary) > 0),
+sys AS (SELECT session_id, arg_min(text, seq) AS text FROM msgs WHERE type = 'SYSTEM' GROUP BY session_id)
+SELECT session_id, 0::BIGINT AS seq, 'SYSTEM' AS type, text FROM sys WHERE session_id IN (SELECT session_id FROM ok)
+UNION ALL SELECT session_id, 1::BIGINT, 'USER', {G.q(M.SUMMARY_PREFIX)} || summary FROM ok
+UNION ALL SELECT session_id, seq, type, text FROM w WHERE session_id NOT IN (SELECT session_id FROM ok)
+""")
 def q_memory_summarize(spark, sf_dir):
     """M3/M7: overflowing sessions (>= 6 messages) summarised by the batch
     completion hook (deterministic extractive stand-in) and rebuilt."""

@@ -129,3 +129,19 @@ def split_sql(strategy: str, mx: int, ov: int, source: str = "documents") -> str
             "SELECT doc_id, index, text, NULL::VARCHAR AS error_code FROM out\n"
             f"UNION ALL SELECT doc_id, NULL::INTEGER, NULL::VARCHAR, '701152' FROM {source} "
             "WHERE doc_id NOT IN (SELECT doc_id FROM out)")
+
+
+def extractive_answer(expr: str) -> str:
+    """SQL twin of ``operators.infer.extractive_answer_factory``."""
+    paras = (f"list_filter(list_transform(regexp_split_to_array({expr}, {q(chr(10) + r'\s*' + chr(10))}), "
+             f"lambda x: {jtrim('x')}), lambda x: length(x) > 0)")
+    last = f"coalesce(({paras})[-1], '')"
+    first = f"string_split(regexp_replace({last}, {q(r'([.!?])\s+')}, '\\1' || chr(1), 'g'), chr(1))[1]"
+    return (f"'<analysis>extractive</analysis>' || chr(10) || '<summary>' || chr(10) || {first} "
+            f"|| chr(10) || '</summary>'")
+
+
+def summary_of(expr: str) -> str:
+    pat = q(r"(?s)<summary>\s*(.+?)\s*</summary>")
+    return (f"CASE WHEN {expr} IS NULL OR length({expr}) = 0 THEN '' "
+            f"WHEN regexp_matches({expr}, {pat}) THEN regexp_extract({expr}, {pat}, 1) ELSE {jtrim(expr)} END")
