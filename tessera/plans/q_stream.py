@@ -104,3 +104,15 @@ def q_stream_questions(spark, sf_dir):
     hits = spark.read.parquet(out)
     return hits.select("query_id", "rank", F.col("metadata")["doc_id"].cast("bigint").alias("doc_id"),
                        F.round("score", 3).alias("score"))
+
+
+@register("stream_memory_summarize")
+def q_stream_memory_summarize(spark, sf_dir):
+    """Turns streamed per session; at 6 messages the memory is replaced
+    by system message + summary (deterministic stand-in model) and the
+    conversation continues.  Returns each session's final memory."""
+    from tessera.operators.infer import extractive_answer_factory
+    from tessera.streaming.summaries import summarizing_memory
+    msgs = FX.messages(spark, sf_dir, _stream(spark, sf_dir, "conversations"))
+    out = run_available_now(summarizing_memory(msgs, 6, extractive_answer_factory), name="summaries")
+    return latest_windows(spark.read.parquet(out)).select("session_id", "seq", "type", "text", "pos")

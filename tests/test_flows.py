@@ -90,3 +90,31 @@ def test_stream_window_multi_batch_equals_batch(spark):
     got = {(r.session_id, r.seq, r.pos) for r in latest_windows(spark.read.parquet(out)).collect()}
     want = {(r.session_id, r.seq, r.pos) for r in M.last_n(messages(spark, SF_SMALL), 3).collect()}
     assert got == want
+
+
+def test_stream_summaries_equal_sequential_fold(spark):
+    from tessera.operators.infer import extractive_answer_factory
+    from tessera.plans.fixtures import messages
+    from tessera.streaming.runner import run_available_now
+    from tessera.streaming.sessions import latest_windows
+    from tessera.streaming.summaries import fold, summarizing_memory
+    conv = spark.read.parquet(f"{SF_SMALL}/conversations.parquet")
+    src = scratch_path(spark, "t-sum")
+    for part, cond in enumerate(["turn < 3", "turn >= 3"]):
+        conv.where(cond).write.parquet(f"{src}/p{part}")
+    stream = (spark.readStream.schema(conv.schema).option("maxFilesPerTrigger", "1")
+              .option("recursiveFileLookup", "true").parquet(src))
+    out = run_available_now(summarizing_memory(messages(spark, SF_SMALL, stream), 4, extractive_answer_factory),
+                            name="t-sum")
+    got = {(r.session_id, r.pos, r.seq, r.type, r.text) for r in latest_windows(spark.read.parquet(out)).collect()}
+    fn = extractive_answer_factory()
+    want = set()
+    by_session = {}
+    for r in messages(spark, SF_SMALL).orderBy("session_id", "seq").collect():
+        by_session.setdefault(r.session_id, []).append([r.seq, r.type, r.text])
+    for sid, msgs in by_session.items():
+        mem = []
+        for m in msgs:
+            mem = fold(mem, m, 4, fn)
+        want |= {(sid, i, m[0], m[1], m[2]) for i, m in enumerate(mem)}
+    assert got == want
