@@ -5,7 +5,7 @@ deterministic baseline, not a semantic model: tokens are lower-cased runs of
 letters/digits, bucket = first 32 bits of md5(token) mod ``dim``, the vector
 is the L2-normalised bucket-count histogram.  Tokenising and hashing run in
 the JVM; only the histogram is built in an Arrow-batched pandas UDF (one
-vectorised ``np.add.at`` per batch, no per-token Python).
+vectorised ``np.bincount`` per batch, no per-token Python).
 """
 
 from __future__ import annotations
@@ -37,12 +37,13 @@ def _histogram_udf(dim: int):
     def histogram(buckets: pd.Series) -> pd.Series:
         n = len(buckets)
         lens = np.fromiter((0 if b is None else len(b) for b in buckets), dtype=np.int64, count=n)
-        counts = np.zeros((n, dim), dtype=np.float64)
         if lens.sum() > 0:
             flat = np.concatenate([np.asarray(b, dtype=np.int64) for b in buckets
                                    if b is not None and len(b) > 0])
-            rows = np.repeat(np.arange(n), lens)
-            np.add.at(counts, (rows, flat), 1.0)
+            cells = np.repeat(np.arange(n, dtype=np.int64) * dim, lens) + flat
+            counts = np.bincount(cells, minlength=n * dim).reshape(n, dim).astype(np.float64)
+        else:
+            counts = np.zeros((n, dim), dtype=np.float64)
         norms = np.linalg.norm(counts, axis=1, keepdims=True)
         with np.errstate(invalid="ignore", divide="ignore"):
             unit = np.where(norms > 0, counts / norms, 0.0).astype(np.float32)

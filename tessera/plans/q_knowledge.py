@@ -310,7 +310,7 @@ good AS (SELECT doc_id, text FROM parsed WHERE text IS NOT NULL),
 sp AS (SELECT * FROM ({G.split_sql("Recursive", 1000, 200, source="good")})),
 seg AS (SELECT split_part(doc_id, ':', 1) AS origin, split_part(doc_id, ':', 2)::BIGINT AS doc_num, index, text
         FROM sp WHERE error_code IS NULL
-          AND len(list_filter(regexp_split_to_array(lower(text), '[^\p{{L}}\p{{N}}]+'), lambda x: length(x) > 0)) > 0),
+          AND len(list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+'), lambda x: length(x) > 0)) > 0),
 ids AS (SELECT {G.uuid3('text')} AS id, origin, doc_num, index, text FROM seg),
 firsts AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY origin, doc_num, index) AS rn FROM ids)
 SELECT id, origin, doc_num AS doc_id, index, length(text)::INTEGER AS n_chars FROM firsts WHERE rn = 1
