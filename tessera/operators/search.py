@@ -96,44 +96,105 @@ def _score_groups(s: DataFrame, q: DataFrame, keys: list[str], k: int, min_score
             .applyInPandas(score_block, out_schema))
 
 
+def _reduce_topk(q: np.ndarray, i: np.ndarray, sc: np.ndarray, k: int):
+    """Keep the first ``k`` (score desc, id asc) candidates of every query."""
+    if len(q) == 0:
+        return q, i, sc
+    order = np.lexsort((i, -sc, q))
+    q, i, sc = q[order], i[order], sc[order]
+    first = np.r_[True, q[1:] != q[:-1]]
+    starts = np.maximum.accumulate(np.where(first, np.arange(len(q)), 0))
+    keep = (np.arange(len(q)) - starts) < k
+    return q[keep], i[keep], sc[keep]
+
+
+def _broadcast_scores(s: DataFrame, queries_pdf: pd.DataFrame, k: int, min_score: float,
+                      qid_type: T.DataType, id_type: T.DataType) -> DataFrame:
+    """Score every store partition against a broadcast query matrix; each
+    partition keeps a running top-k across its Arrow batches, so it emits at
+    most ``k`` rows per query."""
+    spark = s.sparkSession
+    qids = queries_pdf["_qid"].to_numpy()
+    bc = spark.sparkContext.broadcast((qids, _matrix(queries_pdf["_qv"])))
+    out_schema = T.StructType([T.StructField("_qid", qid_type), T.StructField("_id", id_type),
+                               T.StructField("score", T.DoubleType())])
+
+    def run(batches):
+        bq, bmat = bc.value
+        acc_q, acc_i, acc_s = None, None, None
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            q, i, sc = _local_topk(pdf["_id"].to_numpy(), _matrix(pdf["_v"]), bq, bmat, k, min_score)
+            if acc_q is None:
+                acc_q, acc_i, acc_s = q, i, sc
+            else:
+                acc_q, acc_i, acc_s = _reduce_topk(np.concatenate([acc_q, q]), np.concatenate([acc_i, i]),
+                                                   np.concatenate([acc_s, sc]), k)
+        if acc_q is not None and len(acc_q):
+            yield pd.DataFrame({"_qid": acc_q, "_id": acc_i, "score": acc_s})
+
+    return s.select("_id", "_v").mapInPandas(run, out_schema)
+
+
+# Largest query matrix (rows x dim x 8 bytes) shipped to every executor.
+BROADCAST_QUERY_BYTES = 512 * 1024 * 1024
+
+
 def vector_topk(store: DataFrame, queries: DataFrame, k: int, min_score: float = 0.0, *,
                 id_col: str = "id", vec_col: str = "embedding",
                 query_id_col: str = "query_id", query_vec_col: str = "embedding",
                 store_blocks: int | None = None, query_blocks: int | None = None,
-                dim: int | None = None) -> DataFrame:
+                dim: int | None = None, strategy: str | None = None) -> DataFrame:
     """Exact top-``k`` store rows per query by cosine relevance ``(1+cos)/2``.
 
     ``min_score`` is applied before ranking.  Result columns:
     ``query_id, id, score, rank`` (names taken from the arguments).
 
-    ``store_blocks`` defaults to the store's partition count (at least the
-    default parallelism): a scan's partitions are bounded by the file split
-    size and a shuffle's by AQE's advisory size, so each block stays within
-    one partition's worth of vectors without running a job on the store.
-    ``query_blocks`` defaults to a size derived from one ``count`` of the
-    query side (the smaller side in retrieval).
+    Two physical strategies, chosen after one ``count`` of the query side:
+
+    * *broadcast* (``rows * dim * 8 <= BROADCAST_QUERY_BYTES``): the query
+      matrix is broadcast once per executor and every store partition is
+      scored where it lies, keeping a running top-k; the store is never
+      shuffled or replicated.
+    * *blocked* (larger query sets): store rows are hashed into
+      ``store_blocks`` and queries into ``query_blocks``; every (store block,
+      query block) cell is one cogroup group, so a task holds one block of
+      each side.  ``store_blocks`` defaults to the store's partition count
+      (bounded by split / AQE partition sizes).
+
+    Either way only local top-k rows reach the final windowed ranking.
+    ``strategy`` forces one of ``"broadcast"`` / ``"blocked"``.
     """
     spark = store.sparkSession
     par = spark.sparkContext.defaultParallelism
     if dim is None:
         dim = 1536
-    if store_blocks is None:
-        store_blocks = max(par, store.rdd.getNumPartitions())
-    if query_blocks is None:
-        query_blocks = _blocks(queries.count(), dim, 1)
-
     id_type = store.schema[id_col].dataType
     qid_type = queries.schema[query_id_col].dataType
     s = (store.select(F.col(id_col).alias("_id"), F.col(vec_col).alias("_v"))
-         .where(F.col("_v").isNotNull() & (F.size("_v") > 0))
-         .withColumn("_sb", F.pmod(F.xxhash64("_id"), F.lit(store_blocks)).cast("int"))
-         .withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)))))
+         .where(F.col("_v").isNotNull() & (F.size("_v") > 0)))
     q = (queries.select(F.col(query_id_col).alias("_qid"), F.col(query_vec_col).alias("_qv"))
-         .where(F.col("_qv").isNotNull() & (F.size("_qv") > 0))
-         .withColumn("_qb", F.pmod(F.xxhash64("_qid"), F.lit(query_blocks)).cast("int"))
-         .withColumn("_sb", F.explode(F.sequence(F.lit(0), F.lit(store_blocks - 1)))))
-
-    partial = _score_groups(s, q, ["_sb", "_qb"], k, min_score, qid_type, id_type)
+         .where(F.col("_qv").isNotNull() & (F.size("_qv") > 0)))
+    limit_rows = max(1, BROADCAST_QUERY_BYTES // max(1, dim * 8))
+    if strategy is None and query_blocks is None and store_blocks is None:
+        n_q = q.limit(limit_rows + 1).count()
+        strategy = "broadcast" if n_q <= limit_rows else "blocked"
+    if strategy == "broadcast":
+        qpdf = q.limit(limit_rows + 1).toPandas()
+        if len(qpdf) > limit_rows:
+            raise ValueError("query side exceeds the broadcast bound; use strategy='blocked'")
+        partial = _broadcast_scores(s, qpdf, k, min_score, qid_type, id_type)
+    else:
+        if store_blocks is None:
+            store_blocks = max(par, store.rdd.getNumPartitions())
+        if query_blocks is None:
+            query_blocks = _blocks(q.count(), dim, 1)
+        sb = (s.withColumn("_sb", F.pmod(F.xxhash64("_id"), F.lit(store_blocks)).cast("int"))
+              .withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)))))
+        qb = (q.withColumn("_qb", F.pmod(F.xxhash64("_qid"), F.lit(query_blocks)).cast("int"))
+              .withColumn("_sb", F.explode(F.sequence(F.lit(0), F.lit(store_blocks - 1)))))
+        partial = _score_groups(sb, qb, ["_sb", "_qb"], k, min_score, qid_type, id_type)
     w = Window.partitionBy("_qid").orderBy(F.col("score").desc(), F.col("_id").asc())
     return (partial.withColumn("rank", F.row_number().over(w))
             .where(F.col("rank") <= k)

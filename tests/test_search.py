@@ -28,14 +28,16 @@ def _brute(store, queries, k, min_score):
     return out
 
 
-@pytest.mark.parametrize("parts,blocks", [(1, None), (7, None), (3, 5)])
-def test_exact_topk_equals_brute_force(spark, parts, blocks):
+@pytest.mark.parametrize("parts,blocks,strategy", [(1, None, None), (7, None, "broadcast"),
+                                                    (7, None, "blocked"), (3, 5, "blocked")])
+def test_exact_topk_equals_brute_force(spark, parts, blocks, strategy):
     rng = np.random.default_rng(3)
     store, queries = rng.standard_normal((300, 16)), rng.standard_normal((40, 16))
     store[7] = store[8]  # exact tie: broken by id
     s, q = _frames(spark, store, queries, parts)
     got = {(r.query_id, r.id, r.rank) for r in
-           vector_topk(s, q, 4, 0.55, dim=16, store_blocks=blocks, query_blocks=blocks).collect()}
+           vector_topk(s, q, 4, 0.55, dim=16, store_blocks=blocks, query_blocks=blocks,
+                       strategy=strategy).collect()}
     assert got == _brute(store, queries, 4, 0.55)
 
 
@@ -61,6 +63,7 @@ def test_lsh_recall_on_planted_neighbours(spark):
 def test_exact_plan_pairs_nothing_in_spark(spark):
     rng = np.random.default_rng(1)
     s, q = _frames(spark, rng.standard_normal((20, 4)), rng.standard_normal((3, 4)))
-    plan = vector_topk(s, q, 2, 0.0, dim=4)._jdf.queryExecution().executedPlan().toString()
-    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-    assert "FlatMapCoGroupsInPandas" in plan
+    for strategy, node in (("broadcast", "MapInPandas"), ("blocked", "FlatMapCoGroupsInPandas")):
+        plan = vector_topk(s, q, 2, 0.0, dim=4, strategy=strategy)._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+        assert node in plan
