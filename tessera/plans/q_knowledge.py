@@ -16,6 +16,7 @@ from tessera.plans.knowledge import (DEFAULT_DIM, get_from_knowledge, ingest_sum
                                      knowledge_rows, rag_context)
 from tessera.operators.util import spread_small
 from tessera.plans.registry import register
+from tessera.session import cut_lineage
 from tessera.sources.tables import table
 from tessera.sources.vector_store import (load_snapshot, save_snapshot, scratch_path,
                                           store_append, store_scan)
@@ -353,7 +354,9 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id
 
 def _kb_hits(spark, sf_dir):
     rows = knowledge_rows(_docs(spark, sf_dir), parse_docs=False, split=False)
-    kept = rows.where(F.col("status") == "written")
+    # the store is materialised once (reliable checkpoint in the shared
+    # folder), as an ingest would have written it, and then searched
+    kept = cut_lineage(rows.where(F.col("status") == "written").select("id", "embedding", "text", "metadata"))
     questions = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
     hits = get_from_knowledge(kept, questions, RAG_K, RAG_MIN_SCORE)
     return questions, hits
@@ -426,7 +429,7 @@ def q_rag_chat(spark, sf_dir):
     from tessera.operators.infer import extractive_answer_factory
     from tessera.plans.knowledge import rag_chat
     rows = knowledge_rows(_docs(spark, sf_dir), parse_docs=False, split=False)
-    store = rows.where(F.col("status") == "written").select("id", "embedding", "text", "metadata")
+    store = cut_lineage(rows.where(F.col("status") == "written").select("id", "embedding", "text", "metadata"))
     qs = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"),
                                                   F.col("text").alias("question"))
     return rag_chat(qs, store, extractive_answer_factory, k=RAG_K, min_score=RAG_MIN_SCORE).select(
@@ -467,3 +470,13 @@ def q_quarantine_codes(spark, sf_dir):
                                                 VAL.segment_error(F.col("seg.text")).alias("error_code"))
     return (p.unionByName(e).unionByName(s).where(F.col("error_code").isNotNull())
             .groupBy("stage", "error_code").agg(F.count(F.lit(1)).alias("n")))
+
+
+@register("validate_knowledge", _EMBEDDINGS_DECODED_SQL + """
+SELECT req_id, pos, CASE WHEN embedding IS NULL OR text IS NULL THEN '701171' END AS error_code FROM x
+""")
+def q_validate_knowledge(spark, sf_dir):
+    """knowledge items handed to chat need an embedding and the embedded
+    text (701171); the decoded embedding requests serve as knowledge items."""
+    return _embeddings_decoded(spark, sf_dir).select(
+        "req_id", "pos", VAL.knowledge_error(F.col("e.embedding"), F.col("e.text")).alias("error_code"))

@@ -11,6 +11,7 @@ from tessera.plans.q_knowledge import _RETRIEVAL_SQL, RAG_K, RAG_MIN_SCORE
 from tessera.plans.q_memory import WINDOW_N
 from tessera.plans.q_tools import TIMEOUT_SECONDS
 from tessera.plans.registry import register
+from tessera.session import cut_lineage
 from tessera.sources.tables import table
 from tessera.sources.vector_store import scratch_path, store_scan
 from tessera.streaming.ingest import ingest_stream
@@ -98,7 +99,7 @@ def q_stream_questions(spark, sf_dir):
     static de-duplicated document store (top 5, relevance >= 0.75)."""
     rows = knowledge_rows(table(spark, sf_dir, "documents").select("doc_id", "text"),
                           parse_docs=False, split=False)
-    store = rows.where(F.col("status") == "written").select("id", "embedding", "text", "metadata")
+    store = cut_lineage(rows.where(F.col("status") == "written").select("id", "embedding", "text", "metadata"))
     questions = _stream(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
     out = answer_stream(questions, store, scratch_path(spark, "answers"), k=RAG_K, min_score=RAG_MIN_SCORE)
     hits = spark.read.parquet(out)

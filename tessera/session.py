@@ -54,9 +54,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder.
+    """Materialise ``df`` as a parquet table in a fresh folder under the shared
+    checkpoint directory and read it back.
 
-    Survives executor loss (unlike a local checkpoint) and bounds the plan of
-    iterative jobs."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    Like a reliable checkpoint it survives executor loss and cuts the plan,
+    but the frame is computed exactly once (an RDD checkpoint runs the
+    lineage a second time to write its files) and the copy is columnar, so
+    later scans prune columns and push filters."""
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tessera-table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
