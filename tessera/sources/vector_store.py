@@ -68,14 +68,21 @@ def store_scan(spark: SparkSession, path: str, store: str | None = None,
     return df
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check through the Hadoop FileSystem of the path (works for
+    any scheme the cluster is configured for)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(hpath))
+
+
 def store_ids(spark: SparkSession, path: str | None, store: str | None = None,
               namespace: str | None = None) -> DataFrame | None:
-    if path is None:
-        return None
-    try:
-        return store_scan(spark, path, store, namespace).select("id")
-    except Exception:  # noqa: BLE001 - an absent store has no ids yet
+    """Ids already in the store (``None`` when the store does not exist yet)."""
+    if path is None or not path_exists(spark, path):
         return None
+    return store_scan(spark, path, store, namespace).select("id")
 
 
 def save_snapshot(df: DataFrame, path: str) -> None:
