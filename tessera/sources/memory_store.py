@@ -57,23 +57,29 @@ def delete_sessions_in_place(spark: SparkSession, path: str, sessions: DataFrame
     kept.write.mode("overwrite").partitionBy("bucket").parquet(out_path)
 
 
-def save_sessions_json(messages: DataFrame, path: str) -> None:
-    """One JSON object per session and line: ``{session_id, messages:[...]}``.
+# Messages per JSON object at most (a session spans several lines when longer).
+JSON_CHUNK = 1000
+
+
+def save_sessions_json(messages: DataFrame, path: str, chunk: int = JSON_CHUNK) -> None:
+    """JSON lines ``{session_id, chunk, messages:[...]}``: a session's messages
+    in ``seq`` order, split into objects of at most ``chunk`` consecutive
+    ``seq`` values, so no group (and no line) grows with the session.
 
     Text-only messages are written in the legacy shape (``text`` without
-    ``contents``).  Callers bound the group first (e.g. ``last_n``) when a
-    session can be large."""
+    ``contents``)."""
     msg = F.struct(F.col("seq"), F.col("type"), F.col("text"), F.col("tool_requests"),
                    F.col("tool_result_id"))
-    (messages.groupBy("session_id")
+    (messages.withColumn("chunk", F.floor(F.col("seq") / chunk).cast("bigint"))
+     .groupBy("session_id", "chunk")
      .agg(F.array_sort(F.collect_list(msg)).alias("messages"))
      .write.mode("overwrite").json(path))
 
 
 def load_sessions_json(spark: SparkSession, path: str) -> DataFrame:
-    """Explode the per-session JSON back to rows; legacy messages get their
-    text lifted into one TEXT content part."""
-    raw = spark.read.schema(f"session_id string, messages array<{JSON_MESSAGE}>").json(path)
+    """Explode the session JSON lines back to rows (any number of lines per
+    session); legacy messages get their text lifted into one TEXT part."""
+    raw = spark.read.schema(f"session_id string, chunk bigint, messages array<{JSON_MESSAGE}>").json(path)
     rows = raw.select("session_id", F.explode("messages").alias("m")).select("session_id", "m.*")
     lifted = F.when(F.col("contents").isNull() & F.col("text").isNotNull(), F.array(F.struct(
         F.lit("TEXT").alias("type"), F.col("text").alias("text"), F.lit(None).cast("string").alias("mime"),
