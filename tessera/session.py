@@ -43,9 +43,15 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's shared ``spark.checkpoint.dir``; only when it is unset
     (local tests) fall back to a fresh scratch folder."""
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    current = (spark.conf.get("spark.checkpoint.dir", None)
+               or sc.getConf().get("spark.checkpoint.dir", None)
+               or sc.getCheckpointDir())
     if current:
-        spark.sparkContext.setCheckpointDir(current)
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(current)
+        if spark.conf.get("spark.checkpoint.dir", None) is None:
+            spark.conf.set("spark.checkpoint.dir", current)
         return current
     path = tempfile.mkdtemp(prefix="tessera-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
