@@ -269,3 +269,19 @@ def vector_topk_approx(store: DataFrame, queries: DataFrame, k: int, min_score:
             .where(F.col("rank") <= k)
             .select(F.col("_qid").alias(query_id_col), F.col("_id").alias(id_col),
                     "score", F.col("rank").cast("int").alias("rank")))
+
+
+def search_one(store: DataFrame, query_vector: list[float], k: int, min_score: float = 0.0, *,
+               id_col: str = "id", vec_col: str = "embedding") -> DataFrame:
+    """Top-``k`` for a single query vector given on the driver (one request):
+    a native dot-product filter + ``orderBy(...).limit(k)``, which plans as a
+    distributed ``TakeOrderedAndProject`` (per-partition top-k, no full sort).
+    """
+    from tessera.functions.vector import dot, l2_norm
+
+    q = F.array(*[F.lit(float(x)) for x in query_vector])
+    qn = float(np.linalg.norm(np.asarray(query_vector, dtype=np.float64)))
+    score = F.round((F.lit(1.0) + dot(vec_col, q) / (l2_norm(vec_col) * F.lit(qn))) / F.lit(2.0), 6)
+    return (store.select(F.col(id_col).alias(id_col), score.alias("score"))
+            .where(F.col("score") >= min_score)
+            .orderBy(F.col("score").desc(), F.col(id_col).asc()).limit(k))

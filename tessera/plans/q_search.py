@@ -84,3 +84,19 @@ def q_vector_topk_approx(spark, sf_dir):
     store = emb.select(F.col("vec_id").alias("id"), "embedding")
     queries = emb.select(F.col("vec_id").alias("query_id"), "embedding")
     return vector_topk_approx(store, queries, TOPK_K, TOPK_MIN_SCORE, dim=EMB_DIM)
+
+
+@register("vector_search_one", """
+WITH q AS (SELECT embedding::DOUBLE[] AS e FROM embeddings ORDER BY vec_id LIMIT 1),
+s AS (SELECT vec_id AS id, round((1 + list_dot_product(embeddings.embedding::DOUBLE[], q.e)
+          / (sqrt(list_dot_product(embeddings.embedding::DOUBLE[], embeddings.embedding::DOUBLE[]))
+             * sqrt(list_dot_product(q.e, q.e)))) / 2, 6) AS score FROM embeddings, q)
+SELECT id, score FROM s WHERE score >= 0.6 ORDER BY score DESC, id LIMIT 5
+""")
+def q_vector_search_one(spark, sf_dir):
+    """W1 (one request): the first stored vector searched against the whole
+    store with orderBy + limit (TakeOrderedAndProject)."""
+    from tessera.operators.search import search_one
+    emb = table(spark, sf_dir, "embeddings")
+    first = emb.orderBy("vec_id").select("embedding").limit(1).collect()[0]["embedding"]
+    return search_one(emb.select(F.col("vec_id").alias("id"), "embedding"), first, TOPK_K, TOPK_MIN_SCORE)

@@ -118,3 +118,14 @@ def test_stream_summaries_equal_sequential_fold(spark):
             mem = fold(mem, m, 4, fn)
         want |= {(sid, i, m[0], m[1], m[2]) for i, m in enumerate(mem)}
     assert got == want
+
+
+def test_memory_append_stamps_write_time(spark):
+    from tessera.plans.fixtures import messages
+    from tessera.sources import memory_store as MS
+    path = scratch_path(spark, "t-mem")
+    MS.append_messages(messages(spark, SF_SMALL), path, stamp=True)
+    back = MS.read_messages(spark, path)
+    assert back.where(F.col("ts").isNull()).count() == 0
+    assert back.count() == messages(spark, SF_SMALL).count()
+    assert back.select("bucket").distinct().count() > 1

@@ -41,3 +41,28 @@ def test_dedup_is_a_partial_aggregate(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
     plan = _plan(dedup_segments(prepare_segments(docs, parse_docs=False, split=False)))
     assert plan.count("SortAggregate") + plan.count("HashAggregate") + plan.count("ObjectHashAggregate") >= 2
+
+
+def test_single_query_search_is_take_ordered(spark):
+    from tessera.operators.search import search_one
+    emb = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").select(F.col("vec_id").alias("id"), "embedding")
+    plan = _plan(search_one(emb, [0.1] * 64, 5))
+    assert "TakeOrderedAndProject" in plan
+
+
+def test_results_do_not_depend_on_shuffle_partitions(spark):
+    import __spark_entry__ as se
+    from tests.oracle import digest
+    names = ["memory_window", "ingest_summary", "tool_results_join", "memory_sanitize", "transcript"]
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        seen = {}
+        for n in (1, 7, 64):
+            spark.conf.set("spark.sql.shuffle.partitions", str(n))
+            for name in names:
+                df = se.queries()[name](spark, SF_SMALL)
+                h, _ = digest(df.columns, [tuple(r) for r in df.collect()])
+                seen.setdefault(name, set()).add(h)
+        assert all(len(v) == 1 for v in seen.values()), seen
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
