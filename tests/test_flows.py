@@ -129,3 +129,28 @@ def test_memory_append_stamps_write_time(spark):
     assert back.where(F.col("ts").isNull()).count() == 0
     assert back.count() == messages(spark, SF_SMALL).count()
     assert back.select("bucket").distinct().count() > 1
+
+
+def test_late_result_after_watermark_is_ignored(spark):
+    """T5: a result that arrives after the watermark passed its call's
+    time-out is dropped; the call is emitted as unmatched."""
+    import datetime as dt
+
+    from tessera.plans.fixtures import tool_calls, tool_results
+    from tessera.streaming.runner import run_available_now
+    from tessera.streaming.tool_calls import stream_match
+    schema = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
+    t0 = dt.datetime(2024, 1, 1, 0, 0, 0)
+    src = scratch_path(spark, "t-late")
+    first = [(1, t0, 7, "click", 1.0, '{"k": 3}'),
+             (2, t0 + dt.timedelta(days=2), 99, "click", 1.0, '{"k": 1}'),
+             (3, t0 + dt.timedelta(days=2), 99, "purchase", 50.0, '{"k": 2}')]
+    late = [(4, t0 + dt.timedelta(seconds=5), 7, "purchase", 50.0, '{"k": 3}')]
+    spark.createDataFrame(first, schema).write.parquet(f"{src}/p0")
+    spark.createDataFrame(late, schema).write.parquet(f"{src}/p1")
+    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", "1")
+              .option("recursiveFileLookup", "true").parquet(src))
+    out = run_available_now(stream_match(tool_calls(spark, "", stream), tool_results(spark, "", stream), 10, 60),
+                            name="t-late")
+    rows = {(r.session_id, r.result_seq) for r in spark.read.parquet(out).collect()}
+    assert ("7", None) in rows and ("7", 4) not in rows
