@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.text import summary_extract
+from tessera.operators.util import previous_value
 
 DEFAULT_SYSTEM_PROMPT = "You are a helpful assistant."
 TOOL_REQUEST_TEXT = "Tool Execution Request"
@@ -25,6 +26,9 @@ SUMMARY_PREFIX = ("This session is being continued from a previous conversation
 SUMMARY_PROMPT = ("Summarise the conversation below so that it can be continued without it. "
                   "Reply with <summary>...</summary>.\n\n")
 
+# Consecutive seq values processed together by the skew-safe windows.
+SEQ_BUCKET = 4096
+
 ROLE_TO_TYPE = {"system": "SYSTEM", "user": "USER", "assistant": "AI", "tool": "TOOL"}
 
 
@@ -81,8 +85,10 @@ def sanitize_tool_messages(messages: DataFrame, strict: bool = False, *,
     ress = m.where(F.col("type") == "TOOL").select(
         session_col, "seq", F.col("tool_result_id").alias("tid"), F.lit(1).alias("kind"))
     ev = reqs.unionByName(ress)
-    w = Window.partitionBy(session_col, "tid").orderBy("seq", "kind")
-    ev = ev.withColumn("_prev", F.lag("kind").over(w))
+    # lag(kind) per (session, id), split by seq range so one busy session /
+    # id does not land in one task
+    ev = previous_value(ev, [session_col, "tid"], ["seq", "kind"], "kind",
+                        F.floor(F.col("seq") / SEQ_BUCKET).cast("bigint"), "_prev")
     kept_results = ev.where((F.col("kind") == 1) & (F.col("_prev") == 0)).select(
         session_col, "seq", "tid")
     answered = kept_results.select(session_col, "tid").distinct().withColumn("_ans", F.lit(True))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tessera import errors as E
 from tessera.functions.text import is_blank, normalize_tool_name
-from tessera.operators.util import broadcast_if_small
+from tessera.operators.util import broadcast_if_small, ranked
 
 # Texts of the original agent.
 TOOL_EXECUTION_FAILED = "Tool execution failed"
@@ -91,12 +91,18 @@ def flag_hallucinated(calls: DataFrame, catalog: DataFrame) -> DataFrame:
             .withColumn("hallucination", F.when(~F.col("known"), F.lit(HALLUCINATED_TOOL))))
 
 
+# Width of the time buckets used to split a busy request when numbering calls.
+CALL_BUCKET_SECONDS = 3600
+
+
 def cap_calls(calls: DataFrame, cap: int = MAX_TOOL_EXECUTIONS, *,
               request_cols: tuple[str, ...] = ("session_id",)) -> DataFrame:
     """Number the known calls of each request by time; calls beyond ``cap``
-    get ``error_code`` 701191.  Unknown tools do not count."""
-    w = Window.partitionBy(*request_cols).orderBy("ts", "seq")
-    known = calls.where(F.col("known")).withColumn("call_no", F.row_number().over(w))
+    get ``error_code`` 701191.  Unknown tools do not count.  Numbering is
+    split by hour (``ranked``), so one request with a huge log does not land
+    in a single task."""
+    hour = F.floor(F.unix_micros(F.col("ts")) / F.lit(CALL_BUCKET_SECONDS * 1_000_000)).cast("bigint")
+    known = ranked(calls.where(F.col("known")), list(request_cols), ["ts", "seq"], hour, "call_no")
     unknown = calls.where(~F.col("known")).withColumn("call_no", F.lit(None).cast("int"))
     return (known.unionByName(unknown)
             .withColumn("error_code", F.when(F.col("call_no") > cap, F.lit(E.TOO_MANY_TOOL_CALLS))))

@@ -36,3 +36,48 @@ def spread_small(df: DataFrame, max_rows: int = SMALL_INPUT_ROWS, per_core: int
         return df
     par = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(par * per_core)
+
+
+def ranked(df: DataFrame, keys: list[str], order_cols: list[str], bucket: F.Column,
+           out_col: str = "rn") -> DataFrame:
+    """``row_number()`` over ``keys`` ordered by ``order_cols`` without putting
+    a whole key into one task.
+
+    ``bucket`` must be non-decreasing in the order (e.g. ``seq div 4096`` or
+    the hour of ``ts``).  Rows are numbered within (key, bucket) and shifted
+    by the number of rows in the key's earlier buckets, taken from a partial
+    aggregate: a key holding a third of all rows is spread over its buckets.
+    """
+    from pyspark.sql import Window
+
+    b = df.withColumn("_bucket", bucket)
+    counts = b.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    w_b = (Window.partitionBy(*keys).orderBy("_bucket")
+           .rowsBetween(Window.unboundedPreceding, -1))
+    offsets = counts.select(*keys, "_bucket", F.coalesce(F.sum("_n").over(w_b), F.lit(0)).alias("_off"))
+    w = Window.partitionBy(*keys, "_bucket").orderBy(*order_cols)
+    local = b.withColumn("_rn", F.row_number().over(w))
+    return (local.join(offsets, [*keys, "_bucket"])
+            .withColumn(out_col, (F.col("_off") + F.col("_rn")).cast("int"))
+            .drop("_bucket", "_off", "_rn"))
+
+
+def previous_value(df: DataFrame, keys: list[str], order_cols: list[str], value_col: str,
+                   bucket: F.Column, out_col: str) -> DataFrame:
+    """``lag(value_col)`` over ``keys`` ordered by ``order_cols`` without putting
+    a whole key into one task: ``lag`` within (key, bucket); the first row of
+    a bucket takes the last value of the key's previous non-empty bucket
+    (a partial ``max_by`` aggregate, then a window over buckets only)."""
+    from pyspark.sql import Window
+
+    b = df.withColumn("_bucket", bucket)
+    w = Window.partitionBy(*keys, "_bucket").orderBy(*order_cols)
+    local = (b.withColumn("_lag", F.lag(value_col).over(w))
+             .withColumn("_first", F.row_number().over(w) == 1))
+    last = b.groupBy(*keys, "_bucket").agg(
+        F.max_by(value_col, F.struct(*[F.col(c) for c in order_cols])).alias("_last"))
+    w_b = Window.partitionBy(*keys).orderBy("_bucket")
+    carry = last.select(*keys, "_bucket", F.lag("_last").over(w_b).alias("_carry"))
+    return (local.join(carry, [*keys, "_bucket"])
+            .withColumn(out_col, F.when(F.col("_first"), F.col("_carry")).otherwise(F.col("_lag")))
+            .drop("_bucket", "_lag", "_first", "_carry"))

@@ -36,11 +36,19 @@ def read_messages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+# Consecutive seq values numbered together when positions are assigned.
+POS_BUCKET = 4096
+
+
 def scan_sessions(messages: DataFrame, sessions: DataFrame) -> DataFrame:
-    """Full history of the given sessions, oldest first (``pos`` from 0)."""
+    """Full history of the given sessions, oldest first (``pos`` from 0).
+    Positions are assigned per seq range plus an offset (``ranked``), so a
+    very long session is not numbered in one task."""
+    from tessera.operators.util import ranked
+
     picked = messages.join(sessions.select("session_id").distinct(), "session_id", "left_semi")
-    w = Window.partitionBy("session_id").orderBy("seq")
-    return picked.withColumn("pos", (F.row_number().over(w) - 1).cast("int"))
+    out = ranked(picked, ["session_id"], ["seq"], F.floor(F.col("seq") / POS_BUCKET).cast("bigint"), "pos")
+    return out.withColumn("pos", (F.col("pos") - 1).cast("int"))
 
 
 def delete_sessions(messages: DataFrame, sessions: DataFrame) -> DataFrame:
