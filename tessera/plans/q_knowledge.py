@@ -480,3 +480,15 @@ def q_validate_knowledge(spark, sf_dir):
     text (701171); the decoded embedding requests serve as knowledge items."""
     return _embeddings_decoded(spark, sf_dir).select(
         "req_id", "pos", VAL.knowledge_error(F.col("e.embedding"), F.col("e.text")).alias("error_code"))
+
+
+@register("validate_segments_request", _SEGMENTS_DECODED_SQL + """
+, c AS (SELECT req_id, pos, CASE WHEN text IS NULL OR length(text) = 0 THEN '701162' END AS code FROM x)
+SELECT req_id, pos, coalesce(code, min(code) OVER (PARTITION BY req_id)) AS error_code FROM c
+""")
+def q_validate_segments_request(spark, sf_dir):
+    """F14 in request mode: one invalid segment rejects every segment of its
+    request (the original all-or-nothing rule)."""
+    rows = _segments_decoded(spark, sf_dir).select(
+        "req_id", "pos", VAL.segment_error(F.col("seg.text")).alias("error_code"))
+    return VAL.request_mode(rows, "req_id")

@@ -56,13 +56,19 @@ def delete_sessions(messages: DataFrame, sessions: DataFrame) -> DataFrame:
     return messages.join(sessions.select("session_id").distinct(), "session_id", "left_anti")
 
 
-def delete_sessions_in_place(spark: SparkSession, path: str, sessions: DataFrame, out_path: str) -> None:
-    """Rewrite only the hash buckets that hold a deleted session."""
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+def rewrite_touched_buckets(spark: SparkSession, path: str, sessions: DataFrame, out_path: str) -> list[int]:
+    """Session delete that touches only the hash buckets holding a deleted
+    session: their remaining rows are written to ``out_path`` (partitioned
+    by bucket) and the touched bucket ids are returned (at most ``BUCKETS``
+    values), so the caller replaces exactly those bucket folders; a touched
+    bucket absent from ``out_path`` has become empty."""
     current = read_messages(spark, path)
-    touched = sessions.select("session_id").distinct().withColumn("bucket", _bucket()).select("bucket").distinct()
-    kept = delete_sessions(current.join(touched, "bucket", "left_semi"), sessions)
+    touched_df = (sessions.select("session_id").distinct()
+                  .select(_bucket().alias("bucket")).distinct())
+    touched = sorted(r["bucket"] for r in touched_df.collect())  # <= BUCKETS rows
+    kept = delete_sessions(current.where(F.col("bucket").isin(touched)), sessions)
     kept.write.mode("overwrite").partitionBy("bucket").parquet(out_path)
+    return touched
 
 
 # Messages per JSON object at most (a session spans several lines when longer).

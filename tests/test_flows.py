@@ -154,3 +154,46 @@ def test_late_result_after_watermark_is_ignored(spark):
                             name="t-late")
     rows = {(r.session_id, r.result_seq) for r in spark.read.parquet(out).collect()}
     assert ("7", None) in rows and ("7", 4) not in rows
+
+
+def test_model_embed_hook_keeps_rows_and_order(spark):
+    import numpy as np
+
+    from tessera.operators.embed import model_embed
+
+    def factory():
+        def fn(texts):
+            return np.array([[len(t), t.count(" "), 1.0] for t in texts], dtype=np.float32)
+        return fn
+    df = spark.createDataFrame([(i, "a b " * i) for i in range(50)], "id int, text string").repartition(3)
+    out = {r.id: list(r.embedding) for r in model_embed(df, factory, 3).collect()}
+    assert out == {i: [float(len("a b " * i)), float(("a b " * i).count(" ")), 1.0] for i in range(50)}
+
+
+def test_delete_sessions_rewrites_only_touched_buckets(spark):
+    from tessera.plans.fixtures import messages
+    from tessera.sources import memory_store as MS
+    path, out = scratch_path(spark, "t-del"), scratch_path(spark, "t-del-out")
+    msgs = messages(spark, SF_SMALL)
+    MS.append_messages(msgs, path)
+    gone = msgs.select("session_id").distinct().orderBy("session_id").limit(3)
+    touched = MS.rewrite_touched_buckets(spark, path, gone, out)
+    before = MS.read_messages(spark, path)
+    assert touched == sorted(r.bucket for r in before.join(gone, "session_id", "left_semi")
+                             .select("bucket").distinct().collect())
+    # the new content of the touched buckets: everything there but the deleted sessions
+    want = {(r.session_id, r.seq) for r in before.where(F.col("bucket").isin(touched))
+            .join(gone, "session_id", "left_anti").collect()}
+    got = set()
+    from tessera.sources.vector_store import path_exists
+    if path_exists(spark, out) and want:
+        got = {(r.session_id, r.seq) for r in spark.read.parquet(out).collect()}
+    assert got == want
+
+
+def test_split_quarantine(spark):
+    from tessera.errors import split_quarantine
+    df = spark.createDataFrame([(1, None), (2, "701143")], "id int, error_code string")
+    good, bad = split_quarantine(df)
+    assert [r.id for r in good.collect()] == [1]
+    assert [(r.id, r.error_message) for r in bad.collect()] == [(2, "AI:ERROR_UNSUPPORTED_PARSER_TYPE")]
