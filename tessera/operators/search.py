@@ -177,13 +177,20 @@ def vector_topk(store: DataFrame, queries: DataFrame, k: int, min_score: float =
     q = (queries.select(F.col(query_id_col).alias("_qid"), F.col(query_vec_col).alias("_qv"))
          .where(F.col("_qv").isNotNull() & (F.size("_qv") > 0)))
     limit_rows = max(1, BROADCAST_QUERY_BYTES // max(1, dim * 8))
-    if strategy is None and query_blocks is None and store_blocks is None:
-        n_q = q.limit(limit_rows + 1).count()
-        strategy = "broadcast" if n_q <= limit_rows else "blocked"
-    if strategy == "broadcast":
+    qpdf = None
+    if strategy in (None, "broadcast") and query_blocks is None and store_blocks is None:
+        # one capped pass over the query side both proves the bound and
+        # fetches the rows: at most limit_rows + 1 rows ever reach the driver
         qpdf = q.limit(limit_rows + 1).toPandas()
-        if len(qpdf) > limit_rows:
+        fits = len(qpdf) <= limit_rows
+        if strategy == "broadcast" and not fits:
             raise ValueError("query side exceeds the broadcast bound; use strategy='blocked'")
+        strategy = "broadcast" if fits else "blocked"
+    if strategy == "broadcast":
+        if qpdf is None:
+            qpdf = q.limit(limit_rows + 1).toPandas()
+            if len(qpdf) > limit_rows:
+                raise ValueError("query side exceeds the broadcast bound; use strategy='blocked'")
         partial = _broadcast_scores(s, qpdf, k, min_score, qid_type, id_type)
     else:
         if store_blocks is None:
