@@ -4,7 +4,7 @@ only materialisation is the store write itself."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera import errors as E
@@ -14,7 +14,7 @@ from tessera.operators.parse import parse
 from tessera.operators.search import vector_topk
 from tessera.operators.split import DEFAULT_MAX_CHARS, DEFAULT_OVERLAP, split_documents
 from tessera.operators.validate import embedding_error, segment_error
-from tessera.sources.vector_store import store_append, store_ids, store_scan
+from tessera.sources.vector_store import store_append, store_ids
 
 DEFAULT_DIM = 256
 

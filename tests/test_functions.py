@@ -4,7 +4,6 @@ import hashlib
 import uuid
 
 import pytest
-from pyspark.sql import functions as F
 
 from tessera import errors as E
 from tessera.functions import text as X

@@ -3,7 +3,6 @@ search finds planted near neighbours."""
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from tessera.operators.search import vector_topk, vector_topk_approx
 

@@ -4,7 +4,6 @@ and its output has the promised properties."""
 import re
 
 import pytest
-from pyspark.sql import functions as F
 
 from tessera import errors as E
 from tessera.operators.split import LEVELS, STRATEGIES, split_documents, split_window
