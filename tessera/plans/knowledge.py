@@ -108,20 +108,55 @@ def knowledge_rows(docs: DataFrame, existing_ids: DataFrame | None = None, *, di
     return classified.withColumn("metadata", meta)
 
 
+# Stores up to this many rows are joined with the batch directly (Spark
+# broadcasts or sort-merges them); larger stores are first semi-join reduced
+# against the batch's ids so the store's id column is never shuffled.
+LARGE_STORE_ROWS = 50_000_000
+
+
+def _against_large_store(staged: DataFrame, existing_ids: DataFrame) -> DataFrame:
+    """Mark staged rows whose id is already stored.  The store's ids are
+    reduced map-side by a semi-join with the batch's (size-checked,
+    broadcast) new ids, so only the few matches meet the batch again."""
+    from tessera.operators.util import broadcast_if_small
+
+    new_ids = staged.where(F.col("status") == "written").select("id")
+    hits = (existing_ids.select("id").join(broadcast_if_small(new_ids), "id", "left_semi")
+            .distinct().withColumn("_hit", F.lit(True)))
+    out = staged.join(hits, "id", "left")
+    dup = (F.col("status") == "written") & F.coalesce(F.col("_hit"), F.lit(False))
+    return (out.withColumn("stored", F.col("stored") | dup)
+            .withColumn("status", F.when(dup, F.lit("duplicate")).otherwise(F.col("status")))
+            .drop("_hit"))
+
+
 def add_to_knowledge(docs: DataFrame, store_path: str, store: str | None = None,
                      namespace: str | None = None, *, dim: int = DEFAULT_DIM,
-                     key_cols: tuple[str, ...] = ("doc_id",), **opts) -> dict[str, int]:
-    """parse -> split -> validate -> dedup -> embed -> append to the store,
-    in one pass; the status counts are observed during the write.
+                     key_cols: tuple[str, ...] = ("doc_id",), large_store_rows: int = LARGE_STORE_ROWS,
+                     **opts) -> dict[str, int]:
+    """parse -> split -> validate -> dedup -> embed -> append to the store;
+    the status counts are observed during the write.
+
+    Against a small (or no) store this is one pass.  Against a store of more
+    than ``large_store_rows`` rows (a parquet row count, answered from file
+    metadata) the classified batch is materialised once in the shared
+    checkpoint folder and the store's ids are semi-join reduced against it
+    instead of being shuffled for the join.
 
     Returns ``{"written", "duplicate", "invalid"}``.  Raises when rows were
     given and none could be written or were already present.
     """
     from pyspark.sql import Observation
 
+    from tessera.session import cut_lineage
+
     spark = docs.sparkSession
-    rows = knowledge_rows(docs, store_ids(spark, store_path, store, namespace), dim=dim,
-                          key_cols=key_cols, **opts)
+    existing = store_ids(spark, store_path, store, namespace)
+    if existing is not None and existing.count() > large_store_rows:
+        staged = cut_lineage(knowledge_rows(docs, None, dim=dim, key_cols=key_cols, **opts))
+        rows = _against_large_store(staged, existing)
+    else:
+        rows = knowledge_rows(docs, existing, dim=dim, key_cols=key_cols, **opts)
     obs = Observation("ingest")
     observed = rows.observe(obs, *_status_counts())
     written = observed.where(F.col("status") == "written").select("id", "embedding", "text", "metadata")

@@ -197,3 +197,19 @@ def test_split_quarantine(spark):
     good, bad = split_quarantine(df)
     assert [r.id for r in good.collect()] == [1]
     assert [(r.id, r.error_message) for r in bad.collect()] == [(2, "AI:ERROR_UNSUPPORTED_PARSER_TYPE")]
+
+
+def test_ingest_against_large_store_path(spark):
+    """The semi-join-reduced path (forced with a zero threshold) gives the
+    same store and counts as the direct join."""
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+    a, b = scratch_path(spark, "t-large-a"), scratch_path(spark, "t-large-b")
+    half = docs.where(F.col("doc_id") % 2 == 0)
+    for path, threshold in ((a, 10**12), (b, 0)):
+        add_to_knowledge(half, path, "kb", None, parse_docs=False)
+        counts = add_to_knowledge(docs, path, "kb", None, parse_docs=False, large_store_rows=threshold)
+        if path == a:
+            want_counts = counts
+    assert counts == want_counts and counts["duplicate"] > 0
+    ids = lambda p: sorted(r.id for r in store_scan(spark, p, "kb").collect())
+    assert ids(a) == ids(b)
