@@ -225,3 +225,44 @@ def rag_chat(questions: DataFrame, store: DataFrame, complete_fn_factory, *, k:
     answered = answered.withColumn("_out_type", F.lit(output_type))
     return answered.select(query_id_col, "prompt", "answer", "n_matches",
                            *[c.alias(n) for n, c in typed.items()])
+
+
+def add_to_store(embeddings: DataFrame, store_path: str, store: str | None = None,
+                 namespace: str | None = None, *, dim: int | None = None, avoid_dups: bool = True,
+                 order_cols: tuple[str, ...] = ()) -> dict[str, int]:
+    """Append pre-computed vectors (``text, embedding, metadata``) to a store.
+
+    Rows with empty text / vector (or the wrong ``dim``) are invalid (701111);
+    with ``avoid_dups`` the id is the content UUID of the text, the first copy
+    (by ``order_cols``, then text) wins and ids already stored are skipped.
+    Counts are observed during the write; returns ``{"written",
+    "duplicate", "invalid"}``.
+    """
+    from pyspark.sql import Observation
+
+    spark = embeddings.sparkSession
+    df = (embeddings.withColumn("error_code", embedding_error("text", "embedding", dim))
+          .transform(lambda d: with_content_id(d, avoid_dups)))
+    order = F.struct(*[F.col(c) for c in order_cols], F.col("text"))
+    payload = F.struct(*[F.col(c) for c in df.columns])
+    group = F.when(F.col("error_code").isNull(), F.concat(F.lit("id:"), F.col("id"))).otherwise(
+        F.concat(F.lit("bad:"), F.xxhash64(*[F.col(c) for c in df.columns if c != "metadata"]).cast("string")))
+    unique = (df.withColumn("_g", group).groupBy("_g")
+              .agg(F.min_by(payload, order).alias("_r"), F.count(F.lit(1)).alias("copies"))
+              .select("_r.*", "copies"))
+    existing = store_ids(spark, store_path, store, namespace)
+    if existing is not None:
+        hits = existing.select("id").distinct().withColumn("stored", F.lit(True))
+        unique = unique.join(hits, "id", "left").withColumn("stored", F.coalesce("stored", F.lit(False)))
+    else:
+        unique = unique.withColumn("stored", F.lit(False))
+    classified = unique.withColumn("status", F.when(F.col("error_code").isNotNull(), F.lit("invalid"))
+                                   .when(F.col("stored"), F.lit("duplicate")).otherwise(F.lit("written")))
+    obs = Observation("add_to_store")
+    observed = classified.observe(obs, *_status_counts())
+    store_append(observed.where(F.col("status") == "written").select("id", "embedding", "text", "metadata"),
+                 store_path, store, namespace)
+    counts = {k: int(v or 0) for k, v in obs.get.items()}
+    if sum(counts.values()) > 0 and counts["written"] == 0 and counts["duplicate"] == 0:
+        raise E.TesseraError(E.INVALID_INGEST, "no row could be stored")
+    return counts

@@ -492,3 +492,21 @@ def q_validate_segments_request(spark, sf_dir):
     rows = _segments_decoded(spark, sf_dir).select(
         "req_id", "pos", VAL.segment_error(F.col("seg.text")).alias("error_code"))
     return VAL.request_mode(rows, "req_id")
+
+
+@register("add_to_store", _EMBEDDINGS_DECODED_SQL + f"""
+, v AS (SELECT * FROM x WHERE text IS NOT NULL AND length(text) > 0 AND embedding IS NOT NULL
+                          AND len(embedding) = 64)
+SELECT DISTINCT {G.uuid3('text')} AS id, text FROM v
+""")
+def q_add_to_store(spark, sf_dir):
+    """S2/J-2 for pre-computed vectors (the decoded embedding requests):
+    validate (dimension 64), content ids, first copy wins, append; the store
+    is read back."""
+    from tessera.plans.knowledge import add_to_store
+    rows = _embeddings_decoded(spark, sf_dir).select("req_id", "pos", F.col("e.text").alias("text"),
+                                                     F.col("e.embedding").alias("embedding"),
+                                                     F.col("e.metadata").alias("metadata"))
+    path = scratch_path(spark, "vectors")
+    add_to_store(rows, path, "vectors", None, dim=64, order_cols=("req_id", "pos"))
+    return store_scan(spark, path, "vectors").select("id", "text")
