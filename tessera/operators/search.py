@@ -227,15 +227,24 @@ def _lsh_codes(dim: int, n_tables: int, n_bits: int, seed: int):
     return codes.asNondeterministic()  # evaluate once; never copied into pushed filters
 
 
+def lsh_codes(vec, dim: int, n_tables: int = 8, n_bits: int = 6, seed: int = 17):
+    """Column: the ``n_tables`` bucket codes of a vector (store them at ingest
+    as an index column and pass it as ``store_codes_col`` to search)."""
+    c = F.col(vec) if isinstance(vec, str) else vec
+    return _lsh_codes(dim, n_tables, n_bits, seed)(c)
+
+
 def vector_topk_approx(store: DataFrame, queries: DataFrame, k: int, min_score: float = 0.0, *,
                        dim: int, id_col: str = "id", vec_col: str = "embedding",
                        query_id_col: str = "query_id", query_vec_col: str = "embedding",
                        n_tables: int = 8, n_bits: int = 6, seed: int = 17,
-                       block_rows: int | None = None) -> DataFrame:
+                       block_rows: int | None = None, store_codes_col: str | None = None) -> DataFrame:
     """Approximate top-``k``: candidates share an LSH bucket in at least one
     of ``n_tables`` tables; candidates are scored exactly.
 
-    Buckets are equi-join keys of a cogroup.  A hot bucket (many vectors) is
+    With ``store_codes_col`` the store's codes are read from that column
+    (computed at ingest by ``lsh_codes`` with the same parameters) instead of
+    being recomputed.  Buckets are equi-join keys of a cogroup.  A hot bucket (many vectors) is
     split into sub-blocks on both sides (the other side is replicated per
     sub-block), sized from a pre-aggregated count per bucket; that count
     table has at most ``n_tables * 2**n_bits`` rows, so broadcasting it is
@@ -247,9 +256,13 @@ def vector_topk_approx(store: DataFrame, queries: DataFrame, k: int, min_score:
     codes = _lsh_codes(dim, n_tables, n_bits, seed)
     id_type = store.schema[id_col].dataType
     qid_type = queries.schema[query_id_col].dataType
-    s = (store.select(F.col(id_col).alias("_id"), F.col(vec_col).alias("_v"))
+    # Stored codes (an index column written at ingest with the same
+    # parameters) spare the store side from being coded twice per search.
+    store_codes = F.col(store_codes_col) if store_codes_col else codes(F.col("_v"))
+    s = (store.select(F.col(id_col).alias("_id"), F.col(vec_col).alias("_v"),
+                      *([F.col(store_codes_col)] if store_codes_col else []))
          .where(F.col("_v").isNotNull() & (F.size("_v") > 0))
-         .select("_id", "_v", F.posexplode(codes(F.col("_v"))).alias("_t", "_b")))
+         .select("_id", "_v", F.posexplode(store_codes).alias("_t", "_b")))
     q = (queries.select(F.col(query_id_col).alias("_qid"), F.col(query_vec_col).alias("_qv"))
          .where(F.col("_qv").isNotNull() & (F.size("_qv") > 0))
          .select("_qid", "_qv", F.posexplode(codes(F.col("_qv"))).alias("_t", "_b")))

@@ -229,12 +229,14 @@ def rag_chat(questions: DataFrame, store: DataFrame, complete_fn_factory, *, k:
 
 def add_to_store(embeddings: DataFrame, store_path: str, store: str | None = None,
                  namespace: str | None = None, *, dim: int | None = None, avoid_dups: bool = True,
-                 order_cols: tuple[str, ...] = ()) -> dict[str, int]:
+                 order_cols: tuple[str, ...] = (), lsh: dict | None = None) -> dict[str, int]:
     """Append pre-computed vectors (``text, embedding, metadata``) to a store.
 
     Rows with empty text / vector (or the wrong ``dim``) are invalid (701111);
     with ``avoid_dups`` the id is the content UUID of the text, the first copy
     (by ``order_cols``, then text) wins and ids already stored are skipped.
+    ``lsh`` (keyword arguments of ``lsh_codes``) also writes the LSH codes as
+    an ``lsh_codes`` index column for ``vector_topk_approx``.
     Counts are observed during the write; returns ``{"written",
     "duplicate", "invalid"}``.
     """
@@ -260,8 +262,12 @@ def add_to_store(embeddings: DataFrame, store_path: str, store: str | None = Non
                                    .when(F.col("stored"), F.lit("duplicate")).otherwise(F.lit("written")))
     obs = Observation("add_to_store")
     observed = classified.observe(obs, *_status_counts())
-    store_append(observed.where(F.col("status") == "written").select("id", "embedding", "text", "metadata"),
-                 store_path, store, namespace)
+    written = observed.where(F.col("status") == "written").select("id", "embedding", "text", "metadata")
+    if lsh is not None:
+        # LSH index column, e.g. {"dim": 64, "n_tables": 8, "n_bits": 6, "seed": 17}
+        from tessera.operators.search import lsh_codes
+        written = written.withColumn("lsh_codes", lsh_codes("embedding", **lsh))
+    store_append(written, store_path, store, namespace)
     counts = {k: int(v or 0) for k, v in obs.get.items()}
     if sum(counts.values()) > 0 and counts["written"] == 0 and counts["duplicate"] == 0:
         raise E.TesseraError(E.INVALID_INGEST, "no row could be stored")

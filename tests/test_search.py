@@ -66,3 +66,20 @@ def test_exact_plan_pairs_nothing_in_spark(spark):
         plan = vector_topk(s, q, 2, 0.0, dim=4, strategy=strategy)._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
         assert node in plan
+
+
+def test_lsh_with_stored_codes_equals_on_the_fly(spark):
+    from tessera.operators.search import lsh_codes
+    from tessera.session import cut_lineage
+    rng = np.random.default_rng(13)
+    store, queries = rng.standard_normal((500, 16)), rng.standard_normal((30, 16))
+    s, q = _frames(spark, store, queries)
+    # the index column as it is stored at ingest (a written table)
+    indexed = cut_lineage(s.withColumn("lsh_codes", lsh_codes("embedding", 16)))
+    a = {tuple(r) for r in vector_topk_approx(s, q, 3, 0.0, dim=16).collect()}
+    b = {tuple(r) for r in vector_topk_approx(indexed, q, 3, 0.0, dim=16, store_codes_col="lsh_codes").collect()}
+    assert a == b and len(a) > 0
+    plan = vector_topk_approx(indexed.select("id", "embedding", "lsh_codes"), q, 3, 0.0, dim=16,
+                              store_codes_col="lsh_codes")._jdf.queryExecution().executedPlan().toString()
+    # the store side reads its stored codes: the code UDF runs on query vectors only
+    assert "codes(_v#" not in plan and "codes(_qv#" in plan
