@@ -225,7 +225,7 @@ def q_ingest_dedup(spark, sf_dir):
 
 
 def _embedded_docs(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    d = spread_small(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
     return hash_embed(d, DEFAULT_DIM).select(
         content_uuid("text").alias("id"), "embedding", "text",
         F.create_map(F.lit("doc_id"), F.col("doc_id").cast("string"),
@@ -234,9 +234,8 @@ def _embedded_docs(spark, sf_dir):
 
 def _write_lang_store(spark, sf_dir) -> str:
     path = scratch_path(spark, "store")
-    e = _embedded_docs(spark, sf_dir)
-    for lang in ("en", "fr", "de", "es"):
-        store_append(e.where(F.col("lang") == lang).drop("lang"), path, "docs", lang)
+    # one write: each document goes to the namespace of its language
+    store_append(_embedded_docs(spark, sf_dir), path, "docs", namespace_col="lang")
     return path
 
 
@@ -244,7 +243,8 @@ def _write_lang_store(spark, sf_dir) -> str:
 SELECT 'docs' AS store, lang AS namespace, doc_id, length(text)::BIGINT AS n_chars FROM documents
 """)
 def q_store_append(spark, sf_dir):
-    """Append vectors to a store in four namespaces, read everything back."""
+    """Append vectors to a store (one namespace per language, one write),
+    read everything back."""
     path = _write_lang_store(spark, sf_dir)
     return store_scan(spark, path).select("store", "namespace", "doc_id",
                                           F.length("text").cast("bigint").alias("n_chars"))

@@ -50,10 +50,19 @@ def namespace_name(ns: str | None) -> str:
 
 
 def store_append(df: DataFrame, path: str, store: str | None = None,
-                 namespace: str | None = None) -> None:
-    """Append rows (``id, embedding, text, metadata`` + extras) to a store."""
+                 namespace: str | None = None, *, namespace_col: str | None = None) -> None:
+    """Append rows (``id, embedding, text, metadata`` + extras) to a store.
+
+    ``namespace_col`` takes each row's namespace from a column, so one write
+    (one pass over the input) fills several namespace partitions."""
+    if namespace_col is not None:
+        ns = F.coalesce(F.nullif(F.trim(F.col(namespace_col)), F.lit("")), F.lit(DEFAULT_NAMESPACE))
+        df = df.withColumn("namespace", ns)
+        if namespace_col != "namespace":
+            df = df.drop(namespace_col)
+    else:
+        df = df.withColumn("namespace", F.lit(namespace_name(namespace)))
     (df.withColumn("store", F.lit(store_name(store)))
-       .withColumn("namespace", F.lit(namespace_name(namespace)))
        .write.mode("append").partitionBy("store", "namespace").parquet(path))
 
 
