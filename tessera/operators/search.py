@@ -1,15 +1,18 @@
 """Similarity search: many query vectors against a vector store.
 
-Exact search is a blocked matrix product.  Store rows are hashed into
-``store_blocks`` blocks and query rows into ``query_blocks`` blocks; each
-(store block, query block) cell is one cogroup group, so no task ever holds
-more than one block of each side and the number of groups grows with the
-data.  Inside a group numpy scores the block (BLAS), applies the minimum
-score and keeps only the local top-k per query under the same total order
-as the final ranking (score desc, id asc).  Because every local top-k is a
-superset of that block's share of the global top-k, a final windowed
-``row_number`` over the union is exact.  Nothing pairs rows in Spark itself,
-and the shuffle after scoring carries at most ``k`` rows per query per block.
+Exact search (``vector_topk``) never pairs rows in Spark.  A query set
+proven small by one capped pass is broadcast and every store partition is
+scored where it lies (numpy matrix product per Arrow batch, running top-k
+per partition).  Larger query sets use a blocked product: store rows are
+hashed into ``store_blocks`` blocks and query rows into ``query_blocks``;
+each (store block, query block) cell is one cogroup group, so no task holds
+more than one block of each side.  In both, ``min_score`` is applied first
+and only the local top-k per query under the final total order (score desc,
+id asc) is shuffled, which makes the final windowed ``row_number`` exact.
+
+Approximate search (``vector_topk_approx``) uses the same group scorer keyed
+by random-hyperplane LSH buckets; ``search_one`` serves a single request with
+``orderBy(...).limit(k)``.
 """
 
 from __future__ import annotations

@@ -83,7 +83,10 @@ def q_stream_tool_results(spark, sf_dir):
         F.when(F.col("id") == 0, "click").otherwise("purchase").alias("event_type"),
         F.lit(99.0).alias("value"), F.lit('{"k": 0}').alias("props")))
     sentinel.write.parquet(f"{src}/part=1")
-    stream = (spark.readStream.schema(events.schema).option("maxFilesPerTrigger", "1")
+    # first micro-batch: all event files; second: the sentinel (files are
+    # taken oldest first), so the watermark passes every call at the end
+    n_files = len(spark.read.parquet(f"{src}/part=0").inputFiles())
+    stream = (spark.readStream.schema(events.schema).option("maxFilesPerTrigger", str(max(1, n_files)))
               .option("recursiveFileLookup", "true").parquet(src))
     matched = stream_match(FX.tool_calls(spark, sf_dir, stream), FX.tool_results(spark, sf_dir, stream),
                            TIMEOUT_SECONDS, WATERMARK_DELAY_SECONDS)
