@@ -177,13 +177,20 @@ def get_from_knowledge(store: DataFrame, queries: DataFrame, k: int = 5, min_sco
                        store_blocks: int | None = None, query_blocks: int | None = None) -> DataFrame:
     """Top-k store rows per query text (or per query vector when
     ``embed=False``): ``query_id, rank, score, id, text, metadata``."""
+    from tessera.operators.util import BROADCAST_MAX_ROWS
+
     s = store if store_filter is None else store.where(store_filter)
     q = embed_queries(queries, dim, text_col=query_text_col) if embed else queries
     hits = vector_topk(s.select("id", "embedding"), q.select(query_id_col, "embedding"), k, min_score,
                        query_id_col=query_id_col, dim=dim,
                        store_blocks=store_blocks, query_blocks=query_blocks)
-    # k rows per query at most: the join back to the store is by id.
-    return hits.join(s.select("id", "text", "metadata"), "id").select(
+    # The hits (at most k per query) go back to the store for text and
+    # metadata.  A capped count of the query side proves their bound; within
+    # it they are broadcast, so the store is only scanned, never shuffled.
+    bound = max(1, BROADCAST_MAX_ROWS // max(1, k))
+    if q.select(query_id_col).limit(bound + 1).count() <= bound:
+        hits = F.broadcast(hits)
+    return s.select("id", "text", "metadata").join(hits, "id").select(
         query_id_col, "rank", "score", "id", "text", "metadata")
 
 

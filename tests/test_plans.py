@@ -66,3 +66,9 @@ def test_results_do_not_depend_on_shuffle_partitions(spark):
         assert all(len(v) == 1 for v in seen.values()), seen
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_retrieval_join_back_never_shuffles_the_store(spark):
+    import __spark_entry__ as se
+    plan = _plan(se.queries()["get_from_knowledge"](spark, SF_SMALL))
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
