@@ -134,7 +134,8 @@ SELECT req_id, pos, text, len(embedding)::INTEGER AS dim FROM x
 def q_embeddings_decode(spark, sf_dir):
     """JSON array of embeddings or a single object."""
     return _embeddings_decoded(spark, sf_dir).select(
-        "req_id", "pos", F.col("e.text").alias("text"), F.size("e.embedding").alias("dim"))
+        "req_id", "pos", F.col("e.text").alias("text"),
+        F.when(F.col("e.embedding").isNotNull(), F.size("e.embedding")).alias("dim"))
 
 
 @register("validate_embeddings", _EMBEDDINGS_DECODED_SQL + """
