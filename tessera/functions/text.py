@@ -25,6 +25,8 @@ ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&ap
 
 # Inline elements whose tags vanish without a separating space.
 INLINE_TAGS = "b|i|em|strong|a|span|u|code|small|sub|sup"
+# Block elements whose end starts a new line in Markdown.
+BLOCK_TAGS = "ul|ol|div|article|section|nav|header|footer|table|tr|blockquote|pre"
 
 
 def _decode_entities(c: Column) -> Column:
@@ -67,6 +69,7 @@ def html_to_markdown(html) -> Column:
     c = F.regexp_replace(c, r"(?i)<br\s*/?>", "\n")
     c = F.regexp_replace(c, r"(?i)<li(\s[^>]*)?>", "\n- ")
     c = F.regexp_replace(c, r"(?i)</?p(\s[^>]*)?>", "\n\n")
+    c = F.regexp_replace(c, r"(?i)</(" + BLOCK_TAGS + r")\s*>", "\n")
     c = F.regexp_replace(c, r"<[^>]*>", " ")
     c = _decode_entities(c)
     c = F.regexp_replace(c, r"[ \t\r\f]+", " ")

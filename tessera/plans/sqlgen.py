@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessera.functions.text import ENTITIES, INLINE_TAGS
+from tessera.functions.text import BLOCK_TAGS, ENTITIES, INLINE_TAGS
 
 
 def q(s: str) -> str:
@@ -46,6 +46,7 @@ def html_markdown(expr: str) -> str:
     e = rx(e, r"(?i)<br\s*/?>", "\n")
     e = rx(e, r"(?i)<li(\s[^>]*)?>", "\n- ")
     e = rx(e, r"(?i)</?p(\s[^>]*)?>", "\n\n")
+    e = rx(e, r"(?i)</(" + BLOCK_TAGS + r")\s*>", "\n")
     e = rx(e, r"<[^>]*>", " ")
     e = entities(e)
     e = rx(e, r"[ \t\r\f]+", " ")

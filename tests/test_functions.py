@@ -92,3 +92,40 @@ def test_html_to_text(spark):
             '</body></html>')
     df = spark.createDataFrame([(html,)], "h string")
     assert df.select(X.html_to_text("h").alias("t")).collect()[0].t == 'Hello world & "you" next'
+
+
+def test_html_to_markdown(spark):
+    html = ('<html><body><h1>Title</h1><p>Some <b>bold</b> and <em>it</em> with '
+            '<a href="/x">a link</a>.</p><ul><li>one</li><li>two</li></ul>line<br>break</body></html>')
+    df = spark.createDataFrame([(html,)], "h string")
+    md = df.select(X.html_to_markdown("h").alias("m")).collect()[0].m
+    assert md == "# Title\n\nSome **bold** and *it* with [a link](/x).\n\n- one\n- two\nline\nbreak"
+
+
+def test_attachment_and_user_message_parts(spark):
+    from tessera.functions.prompt import attachment_parts, user_message_parts
+    rows = [("hi", '{"type": "text/plain", "content": "doc"}'),
+            ("", '[{"type": "IMAGE/png", "content": "b64"}, {"content": "no type"}, '
+                 '{"type": "application/zip", "content": "z"}]'),
+            ("only prompt", None)]
+    df = spark.createDataFrame(rows, "p string, a string")
+    att = [[tuple(x) for x in r.parts] for r in df.select(attachment_parts("a").alias("parts")).collect()]
+    assert att == [[("TEXT", "doc", None)], [("IMAGE", "b64", "IMAGE/png")], []]
+    msg = [[tuple(x) for x in r.parts] for r in df.select(user_message_parts("p", "a").alias("parts")).collect()]
+    assert msg[0] == [("TEXT", "hi", None), ("TEXT", "doc", None)]
+    assert msg[1] == [("IMAGE", "b64", "IMAGE/png")]      # empty prompt adds no part
+    assert msg[2] == [("TEXT", "only prompt", None)]
+
+
+def test_coerce_output(spark):
+    from tessera.operators.infer import coerce_output
+    rows = [(" 42 ", "integer"), ("4.2", "integer"), ("4.5", "Float"), (" TRUE ", "boolean"),
+            ("yes", "boolean"), ("text", "string"), ("{}", "json")]
+    df = spark.createDataFrame(rows, "a string, t string")
+    cols = coerce_output("a", "t")
+    got = [tuple(r) for r in df.select(*[c.alias(n) for n, c in cols.items()]).collect()]
+    assert got[0][0] == 42 and got[0][4] is None
+    assert got[1][0] is None and got[1][4] == "701173"          # not an integer
+    assert abs(got[2][1] - 4.5) < 1e-6
+    assert got[3][2] is True and got[4][2] is False             # only "true" is true
+    assert got[5][3] == "text" and got[6][4] == "701173"         # unknown output type
