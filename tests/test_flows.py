@@ -11,6 +11,19 @@ from tessera.sources.vector_store import scratch_path, store_scan
 from tests.conftest import SF_SMALL
 
 
+def _arrive_later(folder: str, seconds: int = 60) -> None:
+    """Order test stream files explicitly: the file source takes files oldest
+    first, so move the modification time of ``folder``'s files forward
+    (test scratch folders are local)."""
+    import os
+    import time
+    local = folder.replace("file:", "")
+    t = time.time() + seconds
+    for root, _, files in os.walk(local):
+        for f in files:
+            os.utime(os.path.join(root, f), (t, t))
+
+
 def test_ingest_twice_equals_once(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
     path = scratch_path(spark, "t-store")
@@ -102,6 +115,7 @@ def test_stream_summaries_equal_sequential_fold(spark):
     src = scratch_path(spark, "t-sum")
     for part, cond in enumerate(["turn < 3", "turn >= 3"]):
         conv.where(cond).write.parquet(f"{src}/p{part}")
+    _arrive_later(f"{src}/p1")
     stream = (spark.readStream.schema(conv.schema).option("maxFilesPerTrigger", "1")
               .option("recursiveFileLookup", "true").parquet(src))
     out = run_available_now(summarizing_memory(messages(spark, SF_SMALL, stream), 4, extractive_answer_factory),
@@ -132,8 +146,14 @@ def test_memory_append_stamps_write_time(spark):
 
 
 def test_late_result_after_watermark_is_ignored(spark):
-    """T5: a result that arrives after the watermark passed its call's
-    time-out is dropped; the call is emitted as unmatched."""
+    """T5: a result that arrives after its call timed out (the call was
+    already emitted unmatched when the watermark passed) is dropped.
+
+    One single-file folder per micro-batch: the call; the sentinels that
+    advance both watermarks; an unrelated event, whose batch evicts the
+    timed-out call; then the late result.  State is evicted at the end of
+    a batch, so a result arriving in the evicting batch itself would still
+    join: that is why the third batch is there."""
     import datetime as dt
 
     from tessera.plans.fixtures import tool_calls, tool_results
@@ -141,13 +161,15 @@ def test_late_result_after_watermark_is_ignored(spark):
     from tessera.streaming.tool_calls import stream_match
     schema = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
     t0 = dt.datetime(2024, 1, 1, 0, 0, 0)
+    far = t0 + dt.timedelta(days=2)
     src = scratch_path(spark, "t-late")
-    first = [(1, t0, 7, "click", 1.0, '{"k": 3}'),
-             (2, t0 + dt.timedelta(days=2), 99, "click", 1.0, '{"k": 1}'),
-             (3, t0 + dt.timedelta(days=2), 99, "purchase", 50.0, '{"k": 2}')]
-    late = [(4, t0 + dt.timedelta(seconds=5), 7, "purchase", 50.0, '{"k": 3}')]
-    spark.createDataFrame(first, schema).write.parquet(f"{src}/p0")
-    spark.createDataFrame(late, schema).write.parquet(f"{src}/p1")
+    batches = [[(1, t0, 7, "click", 1.0, '{"k": 3}')],
+               [(2, far, 99, "click", 1.0, '{"k": 1}'), (3, far, 99, "purchase", 50.0, '{"k": 2}')],
+               [(5, far, 98, "view", 1.0, '{"k": 9}')],
+               [(4, t0 + dt.timedelta(seconds=5), 7, "purchase", 50.0, '{"k": 3}')]]
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{src}/p{i}")
+        _arrive_later(f"{src}/p{i}", 60 * (i + 1))
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", "1")
               .option("recursiveFileLookup", "true").parquet(src))
     out = run_available_now(stream_match(tool_calls(spark, "", stream), tool_results(spark, "", stream), 10, 60),
