@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from tessera.llm.words import slices
 
@@ -158,6 +159,10 @@ def _share(df: DataFrame, path: str):
         return df.sparkSession.sparkContext.broadcast(f.read())
 
 
+def plus(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
+    return T.StructType([*df.schema.fields, T.StructField(name, kind)])
+
+
 def encode(df: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """``df`` with ``ids_col``: the text's ids as little-endian unsigned 32-bit
     integers (binary).  Null texts count as empty and have no ids.  A column
@@ -173,7 +178,7 @@ def encode(df: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids
                 out = pa.array([ids[a:b].tobytes() for a, b in zip(off[:-1], off[1:])], pa.binary())
                 yield pa.RecordBatch.from_arrays([*part.columns, out], names=[*part.schema.names, ids_col])
 
-    return kept.mapInArrow(run, kept.schema.add(ids_col, "binary"))
+    return kept.mapInArrow(run, plus(kept, ids_col, T.BinaryType()))
 
 
 def decode(df: DataFrame, path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
@@ -189,4 +194,4 @@ def decode(df: DataFrame, path: str, ids_col: str = "ids", out_col: str = "decod
                 out = pa.array([bpe.decode(np.frombuffer(x or b"", "<u4")) for x in part.column(ids_col).to_pylist()], pa.string())
                 yield pa.RecordBatch.from_arrays([*part.columns, out], names=[*part.schema.names, out_col])
 
-    return kept.mapInArrow(run, kept.schema.add(out_col, "string"))
+    return kept.mapInArrow(run, plus(kept, out_col, T.StringType()))
