@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, chat, mixing, url_filter
+from tessera.llm import bpe, chat, langid, mixing, quality, url_filter
 from tessera.llm import exact_dedup as dedup
 from tessera.sources.tables import table
 
@@ -124,3 +124,24 @@ def bpe_digests(docs: DataFrame) -> DataFrame:
     back = bpe.decode(ids.select("doc_id", "ids"), path)
     return back.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@_query()
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document: base figures, and the posterior of rules that vote."""
+    out = quality.quality(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
+
+
+def held_out() -> Column:
+    """A fifth of all documents, by id."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(0)) % 5 == 0
+
+
+@_query()
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the documents that aren't held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs.where(~held_out()))
+    rows = docs.select("doc_id", held_out().alias("held_out"), "text")
+    return langid.predict(rows, model).drop("text")
