@@ -2,8 +2,9 @@
 
 Text statistics are measured in Arrow batches; rules vote good, bad or
 abstain on them; expectation-maximisation over the counts of vote patterns
-estimates how each class votes on each rule, and a document's posterior
-probability of being good decides instead of all-must-pass."""
+estimates how good documents and each kind of bad ones fare with each rule,
+and a document's posterior probability of being good decides instead of
+all-must-pass."""
 
 from __future__ import annotations
 
@@ -106,41 +107,53 @@ class Rule:
         return F.expr(f"CASE WHEN {self.bad} THEN 0 WHEN {self.good} THEN 1 ELSE 2 END")
 
 
+#: Most rules know one kind of junk and abstain otherwise: a text without
+#: symbols may still shout.  The last two see prose as such.
 RULES = (
-    Rule("symbols", "n_symbols < 0.02 * n_words", "n_symbols > 0.1 * n_words"),
-    Rule("shouting", "n_exclaim < 0.05 * n_words", "n_exclaim > 0.2 * n_words"),
-    Rule("capitals", "n_upper < 0.1 * word_chars", "n_upper > 0.3 * word_chars"),
-    Rule("lines", "n_dup_lines = 0", "n_dup_lines > 0.3 * n_lines"),
-    Rule("windows", "n_repeat_words < 0.1 * n_words", "n_repeat_words > 0.3 * n_words"),
-    Rule("word_length", "word_chars BETWEEN 3 * n_words AND 9 * n_words", "word_chars < 2.5 * n_words OR word_chars > 12 * n_words"),
-    Rule("length", "n_words >= 100", "n_words < 20"),
-    Rule("sentences", "n_stops * 40 >= n_words", "n_stops * 400 < n_words"),
+    Rule("symbols", "false", "n_symbols > 0.1 * n_words"),
+    Rule("shouting", "false", "n_exclaim > 0.2 * n_words"),
+    Rule("capitals", "false", "n_upper > 0.4 * word_chars"),
+    Rule("lines", "false", "n_dup_lines > 0.3 * n_lines"),
+    Rule("windows", "false", "n_repeat_words > 0.3 * n_words"),
+    Rule("word_length", "word_chars BETWEEN 3 * n_words AND 9 * n_words", "word_chars < 2 * n_words OR word_chars > 15 * n_words"),
+    Rule("sentences", "n_stops * 50 >= n_words AND n_stops * 2 <= n_words", "n_stops * 500 < n_words"),
 )
 
 
-def fit(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100, tolerance: float = 1e-8) -> tuple[float, np.ndarray]:
+def fit(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200, tolerance: float = 1e-9) -> tuple[np.ndarray, np.ndarray]:
     """EM on distinct vote patterns (rows; 0 bad, 1 good, 2 abstain) with their
-    ``counts``: the share of good documents, and P(vote | class) as an array
-    [rule, class, vote].  It starts from: a pattern with a bad vote is
-    probably bad.  Laplace smoothing keeps all probabilities positive; without patterns
-    every vote is as likely in either class."""
+    ``counts``: the share of each class, and P(vote | class) as an array
+    [rule, class, vote].  Class 0 is good; each rule k begins a class k + 1 of
+    bad documents, as junk is of several kinds that know nothing of each
+    other, and a single bad class would let a kind that only one rule
+    knows pass as a habit of good documents.  It starts from: patterns without a
+    bad vote are good, others belong to the first rule that votes bad.  Laplace
+    smoothing keeps all probabilities positive; without patterns all is uniform."""
     n_rules = patterns.shape[1]
+    shares, prob = np.full(n_rules + 1, 1 / (n_rules + 1)), np.full((n_rules, n_rules + 1, 3), 1 / 3)
     if not len(patterns):
-        return 0.5, np.full((n_rules, 2, 3), 1 / 3)
+        return shares, prob
     onehot = np.eye(3)[patterns]  # pattern, rule, vote
-    good = np.where((patterns == 0).any(1), 0.1, 0.95)
-    before = None
+    bad = patterns == 0
+    belongs = np.eye(n_rules + 1)[np.where(bad.any(1), bad.argmax(1) + 1, 0)] * 0.99 + 0.01 / (n_rules + 1)
     for _ in range(rounds):
-        weight = np.stack([(1 - good) * counts, good * counts])  # class, pattern
-        prob = np.einsum("cp,prv->rcv", weight, onehot) + 1.0
+        weight = belongs * counts[:, None]  # pattern, class
+        prob = np.einsum("pc,prv->rcv", weight, onehot) + 0.5
         prob /= prob.sum(2, keepdims=True)
-        share = (weight[1].sum() + 1) / (counts.sum() + 2)
-        odds = np.log(share / (1 - share)) + np.einsum("prv,rv->p", onehot, np.log(prob[:, 1] / prob[:, 0]))
-        good = 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
-        if before is not None and np.abs(good - before).max() < tolerance:
+        shares = (weight.sum(0) + 0.5) / (counts.sum() + 0.5 * (n_rules + 1))
+        like = np.log(shares) + np.einsum("prv,rcv->pc", onehot, np.log(prob))
+        new = np.exp(like - like.max(1, keepdims=True))
+        new /= new.sum(1, keepdims=True)
+        if np.abs(new - belongs).max() < tolerance:
             break
-        before = good
-    return float(share), prob
+        belongs = new
+    return shares, prob
+
+
+def rule_accuracy(shares: np.ndarray, prob: np.ndarray) -> np.ndarray:
+    """P(the document is bad | the rule votes bad), by rule."""
+    votes = prob[:, :, 0] * shares
+    return votes[:, 1:].sum(1) / votes.sum(1)
 
 
 def judge(stats: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -150,11 +163,14 @@ def judge(stats: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     counts come from all rows, by partial aggregation."""
     votes = [r.vote() for r in rules]
     rows = stats.select(*[v.alias(f"v{k}") for k, v in enumerate(votes)]).groupBy(*[f"v{k}" for k in range(len(rules))]).count().collect()
-    share, prob = fit(np.array([r[:-1] for r in rows], int).reshape(-1, len(rules)), np.array([r[-1] for r in rows], float))
-    odds = F.lit(float(np.log(share / (1 - share))))
-    for vote, p in zip(votes, np.log(prob[:, 1] / prob[:, 0])):
-        odds = odds + F.element_at(F.array(*[F.lit(float(x)) for x in p]), vote + 1)
-    return stats.withColumn("quality", 1 / (1 + F.exp(-odds)))
+    shares, prob = fit(np.array([r[:-1] for r in rows], int).reshape(-1, len(rules)), np.array([r[-1] for r in rows], float))
+    against = F.lit(0.0)  # odds of all kinds of bad to good
+    for c in range(1, len(shares)):
+        odds = F.lit(float(np.log(shares[c] / shares[0])))
+        for vote, p in zip(votes, np.log(prob[:, c] / prob[:, 0])):
+            odds = odds + F.element_at(F.array(*[F.lit(float(x)) for x in p]), vote + 1)
+        against = against + F.exp(odds)
+    return stats.withColumn("quality", 1 / (1 + against))
 
 
 def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 0.5) -> DataFrame:
