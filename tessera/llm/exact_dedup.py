@@ -28,8 +28,9 @@ def normalise(text: Column) -> Column:
 def chunks(text: Column, shortest: int = 256, longest: int = 4096) -> Column:
     """Content-defined chunks: each ends at the first sentence or line end from
     its ``shortest``-th character on, or at ``longest`` characters.  Joined
-    they give the text; the empty text has none."""
-    pattern = f"[\\s\\S]{{{shortest - 1},{longest - 1}}}?[{CUT_AFTER}]|[\\s\\S]{{1,{longest}}}"
+    they give the text; the empty text has none.  The quantifiers are
+    possessive, so the pattern never goes back."""
+    pattern = f"(?s).{{1,{shortest - 1}}}+[^{CUT_AFTER}]{{0,{longest - shortest}}}+.?"
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
 
@@ -52,9 +53,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ranks join the recipe, so equal recipes always mean equal texts."""
     text = docs.select(F.col(id_col).alias("_id"), normalise(F.col(text_col)).alias("_text"))
     cut = text.select("_id", F.sha2("_text", 256).alias("_sha"), chunks(F.col("_text"), shortest, longest).alias("_chunks"))
-    rows = cut_lineage(cut.select(
-        "_id", "_sha", F.monotonically_increasing_id().alias("_row"),
-        F.transform("_chunks", identify).alias("_recipe")))
+    # Written once: the recipes are read without the chunks, the chunks without cutting again.
+    cut = cut_lineage(cut.select("*", F.monotonically_increasing_id().alias("_row"), F.transform("_chunks", identify).alias("_recipe")))
+    rows = cut.drop("_chunks")
 
     pieces = cut.select("_sha", F.posexplode("_chunks").alias("_pos", "_chunk")).withColumn("_h", identify(F.col("_chunk")))
     distinct = pieces.select("_h", "_chunk").distinct()
