@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, chat, langid, mixing, quality, url_filter
+from tessera.llm import bpe, chat, langid, mixing, quality, simhash, url_filter
 from tessera.llm import exact_dedup as dedup
 from tessera.sources.tables import table
 
@@ -145,3 +145,10 @@ def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = langid.fit(docs.where(~held_out()))
     rows = docs.select("doc_id", held_out().alias("held_out"), "text")
     return langid.predict(rows, model).drop("text")
+
+
+@_query()
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near copies among all documents: SimHash over 4-word shingles, 4 bits."""
+    out = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, distance=4)
+    return out.select("doc_id", "fingerprint", "component_id", "kept")
