@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, chat, langid, mixing, quality, simhash, url_filter
+from tessera.llm import bpe, chat, langid, mixing, quality, simhash, toxicity, url_filter
 from tessera.llm import exact_dedup as dedup
 from tessera.sources.tables import table
 
@@ -152,3 +152,18 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near copies among all documents: SimHash over 4-word shingles, 4 bits."""
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, distance=4)
     return out.select("doc_id", "fingerprint", "component_id", "kept")
+
+
+def toxicity_model(docs: DataFrame, labels: DataFrame):
+    """Learned from the labels of documents that aren't held out."""
+    train = labels.select("doc_id", "toxic").where(~held_out())
+    return toxicity.fit(docs.select("doc_id", "text"), train)
+
+
+@_query()
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, from all its overlapping windows."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    net = toxicity_model(docs, table(spark, sf_dir, "labels"))
+    out = toxicity.score(docs.select("doc_id", held_out().alias("held_out"), "text"), net)
+    return out.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
