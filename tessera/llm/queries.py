@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, chat, langid, mixing, quality, simhash, toxicity, url_filter
+from tessera.llm import bpe, chat, langid, mixing, quality, simhash, substring, toxicity, url_filter
 from tessera.llm import exact_dedup as dedup
 from tessera.sources.tables import table
 
@@ -167,3 +167,9 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     net = toxicity_model(docs, table(spark, sf_dir, "labels"))
     out = toxicity.score(docs.select("doc_id", held_out().alias("held_out"), "text"), net)
     return out.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@_query()
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words of repeated 35-word windows."""
+    return substring.remove_repeats(table(spark, sf_dir, "documents"), window=35)
