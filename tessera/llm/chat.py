@@ -53,18 +53,23 @@ def align(spans: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray
     """Mask of the tokens that meet a span, and the parts of the spans that
     masked tokens cover, joined where they touch within a span.  Both inputs
     are (start, end) rows in order."""
-    if not len(spans) or not len(tokens):
-        return np.zeros(len(tokens), bool), np.zeros((0, 2), np.int64)
-    k = np.searchsorted(spans[:, 1], tokens[:, 0], "right")  # the first span that ends after the token's start
-    near = np.minimum(k, len(spans) - 1)
-    begin, end = np.maximum(tokens[:, 0], spans[near, 0]), np.minimum(tokens[:, 1], spans[near, 1])
-    mask = (k < len(spans)) & (begin < end)
-    begin, end, near = begin[mask], np.maximum.accumulate(end[mask]) if mask.any() else end[mask], near[mask]
-    fresh = np.ones(len(begin), bool)
-    fresh[1:] = (near[1:] != near[:-1]) | (begin[1:] > end[:-1])
-    first = np.flatnonzero(fresh)
-    last = np.append(first[1:], len(begin)) - 1 if len(first) else first
-    return mask, np.stack([begin[first], end[last]], 1) if len(first) else np.zeros((0, 2), np.int64)
+    first = np.searchsorted(tokens[:, 1], spans[:, 0], "right")
+    after = np.maximum(np.searchsorted(tokens[:, 0], spans[:, 1], "left"), first)
+    size = after - first
+    span = np.repeat(np.arange(len(spans)), size)  # a row for each span and token that meet
+    token = np.arange(len(span)) - np.repeat(np.cumsum(size) - size, size) + first[span]
+    begin, end = np.maximum(tokens[token, 0], spans[span, 0]), np.minimum(tokens[token, 1], spans[span, 1])
+    real = begin < end
+    span, token, begin, end = span[real], token[real], begin[real], end[real]
+    mask = np.zeros(len(tokens), bool)
+    mask[token] = True
+    if not len(span):
+        return mask, np.zeros((0, 2), np.int64)
+    end = np.maximum.accumulate(end)
+    fresh = np.ones(len(span), bool)
+    fresh[1:] = (span[1:] != span[:-1]) | (begin[1:] > end[:-1])
+    head = np.flatnonzero(fresh)
+    return mask, np.stack([begin[head], end[np.append(head[1:], len(span)) - 1]], 1)
 
 
 def _tokenizer(source: str):

@@ -85,8 +85,8 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """``docs`` (all columns) without the rows that :func:`exact_dedup` drops."""
     kept = (exact_dedup(docs, id_col, text_col).where("kept")
             .select(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha")))
-    keyed = docs.withColumns({"_key_id": F.col(id_col), "_key_sha": F.sha2(normalise(F.col(text_col)), 256)})
+    keyed = docs.select(F.struct("*").alias("_doc"), F.col(id_col).alias("_key_id"), F.sha2(normalise(F.col(text_col)), 256).alias("_key_sha"))
     matched = keyed.join(kept, F.col("_key_id").eqNullSafe(F.col("_id")) & (F.col("_key_sha") == F.col("_sha")))
     # Rows that repeat id and text all match; the window reuses the join's order.
     first = F.row_number().over(Window.partitionBy("_key_id", "_key_sha").orderBy(F.lit(1)))
-    return matched.withColumn("_first", first).where("_first = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return matched.withColumn("_first", first).where("_first = 1").select("_doc.*")

@@ -106,7 +106,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     alone.  Null texts, texts without a letter, and all texts if nothing was
     learned: ``und`` and 0.  Columns of these names are replaced."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kept = docs.select(*[f"`{c}`" for c in docs.columns if c not in ("lang_pred", "score")])
+    kept = docs.select(*[f"`{c}`" for c in docs.columns if c.lower() not in ("lang_pred", "score")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value

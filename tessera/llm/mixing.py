@@ -132,6 +132,6 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "
     """The rows of ``docs`` (all columns), each as often as the mix takes it.
     Texts are not shuffled: a row's hash and its source's threshold decide."""
     told = mix_thresholds(_measured(docs, id_col, source_col, text_col), weights, most)
-    mixed = _with_copies(docs, told, F.col(source_col), id_hash(F.col(id_col)))
-    taken = mixed.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("_copies").cast("int"))))
-    return taken.select(*[F.col(f"`{c}`") for c in docs.columns])
+    whole = docs.select(F.struct("*").alias("_doc"), F.col(source_col).alias("_source"), id_hash(F.col(id_col)).alias("_h"))
+    mixed = _with_copies(whole, told, F.col("_source"), F.col("_h"))
+    return mixed.select("_doc", F.explode(F.array_repeat(F.lit(1), F.col("_copies").cast("int")))).select("_doc.*")

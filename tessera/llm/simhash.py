@@ -76,7 +76,7 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "_text", 2 << 20):
+            for part in slices(batch, "_text"):
                 texts = [x or b"" for x in part.column("_text").cast(pa.binary()).to_pylist()]
                 fp = fingerprints(texts, shingle).view(np.int64)
                 yield pa.RecordBatch.from_arrays([part.column("_id"), part.column("_text_hash"), pa.array(fp)], names=["_id", "_text_hash", "_fp"])
@@ -275,4 +275,5 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     kept = (near_duplicates(docs, id_col, text_col, shingle, distance).where("kept")
             .select(F.col(id_col).alias("_id"), F.col("text_hash").alias("_h")).distinct())
     mine = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    return docs.join(kept, F.col(id_col).eqNullSafe(F.col("_id")) & (mine == F.col("_h")), "left_semi")
+    whole = docs.select(F.struct("*").alias("_doc"), F.col(id_col).alias("_key"), mine.alias("_mine"))
+    return whole.join(kept, F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_mine") == F.col("_h")), "left_semi").select("_doc.*")
