@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from tessera.llm.words import slices
 
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000
 
 
 def byte_symbols() -> list[str]:
@@ -32,6 +32,20 @@ def byte_symbols() -> list[str]:
     return [chr(b if b in plain else next(spare)) for b in range(256)]
 
 
+def vocabulary(source: str) -> np.ndarray:
+    """Token of each id (None: no such id)."""
+    spec = json.loads(source)
+    ids = spec["model"]["vocab"] | {t["content"]: t["id"] for t in spec["added_tokens"]}
+    tokens = np.full(max(ids.values(), default=-1) + 1, None, object)
+    tokens[list(ids.values())] = list(ids)
+    return tokens
+
+
+def decode_ids(tokens: np.ndarray, ids: np.ndarray) -> str:
+    """Tokens joined by spaces, as without a decoder; ids without a token are left out."""
+    return " ".join(t for t in tokens[ids[ids < len(tokens)]].tolist() if t is not None)
+
+
 class Bpe:
     """The tokenizer in ``source`` (the JSON text)."""
 
@@ -50,9 +64,6 @@ class Bpe:
         names = byte_symbols()
         self.inner = np.array([vocab[c] for c in names], np.int64)
         self.final = np.array([vocab[c + end] for c in names], np.int64)
-        self.tokens = np.full(max(chain(vocab.values(), self.special.values())) + 1, None, object)
-        for token, k in chain(vocab.items(), self.special.items()):
-            self.tokens[k] = token
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         made = {a + b: r for r, (a, b) in enumerate(pairs)}
         if len(made) != len(pairs) or any(made.get(x, -1) >= r for r, p in enumerate(pairs) for x in p):
@@ -135,21 +146,16 @@ class Bpe:
         words_upto = np.cumsum([0, *map(len, parts)])
         return out, np.concatenate([[0], np.cumsum(n)])[words_upto]
 
-    def decode(self, ids: np.ndarray) -> str:
-        """Tokens joined by spaces, as without a decoder; ids without a token are left out."""
-        ids = ids[ids < len(self.tokens)]
-        return " ".join(t for t in self.tokens[ids].tolist() if t is not None)
-
 
-_LOADED: dict[int, Bpe] = {}
+_LOADED: dict[tuple, object] = {}
 
 
-def _load(shared) -> Bpe:
-    """One tokenizer for a Python worker, also over several tasks."""
-    key = hash(shared.value)
+def _load(kind, shared):
+    """``kind`` of the broadcast file, made once in a Python worker, also over several tasks."""
+    key = (kind.__name__, hash(shared.value))
     if key not in _LOADED:
         _LOADED.clear()
-        _LOADED[key] = Bpe(shared.value)
+        _LOADED[key] = kind(shared.value)
     return _LOADED[key]
 
 
@@ -168,10 +174,10 @@ def encode(df: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids
     integers (binary).  Null texts count as empty and have no ids.  A column
     of that name is replaced; all other columns and all rows stay."""
     shared = _share(df, path)
-    kept = df.select(*[f"`{c}`" for c in df.columns if c != ids_col])
+    kept = df.select(*[f"`{c}`" for c in df.columns if c.lower() != ids_col.lower()])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = _load(shared)
+        bpe = _load(Bpe, shared)
         for batch in batches:
             for part in slices(batch, text_col):
                 ids, off = bpe.encode([t or "" for t in part.column(text_col).to_pylist()])
@@ -185,13 +191,13 @@ def decode(df: DataFrame, path: str, ids_col: str = "ids", out_col: str = "decod
     """``df`` with ``out_col``: the text of the ids in ``ids_col`` (binary as made by
     :func:`encode`; null: empty text)."""
     shared = _share(df, path)
-    kept = df.select(*[f"`{c}`" for c in df.columns if c != out_col])
+    kept = df.select(*[f"`{c}`" for c in df.columns if c.lower() != out_col.lower()])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = _load(shared)
+        tokens = _load(vocabulary, shared)
         for batch in batches:
             for part in slices(batch, ids_col):
-                out = pa.array([bpe.decode(np.frombuffer(x or b"", "<u4")) for x in part.column(ids_col).to_pylist()], pa.string())
+                out = pa.array([decode_ids(tokens, np.frombuffer(x or b"", "<u4")) for x in part.column(ids_col).to_pylist()], pa.string())
                 yield pa.RecordBatch.from_arrays([*part.columns, out], names=[*part.schema.names, out_col])
 
     return kept.mapInArrow(run, plus(kept, out_col, T.StringType()))

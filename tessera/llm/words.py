@@ -18,7 +18,7 @@ _NOT_SPACE[[0x20, *range(0x09, 0x0E)]] = False
 _SEED = np.uint64(0x9E3779B97F4A7C15)
 
 
-def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Row slices of ``batch`` holding about ``max_bytes`` of text each (always
     whole rows), so that temporary arrays are bounded by the larger of
     ``max_bytes`` and one text."""
