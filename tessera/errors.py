@@ -20,10 +20,12 @@ ERRORS = {
     "701144": "AI:ERROR_HTML_TO_TEXT",
     "701151": "AI:ERROR_INVALID_SPLITTING_STRATEGY",
     "701152": "AI:ERROR_FAILED_TO_SPLIT",
+    "701161": "AI:ERROR_EMBEDDING_GENERATION",
     "701162": "AI:ERROR_INVALID_INPUT_FOR_EMBEDDING_GENERATION",
     "701171": "AI:ERROR_INVALID_INPUT_FOR_CHAT_KNOWLEDGE",
     "701172": "AI:ERROR_INVALID_INPUT_FOR_CHAT_MEMORY",
     "701173": "AI:ERROR_INVALID_OUTPUT_TYPE",
+    "701174": "AI:ERROR_CHAT_COMPLETION",
     "701181": "AI:ERROR_PARSE_PROMPT",
     "701191": "AI:ERROR_EXCEEDED_SEQUENTIAL_TOOL_EXECUTIONS",
     "701192": "AI:ERROR_INVALID_TOOL_CONFIGURATION",
@@ -35,10 +37,12 @@ PARSE_ERROR = "701141"
 UNSUPPORTED_PARSER_TYPE = "701143"
 INVALID_STRATEGY = "701151"
 FAILED_TO_SPLIT = "701152"
+EMBEDDING_GENERATION = "701161"
 INVALID_EMBED_INPUT = "701162"
 INVALID_KNOWLEDGE = "701171"
 INVALID_MEMORY = "701172"
 INVALID_OUTPUT_TYPE = "701173"
+CHAT_COMPLETION = "701174"
 PROMPT_ERROR = "701181"
 TOO_MANY_TOOL_CALLS = "701191"
 INVALID_TOOL_CONFIG = "701192"

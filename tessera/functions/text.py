@@ -6,6 +6,8 @@ in Java regex and in RE2, which keeps the SQL oracle honest.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -88,18 +90,29 @@ def content_uuid(text) -> Column:
                     F.lit("-"), F.substring(h, 21, 12))
 
 
+# The pattern of a summary in a model's answer, and that of a
+# comma to drop from JSON arguments.
+SUMMARY = r"(?s)<summary>\s*(.+?)\s*</summary>"
+TRAILING_COMMA = r",(\s*[}\]])"
+
+
 def summary_extract(text) -> Column:
     """First ``<summary>`` body (trimmed); no tag -> whole trimmed text; NULL -> ''."""
     t = _c(text)
-    inner = F.regexp_extract(t, r"(?s)<summary>\s*(.+?)\s*</summary>", 1)
     return (F.when(t.isNull() | (F.length(t) == 0), F.lit(""))
-            .when(t.rlike(r"(?s)<summary>\s*(.+?)\s*</summary>"), inner)
+            .when(t.rlike(SUMMARY), F.regexp_extract(t, SUMMARY, 1))
             .otherwise(jtrim(t)))
 
 
+def summary_of(answer: str | None) -> str:
+    """The same for one text, inside a task."""
+    found = re.search(SUMMARY, answer or "", re.ASCII)
+    return found[1] if found else (answer or "").strip(" \t\n\r\f\v")
+
+
 def repair_json_args(args) -> Column:
     """Drop a trailing comma before ``}`` or ``]``."""
-    return F.regexp_replace(_c(args), r",(\s*[}\]])", "$1")
+    return F.regexp_replace(_c(args), TRAILING_COMMA, "$1")
 
 
 def tool_args_map(args) -> Column:

@@ -17,24 +17,37 @@ from tessera import errors as E
 CompleteFn = Callable[[list[str]], list[str | None]]
 
 
+def answers(fn: CompleteFn, prompts: list[str]) -> list[str | None]:
+    """One answer per prompt from one call of the model.  If the call fails, each
+    prompt is tried alone, and only those that fail again are None."""
+    if not prompts:
+        return []
+    try:
+        out = list(fn(prompts))
+    except Exception:  # noqa: BLE001 - whatever a model raises
+        if len(prompts) == 1:
+            return [None]
+        return [x for p in prompts for x in answers(fn, [p])]
+    if len(out) != len(prompts):
+        raise ValueError("completion function must return one answer per prompt")
+    return out
+
+
 def complete(df: DataFrame, fn_factory: Callable[[], CompleteFn], *, prompt_col: str = "prompt",
-             out_col: str = "answer") -> DataFrame:
-    """Add ``out_col`` (STRING, NULL when the model failed for that row)."""
+             out_col: str = "answer", code_col: str | None = None) -> DataFrame:
+    """Add ``out_col`` (STRING, NULL when the model failed for that row) and, if
+    named, ``code_col`` (701174 for those rows)."""
     schema = T.StructType(df.schema.fields + [T.StructField(out_col, T.StringType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fn = fn_factory()
         for pdf in batches:
-            prompts = pdf[prompt_col].tolist()
-            try:
-                out = list(fn(prompts))
-            except Exception:  # noqa: BLE001 - failures become NULL rows
-                out = [None] * len(prompts)
-            if len(out) != len(prompts):
-                raise ValueError("completion function must return one answer per prompt")
-            pdf[out_col] = out
+            pdf[out_col] = answers(fn, pdf[prompt_col].tolist())
             yield pdf
-    return df.mapInPandas(run, schema)
+    out = df.mapInPandas(run, schema)
+    if code_col is not None:
+        out = out.withColumn(code_col, F.when(F.col(out_col).isNull(), F.lit(E.CHAT_COMPLETION)))
+    return out
 
 
 # The output types a chat call can be coerced to.
@@ -57,25 +70,3 @@ def coerce_output(text_col: str, type_col: str) -> dict[str, F.Column]:
             .when((ty == "float") & as_float.isNull(), F.lit(E.INVALID_OUTPUT_TYPE)))
     return {"int_value": as_int, "float_value": as_float, "bool_value": as_bool,
             "str_value": as_str, "error_code": code}
-
-
-def extractive_answer_factory() -> CompleteFn:
-    """Deterministic stand-in model used by tests and registered queries:
-    answers with the first sentence of the last non-empty paragraph of the
-    prompt (ASCII whitespace rules), wrapped in ``<summary>`` tags."""
-    import re
-
-    ws = " \t\n\r\f\v"
-
-    def fn(prompts: list[str]) -> list[str | None]:
-        out = []
-        for p in prompts:
-            if p is None:
-                out.append(None)
-                continue
-            paras = [x.strip(ws) for x in re.split(r"\n\s*\n", p, flags=re.ASCII) if x.strip(ws)]
-            last = paras[-1] if paras else ""
-            first = re.split(r"(?<=[.!?])\s+", last, maxsplit=1, flags=re.ASCII)[0]
-            out.append(f"<analysis>extractive</analysis>\n<summary>\n{first}\n</summary>")
-        return out
-    return fn

@@ -14,7 +14,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.text import summary_extract
 from tessera.operators.util import previous_value
 
 DEFAULT_SYSTEM_PROMPT = "You are a helpful assistant."
@@ -120,8 +119,8 @@ def transcript_line(type_col="type", text_col="text") -> Column:
 
 
 def transcript(window: DataFrame, *, session_col: str = "session_id") -> DataFrame:
-    """Ordered ``User: / Assistant:`` transcript per session.  Call it on a
-    window that is already bounded (``last_n``): the group is then small."""
+    """Ordered ``User: / Assistant:`` transcript per session, one string each:
+    bound very long sessions with ``last_n`` first."""
     lines = window.select(session_col, "seq", transcript_line().alias("line")).where(
         F.col("line").isNotNull())
     return (lines.groupBy(session_col)
@@ -158,33 +157,6 @@ def rebuild_with_summary(system_msgs: DataFrame, summaries: DataFrame, *,
     return sys_rows.unionByName(sum_rows)
 
 
-def summarize_overflowing(messages: DataFrame, limit: int, keep_last: int, complete_fn, *,
-                          session_col: str = "session_id") -> DataFrame:
-    """Sessions with at least ``limit`` messages (and more than 2) are replaced
-    by their system message + a summary of their last ``keep_last`` messages;
-    the summary is the ``<summary>`` part of ``complete_fn``'s answer.  When
-    the model returns nothing the trimmed window is kept instead."""
-    from tessera.operators.infer import complete
-
-    ov = overflow(messages, limit, session_col=session_col).where(
-        F.col("overflow") & (F.col("n_messages") > 2)).select(session_col)
-    msgs = messages.join(ov, session_col, "left_semi")
-    window = last_n(msgs, keep_last, session_col=session_col)
-    tr = transcript(window.where(F.col("type") != "SYSTEM"), session_col=session_col)
-    prompts = tr.select(session_col, F.concat(F.lit(SUMMARY_PROMPT), F.col("transcript")).alias("prompt"))
-    answers = complete(prompts, complete_fn, prompt_col="prompt", out_col="answer")
-    summaries = answers.select(session_col, summary_extract("answer").alias("summary"),
-                               F.col("answer").isNull().alias("_failed"))
-    first_sys = (msgs.where(F.col("type") == "SYSTEM").groupBy(session_col)
-                 .agg(F.min_by("text", "seq").alias("text")))
-    ok = summaries.where(~F.col("_failed") & (F.length("summary") > 0))
-    rebuilt = rebuild_with_summary(first_sys.join(ok, session_col, "left_semi"), ok,
-                                   session_col=session_col)
-    fallback = (window.join(ok, session_col, "left_anti")
-                .select(session_col, "seq", "type", "text"))
-    return rebuilt.unionByName(fallback)
-
-
 def trim_list(arr, n: int | None) -> Column:
     """Last ``n`` elements of an array column; ``None`` keeps everything."""
     a = F.col(arr) if isinstance(arr, str) else arr

@@ -407,7 +407,8 @@ def q_batch_complete(spark, sf_dir):
     """M2: chat completion over a table of prompts (the benchmark passages)
     through the Arrow-batched hook, with the deterministic stand-in model."""
     from tessera.functions.prompt import render_prompts
-    from tessera.operators.infer import complete, extractive_answer_factory
+    from tessera.operators.infer import complete
+    from tessera.plans.standin import extractive_answer_factory
     b = table(spark, sf_dir, "benchmark")
     prompts = render_prompts(b, "Summarise:\n\n${text}")
     return complete(prompts.select("item_id", "prompt"), extractive_answer_factory).select("item_id", "answer")
@@ -427,7 +428,7 @@ FROM pr
 def q_rag_chat(spark, sf_dir):
     """M6: each benchmark passage as a question: retrieve from the document
     store, render the prompt with the knowledge, complete, coerce."""
-    from tessera.operators.infer import extractive_answer_factory
+    from tessera.plans.standin import extractive_answer_factory
     from tessera.plans.knowledge import rag_chat
     rows = knowledge_rows(_docs(spark, sf_dir), parse_docs=False, split=False)
     store = cut_lineage(rows.where(F.col("status") == "written").select("id", "embedding", "text", "metadata"))

@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from tessera.functions.text import summary_extract
 from tessera.operators import memory as M
-from tessera.operators.infer import extractive_answer_factory
 from tessera.plans import fixtures as FX
+from tessera.operators.summaries import continue_memories
 from tessera.plans import sqlgen as G
+from tessera.plans.standin import extractive_answer_factory, failing_answer_factory
 from tessera.plans.registry import register
 from tessera.sources import memory_store as MS
 from tessera.sources.tables import table
@@ -140,11 +141,9 @@ def q_memory_overflow(spark, sf_dir):
 
 _TRANSCRIPT_SQL = f"""
 WITH {FX.MESSAGES_SQL},
-r AS (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY seq DESC) AS rn FROM messages),
-w AS (SELECT * FROM r WHERE rn <= {WINDOW_N}),
 l AS (SELECT session_id, seq, CASE WHEN type = 'USER' THEN 'User: ' || coalesce(text, '') || chr(10)
                                    WHEN type = 'AI' AND text IS NOT NULL THEN 'Assistant: ' || text || chr(10) END AS line
-      FROM w),
+      FROM messages),
 t AS (SELECT session_id, string_agg(line, '' ORDER BY seq) AS transcript, count(*)::INTEGER AS n_lines
       FROM l WHERE line IS NOT NULL GROUP BY session_id)
 """
@@ -152,49 +151,75 @@ t AS (SELECT session_id, string_agg(line, '' ORDER BY seq) AS transcript, count(
 
 @register("transcript", _TRANSCRIPT_SQL + "SELECT session_id, transcript, n_lines FROM t")
 def q_transcript(spark, sf_dir):
-    """User/Assistant transcript of the last 4 messages per session."""
-    return M.transcript(M.last_n(FX.messages(spark, sf_dir), WINDOW_N))
+    """User/Assistant transcript of every session."""
+    return M.transcript(FX.messages(spark, sf_dir))
 
 
-@register("memory_rebuild", _TRANSCRIPT_SQL + f"""
-, s AS (SELECT session_id, arg_min(text, seq) AS text FROM messages WHERE type = 'SYSTEM' GROUP BY session_id)
+@register("memory_rebuild", f"""
+WITH {FX.MESSAGES_SQL},
+l AS (SELECT session_id, seq, CASE WHEN type = 'USER' THEN 'User: ' || coalesce(text, '') || chr(10)
+                                   WHEN type = 'AI' AND text IS NOT NULL THEN 'Assistant: ' || text || chr(10) END AS line
+      FROM messages),
+t AS (SELECT session_id, string_agg(line, '' ORDER BY seq) AS transcript FROM l WHERE line IS NOT NULL GROUP BY session_id),
+s AS (SELECT session_id, arg_min(text, seq) AS text FROM messages WHERE type = 'SYSTEM' GROUP BY session_id)
 SELECT session_id, 0::BIGINT AS seq, 'SYSTEM' AS type, text FROM s WHERE session_id IN (SELECT session_id FROM t)
 UNION ALL
 SELECT session_id, 1::BIGINT, 'USER', '{M.SUMMARY_PREFIX.replace(chr(10), "' || chr(10) || '")}' || transcript FROM t
 """)
 def q_memory_rebuild(spark, sf_dir):
     """Memory rebuilt as system message + summary message (the summary
-    here is the last-4 transcript)."""
+    here is the transcript of the whole session)."""
     msgs = FX.messages(spark, sf_dir)
-    tr = M.transcript(M.last_n(msgs, WINDOW_N)).select("session_id", F.col("transcript").alias("summary"))
+    tr = M.transcript(msgs).select("session_id", F.col("transcript").alias("summary"))
     sys_msgs = (msgs.where(F.col("type") == "SYSTEM").groupBy("session_id")
                 .agg(F.min_by("text", "seq").alias("text")).join(tr, "session_id", "left_semi"))
     return M.rebuild_with_summary(sys_msgs, tr)
 
 
-@register("memory_summarize", f"""
-WITH {FX.MESSAGES_SQL},
-ov AS (SELECT session_id FROM messages GROUP BY session_id HAVING count(*) >= {OVERFLOW_LIMIT} AND count(*) > 2),
-msgs AS (SELECT * FROM messages WHERE session_id IN (SELECT session_id FROM ov)),
-r AS (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY seq DESC) AS rn FROM msgs),
-w AS (SELECT * FROM r WHERE rn <= {WINDOW_N}),
-l AS (SELECT session_id, seq, CASE WHEN type = 'USER' THEN 'User: ' || coalesce(text, '') || chr(10)
-                                   WHEN type = 'AI' AND text IS NOT NULL THEN 'Assistant: ' || text || chr(10) END AS line
-      FROM w WHERE type <> 'SYSTEM'),
-t AS (SELECT session_id, string_agg(line, '' ORDER BY seq) AS transcript FROM l WHERE line IS NOT NULL GROUP BY session_id),
-a AS (SELECT session_id, {G.extractive_answer(G.q(M.SUMMARY_PROMPT) + ' || transcript')} AS answer FROM t),
-s AS (SELECT session_id, {G.summary_of('answer')} AS summary FROM a),
-ok AS (SELECT * FROM s WHERE length(summary) > 0),
-sys AS (SELECT session_id, arg_min(text, seq) AS text FROM msgs WHERE type = 'SYSTEM' GROUP BY session_id)
-SELECT session_id, 0::BIGINT AS seq, 'SYSTEM' AS type, text FROM sys WHERE session_id IN (SELECT session_id FROM ok)
-UNION ALL SELECT session_id, 1::BIGINT, 'USER', {G.q(M.SUMMARY_PREFIX)} || summary FROM ok
-UNION ALL SELECT session_id, seq, type, text FROM w WHERE session_id NOT IN (SELECT session_id FROM ok)
-""")
+MEMORY_LIMIT = 4
+
+
+def memory_sql(fails: str = "false") -> str:
+    """Memories after all messages, one message a step; the model fails where
+    ``fails`` (over ``prompt``) holds."""
+    body = "CASE WHEN mem[1].type = 'SYSTEM' THEN mem[2:] ELSE mem END"
+    line = ("CASE WHEN x.type = 'USER' THEN 'User: ' || coalesce(x.text, '') || chr(10) "
+            "WHEN x.type = 'AI' AND x.text IS NOT NULL THEN 'Assistant: ' || x.text || chr(10) ELSE '' END")
+    summary = {"seq": "mem[-1].seq", "type": "'USER'", "text": f"{G.q(M.SUMMARY_PREFIX)} || {G.summary_of('answer')}"}
+    return f"""
+WITH RECURSIVE {FX.MESSAGES_SQL},
+m AS (SELECT session_id, seq::BIGINT AS seq, type, text, row_number() OVER (PARTITION BY session_id ORDER BY seq) AS i FROM messages),
+r AS (
+  SELECT session_id, i, [{{'seq': seq, 'type': type, 'text': text}}] AS mem FROM m WHERE i = 1
+  UNION ALL
+  SELECT session_id, i, list_append(CASE
+      WHEN len(mem) < {MEMORY_LIMIT} OR len(mem) <= 2 THEN mem
+      WHEN {fails} THEN CASE WHEN mem[1].type = 'SYSTEM' THEN list_concat(mem[1:1], mem[3:]) ELSE mem[2:] END
+      ELSE list_append(CASE WHEN mem[1].type = 'SYSTEM' THEN mem[1:1] ELSE mem[1:0] END,
+                       {{'seq': {summary['seq']}, 'type': {summary['type']}, 'text': {summary['text']}}}) END,
+      {{'seq': seq, 'type': type, 'text': text}}) AS mem
+  FROM (SELECT *, {G.extractive_answer('prompt')} AS answer
+        FROM (SELECT session_id, m.i AS i, m.seq AS seq, m.type AS type, m.text AS text, mem,
+                     {G.q(M.SUMMARY_PROMPT)} || array_to_string(list_transform({body}, lambda x: {line}), '') AS prompt
+              FROM r JOIN m USING (session_id) WHERE m.i = r.i + 1))),
+f AS (SELECT session_id, mem FROM (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY i DESC) AS rn FROM r) WHERE rn = 1)
+SELECT session_id, mem[u.k].seq AS seq, mem[u.k].type AS type, mem[u.k].text AS text, (u.k - 1)::INTEGER AS pos
+FROM f, unnest(range(1, len(mem) + 1)) AS u(k)
+"""
+
+
+@register("memory_summarize", memory_sql())
 def q_memory_summarize(spark, sf_dir):
-    """M3/M7: overflowing sessions (>= 6 messages) summarised by the batch
-    completion hook (deterministic extractive stand-in) and rebuilt."""
-    return M.summarize_overflowing(FX.messages(spark, sf_dir), OVERFLOW_LIMIT, WINDOW_N,
-                                   extractive_answer_factory)
+    """Memories after all messages; a full one (4 messages) is summarised
+    when the next message comes, which is then added."""
+    return continue_memories(FX.messages(spark, sf_dir), MEMORY_LIMIT, extractive_answer_factory)
+
+
+@register("memory_summarize_failing", memory_sql("length(prompt) % 3 = 0"))
+def q_memory_summarize_failing(spark, sf_dir):
+    """M7: the same where the model raises for some prompts; those memories drop
+    their oldest message instead, the others are summarised."""
+    return continue_memories(FX.messages(spark, sf_dir), MEMORY_LIMIT, failing_answer_factory)
 
 
 @register("summary_extract", """

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from tessera.plans import fixtures as FX
 from tessera.plans.knowledge import knowledge_rows
 from tessera.plans.q_knowledge import _RETRIEVAL_SQL, RAG_K, RAG_MIN_SCORE
-from tessera.plans.q_memory import WINDOW_N
+from tessera.plans.q_memory import MEMORY_LIMIT, WINDOW_N, memory_sql
 from tessera.plans.q_tools import TIMEOUT_SECONDS
 from tessera.plans.registry import register
+from tessera.plans.standin import extractive_answer_factory
 from tessera.session import cut_lineage
 from tessera.sources.tables import table
 from tessera.sources.vector_store import scratch_path, store_scan
@@ -18,14 +19,29 @@ from tessera.streaming.ingest import ingest_stream
 from tessera.streaming.questions import answer_stream
 from tessera.streaming.runner import file_stream, run_available_now
 from tessera.streaming.sessions import latest_windows, running_window
+from tessera.streaming.summaries import summarizing_memory
 from tessera.streaming.tool_calls import stream_match
 
 WATERMARK_DELAY_SECONDS = 3600
 
 
-def _stream(spark, sf_dir, name):
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    return file_stream(spark, path, spark.read.parquet(path).schema)
+STREAM_PARTS, FILES_PER_PART = 3, 4
+
+
+def _stream(spark, sf_dir, name, order, key):
+    """The table as a stream of several micro-batches: its rows by ranges of
+    ``order``, one range after the other, rows of a ``key`` together."""
+    rows = table(spark, sf_dir, name)
+    bounds = rows.approxQuantile(order, [k / STREAM_PARTS for k in range(1, STREAM_PARTS)], 0.01)
+    path = scratch_path(spark, f"{name}-stream")
+    for low, high in zip([None, *bounds], [*bounds, None]):
+        part = rows
+        if low is not None:
+            part = part.where(F.col(order) >= low)
+        if high is not None:
+            part = part.where(F.col(order) < high)
+        part.repartition(FILES_PER_PART, key).write.mode("append").parquet(path)
+    return file_stream(spark, path, rows.schema, max_files_per_trigger=FILES_PER_PART)
 
 
 @register("stream_ingest", r"""
@@ -37,7 +53,7 @@ def q_stream_ingest(spark, sf_dir):
     """Documents arriving as a stream are ingested batch by batch
     (idempotent by content id); the store then holds one row per text."""
     path = scratch_path(spark, "stream-store")
-    docs = _stream(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = _stream(spark, sf_dir, "documents", "doc_id", "doc_id").select("doc_id", "text")
     ingest_stream(docs, path, "kb", None, parse_docs=False, split=False)
     return store_scan(spark, path, "kb").select(F.col("metadata")["doc_id"].cast("bigint").alias("doc_id"))
 
@@ -51,7 +67,7 @@ FROM r WHERE rn <= {WINDOW_N}
 def q_stream_session_window(spark, sf_dir):
     """Running last-4 window per session kept in bounded state; the
     newest emitted window equals the batch window."""
-    msgs = FX.messages(spark, sf_dir, _stream(spark, sf_dir, "conversations"))
+    msgs = FX.messages(spark, sf_dir, _stream(spark, sf_dir, "conversations", "turn", "conv_id"))
     out = run_available_now(running_window(msgs, WINDOW_N), name="session-window")
     return latest_windows(spark.read.parquet(out)).select("session_id", "seq", "type", "pos")
 
@@ -103,20 +119,17 @@ def q_stream_questions(spark, sf_dir):
     rows = knowledge_rows(table(spark, sf_dir, "documents").select("doc_id", "text"),
                           parse_docs=False, split=False)
     store = cut_lineage(rows.where(F.col("status") == "written").select("id", "embedding", "text", "metadata"))
-    questions = _stream(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    questions = _stream(spark, sf_dir, "benchmark", "item_id", "item_id").select(F.col("item_id").alias("query_id"), "text")
     out = answer_stream(questions, store, scratch_path(spark, "answers"), k=RAG_K, min_score=RAG_MIN_SCORE)
     hits = spark.read.parquet(out)
     return hits.select("query_id", "rank", F.col("metadata")["doc_id"].cast("bigint").alias("doc_id"),
                        F.round("score", 3).alias("score"))
 
 
-@register("stream_memory_summarize")
+@register("stream_memory_summarize", memory_sql())
 def q_stream_memory_summarize(spark, sf_dir):
-    """Turns streamed per session; at 6 messages the memory is replaced
-    by system message + summary (deterministic stand-in model) and the
-    conversation continues.  Returns each session's final memory."""
-    from tessera.operators.infer import extractive_answer_factory
-    from tessera.streaming.summaries import summarizing_memory
-    msgs = FX.messages(spark, sf_dir, _stream(spark, sf_dir, "conversations"))
-    out = run_available_now(summarizing_memory(msgs, 6, extractive_answer_factory), name="summaries")
-    return latest_windows(spark.read.parquet(out)).select("session_id", "seq", "type", "text", "pos")
+    """Turns streamed in several micro-batches; a full memory (4 messages) is
+    summarised when the next message comes.  Returns each session's newest
+    memory, the same as the batch query's."""
+    msgs = FX.messages(spark, sf_dir, _stream(spark, sf_dir, "conversations", "turn", "conv_id"))
+    return summarizing_memory(msgs, scratch_path(spark, "summaries"), MEMORY_LIMIT, extractive_answer_factory)

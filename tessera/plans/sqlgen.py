@@ -133,7 +133,7 @@ def split_sql(strategy: str, mx: int, ov: int, source: str = "documents") -> str
 
 
 def extractive_answer(expr: str) -> str:
-    """SQL twin of ``operators.infer.extractive_answer_factory``."""
+    """SQL twin of ``plans.standin.extractive_answer_factory``."""
     paras = (f"list_filter(list_transform(regexp_split_to_array({expr}, {q(chr(10) + r'\s*' + chr(10))}), "
              f"lambda x: {jtrim('x')}), lambda x: length(x) > 0)")
     last = f"coalesce(({paras})[-1], '')"

@@ -1,83 +1,54 @@
-"""Overflow -> summary -> continue, per session, as turns stream in.
+"""Messages stream in, memories are summarised when full and go on.
 
-The state is the session's current memory (at most ``limit`` messages): each
-arriving message (in ``seq`` order) is appended; when the memory reaches
-``limit`` (and holds more than two messages) the model hook summarises its
-non-system messages and the memory becomes the first system message plus a
-summary message.  If the model gives nothing, the memory is trimmed to its
-last ``limit - 1`` messages instead.
-"""
+Every micro-batch continues the memories of the sessions that it touches with
+the batch operator (one model call for all sessions of a task that are due at
+a time) and writes them to a folder of its own; a replayed batch overwrites
+its folder.  Every ``compact_every``-th folder holds the newest memories of all
+sessions, and nothing older is read again, so state is one memory a session
+and at most that many folders of changes."""
 
 from __future__ import annotations
 
-import json
-import re
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-from tessera.operators.memory import SUMMARY_PREFIX, SUMMARY_PROMPT
-
-MEMORY_SCHEMA = "session_id string, seq bigint, type string, text string, pos int, version bigint"
-STATE_SCHEMA = "memory string, seen bigint"
-_SUMMARY = re.compile(r"<summary>\s*(.+?)\s*</summary>", re.S)
-
-
-def _transcript(rows) -> str:
-    out = []
-    for _, typ, text in rows:
-        if typ == "USER":
-            out.append(f"User: {text or ''}\n")
-        elif typ == "AI" and text is not None:
-            out.append(f"Assistant: {text}\n")
-    return "".join(out)
-
-
-def _summary(answer: str | None) -> str:
-    if not answer:
-        return ""
-    m = _SUMMARY.search(answer)
-    return m.group(1) if m else answer.strip()
-
-
-def fold(memory: list, message: list, limit: int, complete) -> list:
-    """One step of the sequential fold (also used by tests as the reference)."""
-    memory = memory + [message]
-    if len(memory) >= limit and len(memory) > 2:
-        system = next((m for m in memory if m[1] == "SYSTEM"), None)
-        body = [m for m in memory if m[1] != "SYSTEM"]
-        answer = complete([SUMMARY_PROMPT + _transcript(body)])[0] if body else None
-        summary = _summary(answer)
-        if summary:
-            rebuilt = [system] if system is not None else []
-            return rebuilt + [[memory[-1][0], "USER", SUMMARY_PREFIX + summary]]
-        return memory[-(limit - 1):]
-    return memory
-
-
-def summarizing_memory(messages_stream: DataFrame, limit: int, complete_fn_factory) -> DataFrame:
-    """Emits the current memory of every touched session per micro-batch
-    (``version`` = messages seen); the model callable is built once per
-    Python worker."""
-    cache: dict = {}
-
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if "fn" not in cache:
-            cache["fn"] = complete_fn_factory()
-        (session_id,) = key
-        memory, seen = (json.loads(state.get[0]), state.get[1]) if state.exists else ([], 0)
-        new = []
-        for pdf in batches:
-            new.extend([[int(s), t, x] for s, t, x in zip(pdf["seq"], pdf["type"], pdf["text"])])
-        for msg in sorted(new, key=lambda m: m[0]):
-            memory = fold(memory, msg, limit, cache["fn"])
-        seen += len(new)
-        state.update((json.dumps(memory), seen))
-        yield pd.DataFrame({"session_id": [session_id] * len(memory), "seq": [m[0] for m in memory],
-                            "type": [m[1] for m in memory], "text": [m[2] for m in memory],
-                            "pos": list(range(len(memory))), "version": [seen] * len(memory)})
-
-    return (messages_stream.select("session_id", "seq", "type", "text").groupBy("session_id")
-            .applyInPandasWithState(step, MEMORY_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout))
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tessera.operators.summaries import MEMORY_SCHEMA, continue_memories
+from tessera.sources.vector_store import path_exists
+from tessera.streaming.runner import run_available_now
+
+COMPACT_EVERY = 32
+
+
+def newest(spark: SparkSession, path: str, first: int, before: int) -> DataFrame:
+    """Newest memories in the folders of the batches ``first`` .. ``before - 1``."""
+    folders = [f"{path}/batch_id={k}" for k in range(max(0, first), before) if path_exists(spark, f"{path}/batch_id={k}")]
+    if not folders:
+        return spark.createDataFrame([], f"{MEMORY_SCHEMA}, batch_id int")
+    rows = spark.read.schema(f"{MEMORY_SCHEMA}, batch_id int").option("basePath", path).parquet(*folders)
+    last = rows.groupBy("session_id").agg(F.max("batch_id").alias("batch_id"))
+    return rows.join(last, ["session_id", "batch_id"], "left_semi")
+
+
+def summarizing_memory(messages_stream: DataFrame, path: str, limit: int, complete_fn_factory, *,
+                       checkpoint: str | None = None, compact_every: int = COMPACT_EVERY) -> DataFrame:
+    """Drains the stream; returns the newest memory of every session.  Batches
+    are taken as they arrive; within one, ``seq`` decides the order."""
+    spark = messages_stream.sparkSession
+    seen = {"last": -1}
+
+    def batch(df: DataFrame, batch_id: int) -> None:
+        whole = batch_id % compact_every == 0
+        base = batch_id - compact_every if whole else batch_id - batch_id % compact_every
+        before = newest(spark, path, base, batch_id).drop("batch_id")
+        messages = df.select("session_id", "seq", "type", "text").persist()
+        try:
+            if not whole:
+                before = before.join(messages.select("session_id").distinct(), "session_id", "left_semi")
+            continue_memories(messages, limit, complete_fn_factory, before).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        finally:
+            messages.unpersist()
+        seen["last"] = batch_id
+
+    run_available_now(messages_stream, name="summaries", foreach_batch=batch, checkpoint=checkpoint)
+    last = seen["last"]
+    return newest(spark, path, last - last % compact_every, last + 1).drop("batch_id")

@@ -106,7 +106,7 @@ def test_stream_window_multi_batch_equals_batch(spark):
 
 
 def test_stream_summaries_equal_sequential_fold(spark):
-    from tessera.operators.infer import extractive_answer_factory
+    from tessera.plans.standin import extractive_answer_factory
     from tessera.plans.fixtures import messages
     from tessera.streaming.runner import run_available_now
     from tessera.streaming.sessions import latest_windows
