@@ -24,9 +24,10 @@ WINDOW, STRIDE = 32, 16
 WORD_BUCKETS, CHAR_BUCKETS = 1 << 14, 1 << 16
 WORD_DIM, CHAR_DIM, HIDDEN, ATTENTION = 8, 16, 8, 8
 ORDERS = (3, 4, 5)
-CACHE_WORDS = 200_000
+CACHE_WORDS = 100_000
+BLOCK = 16_384
 #: The training sample: so many rows of each label at most, none above so many bytes.
-MOST_TOXIC, MOST_CLEAN, MOST_BYTES = 2000, 4000, 20_000
+MOST_TOXIC, MOST_CLEAN, MOST_BYTES = 1500, 3000, 20_000
 _EDGE = bytes(b for b in range(0x21, 0x7F) if not chr(b).isalnum())
 
 
@@ -47,11 +48,11 @@ def featurise(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         key = (key[:len(data) - n + 1] << np.uint64(8)) | data[n - 1:]
         if n in ORDERS:
             inside = word_of[n - 1:] == word_of[:len(data) - n + 1]
-            grams.append((mix(key[inside] ^ np.uint64(n << 56)) % np.uint64(CHAR_BUCKETS)).astype(np.int64))
+            grams.append((mix(key[inside] ^ np.uint64(n << 56)) % np.uint64(CHAR_BUCKETS)).astype(np.int32))
             owners.append(word_of[:len(data) - n + 1][inside])
-    grams, owners = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (grams, owners))
+    grams, owners = (np.concatenate(x) if x else np.zeros(0, np.int32) for x in (grams, owners))
     order = np.argsort(owners, kind="stable")
-    return (mix(whole) % np.uint64(WORD_BUCKETS)).astype(np.int64), grams[order], np.bincount(owners, minlength=len(bare))
+    return (mix(whole) % np.uint64(WORD_BUCKETS)).astype(np.int32), grams[order], np.bincount(owners, minlength=len(bare))
 
 
 def window_starts(n: int) -> np.ndarray:
@@ -187,17 +188,21 @@ class Sample:
     def __post_init__(self):
         known: dict[bytes, int] = {b"": 0}
         at, mask, text_of = [], [], []
+        place = np.arange(WINDOW)
         for k, text in enumerate(self.texts):
-            ids = np.array([known.setdefault(w, len(known)) for w in text.split()], np.int64)
-            padded = np.concatenate([ids, np.zeros(max(0, WINDOW - len(ids)), np.int64)])
-            for s in window_starts(len(ids)):
-                at.append(padded[s:s + WINDOW])
-                mask.append(np.arange(WINDOW) < len(ids) - s)
-                text_of.append(k)
-        self.at = np.array(at, np.int64).reshape(-1, WINDOW)
-        self.mask = np.array(mask, np.float32).reshape(-1, WINDOW)
-        self.text_of = np.array(text_of, np.int64)
-        self.word, self.grams, self.size = featurise(list(known))
+            ids = np.array([known.setdefault(w, len(known)) for w in text.split()], np.int32)
+            start = window_starts(len(ids))
+            spread = start[:, None] + place
+            inside = spread < len(ids)
+            at.append(np.where(inside, ids[np.minimum(spread, len(ids) - 1)], 0).astype(np.int32) if len(ids) else np.zeros((0, WINDOW), np.int32))
+            mask.append(inside)
+            text_of.append(np.full(len(start), k))
+        self.at, self.mask, self.text_of = (np.concatenate(x) if x else np.zeros(shape, kind) for x, shape, kind in (
+            (at, (0, WINDOW), np.int32), (mask, (0, WINDOW), bool), (text_of, 0, np.int64)))
+        words = list(known)
+        del known
+        parts = [featurise(words[k:k + BLOCK]) for k in range(0, len(words), BLOCK)]
+        self.word, self.grams, self.size = (np.concatenate(x) for x in zip(*parts))
         self.gram_start = np.cumsum(self.size) - self.size
 
     def take(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -264,7 +269,8 @@ def _train(sample: Sample, seed: int = 7, rounds: int = 3, steps: int = 70, batc
 
 
 def _window_logits(net: Net, sample: Sample) -> np.ndarray:
-    xp = net.project(net.inputs(sample.word, sample.grams, sample.size))
+    words = np.arange(len(sample.word))
+    xp = np.concatenate([net.project(net.inputs(*sample.take(words[k:k + BLOCK]))) for k in range(0, len(words), BLOCK)])
     return np.concatenate([net.forward(xp, sample.at[a:a + 1024], sample.mask[a:a + 1024]) for a in range(0, len(sample.at), 1024)])
 
 
@@ -331,7 +337,7 @@ class Scorer:
         fresh = [w for w in dict.fromkeys(flat) if w not in self.known]
         if fresh:
             self.known.update(zip(fresh, range(len(self.known), len(self.known) + len(fresh))))
-            self.xp = np.concatenate([self.xp, self.net.project(self.net.inputs(*featurise(fresh)))])
+            self.xp = np.concatenate([self.xp, *(self.net.project(self.net.inputs(*featurise(fresh[k:k + BLOCK]))) for k in range(0, len(fresh), BLOCK))])
         ids = np.fromiter(map(self.known.__getitem__, flat), np.int64, len(flat))
         size = np.fromiter(map(len, split), np.int64, len(split))
         first = np.cumsum(size) - size
@@ -360,12 +366,12 @@ def score(docs: DataFrame, net: Net | None, text_col: str = "text", out_col: str
     alone.  Null, empty and wordless texts, and all texts without a network, get
     0.  A column of that name is replaced; all rows and other columns stay."""
     shared = docs.sparkSession.sparkContext.broadcast(net)
-    kept = docs.select(*[f"`{c}`" for c in docs.columns if c != out_col])
+    kept = docs.select(*[f"`{c}`" for c in docs.columns if c.lower() != out_col.lower()])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value) if shared.value is not None else None
         for batch in batches:
-            for part in slices(batch, text_col, 2 << 20):
+            for part in slices(batch, text_col):
                 texts = [x or b"" for x in part.column(text_col).cast(pa.binary()).to_pylist()]
                 out = scorer.score(texts) if scorer else np.zeros(len(texts))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out)], names=[*part.schema.names, out_col])
