@@ -7,8 +7,10 @@ Grammar (n-ary ``and`` / ``or``; quotes protect commas and parentheses)::
     compare := 'metadataKey("' key '")' "." op "(" value ("," value)* ")"
 
 Two-valued logic: a comparison on a missing key is false, except
-``isNotEqualTo`` / ``isNotIn`` which are true; so ``not`` is exact.  Order
-comparisons are numeric when both sides parse as numbers, else textual.
+``isNotEqualTo`` / ``isNotIn`` which are true; so ``not`` is exact.  Equality is
+that of texts.  Order comparisons are numeric, by exact decimals, when both
+sides are plain numbers (digits with an optional sign and fraction), else
+textual.
 """
 
 from __future__ import annotations
@@ -106,11 +108,8 @@ class _Parser:
         raise FilterSyntaxError(f"expected a value, got {v!r}")
 
 
-def _num(s: str) -> float | None:
-    try:
-        return float(s)
-    except ValueError:
-        return None
+_PLAIN = r"^[+-]?[0-9]{1,20}([.][0-9]{1,18})?$"
+_EXACT = "decimal(38,18)"
 
 
 def compare(v: Column, op: str, vals: list[str]) -> Column:
@@ -118,21 +117,18 @@ def compare(v: Column, op: str, vals: list[str]) -> Column:
         hit = v.isin(*vals)
         return F.coalesce(hit, F.lit(False)) if op == "isIn" else F.coalesce(~hit, F.lit(True))
     lit = vals[0]
-    n = _num(lit)
-    vd = v.try_cast("double")
-    sym = {"isEqualTo": "==", "isNotEqualTo": "==", "isGreaterThan": ">", "isGreaterThanOrEqualTo": ">=",
-           "isLessThan": "<", "isLessThanOrEqualTo": "<="}[op]
+    if op in ("isEqualTo", "isNotEqualTo"):
+        same = F.coalesce(v == F.lit(lit), F.lit(False))
+        return same if op == "isEqualTo" else ~same
 
     def apply(a, b):
-        return {"==": a == b, ">": a > b, ">=": a >= b, "<": a < b, "<=": a <= b}[sym]
-
-    if n is None:
-        raw = apply(v, F.lit(lit))
-    else:
-        raw = F.when(vd.isNotNull(), apply(vd, F.lit(n))).otherwise(apply(v, F.lit(lit)))
-    if op == "isNotEqualTo":
-        return F.coalesce(~raw, F.lit(True))
-    return F.coalesce(raw, F.lit(False))
+        return {"isGreaterThan": a > b, "isGreaterThanOrEqualTo": a >= b, "isLessThan": a < b, "isLessThanOrEqualTo": a <= b}[op]
+
+    order = apply(v, F.lit(lit))
+    if re.search(_PLAIN, lit):
+        number = F.when(v.rlike(_PLAIN), v.try_cast(_EXACT))
+        order = F.when(number.isNotNull(), apply(number, F.lit(lit).cast(_EXACT))).otherwise(order)
+    return F.coalesce(order, F.lit(False))
 
 
 def compile_filter(text: str | None, map_col: Column | str = "metadata") -> Column:

@@ -7,6 +7,7 @@ in Java regex and in RE2, which keeps the SQL oracle honest.
 from __future__ import annotations
 
 import re
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -21,9 +22,38 @@ def jtrim(x) -> Column:
     return F.regexp_replace(_c(x), r"^\s+|\s+$", "")
 
 
-# Entity decoding table (``&amp;`` must be decoded last).
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-            ("&nbsp;", " "), ("&middot;", "·"), ("&copy;", "©"), ("&amp;", "&")]
+# A character reference: by decimal or hexadecimal number, or by name.
+_REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+
+
+def _entity_names() -> Column:
+    """The HTML5 names (the standard library's table) with a closing semicolon."""
+    names = [(k[:-1], v) for k, v in html5.items() if k.endswith(";")]
+    return F.map_from_arrays(F.array(*[F.lit(k) for k, _ in names]), F.array(*[F.lit(v) for _, v in names]))
+
+
+def _character(code: Column) -> Column:
+    """The character of a code point; that of an invalid one is U+FFFD."""
+    bad = code.isNull() | (code <= 0) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF)
+    return F.decode(F.unhex(F.lpad(F.hex(F.when(bad, F.lit(0xFFFD)).otherwise(code).cast("bigint")), 8, "0")), "UTF-32")
+
+
+def decode_entities(c: Column) -> Column:
+    """Every character reference replaced once, from left to right, so that what a
+    decoded text says is not decoded again; unknown names stay.  A no-break
+    space becomes a space."""
+    names = _entity_names()
+
+    def one(x: Column) -> Column:
+        body = F.substring(x, 2, F.length(x) - 2)
+        number = (F.when(body.rlike("^#[xX]"), F.conv(F.substring(body, 3, F.length(body)), 16, 10))
+                  .when(body.startswith("#"), F.substring(body, 2, F.length(body)))).try_cast("bigint")
+        return F.when(body.startswith("#"), _character(number)).otherwise(F.coalesce(names[body], x))
+
+    parts = F.regexp_extract_all(c, F.lit("(?s)" + _REFERENCE + "|[^&]+|&"), F.lit(0))
+    whole = F.array_join(F.transform(parts, lambda x: F.when(x.rlike("^" + _REFERENCE + "$"), one(x)).otherwise(x)), "")
+    return F.when(c.contains("&"), F.replace(whole, F.lit("\u00a0"), F.lit(" "))).otherwise(c)
+
 
 # Inline elements whose tags vanish without a separating space.
 INLINE_TAGS = "b|i|em|strong|a|span|u|code|small|sub|sup"
@@ -31,35 +61,36 @@ INLINE_TAGS = "b|i|em|strong|a|span|u|code|small|sub|sup"
 BLOCK_TAGS = "ul|ol|div|article|section|nav|header|footer|table|tr|blockquote|pre"
 
 
-def _decode_entities(c: Column) -> Column:
-    for ent, ch in ENTITIES:
-        c = F.replace(c, F.lit(ent), F.lit(ch))
-    return c
+# A tag: quoted attribute values may hold ">".
+_TAG_END = r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*>"
 
 
 def _body(html: Column) -> Column:
+    """What is between the body tags; a text without them is all body but for its head."""
     c = F.regexp_replace(html, r"(?is)^.*?<body[^>]*>", "")
     c = F.regexp_replace(c, r"(?is)</body>.*$", "")
     c = F.regexp_replace(c, r"(?s)<!--.*?-->", " ")
+    c = F.regexp_replace(c, r"(?is)<head(\s[^>]*)?>.*?</head>", " ")
+    c = F.regexp_replace(c, r"(?is)<title[^>]*>.*?</title>", " ")
     c = F.regexp_replace(c, r"(?is)<script[^>]*>.*?</script>", " ")
     return F.regexp_replace(c, r"(?is)<style[^>]*>.*?</style>", " ")
 
 
+def _drop_tags(c: Column) -> Column:
+    c = F.regexp_replace(c, "</?[A-Za-z!]" + _TAG_END, " ")
+    return F.regexp_replace(c, r"<[^>]*>", " ")
+
+
 def html_to_text(html) -> Column:
-    """Visible text of the ``<body>``: inline tags vanish, other tags become a
-    space, entities are decoded, whitespace collapses, result is trimmed."""
+    """Visible text of the body: inline tags vanish, other tags become a space,
+    entities are decoded, whitespace collapses, result is trimmed."""
     c = _body(_c(html))
-    c = F.regexp_replace(c, r"(?i)</?(" + INLINE_TAGS + r")(\s[^>]*)?/?>", "")
-    c = F.regexp_replace(c, r"<[^>]*>", " ")
-    c = _decode_entities(c)
+    c = F.regexp_replace(c, r"(?i)</?(" + INLINE_TAGS + r")(\s(?:[^>\"']|\"[^\"]*\"|'[^']*')*)?/?>", "")
+    c = decode_entities(_drop_tags(c))
     c = F.regexp_replace(c, r"\s+", " ")
     return F.trim(c)
 
 
-def has_body(html) -> Column:
-    return F.coalesce(_c(html).rlike(r"(?i)<body[\s>]"), F.lit(False))
-
-
 def html_to_markdown(html) -> Column:
     """Markdown rendering of the body: h1-h6, p, br, li, a, b/strong, i/em."""
     c = _body(_c(html))
@@ -72,8 +103,7 @@ def html_to_markdown(html) -> Column:
     c = F.regexp_replace(c, r"(?i)<li(\s[^>]*)?>", "\n- ")
     c = F.regexp_replace(c, r"(?i)</?p(\s[^>]*)?>", "\n\n")
     c = F.regexp_replace(c, r"(?i)</(" + BLOCK_TAGS + r")\s*>", "\n")
-    c = F.regexp_replace(c, r"<[^>]*>", " ")
-    c = _decode_entities(c)
+    c = decode_entities(_drop_tags(c))
     c = F.regexp_replace(c, r"[ \t\r\f]+", " ")
     c = F.regexp_replace(c, r" ?\n ?", "\n")
     c = F.regexp_replace(c, r"\n\n\n+", "\n\n")

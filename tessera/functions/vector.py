@@ -33,7 +33,8 @@ def normalize(a, as_float: bool = True) -> Column:
 
 
 def cosine(a, b) -> Column:
-    return dot(a, b) / (l2_norm(a) * l2_norm(b))
+    """NULL where a vector is zero, also in ANSI mode."""
+    return F.try_divide(dot(a, b), l2_norm(a) * l2_norm(b))
 
 
 def relevance(cos: Column) -> Column:

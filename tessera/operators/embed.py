@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.errors import EMBEDDING_GENERATION
+
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
 
 
@@ -63,18 +65,49 @@ def hash_embed(df: DataFrame, dim: int = 256, *, text_col: str = "text",
 
 
 def model_embed(df: DataFrame, embed_fn_factory: Callable[[], Callable[[list[str]], np.ndarray]],
-                dim: int, *, text_col: str = "text", out_col: str = "embedding") -> DataFrame:
+                dim: int, *, text_col: str = "text", out_col: str = "embedding", code_col: str | None = None) -> DataFrame:
     """Embed with a user model: the factory runs once per partition (load the
-    model there), the model sees Arrow batches of texts and returns a
-    (batch, dim) matrix; row order is preserved."""
+    model there), the model sees batches of texts and returns a (batch, dim)
+    matrix; row order is preserved.
+
+    Null texts get a null vector and don't reach the model.  If a call fails, each
+    text is tried alone; those that fail again get a null vector and, in
+    ``code_col`` if named, 701161."""
     schema = T.StructType(df.schema.fields + [T.StructField(out_col, T.ArrayType(T.FloatType()))])
 
+    def vectors(fn, texts: list[str]) -> list:
+        try:
+            mat = np.asarray(fn(texts), dtype=np.float32)
+        except Exception:  # noqa: BLE001 - whatever a model raises
+            return [None] if len(texts) == 1 else [v for t in texts for v in vectors(fn, [t])]
+        if mat.shape != (len(texts), dim):
+            raise ValueError(f"embedder returned {mat.shape}, expected {(len(texts), dim)}")
+        return list(mat)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        fn = embed_fn_factory()
+        fn = None
         for pdf in batches:
-            mat = np.asarray(fn(pdf[text_col].fillna("").tolist()), dtype=np.float32)
-            if mat.shape != (len(pdf), dim):
-                raise ValueError(f"embedder returned {mat.shape}, expected {(len(pdf), dim)}")
-            pdf[out_col] = list(mat)
+            out = [None] * len(pdf)
+            some = [k for k, t in enumerate(pdf[text_col]) if isinstance(t, str)]
+            if some:
+                fn = fn or embed_fn_factory()
+                for k, v in zip(some, vectors(fn, [pdf[text_col].iloc[k] for k in some])):
+                    out[k] = v
+            pdf[out_col] = out
             yield pdf
-    return df.mapInPandas(run, schema)
+    out = df.mapInPandas(run, schema)
+    if code_col is not None:
+        out = out.withColumn(code_col, F.when(F.col(text_col).isNotNull() & F.col(out_col).isNull(), F.lit(EMBEDDING_GENERATION)))
+    return out
+
+
+#: An embedder adds ARRAY<FLOAT> column ``out_col`` for ``text_col`` (null for null texts).
+Embedder = Callable[..., DataFrame]
+
+
+def hashing_embedder(dim: int) -> Embedder:
+    return lambda df, *, text_col="text", out_col="embedding": hash_embed(df, dim, text_col=text_col, out_col=out_col)
+
+
+def model_embedder(embed_fn_factory: Callable[[], Callable[[list[str]], np.ndarray]], dim: int) -> Embedder:
+    return lambda df, *, text_col="text", out_col="embedding": model_embed(df, embed_fn_factory, dim, text_col=text_col, out_col=out_col)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera import errors as E
-from tessera.functions.text import has_body, html_to_text
+from tessera.functions.text import html_to_text
 
 # Declared type names (case-insensitive) and their parser kind.
 PARSER_TYPES = {
@@ -39,15 +39,14 @@ def parse(df: DataFrame, type_col: str = "type", payload_col: str = "payload") -
     """Add ``text`` and ``error_code``.
 
     TEXT passes the payload through unchanged (markdown is not stripped);
-    HTML keeps the visible body text (no ``<body>`` -> 701141); binary
+    HTML keeps the visible body text (without body tags all but the head is body); binary
     formats have no parser in this engine and are quarantined with 701142.
     """
     r = route(df, type_col)
     p = F.col(payload_col)
     text = (F.when(F.col("parser") == "TEXT", p)
-            .when((F.col("parser") == "HTML_TO_TEXT") & has_body(p), html_to_text(p)))
+            .when(F.col("parser") == "HTML_TO_TEXT", html_to_text(p)))
     code = (F.when(F.col("parser").isNull(), F.lit(E.UNSUPPORTED_PARSER_TYPE))
             .when(p.isNull(), F.lit(E.PARSE_ERROR))
-            .when(F.col("parser").isin("PDF", "OFFICE"), F.lit("701142"))
-            .when((F.col("parser") == "HTML_TO_TEXT") & ~has_body(p), F.lit(E.PARSE_ERROR)))
+            .when(F.col("parser").isin("PDF", "OFFICE"), F.lit("701142")))
     return r.withColumn("text", text).withColumn("error_code", code)

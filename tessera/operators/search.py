@@ -17,6 +17,7 @@ by random-hyperplane LSH buckets; ``search_one`` serves a single request with
 
 from __future__ import annotations
 
+import hashlib
 import math
 
 import numpy as np
@@ -152,7 +153,8 @@ def vector_topk(store: DataFrame, queries: DataFrame, k: int, min_score: float =
     """Exact top-``k`` store rows per query by cosine relevance ``(1+cos)/2``.
 
     ``min_score`` is applied before ranking.  Result columns:
-    ``query_id, id, score, rank`` (names taken from the arguments).
+    ``query_id, id, score, rank`` (names taken from the arguments).  Vectors of
+    another width than ``dim`` (default: the widest stored) match nothing.
 
     Two physical strategies, chosen after one ``count`` of the query side:
 
@@ -163,22 +165,22 @@ def vector_topk(store: DataFrame, queries: DataFrame, k: int, min_score: float =
     * *blocked* (larger query sets): store rows are hashed into
       ``store_blocks`` and queries into ``query_blocks``; every (store block,
       query block) cell is one cogroup group, so a task holds one block of
-      each side.  ``store_blocks`` defaults to the store's partition count
-      (bounded by split / AQE partition sizes).
+      each side.  The numbers of blocks follow from the row counts, so that a
+      block of either side is at most ``BLOCK_BYTES``.
 
     Either way only local top-k rows reach the final windowed ranking.
     ``strategy`` forces one of ``"broadcast"`` / ``"blocked"``.
     """
     spark = store.sparkSession
     par = spark.sparkContext.defaultParallelism
-    if dim is None:
-        dim = 1536
+    if dim is None:  # the widest stored vector, so that no bound is too small
+        dim = store.agg(F.max(F.size(vec_col))).first()[0] or 1
     id_type = store.schema[id_col].dataType
     qid_type = queries.schema[query_id_col].dataType
     s = (store.select(F.col(id_col).alias("_id"), F.col(vec_col).alias("_v"))
-         .where(F.col("_v").isNotNull() & (F.size("_v") > 0)))
+         .where(F.col("_v").isNotNull() & (F.size("_v") == dim)))
     q = (queries.select(F.col(query_id_col).alias("_qid"), F.col(query_vec_col).alias("_qv"))
-         .where(F.col("_qv").isNotNull() & (F.size("_qv") > 0)))
+         .where(F.col("_qv").isNotNull() & (F.size("_qv") == dim)))
     limit_rows = max(1, BROADCAST_QUERY_BYTES // max(1, dim * 8))
     qpdf = None
     if strategy in (None, "broadcast") and query_blocks is None and store_blocks is None:
@@ -197,7 +199,7 @@ def vector_topk(store: DataFrame, queries: DataFrame, k: int, min_score: float =
         partial = _broadcast_scores(s, qpdf, k, min_score, qid_type, id_type)
     else:
         if store_blocks is None:
-            store_blocks = max(par, store.rdd.getNumPartitions())
+            store_blocks = _blocks(s.count(), dim, par)
         if query_blocks is None:
             query_blocks = _blocks(q.count(), dim, 1)
         sb = (s.withColumn("_sb", F.pmod(F.xxhash64("_id"), F.lit(store_blocks)).cast("int"))
@@ -212,12 +214,19 @@ def vector_topk(store: DataFrame, queries: DataFrame, k: int, min_score: float =
                     "score", F.col("rank").cast("int").alias("rank")))
 
 
+def sign_planes(dim: int, n_tables: int, n_bits: int, seed: int) -> np.ndarray:
+    """Hyperplanes with components +1 and -1, told by the md5 of
+    ``seed:table:bit:place`` (first hex digit under 8: +1), so that any engine
+    can make the same codes."""
+    return np.array([[1.0 if hashlib.md5(f"{seed}:{t}:{b}:{p}".encode()).hexdigest()[0] < "8" else -1.0 for p in range(dim)]
+                     for t in range(n_tables) for b in range(n_bits)]).reshape(n_tables * n_bits, dim)
+
+
 def _lsh_codes(dim: int, n_tables: int, n_bits: int, seed: int):
     """pandas UDF: one bucket code per table from random hyperplanes (sign
     random projection, Charikar 2002).  The hyperplane matrix is fixed by
     the parameters (``n_tables * n_bits * dim`` doubles)."""
-    rng = np.random.default_rng(seed)
-    planes = rng.standard_normal((n_tables * n_bits, dim))
+    planes = sign_planes(dim, n_tables, n_bits, seed)
     weights = (1 << np.arange(n_bits)).astype(np.int64)
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
@@ -304,7 +313,7 @@ def search_one(store: DataFrame, query_vector: list[float], k: int, min_score: f
 
     q = F.array(*[F.lit(float(x)) for x in query_vector])
     qn = float(np.linalg.norm(np.asarray(query_vector, dtype=np.float64)))
-    score = F.round((F.lit(1.0) + dot(vec_col, q) / (l2_norm(vec_col) * F.lit(qn))) / F.lit(2.0), 6)
+    score = F.round((F.lit(1.0) + dot(vec_col, q) / F.nullif(l2_norm(vec_col) * F.lit(qn), F.lit(0.0))) / F.lit(2.0), 6)
     return (store.select(F.col(id_col).alias(id_col), score.alias("score"))
             .where(F.col("score") >= min_score)
             .orderBy(F.col("score").desc(), F.col(id_col).asc()).limit(k))

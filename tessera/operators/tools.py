@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tessera import errors as E
 from tessera.functions.text import is_blank, normalize_tool_name
-from tessera.operators.util import broadcast_if_small, ranked
+from tessera.operators.util import ranked
 
 # Texts of the original agent.
 TOOL_EXECUTION_FAILED = "Tool execution failed"
@@ -28,9 +28,9 @@ def match_results(calls: DataFrame, results: DataFrame,
     """For every call, the earliest non-blank result of the same (session,
     request id) with ``call.ts <= result.ts <= call.ts + timeout``.
 
-    An as-of lookup, not a pair join: calls and results are unioned and one
-    ``first(..., ignorenulls)`` window over the following rows finds the next
-    result.  The window is partitioned by key *and* a time bucket of width
+    An as-of lookup, not a pair join: calls and results are unioned, and one
+    running ``last(..., ignorenulls)`` over the rows in falling order of time
+    holds the next result of each call.  The window is partitioned by key *and* a time bucket of width
     ``timeout`` (each result is placed in its own bucket and the one before),
     so a request id with many events is split over its time range and no
     candidate pairs are ever materialised.
@@ -57,9 +57,9 @@ def match_results(calls: DataFrame, results: DataFrame,
     else:
         r = r.withColumn("_pb", F.explode(F.array(F.col("_rb"), F.col("_rb") - 1))).drop("_rb")
     ev = c.unionByName(r)
-    w = (Window.partitionBy(*KEY, "_pb").orderBy("ts", "_kind", "seq")
-         .rowsBetween(Window.currentRow, Window.unboundedFollowing))
-    nxt = F.first(F.when(F.col("_kind") == 1, F.struct(F.col("ts").alias("ts"), F.col("_res").alias("res"),
+    w = (Window.partitionBy(*KEY, "_pb").orderBy(F.desc("ts"), F.desc("_kind"), F.desc("seq"))
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    nxt = F.last(F.when(F.col("_kind") == 1, F.struct(F.col("ts").alias("ts"), F.col("_res").alias("res"),
                                                        F.col("seq").alias("seq"))), ignorenulls=True)
     found = ev.withColumn("_next", nxt.over(w)).where(F.col("_kind") == 0)
     in_time = F.col("_next").isNotNull()
@@ -86,7 +86,7 @@ def flag_hallucinated(calls: DataFrame, catalog: DataFrame) -> DataFrame:
     and the fixed hallucination text as their result."""
     names = catalog.where(F.col("error_code").isNull()).select(
         F.col("tool_name").alias("name")).distinct().withColumn("_known", F.lit(True))
-    out = calls.join(broadcast_if_small(names), "name", "left")
+    out = calls.join(names, "name", "left")
     return (out.withColumn("known", F.coalesce("_known", F.lit(False))).drop("_known")
             .withColumn("hallucination", F.when(~F.col("known"), F.lit(HALLUCINATED_TOOL))))
 
@@ -117,16 +117,18 @@ def batch_completeness(matched: DataFrame, correlation_cols: tuple[str, ...]) ->
 
 
 def executions(matched: DataFrame, *, request_cols: tuple[str, ...] = ("session_id",)) -> DataFrame:
-    """Ordered list of (request, result) per request.  Run after ``cap_calls``
-    so the group holds at most ``cap`` rows."""
+    """Ordered list of (request, result) per request of the calls without
+    ``error_code`` (so at most the cap of ``cap_calls``), and ``n_over``, the number of
+    calls that the cap refused."""
+    over = F.col("error_code").isNotNull() if "error_code" in matched.columns else F.lit(False)
     ex = F.struct(F.col("ts"), F.col("seq"), F.struct(F.col("request_id").alias("id"), F.col("name"),
                                                       F.col("arguments")).alias("request"),
                   F.col("result"))
     return (matched.groupBy(*request_cols)
-            .agg(F.array_sort(F.collect_list(ex)).alias("_ex"))
+            .agg(F.array_sort(F.collect_list(F.when(~over, ex))).alias("_ex"), F.count_if(over).alias("n_over"))
             .select(*request_cols, F.transform("_ex", lambda e: F.struct(e["request"].alias("request"),
                                                                          e["result"].alias("result")))
-                    .alias("tool_executions")))
+                    .alias("tool_executions"), "n_over"))
 
 
 def token_usage(model_calls: DataFrame, *, request_col: str = "request_id") -> DataFrame:

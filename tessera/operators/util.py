@@ -5,37 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows up to which a lookup table may be broadcast after its size is checked.
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when a count proves it small; otherwise leave the
-    join strategy to the optimizer (sort-merge / AQE)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-# Inputs up to this many rows are spread over all cores before CPU-heavy
-# row-wise work; larger inputs already come in many splits.
-SMALL_INPUT_ROWS = 2_000_000
-
-
-def spread_small(df: DataFrame, max_rows: int = SMALL_INPUT_ROWS, per_core: int = 2) -> DataFrame:
-    """Round-robin a *small* input (proved by a capped count) over
-    ``per_core`` x default-parallelism partitions.
+def spread(df: DataFrame, per_core: int = 2) -> DataFrame:
+    """Round-robin an input that has fewer splits than the cluster has cores.
 
     A small file is often a single parquet row group, i.e. one task, which
-    leaves every other core idle during text-heavy work.  A large input is
-    left untouched: it is read in many splits already and a shuffle would
-    only add cost."""
+    leaves every other core idle during text-heavy work.  Planning tells the
+    number of splits, so nothing runs for the decision; a large input has many
+    splits and is left as it is."""
     if df.isStreaming:
         return df
-    n = df.limit(max_rows + 1).count()
-    if n > max_rows:
-        return df
-    par = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(par * per_core)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores * per_core) if df.rdd.getNumPartitions() < cores else df
 
 
 def ranked(df: DataFrame, keys: list[str], order_cols: list[str], bucket: F.Column,

@@ -1,19 +1,19 @@
-"""Knowledge-base flows: ``add_to_knowledge``, ``get_from_knowledge`` and the
-retrieval context used by RAG chat.  Each is one lazy DataFrame chain; the
-only materialisation is the store write itself."""
+"""Knowledge-base flows: ``add_to_knowledge``, ``get_from_knowledge``, the
+retrieval context, and chat with knowledge."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera import errors as E
-from tessera.operators.embed import hash_embed
+from tessera.operators.embed import Embedder, hashing_embedder
 from tessera.operators.ingest import with_content_id
 from tessera.operators.parse import parse
 from tessera.operators.search import vector_topk
 from tessera.operators.split import DEFAULT_MAX_CHARS, DEFAULT_OVERLAP, split_documents
 from tessera.operators.validate import embedding_error, segment_error
+from tessera.session import cut_lineage
 from tessera.sources.vector_store import store_append, store_ids
 
 DEFAULT_DIM = 256
@@ -22,18 +22,19 @@ DEFAULT_DIM = 256
 def prepare_segments(docs: DataFrame, *, parse_docs: bool = True, split: bool = True,
                      strategy: str = "Recursive", max_chars: int = DEFAULT_MAX_CHARS,
                      overlap: int = DEFAULT_OVERLAP, avoid_dups: bool = True,
-                     key_cols: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+                     key_cols: tuple[str, ...] = ("doc_id",),
+                     carried: tuple[str, ...] | None = None) -> DataFrame:
     """parse -> split -> validate -> content id, one lazy pass (no branch
     re-reads the input).
 
-    Input: ``key_cols`` + ``type``/``payload`` (when parsing) or ``text``.
+    Input: ``key_cols`` (and ``carried`` columns, ``key_cols`` among them) + ``type``/``payload`` (when parsing) or ``text``.
     Output: ``key_cols, index, id, text, error_code``; a document that fails
     to parse or split yields one row with its code.
     """
     if parse_docs:
-        df = parse(docs).select(*key_cols, "text", "error_code")
+        df = parse(docs).select(*(carried or key_cols), "text", "error_code")
     else:
-        df = docs.select(*key_cols, "text", F.lit(None).cast("string").alias("error_code"))
+        df = docs.select(*(carried or key_cols), "text", F.lit(None).cast("string").alias("error_code"))
     if split:
         # posexplode_outer keeps failed documents as one row (NULL index).
         segs = split_documents(df.withColumnRenamed("error_code", "_parse_code"),
@@ -63,17 +64,22 @@ def dedup_segments(segs: DataFrame, *, key_cols: tuple[str, ...] = ("doc_id",))
             .select("_r.*", "copies"))
 
 
-def classify_ingest(unique: DataFrame, existing_ids: DataFrame | None, dim: int = DEFAULT_DIM) -> DataFrame:
-    """Embed the unique segments and tag them: ``status`` written / invalid,
-    ``stored`` (id already in the store), ``copies``.  Embedding happens
-    after de-duplication, so copies are never embedded."""
-    emb = hash_embed(unique, dim)
-    emb = emb.withColumn("error_code", F.coalesce("error_code", embedding_error("text", "embedding", dim)))
+def classify_ingest(unique: DataFrame, existing_ids: DataFrame | None, dim: int | None = DEFAULT_DIM,
+                    embedder: Embedder | None = None) -> DataFrame:
+    """Tag the unique segments, ``stored`` (id already in the store) first, and
+    embed those that are neither stored nor invalid: ``status`` written /
+    duplicate / invalid, ``copies``.  The embedder sees each new text once and no
+    other."""
     if existing_ids is not None:
-        ids = existing_ids.select("id").distinct().withColumn("stored", F.lit(True))
-        emb = emb.join(ids, "id", "left").withColumn("stored", F.coalesce("stored", F.lit(False)))
+        # The store's ids are reduced to the batch's before they meet it again.
+        hits = (existing_ids.select("id").join(unique.select("id"), "id", "left_semi")
+                .distinct().withColumn("stored", F.lit(True)))
+        tagged = unique.join(hits, "id", "left").withColumn("stored", F.coalesce("stored", F.lit(False)))
     else:
-        emb = emb.withColumn("stored", F.lit(False))
+        tagged = unique.withColumn("stored", F.lit(False))
+    new = F.col("error_code").isNull() & ~F.col("stored")
+    emb = (embedder or hashing_embedder(dim or DEFAULT_DIM))(tagged.withColumn("_new_text", F.when(new, F.col("text"))), text_col="_new_text").drop("_new_text")
+    emb = emb.withColumn("error_code", F.coalesce("error_code", F.when(~F.col("stored"), embedding_error("text", "embedding", dim))))
     return emb.withColumn("status", F.when(F.col("error_code").isNotNull(), F.lit("invalid"))
                           .when(F.col("stored"), F.lit("duplicate")).otherwise(F.lit("written")))
 
@@ -97,101 +103,102 @@ def ingest_summary(classified: DataFrame) -> DataFrame:
             .withColumn("success", F.col("status").isin("written", "duplicate")))
 
 
-def knowledge_rows(docs: DataFrame, existing_ids: DataFrame | None = None, *, dim: int = DEFAULT_DIM,
-                   key_cols: tuple[str, ...] = ("doc_id",), **opts) -> DataFrame:
-    """Lazy classified rows (``status``, ``copies``) with store columns
-    ``id, embedding, text, metadata`` (metadata: index + key columns)."""
-    segs = prepare_segments(docs, key_cols=key_cols, **opts)
-    classified = classify_ingest(dedup_segments(segs, key_cols=key_cols), existing_ids, dim)
-    meta = F.create_map(F.lit("index"), F.col("index").cast("string"),
-                        *[x for k in key_cols for x in (F.lit(k), F.col(k).cast("string"))])
-    return classified.withColumn("metadata", meta)
-
-
-# Stores up to this many rows are joined with the batch directly (Spark
-# broadcasts or sort-merges them); larger stores are first semi-join reduced
-# against the batch's ids so the store's id column is never shuffled.
-LARGE_STORE_ROWS = 50_000_000
-
-
-def _against_large_store(staged: DataFrame, existing_ids: DataFrame) -> DataFrame:
-    """Mark staged rows whose id is already stored.  The store's ids are
-    reduced map-side by a semi-join with the batch's (size-checked,
-    broadcast) new ids, so only the few matches meet the batch again."""
-    from tessera.operators.util import broadcast_if_small
-
-    new_ids = staged.where(F.col("status") == "written").select("id")
-    hits = (existing_ids.select("id").join(broadcast_if_small(new_ids), "id", "left_semi")
-            .distinct().withColumn("_hit", F.lit(True)))
-    out = staged.join(hits, "id", "left")
-    dup = (F.col("status") == "written") & F.coalesce(F.col("_hit"), F.lit(False))
-    return (out.withColumn("stored", F.col("stored") | dup)
-            .withColumn("status", F.when(dup, F.lit("duplicate")).otherwise(F.col("status")))
-            .drop("_hit"))
+def knowledge_rows(docs: DataFrame, existing_ids: DataFrame | None = None, *, dim: int | None = DEFAULT_DIM,
+                   key_cols: tuple[str, ...] = ("doc_id",), metadata_col: str | None = None,
+                   embedder: Embedder | None = None, staged: bool = False, **opts) -> DataFrame:
+    """Classified rows (``status``, ``copies``) with store columns ``id, embedding,
+    text, metadata``: the map in ``metadata_col``, if any, with index and key columns
+    added (which win).  ``staged`` writes the unique segments to the shared
+    scratch folder before they are compared with the store, so that they are
+    parsed and split once."""
+    carried = (*key_cols, *([metadata_col] if metadata_col else []))
+    segs = prepare_segments(docs, key_cols=key_cols, carried=carried, **opts)
+    unique = dedup_segments(segs, key_cols=key_cols)
+    classified = classify_ingest(cut_lineage(unique) if staged else unique, existing_ids, dim, embedder)
+    own = F.create_map(F.lit("index"), F.col("index").cast("string"),
+                       *[x for k in key_cols for x in (F.lit(k), F.col(k).cast("string"))])
+    if metadata_col is None:
+        return classified.withColumn("metadata", own)
+    taken = ["index", *key_cols]
+    user = F.map_filter(F.coalesce(F.col(metadata_col), F.create_map().cast("map<string,string>")), lambda k, v: ~k.isin(*taken))
+    return classified.withColumn("metadata", F.map_concat(user, own))
 
 
 def add_to_knowledge(docs: DataFrame, store_path: str, store: str | None = None,
-                     namespace: str | None = None, *, dim: int = DEFAULT_DIM,
-                     key_cols: tuple[str, ...] = ("doc_id",), large_store_rows: int = LARGE_STORE_ROWS,
-                     **opts) -> dict[str, int]:
-    """parse -> split -> validate -> dedup -> embed -> append to the store;
-    the status counts are observed during the write.
-
-    Against a small (or no) store this is one pass.  Against a store of more
-    than ``large_store_rows`` rows (a parquet row count, answered from file
-    metadata) the classified batch is materialised once in the shared
-    checkpoint folder and the store's ids are semi-join reduced against it
-    instead of being shuffled for the join.
-
-    Returns ``{"written", "duplicate", "invalid"}``.  Raises when rows were
+                     namespace: str | None = None, *, dim: int | None = DEFAULT_DIM,
+                     key_cols: tuple[str, ...] = ("doc_id",), metadata_col: str | None = None,
+                     embedder: Embedder | None = None, quarantine_path: str | None = None,
+                     quarantine_mode: str = "append", strict: bool = True, **opts) -> dict[str, int]:
+    """parse -> split -> validate -> dedup -> look the ids up in the store -> embed
+    the new ones -> append; the status counts are observed during the write.
+
+    With ``quarantine_path`` invalid rows are written there with their codes.
+    Returns ``{"written", "duplicate", "invalid"}``.  Raises (``strict``) when rows were
     given and none could be written or were already present.
     """
     from pyspark.sql import Observation
 
-    from tessera.session import cut_lineage
-
     spark = docs.sparkSession
     existing = store_ids(spark, store_path, store, namespace)
-    if existing is not None and existing.count() > large_store_rows:
-        staged = cut_lineage(knowledge_rows(docs, None, dim=dim, key_cols=key_cols, **opts))
-        rows = _against_large_store(staged, existing)
-    else:
-        rows = knowledge_rows(docs, existing, dim=dim, key_cols=key_cols, **opts)
+    rows = knowledge_rows(docs, existing, dim=dim, key_cols=key_cols, metadata_col=metadata_col, embedder=embedder,
+                          staged=existing is not None or quarantine_path is not None, **opts)
+    if quarantine_path is not None:
+        rows = cut_lineage(rows)  # the embedder runs once for both writes
     obs = Observation("ingest")
     observed = rows.observe(obs, *_status_counts())
-    written = observed.where(F.col("status") == "written").select("id", "embedding", "text", "metadata")
-    store_append(written, store_path, store, namespace)
+    store_append(observed.where(F.col("status") == "written").select("id", "embedding", "text", "metadata"), store_path, store, namespace)
     counts = {k: int(v or 0) for k, v in obs.get.items()}
-    if sum(counts.values()) > 0 and counts["written"] == 0 and counts["duplicate"] == 0:
+    if quarantine_path is not None and counts["invalid"]:
+        (rows.where(F.col("status") == "invalid").select("id", "text", "metadata", "copies", "error_code")
+         .withColumn("error_message", E.error_message(F.col("error_code"))).write.mode(quarantine_mode).parquet(quarantine_path))
+    if strict and sum(counts.values()) > 0 and counts["written"] == 0 and counts["duplicate"] == 0:
         raise E.TesseraError(E.INVALID_INGEST, "no row could be ingested")
     return counts
 
 
-def embed_queries(queries: DataFrame, dim: int = DEFAULT_DIM, *, text_col: str = "text") -> DataFrame:
-    return hash_embed(queries, dim, text_col=text_col)
+def embed_queries(queries: DataFrame, dim: int | None = DEFAULT_DIM, *, text_col: str = "text",
+                  embedder: Embedder | None = None) -> DataFrame:
+    return (embedder or hashing_embedder(dim or DEFAULT_DIM))(queries, text_col=text_col)
+
+
+def _identity(store: DataFrame) -> Column:
+    """A row's identity in one text, in the order of ids: content ids are unique
+    in a namespace of a store only."""
+    parts = [F.col("id"), *[F.col(c) for c in ("store", "namespace") if c in store.columns]]
+    return F.concat_ws("\u0001", *[F.coalesce(p, F.lit("")) for p in parts])
 
 
 def get_from_knowledge(store: DataFrame, queries: DataFrame, k: int = 5, min_score: float = 0.75, *,
-                       store_filter=None, dim: int = DEFAULT_DIM, query_id_col: str = "query_id",
-                       query_text_col: str = "text", embed: bool = True,
+                       store_filter=None, dim: int | None = DEFAULT_DIM, query_id_col: str = "query_id",
+                       query_text_col: str = "text", embed: bool = True, embedder: Embedder | None = None,
                        store_blocks: int | None = None, query_blocks: int | None = None) -> DataFrame:
-    """Top-k store rows per query text (or per query vector when
-    ``embed=False``): ``query_id, rank, score, id, text, metadata``."""
-    from tessera.operators.util import BROADCAST_MAX_ROWS
-
-    s = store if store_filter is None else store.where(store_filter)
-    q = embed_queries(queries, dim, text_col=query_text_col) if embed else queries
-    hits = vector_topk(s.select("id", "embedding"), q.select(query_id_col, "embedding"), k, min_score,
-                       query_id_col=query_id_col, dim=dim,
-                       store_blocks=store_blocks, query_blocks=query_blocks)
-    # The hits (at most k per query) go back to the store for text and
-    # metadata.  A capped count of the query side proves their bound; within
-    # it they are broadcast, so the store is only scanned, never shuffled.
-    bound = max(1, BROADCAST_MAX_ROWS // max(1, k))
-    if q.select(query_id_col).limit(bound + 1).count() <= bound:
-        hits = F.broadcast(hits)
-    return s.select("id", "text", "metadata").join(hits, "id").select(
-        query_id_col, "rank", "score", "id", "text", "metadata")
+    """Top-k store rows per query text (or per query vector when ``embed=False``):
+    ``query_id, rank, score, id, embedding, text, metadata`` (and ``store``,
+    ``namespace`` where the store has them).  ``store_filter``: a Column, or text of the
+    filter language over ``metadata``."""
+    from tessera.functions.filters import compile_filter
+
+    s = store
+    if store_filter is not None:
+        s = s.where(compile_filter(store_filter) if isinstance(store_filter, str) else store_filter)
+    s = s.withColumn("_key", _identity(store))
+    q = embed_queries(queries, dim, text_col=query_text_col, embedder=embedder) if embed else queries
+    hits = vector_topk(s.select(F.col("_key").alias("id"), "embedding"), q.select(query_id_col, "embedding"), k, min_score,
+                       query_id_col=query_id_col, dim=dim, store_blocks=store_blocks, query_blocks=query_blocks)
+    # The hits (k a query) meet the store again for its other columns.  Written,
+    # their true size is known when Spark chooses the join.
+    hits = cut_lineage(hits.withColumnRenamed("id", "_key"))
+    where = [c for c in ("store", "namespace") if c in store.columns]
+    return s.join(hits, "_key").select(query_id_col, "rank", "score", "id", "embedding", "text", "metadata", *where)
+
+
+def match_list(hits: DataFrame, query_id_col: str = "query_id") -> DataFrame:
+    """``query_id, matches``: the hits by rank as array of (score, embeddingId,
+    embedding, embedded (text, metadata)), at most k a query."""
+    one = F.struct("rank", F.struct(F.col("score"), F.col("id").alias("embeddingId"), "embedding",
+                                    F.struct("text", "metadata").alias("embedded")).alias("m"))
+    return (hits.withColumn("_one", one).groupBy(query_id_col).agg(F.collect_list("_one").alias("_all"))
+            .select(query_id_col, F.transform(F.array_sort("_all", lambda a, b: a["rank"] - b["rank"]), lambda x: x["m"]).alias("matches")))
 
 
 def rag_context(questions: DataFrame, matches: DataFrame, *, query_id_col: str = "query_id",
@@ -213,7 +220,8 @@ RAG_TEMPLATE = ("Answer the question using the knowledge below.\n\n"
 
 def rag_chat(questions: DataFrame, store: DataFrame, complete_fn_factory, *, k: int = 5,
              min_score: float = 0.75, output_type: str = "string", query_id_col: str = "query_id",
-             template: str = RAG_TEMPLATE, dim: int = DEFAULT_DIM) -> DataFrame:
+             template: str = RAG_TEMPLATE, dim: int | None = DEFAULT_DIM,
+             embedder: Embedder | None = None, store_filter=None) -> DataFrame:
     """render -> embed -> search -> attach knowledge -> complete -> coerce.
 
     ``questions``: ``query_id, question``.  Returns ``query_id, prompt,
@@ -223,8 +231,8 @@ def rag_chat(questions: DataFrame, store: DataFrame, complete_fn_factory, *, k:
     from tessera.operators.infer import coerce_output, complete
 
     q = questions.withColumnRenamed("question", "text")
-    hits = get_from_knowledge(store, q.select(query_id_col, "text"), k, min_score, dim=dim,
-                              query_id_col=query_id_col)
+    hits = get_from_knowledge(store, q.select(query_id_col, "text"), k, min_score, dim=dim, embedder=embedder,
+                              store_filter=store_filter, query_id_col=query_id_col)
     with_ctx = rag_context(q.withColumnRenamed("text", "question"), hits, query_id_col=query_id_col)
     prompts = render_prompts(with_ctx, template)
     answered = complete(prompts.select(query_id_col, "prompt", "n_matches"), complete_fn_factory)

@@ -14,7 +14,7 @@ from tessera.plans import fixtures as FX
 from tessera.plans import sqlgen as G
 from tessera.plans.knowledge import (DEFAULT_DIM, get_from_knowledge, ingest_summary,
                                      knowledge_rows, rag_context)
-from tessera.operators.util import spread_small
+from tessera.operators.util import spread
 from tessera.plans.registry import register
 from tessera.session import cut_lineage
 from tessera.sources.tables import table
@@ -26,7 +26,7 @@ RAG_MIN_SCORE = 0.75
 
 
 def _docs(spark, sf_dir):
-    return spread_small(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 @register("split_recursive", G.split_sql("Recursive", 1000, 200))
@@ -226,7 +226,7 @@ def q_ingest_dedup(spark, sf_dir):
 
 
 def _embedded_docs(spark, sf_dir):
-    d = spread_small(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
     return hash_embed(d, DEFAULT_DIM).select(
         content_uuid("text").alias("id"), "embedding", "text",
         F.create_map(F.lit("doc_id"), F.col("doc_id").cast("string"),
@@ -247,7 +247,7 @@ def q_store_append(spark, sf_dir):
     """Append vectors to a store (one namespace per language, one write),
     read everything back."""
     path = _write_lang_store(spark, sf_dir)
-    return store_scan(spark, path).select("store", "namespace", "doc_id",
+    return store_scan(spark, path).select("store", "namespace", F.col("metadata")["doc_id"].cast("bigint").alias("doc_id"),
                                           F.length("text").cast("bigint").alias("n_chars"))
 
 
@@ -257,7 +257,21 @@ SELECT doc_id, lang AS namespace FROM documents WHERE lang = 'fr'
 def q_store_namespace_scan(spark, sf_dir):
     """S3: select one namespace of a store (partition pruning)."""
     path = _write_lang_store(spark, sf_dir)
-    return store_scan(spark, path, "docs", "fr").select("doc_id", "namespace")
+    return store_scan(spark, path, "docs", "fr").select(
+        F.col("metadata")["doc_id"].cast("bigint").alias("doc_id"), "namespace")
+
+
+@register("store_numeric_namespaces", """
+SELECT doc_id, CASE lang WHEN 'en' THEN '7' WHEN 'fr' THEN '007' ELSE 'abc' END AS namespace FROM documents WHERE lang <> 'en'
+""")
+def q_store_numeric_namespaces(spark, sf_dir):
+    """S3: namespaces that look like numbers are texts: 7, 007 and abc are
+    three, and a scan of one gives no other's rows."""
+    ns = F.when(F.col("lang") == "en", "7").when(F.col("lang") == "fr", "007").otherwise("abc")
+    path = scratch_path(spark, "store")
+    store_append(_embedded_docs(spark, sf_dir).withColumn("namespace", ns), path, "docs", namespace_col="namespace")
+    rows = store_scan(spark, path, "docs", "007").unionByName(store_scan(spark, path, "docs", "abc"))
+    return rows.select(F.col("metadata")["doc_id"].cast("bigint").alias("doc_id"), "namespace")
 
 
 @register("store_snapshot_roundtrip", """
@@ -281,7 +295,7 @@ def q_store_snapshot_roundtrip(spark, sf_dir):
 WITH {FX.TYPED_DOCS_SQL},
 p AS (SELECT origin, doc_id,
         CASE WHEN lower(type) = 'markdown-to-text' THEN payload
-             WHEN lower(type) = 'html-to-text' AND {G.has_body('payload')} THEN {G.html_text('payload')} END AS text
+             WHEN lower(type) = 'html-to-text' THEN {G.html_text('payload')} END AS text
       FROM typed_docs),
 v AS (SELECT *, text IS NOT NULL AND length(text) > 0 AND
         len(list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+'), lambda x: length(x) > 0)) > 0 AS ok
@@ -296,7 +310,7 @@ def q_ingest_summary(spark, sf_dir):
     """A3/A4: ingest outcome counts (written / duplicate / invalid) with the
     success flag, over parse -> embed -> validate -> dedup of all documents
     and pages."""
-    rows = knowledge_rows(spread_small(FX.typed_docs(spark, sf_dir)), split=False,
+    rows = knowledge_rows(spread(FX.typed_docs(spark, sf_dir)), split=False,
                           key_cols=("origin", "doc_id"))
     return ingest_summary(rows)
 
@@ -306,7 +320,7 @@ WITH {FX.TYPED_DOCS_SQL},
 parsed AS (
   SELECT origin || ':' || doc_id AS doc_id,
          CASE WHEN lower(type) = 'markdown-to-text' THEN payload
-              WHEN lower(type) = 'html-to-text' AND {G.has_body('payload')} THEN {G.html_text('payload')} END AS text
+              WHEN lower(type) = 'html-to-text' THEN {G.html_text('payload')} END AS text
   FROM typed_docs),
 good AS (SELECT doc_id, text FROM parsed WHERE text IS NOT NULL),
 sp AS (SELECT * FROM ({G.split_sql("Recursive", 1000, 200, source="good")})),
@@ -325,7 +339,7 @@ def q_add_to_knowledge(spark, sf_dir):
     then the stored rows are read back."""
     from tessera.plans.knowledge import add_to_knowledge
     path = scratch_path(spark, "kb")
-    docs = spread_small(FX.typed_docs(spark, sf_dir))
+    docs = spread(FX.typed_docs(spark, sf_dir))
     add_to_knowledge(docs, path, "kb", None, key_cols=("origin", "doc_id"))
     return store_scan(spark, path, "kb").select(
         "id", F.col("metadata")["origin"].alias("origin"),
@@ -442,8 +456,7 @@ _PARSE_CODES_SQL = f"""
 WITH {FX.TYPED_DOCS_SQL}
 SELECT CASE WHEN lower(type) NOT IN ('markdown-to-text', 'html-to-text', 'pdf-to-text', 'doc-to-text',
                  'docx-to-text', 'ppt-to-text', 'pptx-to-text', 'xls-to-text', 'xlsx-to-text') THEN '701143'
-            WHEN payload IS NULL THEN '701141'
-            WHEN lower(type) = 'html-to-text' AND NOT {G.has_body('payload')} THEN '701141' END AS code
+            WHEN payload IS NULL THEN '701141' END AS code
 FROM typed_docs
 """
 
@@ -512,3 +525,86 @@ def q_add_to_store(spark, sf_dir):
     path = scratch_path(spark, "vectors")
     add_to_store(rows, path, "vectors", None, dim=64, order_cols=("req_id", "pos"))
     return store_scan(spark, path, "vectors").select("id", "text")
+
+
+_FILTERED_SQL = _RETRIEVAL_SQL.replace(f"WHERE score >= {RAG_MIN_SCORE})",
+                                       f"JOIN documents USING (doc_id) WHERE score >= {RAG_MIN_SCORE} AND lang = 'en' AND n_chars > 1000)")
+
+
+@register("get_from_knowledge_filtered", _FILTERED_SQL + """
+SELECT query_id, rank::INTEGER AS rank, doc_id, round(score, 3) AS score FROM r WHERE rank <= 5
+""")
+def q_get_from_knowledge_filtered(spark, sf_dir):
+    """M4/M5/F: the user's metadata (language, length) goes through ingest into
+    the store, and a metadata filter limits what the questions find."""
+    from tessera.plans.knowledge import add_to_knowledge
+    meta = F.create_map(F.lit("lang"), F.col("lang"), F.lit("n_chars"), F.col("n_chars").cast("string"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", meta.alias("meta"))
+    path = scratch_path(spark, "kb-meta")
+    add_to_knowledge(docs, path, "kb", None, parse_docs=False, split=False, metadata_col="meta")
+    questions = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    hits = get_from_knowledge(store_scan(spark, path, "kb"), questions, RAG_K, RAG_MIN_SCORE,
+                              store_filter='and(metadataKey("lang").isEqualTo("en"), metadataKey("n_chars").isGreaterThan(1000))')
+    return hits.select("query_id", "rank", F.col("metadata")["doc_id"].cast("bigint").alias("doc_id"), F.round("score", 3).alias("score"))
+
+
+def letter_embedder():
+    """A user model for the queries: how often each of a, e, i, o, u is in the text."""
+    import numpy as np
+
+    def fn(texts):
+        return np.array([[t.lower().count(c) for c in "aeiou"] for t in texts], dtype=np.float32)
+    return fn
+
+
+@register("add_to_knowledge_model", f"""
+WITH c AS (SELECT {G.uuid3('text')} AS id, doc_id, lang, text FROM documents),
+f AS (SELECT id, arg_min(doc_id, doc_id) AS doc_id, arg_min(lang, doc_id) AS lang, min(text) AS text FROM c GROUP BY id)
+SELECT id, doc_id, lang, length(lower(text)) - length(replace(lower(text), 'e', '')) AS e FROM f
+""")
+def q_add_to_knowledge_model(spark, sf_dir):
+    """M1/M4: ingest with a user model as embedder; the second ingest of the
+    same documents adds nothing.  The stored vectors are read back."""
+    from tessera.operators.embed import model_embedder
+    from tessera.plans.knowledge import add_to_knowledge
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.create_map(F.lit("lang"), F.col("lang")).alias("meta"))
+    path = scratch_path(spark, "kb-model")
+    for _ in range(2):
+        add_to_knowledge(docs, path, "kb", None, parse_docs=False, split=False, metadata_col="meta", dim=5,
+                         embedder=model_embedder(letter_embedder, 5))
+    return store_scan(spark, path, "kb").select("id", F.col("metadata")["doc_id"].cast("bigint").alias("doc_id"),
+                                                F.col("metadata")["lang"].alias("lang"), F.col("embedding")[1].cast("bigint").alias("e"))
+
+
+@register("get_from_two_namespaces", _RETRIEVAL_SQL + f"""
+, n AS (SELECT query_id, score, ns, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id, ns) AS rank, doc_id
+        FROM (SELECT DISTINCT query_id, score, id, doc_id FROM sc WHERE score >= {RAG_MIN_SCORE}) CROSS JOIN (VALUES ('a'), ('b')) AS x(ns))
+SELECT query_id, rank::INTEGER AS rank, ns AS namespace, doc_id, round(score, 3) AS score FROM n WHERE rank <= 5
+""")
+def q_get_from_two_namespaces(spark, sf_dir):
+    """S3/M5: the same documents in two namespaces of a store are two hits each,
+    every one with its own namespace."""
+    path = scratch_path(spark, "kb-two")
+    rows = cut_lineage(knowledge_rows(_docs(spark, sf_dir), parse_docs=False, split=False)
+                       .where(F.col("status") == "written").select("id", "embedding", "text", "metadata"))
+    for ns in ("a", "b"):
+        store_append(rows, path, "kb", ns)
+    questions = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    hits = get_from_knowledge(store_scan(spark, path, "kb"), questions, RAG_K, RAG_MIN_SCORE)
+    return hits.select("query_id", "rank", "namespace", F.col("metadata")["doc_id"].cast("bigint").alias("doc_id"), F.round("score", 3).alias("score"))
+
+
+@register("stream_ingest_quarantine", """
+SELECT doc_id, '701162' AS error_code FROM documents WHERE doc_id % 7 = 3
+""")
+def q_stream_ingest_quarantine(spark, sf_dir):
+    """T1/§2.12: a stream in which some texts are empty (here: a seventh); their
+    rows are in the quarantine table, and the stream goes on."""
+    from tessera.plans.q_stream import _stream
+    from tessera.streaming.ingest import ingest_stream
+    docs = _stream(spark, sf_dir, "documents", "doc_id", "doc_id")
+    text = F.when(F.col("doc_id") % 7 != 3, F.col("text")).otherwise(F.lit(""))
+    store, bad = scratch_path(spark, "kb-poison"), scratch_path(spark, "kb-quarantine")
+    ingest_stream(docs.select("doc_id", text.alias("text")), store, "kb", parse_docs=False, split=False, quarantine_path=bad)
+    return spark.read.parquet(bad).where(F.col("metadata")["doc_id"].cast("bigint") % 7 == 3).select(
+        F.col("metadata")["doc_id"].cast("bigint").alias("doc_id"), "error_code")

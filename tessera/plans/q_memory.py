@@ -30,6 +30,15 @@ def q_memory_window(spark, sf_dir):
     return M.last_n(FX.messages(spark, sf_dir), WINDOW_N).select("session_id", "seq", "type", "pos")
 
 
+def _stored(spark, sf_dir) -> str:
+    """The messages written as a table, user turns first."""
+    path = scratch_path(spark, "memory")
+    msgs = FX.messages(spark, sf_dir)
+    MS.append_messages(msgs.where(F.col("type") == "USER"), path)
+    MS.append_messages(msgs.where(F.col("type") != "USER"), path)
+    return path
+
+
 @register("memory_scan", f"""
 WITH {FX.MESSAGES_SQL},
 s AS (SELECT DISTINCT session_id FROM messages WHERE type = 'SYSTEM')
@@ -38,10 +47,11 @@ FROM messages WHERE session_id IN (SELECT session_id FROM s)
 """)
 def q_memory_scan(spark, sf_dir):
     """Full history (oldest first) of a set of sessions given as a table
-    (here: the sessions that have a system message)."""
-    msgs = FX.messages(spark, sf_dir)
-    wanted = msgs.where(F.col("type") == "SYSTEM").select("session_id")
-    return MS.scan_sessions(msgs, wanted).select("session_id", "seq", "pos")
+    (here: those with a system message) from a message table on disk, whose
+    other buckets are not scanned."""
+    path = _stored(spark, sf_dir)
+    wanted = FX.messages(spark, sf_dir).where(F.col("type") == "SYSTEM").select("session_id")
+    return MS.scan_sessions(MS.read_sessions(spark, path, wanted), wanted).select("session_id", "seq", "pos")
 
 
 @register("memory_append", f"""
@@ -76,10 +86,12 @@ SELECT session_id, seq FROM messages
 WHERE session_id NOT IN (SELECT session_id FROM messages WHERE type = 'SYSTEM')
 """)
 def q_memory_delete_sessions(spark, sf_dir):
-    """Delete a set of sessions (here: those with a system message)."""
-    msgs = FX.messages(spark, sf_dir)
-    gone = msgs.where(F.col("type") == "SYSTEM").select("session_id")
-    return MS.delete_sessions(msgs, gone).select("session_id", "seq")
+    """Delete a set of sessions (here: those with a system message) from a
+    message table on disk; what is left is read back."""
+    path = _stored(spark, sf_dir)
+    gone = FX.messages(spark, sf_dir).where(F.col("type") == "SYSTEM").select("session_id")
+    MS.delete_stored_sessions(spark, path, gone)
+    return MS.read_messages(spark, path).select("session_id", "seq")
 
 
 @register("system_message_fix", f"""

@@ -11,13 +11,11 @@ from tessera.plans import fixtures as FX
 from tessera.plans.registry import register
 from tessera.sources.tables import table
 
-_NUM = "TRY_CAST({c} AS DOUBLE)"
-
 # name -> (filter text, DuckDB predicate over store_meta)
 FILTERS = {
     "filter_eq": ('metadataKey("lang").isEqualTo("fr")', "coalesce(lang = 'fr', false)"),
     "filter_ne": ('metadataKey("quality").isNotEqualTo(1)',
-                  "coalesce(NOT (TRY_CAST(quality AS DOUBLE) = 1), true)"),
+                  "coalesce(NOT (quality = '1'), true)"),
     "filter_gt": ('metadataKey("n_chars").isGreaterThan(2000)', "coalesce(TRY_CAST(n_chars AS DOUBLE) > 2000, false)"),
     "filter_ge": ('metadataKey("n_chars").isGreaterThanOrEqualTo("1000")',
                   "coalesce(TRY_CAST(n_chars AS DOUBLE) >= 1000, false)"),
@@ -27,12 +25,12 @@ FILTERS = {
     "filter_not_in": ('metadataKey("quality").isNotIn("0")', "coalesce(NOT (quality IN ('0')), true)"),
     "filter_and": ('and(metadataKey("lang").isEqualTo("en"), metadataKey("quality").isEqualTo(1), '
                    'metadataKey("n_chars").isLessThan(3000))',
-                   "coalesce(lang = 'en', false) AND coalesce(TRY_CAST(quality AS DOUBLE) = 1, false) "
+                   "coalesce(lang = 'en', false) AND coalesce(quality = '1', false) "
                    "AND coalesce(TRY_CAST(n_chars AS DOUBLE) < 3000, false)"),
     "filter_or": ('or(metadataKey("lang").isEqualTo("de"), metadataKey("source").isIn("src1", "src2"))',
                   "coalesce(lang = 'de', false) OR coalesce(source IN ('src1', 'src2'), false)"),
     "filter_not": ('not(metadataKey("quality").isEqualTo("1"))',
-                   "NOT coalesce(TRY_CAST(quality AS DOUBLE) = 1, false)"),
+                   "NOT coalesce(quality = '1', false)"),
     "filter_empty": ("", "true"),
 }
 
@@ -49,6 +47,35 @@ for _name, (_text, _sql) in FILTERS.items():
         _filter_query(_name, _text))
 
 
+# Numbers near 2 ** 53, where doubles run together, and texts that only look like
+# numbers: by document, n = 9007199254740000 + doc_id and code = "<x>.0", "1_<x>" or "<x>".
+_EXACT = {
+    "filter_exact_eq": ('metadataKey("n").isEqualTo("9007199254740993")', "n = '9007199254740993'"),
+    "filter_exact_gt": ('metadataKey("n").isGreaterThan("9007199254740100")', "n::DECIMAL(38,0) > 9007199254740100"),
+    "filter_number_text": ('or(metadataKey("code").isEqualTo("1"), metadataKey("code").isGreaterThan("1_5"), metadataKey("code").isLessThan("-0.5"))',
+                           "code = '1' OR code > '1_5' OR (CASE WHEN doc_id % 3 <> 1 THEN code::DECIMAL(38,6) < -0.5 ELSE code < '-0.5' END)"),
+}
+
+
+def _exact_query(name, text):
+    def q(spark, sf_dir):
+        i = F.col("doc_id")
+        x = (i % 11 - 2).cast("string")
+        code = F.when(i % 3 == 0, F.concat(x, F.lit(".0"))).when(i % 3 == 1, F.concat(F.lit("1_"), x)).otherwise(x)
+        meta = F.create_map(F.lit("n"), (i + 9007199254740000).cast("string"), F.lit("code"), code)
+        docs = table(spark, sf_dir, "documents").select("doc_id", meta.alias("metadata"))
+        return docs.where(compile_filter(text)).select("doc_id")
+    q.__doc__ = f"F1, F3-F6: exact numbers and texts that look like numbers: {text}."
+    return q
+
+
+for _name, (_text, _sql) in _EXACT.items():
+    register(_name, f"""
+WITH d AS (SELECT doc_id, (9007199254740000 + doc_id)::VARCHAR AS n, (doc_id % 11 - 2)::VARCHAR AS x FROM documents),
+e AS (SELECT *, CASE doc_id % 3 WHEN 0 THEN x || '.0' WHEN 1 THEN '1_' || x ELSE x END AS code FROM d)
+SELECT doc_id FROM e WHERE {_sql}""")(_exact_query(_name, _text))
+
+
 PROMPT_TEMPLATE = 'Question ${item_id}: ${text}\nContext: ${exists(context) ? context : "none"}'
 
 
@@ -62,22 +89,22 @@ def q_prompt_render(spark, sf_dir):
 
 
 @register("system_prompt", """
-WITH c AS (SELECT conv_id, CASE WHEN role = 'system' THEN text END AS r,
+WITH c AS (SELECT conv_id, turn, CASE WHEN role = 'system' THEN text END AS r,
                   CASE WHEN role = 'user' AND length(text) > 100 THEN text END AS i
-           FROM conversations WHERE turn = 0)
-SELECT conv_id, CASE WHEN coalesce(length(r) > 0, false) OR coalesce(length(i) > 0, false)
+           FROM conversations)
+SELECT conv_id, turn, CASE WHEN coalesce(length(r) > 0, false) OR coalesce(length(i) > 0, false)
   THEN (CASE WHEN coalesce(length(r) > 0, false) THEN '# Role' || chr(10) || r || chr(10) || chr(10) ELSE '' END)
     || (CASE WHEN coalesce(length(i) > 0, false) THEN '## Instructions' || chr(10) || i ELSE '' END)
   ELSE 'You are a helpful assistant.' END AS system_prompt
 FROM c
 """)
 def q_system_prompt(spark, sf_dir):
-    """System prompt from a role and instructions (first turn of each
-    conversation: system text as role, a long user text as instructions)."""
-    c = table(spark, sf_dir, "conversations").where(F.col("turn") == 0)
+    """System prompt from a role and instructions (by turn: system text as
+    role, a long user text as instructions)."""
+    c = table(spark, sf_dir, "conversations")
     role = F.when(F.col("role") == "system", F.col("text"))
     instr = F.when((F.col("role") == "user") & (F.length("text") > 100), F.col("text"))
-    return c.select("conv_id", P.system_prompt(role, instr).alias("system_prompt"))
+    return c.select("conv_id", "turn", P.system_prompt(role, instr).alias("system_prompt"))
 
 
 _PARTS_SQL = f"""

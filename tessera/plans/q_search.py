@@ -14,7 +14,7 @@ TOPK_K = 5
 TOPK_MIN_SCORE = 0.6
 
 
-@register("vector_topk", """
+_TOPK_SQL = """
 WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
 p AS (
   SELECT q.vec_id AS query_id, s.vec_id AS id,
@@ -24,13 +24,28 @@ p AS (
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank
       FROM p WHERE score >= 0.6)
 SELECT query_id, id, score, rank::INTEGER AS rank FROM r WHERE rank <= 5
-""")
-def q_vector_topk(spark, sf_dir):
-    """Every stored vector is also a query: exact top-5 by (1+cos)/2 >= 0.6."""
+"""
+
+
+def _topk(spark, sf_dir, strategy):
     emb = table(spark, sf_dir, "embeddings")
     store = emb.select(F.col("vec_id").alias("id"), "embedding")
     queries = emb.select(F.col("vec_id").alias("query_id"), "embedding")
-    return vector_topk(store, queries, TOPK_K, TOPK_MIN_SCORE, dim=EMB_DIM)
+    return vector_topk(store, queries, TOPK_K, TOPK_MIN_SCORE, dim=EMB_DIM, strategy=strategy)
+
+
+@register("vector_topk", _TOPK_SQL)
+def q_vector_topk(spark, sf_dir):
+    """Every stored vector is also a query: exact top-5 by (1+cos)/2 >= 0.6,
+    with the strategy that the size of the query side allows."""
+    return _topk(spark, sf_dir, None)
+
+
+@register("vector_topk_blocked", _TOPK_SQL)
+def q_vector_topk_blocked(spark, sf_dir):
+    """The same by blocks of store and queries, as for query sets that don't fit
+    in a task."""
+    return _topk(spark, sf_dir, "blocked")
 
 
 @register("cosine_pairs", """
@@ -75,7 +90,19 @@ def q_vector_normalize(spark, sf_dir):
                        F.round(V.l2_norm("unit"), 6).alias("norm_out"))
 
 
-@register("vector_topk_approx")
+@register("vector_topk_approx", """
+WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+planes AS (SELECT t.t AS t, b.b AS b, list_transform(range(0, 64), lambda p:
+             CASE WHEN substr(md5('17:' || t.t || ':' || b.b || ':' || p), 1, 1) < '8' THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END) AS s
+           FROM range(0, 8) AS t(t), range(0, 6) AS b(b)),
+codes AS (SELECT vec_id, t, sum(CASE WHEN list_dot_product(e, s) > 0 THEN 1 << b ELSE 0 END) AS code FROM v, planes GROUP BY vec_id, t),
+cand AS (SELECT DISTINCT q.vec_id AS query_id, c.vec_id AS id FROM codes q JOIN codes c ON q.t = c.t AND q.code = c.code),
+p AS (SELECT query_id, id, round((1 + list_dot_product(a.e, b.e)
+             / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e)))) / 2, 6) AS score
+      FROM cand JOIN v a ON a.vec_id = query_id JOIN v b ON b.vec_id = id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM p WHERE score >= 0.6)
+SELECT query_id, id, score, rank::INTEGER AS rank FROM r WHERE rank <= 5
+""")
 def q_vector_topk_approx(spark, sf_dir):
     """J-7: approximate top-5 (8 LSH tables x 6 bits) with exact re-scoring;
     every stored vector is also a query."""

@@ -9,7 +9,7 @@ from tessera.plans import fixtures as FX
 from tessera.plans.knowledge import knowledge_rows
 from tessera.plans.q_knowledge import _RETRIEVAL_SQL, RAG_K, RAG_MIN_SCORE
 from tessera.plans.q_memory import MEMORY_LIMIT, WINDOW_N, memory_sql
-from tessera.plans.q_tools import TIMEOUT_SECONDS
+from tessera.plans.q_tools import _MATCH_SQL, TIMEOUT_SECONDS
 from tessera.plans.registry import register
 from tessera.plans.standin import extractive_answer_factory
 from tessera.session import cut_lineage
@@ -72,17 +72,10 @@ def q_stream_session_window(spark, sf_dir):
     return latest_windows(spark.read.parquet(out)).select("session_id", "seq", "type", "pos")
 
 
-@register("stream_tool_results", f"""
-WITH {FX.TOOL_CALLS_SQL}, {FX.TOOL_RESULTS_SQL},
-good AS (SELECT * FROM tool_results WHERE length(trim(coalesce(result, ''))) > 0)
-SELECT c.session_id, c.request_id, c.seq, g.seq AS result_seq, g.result
-FROM tool_calls c LEFT JOIN good g
-  ON g.session_id = c.session_id AND g.request_id = c.request_id
- AND g.ts >= c.ts AND g.ts <= c.ts + INTERVAL {TIMEOUT_SECONDS} SECOND
-""")
+@register("stream_tool_results", _MATCH_SQL + "SELECT session_id, request_id, seq, result, matched FROM m")
 def q_stream_tool_results(spark, sf_dir):
     """T4/T5: calls and results as two streams joined with watermarks and
-    the time-out interval (left outer).  The events are copied to a stream
+    the time-out interval, one row a call as in the batch query.  The events are copied to a stream
     folder followed by one sentinel event past the last time-out, so the
     watermark passes every call and the unmatched ones are emitted."""
     src = scratch_path(spark, "events-stream")
@@ -107,7 +100,7 @@ def q_stream_tool_results(spark, sf_dir):
     matched = stream_match(FX.tool_calls(spark, sf_dir, stream), FX.tool_results(spark, sf_dir, stream),
                            TIMEOUT_SECONDS, WATERMARK_DELAY_SECONDS)
     out = run_available_now(matched, name="tool-stream")
-    return spark.read.parquet(out).where(F.col("session_id") != "-1")
+    return spark.read.parquet(out).where(F.col("session_id") != "-1").select("session_id", "request_id", "seq", "result", "matched")
 
 
 @register("stream_questions", _RETRIEVAL_SQL + """

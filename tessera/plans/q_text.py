@@ -8,7 +8,7 @@ from tessera.functions import text as X
 from tessera.operators.parse import parse, route
 from tessera.plans import sqlgen as G
 from tessera.plans.fixtures import TYPED_DOCS_SQL, typed_docs
-from tessera.operators.util import spread_small
+from tessera.operators.util import spread
 from tessera.plans.registry import register
 from tessera.sources.tables import table
 
@@ -54,10 +54,9 @@ def q_parse_text(spark, sf_dir):
 WITH {TYPED_DOCS_SQL}, r AS (SELECT *, {_ROUTE_SQL} AS parser FROM typed_docs)
 SELECT origin, doc_id,
   CASE WHEN parser = 'TEXT' THEN payload
-       WHEN parser = 'HTML_TO_TEXT' AND {G.has_body('payload')} THEN {G.html_text('payload')} END AS text,
+       WHEN parser = 'HTML_TO_TEXT' THEN {G.html_text('payload')} END AS text,
   CASE WHEN parser IS NULL THEN '701143' WHEN payload IS NULL THEN '701141'
-       WHEN parser IN ('PDF', 'OFFICE') THEN '701142'
-       WHEN parser = 'HTML_TO_TEXT' AND NOT {G.has_body('payload')} THEN '701141' END AS error_code
+       WHEN parser IN ('PDF', 'OFFICE') THEN '701142' END AS error_code
 FROM r
 """)
 def q_parse_documents(spark, sf_dir):
@@ -70,7 +69,7 @@ SELECT page_id, {G.html_text('html')} AS text FROM pages
 """)
 def q_html_to_text(spark, sf_dir):
     """Visible body text of every page, native regex chain."""
-    pages = spread_small(table(spark, sf_dir, "pages"))
+    pages = spread(table(spark, sf_dir, "pages"))
     return pages.select("page_id", X.html_to_text("html").alias("text"))
 
 
@@ -79,7 +78,7 @@ SELECT page_id, {G.html_markdown('html')} AS markdown FROM pages
 """)
 def q_html_to_markdown(spark, sf_dir):
     """Markdown rendering of every page."""
-    pages = spread_small(table(spark, sf_dir, "pages"))
+    pages = spread(table(spark, sf_dir, "pages"))
     return pages.select("page_id", X.html_to_markdown("html").alias("markdown"))
 
 

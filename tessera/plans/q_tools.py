@@ -103,16 +103,18 @@ def q_tool_batch_complete(spark, sf_dir):
 
 
 @register("tool_executions", _MATCH_SQL + """
-SELECT session_id, count(*)::INTEGER AS n_executions,
-       string_agg(request_id || '=' || result, '|' ORDER BY ts, seq) AS executions
-FROM m GROUP BY session_id
+, d AS (SELECT *, strftime(ts, '%Y-%m-%d') AS day FROM m),
+n AS (SELECT *, row_number() OVER (PARTITION BY day ORDER BY ts, seq) AS call_no FROM d)
+SELECT day, (count(*) FILTER (WHERE call_no <= 100))::INTEGER AS n_executions, count(*) FILTER (WHERE call_no > 100) AS n_over,
+       string_agg(request_id || '=' || result, '|' ORDER BY ts, seq) FILTER (WHERE call_no <= 100) AS executions
+FROM n GROUP BY day
 """)
 def q_tool_executions(spark, sf_dir):
-    """Ordered (request, result) list per request (session), after the cap."""
-    m = _matched(spark, sf_dir).withColumn("known", F.lit(True))
-    capped = TL.cap_calls(m).where(F.col("error_code").isNull())
-    ex = TL.executions(capped)
-    return ex.select("session_id", F.size("tool_executions").alias("n_executions"),
+    """Ordered (request, result) list of each request (a day's calls,
+    which are more than the cap of 100), and the number of calls over the cap."""
+    m = _matched(spark, sf_dir).withColumns({"known": F.lit(True), "day": F.date_format("ts", "yyyy-MM-dd")})
+    ex = TL.executions(TL.cap_calls(m, request_cols=("day",)), request_cols=("day",))
+    return ex.select("day", F.size("tool_executions").alias("n_executions"), "n_over",
                      F.array_join(F.transform("tool_executions", lambda e: F.concat(
                          e["request"]["id"], F.lit("="), e["result"])), "|").alias("executions"))
 

@@ -41,8 +41,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared ``spark.checkpoint.dir``; only when it is unset
-    (local tests) fall back to a fresh scratch folder."""
+    """Use the cluster's shared ``spark.checkpoint.dir``; only where it is unset on
+    a local master (tests) fall back to a fresh scratch folder.  On a cluster
+    every machine would write to a folder of its own, so that is an error."""
     sc = spark.sparkContext
     current = (spark.conf.get("spark.checkpoint.dir", None)
                or sc.getConf().get("spark.checkpoint.dir", None)
@@ -53,6 +54,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if spark.conf.get("spark.checkpoint.dir", None) is None:
             spark.conf.set("spark.checkpoint.dir", current)
         return current
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     path = tempfile.mkdtemp(prefix="tessera-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

@@ -1,9 +1,10 @@
 """Conversation store: an append-only message table and a per-session JSON
 file format.
 
-The table is parquet partitioned by a hash bucket of the session id, so a
-session's rows live in one bucket folder and deleting sessions rewrites only
-the touched buckets (dynamic partition overwrite).
+The table is parquet partitioned by the number of buckets that its writer chose
+and a hash bucket of the session id, so a session's rows live in one folder:
+reading some sessions scans only their buckets, and deleting them rewrites
+only those (dynamic partition overwrite).
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BUCKETS = 64
+BUCKETS = 64  # for small tables; choose it so that a bucket is some hundred MB
 MESSAGE_COLUMNS = ("session_id", "seq", "type", "text", "tool_requests", "tool_result_id")
 CONTENT_TYPE = "array<struct<type:string,text:string,mime:string,data:string>>"
 JSON_MESSAGE = (f"struct<seq:bigint,type:string,text:string,contents:{CONTENT_TYPE},"
@@ -19,21 +20,57 @@ JSON_MESSAGE = (f"struct<seq:bigint,type:string,text:string,contents:{CONTENT_TY
                 "tool_result_id:string>")
 
 
-def _bucket() -> F.Column:
-    return F.pmod(F.xxhash64("session_id"), F.lit(BUCKETS)).cast("int")
+STORED = ("session_id string, seq bigint, type string, text string, tool_requests array<struct<id:string,name:string,arguments:string>>, "
+          "tool_result_id string, ts timestamp, n_buckets int, bucket int")
 
 
-def append_messages(messages: DataFrame, path: str, stamp: bool = False) -> None:
+def _bucket(n: int) -> F.Column:
+    return F.pmod(F.xxhash64("session_id"), F.lit(n)).cast("int")
+
+
+def append_messages(messages: DataFrame, path: str, stamp: bool = False, buckets: int = BUCKETS) -> None:
     """Append turns; ``stamp`` sets ``ts`` to the write time (interactive use),
-    batch jobs keep the order carried by ``seq``."""
+    batch jobs keep the order carried by ``seq``.  A table keeps the number of
+    buckets that it began with."""
+    spark = messages.sparkSession
     df = messages.select(*MESSAGE_COLUMNS)
     if stamp:
         df = df.withColumn("ts", F.current_timestamp())
-    df.withColumn("bucket", _bucket()).write.mode("append").partitionBy("bucket").parquet(path)
+    n = _buckets_of(spark, path) or buckets
+    (df.withColumns({"n_buckets": F.lit(n), "bucket": _bucket(n)}).sortWithinPartitions("bucket", "session_id", "seq")
+     .write.mode("append").partitionBy("n_buckets", "bucket").parquet(path))
+
+
+def _buckets_of(spark: SparkSession, path: str) -> int | None:
+    """The table's number of buckets, told by its folders; None if there is none."""
+    from tessera.sources.vector_store import path_exists
+
+    if not path_exists(spark, path):
+        return None
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(path)
+    names = [x.getPath().getName() for x in root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(root)]
+    found = {int(x.split("=")[1]) for x in names if x.startswith("n_buckets=")}
+    return found.pop() if found else None
 
 
 def read_messages(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    return spark.read.schema(STORED).parquet(path)
+
+
+def touched_buckets(sessions: DataFrame, n: int) -> list[int]:
+    """Buckets that hold any of the sessions: at most ``n`` numbers."""
+    return sorted(r[0] for r in sessions.select(_bucket(n)).distinct().collect())
+
+
+def read_sessions(spark: SparkSession, path: str, sessions: DataFrame) -> DataFrame:
+    """Rows of the given sessions; only their buckets are scanned."""
+    n = _buckets_of(spark, path)
+    rows = read_messages(spark, path)
+    if n is None:
+        return rows.limit(0)
+    wanted = sessions.select("session_id").distinct()
+    return rows.where(F.col("bucket").isin(touched_buckets(wanted, n))).join(wanted, "session_id", "left_semi")
 
 
 # Consecutive seq values numbered together when positions are assigned.
@@ -56,18 +93,26 @@ def delete_sessions(messages: DataFrame, sessions: DataFrame) -> DataFrame:
     return messages.join(sessions.select("session_id").distinct(), "session_id", "left_anti")
 
 
-def rewrite_touched_buckets(spark: SparkSession, path: str, sessions: DataFrame, out_path: str) -> list[int]:
-    """Session delete that touches only the hash buckets holding a deleted
-    session: their remaining rows are written to ``out_path`` (partitioned
-    by bucket) and the touched bucket ids are returned (at most ``BUCKETS``
-    values), so the caller replaces exactly those bucket folders; a touched
-    bucket absent from ``out_path`` has become empty."""
-    current = read_messages(spark, path)
-    touched_df = (sessions.select("session_id").distinct()
-                  .select(_bucket().alias("bucket")).distinct())
-    touched = sorted(r["bucket"] for r in touched_df.collect())  # <= BUCKETS rows
-    kept = delete_sessions(current.where(F.col("bucket").isin(touched)), sessions)
-    kept.write.mode("overwrite").partitionBy("bucket").parquet(out_path)
+def delete_stored_sessions(spark: SparkSession, path: str, sessions: DataFrame) -> list[int]:
+    """Deletes the sessions from the table and returns the touched buckets.
+
+    What stays of those buckets is first written to the shared scratch folder,
+    then replaces them; buckets left empty are removed.  Other buckets are not
+    read.  Run again after a failure, it does the same."""
+    from tessera.session import cut_lineage
+
+    n = _buckets_of(spark, path)
+    if n is None:
+        return []
+    gone = sessions.select("session_id").distinct()
+    touched = touched_buckets(gone, n)
+    kept = cut_lineage(delete_sessions(read_messages(spark, path).where(F.col("bucket").isin(touched)), gone))
+    (kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("n_buckets", "bucket").parquet(path))
+    left = {r[0] for r in kept.select("bucket").distinct().collect()}  # at most n numbers
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for bucket in set(touched) - left:
+        folder = hadoop.Path(f"{path}/n_buckets={n}/bucket={bucket}")
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
     return touched
 
 

@@ -1,8 +1,8 @@
 """Vector store as a partitioned parquet dataset.
 
 Layout: ``<path>/store=<name>/namespace=<ns>/part-*.parquet`` with columns
-``id, embedding ARRAY<FLOAT>, text, metadata MAP<STRING,STRING>`` (+ any
-extra columns the writer keeps).  Collections / namespaces are partition
+``id, embedding ARRAY<FLOAT>, text, metadata MAP<STRING,STRING>`` and, where
+written, ``lsh_codes``.  A row's identity is store, namespace and id.  Collections / namespaces are partition
 columns, so selecting one is partition pruning; appends never rewrite
 existing files.
 """
@@ -25,6 +25,7 @@ STORE_SCHEMA = T.StructType([
     T.StructField("embedding", T.ArrayType(T.FloatType())),
     T.StructField("text", T.StringType()),
     T.StructField("metadata", T.MapType(T.StringType(), T.StringType())),
+    T.StructField("lsh_codes", T.ArrayType(T.IntegerType())),
     T.StructField("store", T.StringType()),
     T.StructField("namespace", T.StringType()),
 ])
@@ -51,7 +52,7 @@ def namespace_name(ns: str | None) -> str:
 
 def store_append(df: DataFrame, path: str, store: str | None = None,
                  namespace: str | None = None, *, namespace_col: str | None = None) -> None:
-    """Append rows (``id, embedding, text, metadata`` + extras) to a store.
+    """Append rows (``id, embedding, text, metadata``, if present ``lsh_codes``) to a store.
 
     ``namespace_col`` takes each row's namespace from a column, so one write
     (one pass over the input) fills several namespace partitions."""
@@ -63,13 +64,16 @@ def store_append(df: DataFrame, path: str, store: str | None = None,
     else:
         df = df.withColumn("namespace", F.lit(namespace_name(namespace)))
     (df.withColumn("store", F.lit(store_name(store)))
+       .select(*[c for c in STORE_SCHEMA.names if c in df.columns or c == "store"])
        .write.mode("append").partitionBy("store", "namespace").parquet(path))
 
 
 def store_scan(spark: SparkSession, path: str, store: str | None = None,
                namespace: str | None = None) -> DataFrame:
-    """Read a store; the store / namespace predicates prune partitions."""
-    df = spark.read.parquet(path)
+    """Read a store (:data:`STORE_SCHEMA`); the store / namespace predicates prune
+    partitions.  The schema is given, so namespaces stay text (``7`` and ``007`` are
+    two) and columns don't depend on which file is looked at first."""
+    df = spark.read.schema(STORE_SCHEMA).parquet(path)
     if store is not None:
         df = df.where(F.col("store") == store_name(store))
     if namespace is not None:

@@ -2,25 +2,35 @@
 
 A stream-stream left outer join on (session, request id) with the interval
 condition ``call.ts <= result.ts <= call.ts + timeout`` and watermarks on
-both sides: matched pairs are emitted as they arrive, a call without a
-result is emitted (result NULL) once the watermark passes its time-out, and
-results arriving after that are dropped as late (the original ignores
-results after completion)."""
+both sides, then one row per call: the earliest non-blank result, or the
+text for a failed execution.  A call's row is emitted once the watermark passes
+its time-out; results arriving after that are dropped as late (the original
+ignores results after completion)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.text import is_blank
+from tessera.operators.tools import TOOL_EXECUTION_FAILED
+
 
 def stream_match(calls: DataFrame, results: DataFrame, timeout_seconds: int,
                  delay_seconds: int) -> DataFrame:
+    """``session_id, request_id, seq, ts, result_seq, matched, result``, as the batch
+    ``match_results`` gives them."""
     c = calls.withWatermark("ts", f"{delay_seconds} seconds").alias("c")
-    r = (results.where(F.length(F.trim(F.coalesce("result", F.lit("")))) > 0)
-         .withWatermark("ts", f"{delay_seconds} seconds").alias("r"))
+    r = results.where(~is_blank("result")).withWatermark("ts", f"{delay_seconds} seconds").alias("r")
     cond = ((F.col("c.session_id") == F.col("r.session_id")) & (F.col("c.request_id") == F.col("r.request_id"))
             & (F.col("r.ts") >= F.col("c.ts"))
             & (F.col("r.ts") <= F.col("c.ts") + F.expr(f"INTERVAL {timeout_seconds} SECONDS")))
-    return c.join(r, cond, "leftOuter").select(
+    pairs = c.join(r, cond, "leftOuter").select(
         F.col("c.session_id").alias("session_id"), F.col("c.request_id").alias("request_id"),
-        F.col("c.seq").alias("seq"), F.col("r.seq").alias("result_seq"), F.col("r.result").alias("result"))
+        F.col("c.seq").alias("seq"), F.col("c.ts").alias("ts"),
+        F.when(F.col("r.seq").isNotNull(), F.struct(F.col("r.ts").alias("at"), F.col("r.seq").alias("seq"),
+                                                    F.col("r.result").alias("result"))).alias("found"))
+    first = pairs.groupBy("session_id", "request_id", "seq", "ts").agg(F.min("found").alias("found"))
+    return first.select("session_id", "request_id", "seq", "ts", F.col("found.seq").alias("result_seq"),
+                        F.col("found").isNotNull().alias("matched"),
+                        F.coalesce("found.result", F.lit(TOOL_EXECUTION_FAILED)).alias("result"))

@@ -105,33 +105,86 @@ def test_stream_window_multi_batch_equals_batch(spark):
     assert got == want
 
 
-def test_stream_summaries_equal_sequential_fold(spark):
-    from tessera.plans.standin import extractive_answer_factory
+def _reference_fold(messages, limit, complete):
+    """One message after another, as the definition says."""
+    from tessera.functions.text import summary_of
+    from tessera.operators.memory import SUMMARY_PREFIX
+    from tessera.operators.summaries import prompt_for
+    memory = []
+    for m in messages:
+        if len(memory) >= limit and len(memory) > 2:
+            head = memory[:1] if memory[0][1] == "SYSTEM" else []
+            try:
+                answer = complete([prompt_for(memory)])[0]
+            except RuntimeError:
+                answer = None
+            if answer is None:
+                memory = head + memory[len(head) + 1:]
+            else:
+                memory = head + [(memory[-1][0], "USER", SUMMARY_PREFIX + summary_of(answer))]
+        memory = memory + [m]
+        if len(memory) > limit:
+            del memory[1 if memory[0][1] == "SYSTEM" and len(memory) > 1 else 0]
+    return memory
+
+
+@pytest.mark.parametrize("limit", [2, 3, 5])
+def test_summaries_equal_the_sequential_fold_and_lose_nothing(spark, monkeypatch, limit):
+    from tessera.operators import summaries as S
+    from tessera.plans.standin import extractive_answer_factory, failing_answer_factory
+    sessions = {f"s{k}": [(i, "SYSTEM" if i == 0 and k % 2 else "USER" if i % 2 else "AI", f"text {k}.{i}. more") for i in range(k)] for k in range(14)}
+    sessions["s3"][1] = (1, "AI", None)
+    calls = []
+
+    def counted(prompts):
+        calls.append(len(prompts))
+        return extractive_answer_factory()(prompts)
+
+    got = S.fold({}, sessions, limit, counted)
+    assert got == {s: _reference_fold(m, limit, extractive_answer_factory()) for s, m in sessions.items()}
+    if limit > 2:
+        assert max(calls) > 5 and len(calls) <= 13  # all sessions that are due share a call
+    got = S.fold({}, sessions, limit, failing_answer_factory())
+    assert got == {s: _reference_fold(m, limit, failing_answer_factory()) for s, m in sessions.items()}
+    rows = [(s, *m) for s, ms in sessions.items() for m in ms]
+    df = spark.createDataFrame(rows, "session_id string, seq long, type string, text string")
+    first = S.continue_memories(df.where("seq < 4"), limit, extractive_answer_factory)
+    both = S.continue_memories(df.where("seq >= 4"), limit, extractive_answer_factory, first).collect()
+    want = {(s, *m, k) for s, ms in sessions.items() for k, m in enumerate(_reference_fold(ms, limit, extractive_answer_factory()))}
+    assert {tuple(r) for r in both} == want
+
+
+def test_every_message_reaches_a_summary_or_the_memory():
+    from tessera.operators.summaries import fold
+    seen = []
+
+    def keeps_all(prompts):
+        seen.extend(prompts)
+        return [f"<summary>{p.split(chr(10) + chr(10), 1)[1]}</summary>" for p in prompts]
+
+    messages = [(i, "USER", f"<t{i}>") for i in range(1, 30)]
+    memory = fold({}, {"s": messages}, 6, keeps_all)["s"]
+    text = " ".join(m[2] for m in memory)
+    assert all(f"<t{i}>" in text for i in range(1, 30))
+
+
+def test_stream_summaries_equal_the_batch_and_survive_a_replay(spark):
+    from tessera.operators.summaries import continue_memories
     from tessera.plans.fixtures import messages
-    from tessera.streaming.runner import run_available_now
-    from tessera.streaming.sessions import latest_windows
-    from tessera.streaming.summaries import fold, summarizing_memory
+    from tessera.plans.standin import extractive_answer_factory
+    from tessera.streaming.summaries import summarizing_memory
     conv = spark.read.parquet(f"{SF_SMALL}/conversations.parquet")
     src = scratch_path(spark, "t-sum")
-    for part, cond in enumerate(["turn < 3", "turn >= 3"]):
+    for part, cond in enumerate(["turn < 2", "turn between 2 and 3", "turn >= 4"]):
         conv.where(cond).write.parquet(f"{src}/p{part}")
-    _arrive_later(f"{src}/p1")
+        _arrive_later(f"{src}/p{part}")
     stream = (spark.readStream.schema(conv.schema).option("maxFilesPerTrigger", "1")
               .option("recursiveFileLookup", "true").parquet(src))
-    out = run_available_now(summarizing_memory(messages(spark, SF_SMALL, stream), 4, extractive_answer_factory),
-                            name="t-sum")
-    got = {(r.session_id, r.pos, r.seq, r.type, r.text) for r in latest_windows(spark.read.parquet(out)).collect()}
-    fn = extractive_answer_factory()
-    want = set()
-    by_session = {}
-    for r in messages(spark, SF_SMALL).orderBy("session_id", "seq").collect():
-        by_session.setdefault(r.session_id, []).append([r.seq, r.type, r.text])
-    for sid, msgs in by_session.items():
-        mem = []
-        for m in msgs:
-            mem = fold(mem, m, 4, fn)
-        want |= {(sid, i, m[0], m[1], m[2]) for i, m in enumerate(mem)}
-    assert got == want
+    for every in (32, 2):
+        got = summarizing_memory(messages(spark, SF_SMALL, stream), scratch_path(spark, "t-mem-out"), 4,
+                                 extractive_answer_factory, compact_every=every)
+        want = continue_memories(messages(spark, SF_SMALL), 4, extractive_answer_factory)
+        assert {tuple(r) for r in got.collect()} == {tuple(r) for r in want.collect()}
 
 
 def test_memory_append_stamps_write_time(spark):
@@ -192,25 +245,28 @@ def test_model_embed_hook_keeps_rows_and_order(spark):
     assert out == {i: [float(len("a b " * i)), float(("a b " * i).count(" ")), 1.0] for i in range(50)}
 
 
-def test_delete_sessions_rewrites_only_touched_buckets(spark):
+def test_stored_sessions_are_read_and_deleted_by_bucket(spark):
     from tessera.plans.fixtures import messages
     from tessera.sources import memory_store as MS
-    path, out = scratch_path(spark, "t-del"), scratch_path(spark, "t-del-out")
+    path = scratch_path(spark, "t-del")
     msgs = messages(spark, SF_SMALL)
-    MS.append_messages(msgs, path)
-    gone = msgs.select("session_id").distinct().orderBy("session_id").limit(3)
-    touched = MS.rewrite_touched_buckets(spark, path, gone, out)
-    before = MS.read_messages(spark, path)
-    assert touched == sorted(r.bucket for r in before.join(gone, "session_id", "left_semi")
-                             .select("bucket").distinct().collect())
-    # the new content of the touched buckets: everything there but the deleted sessions
-    want = {(r.session_id, r.seq) for r in before.where(F.col("bucket").isin(touched))
-            .join(gone, "session_id", "left_anti").collect()}
-    got = set()
-    from tessera.sources.vector_store import path_exists
-    if path_exists(spark, out) and want:
-        got = {(r.session_id, r.seq) for r in spark.read.parquet(out).collect()}
-    assert got == want
+    MS.append_messages(msgs.where("seq < 2"), path, buckets=16)
+    MS.append_messages(msgs.where("seq >= 2"), path, buckets=99)  # the table keeps its 16
+    some = msgs.select("session_id").distinct().orderBy("session_id").limit(3)
+    rows = MS.read_sessions(spark, path, some)
+    assert {(r.session_id, r.seq) for r in rows.collect()} == {(r.session_id, r.seq) for r in msgs.join(some, "session_id", "left_semi").collect()}
+    scan = [x for x in rows._jdf.queryExecution().toString().splitlines() if "PartitionFilters" in x]
+    assert any("PartitionFilters: [" in x and "bucket" in x.split("PartitionFilters: ")[1].split("]")[0] for x in scan)
+    files = set(MS.read_messages(spark, path).inputFiles())
+    touched = MS.delete_stored_sessions(spark, path, some)
+    assert MS.delete_stored_sessions(spark, path, some) == touched  # again: nothing more goes
+    left = MS.read_messages(spark, path)
+    assert {(r.session_id, r.seq) for r in left.collect()} == {(r.session_id, r.seq) for r in msgs.join(some, "session_id", "left_anti").collect()}
+    other = {f for f in files if not any(f"bucket={b}/" in f for b in touched)}
+    assert other <= set(left.inputFiles())
+    everyone = msgs.select("session_id").distinct()
+    MS.delete_stored_sessions(spark, path, everyone)
+    assert MS.read_messages(spark, path).count() == 0
 
 
 def test_split_quarantine(spark):
@@ -221,20 +277,100 @@ def test_split_quarantine(spark):
     assert [(r.id, r.error_message) for r in bad.collect()] == [(2, "AI:ERROR_UNSUPPORTED_PARSER_TYPE")]
 
 
-def test_ingest_against_large_store_path(spark):
-    """The semi-join-reduced path (forced with a zero threshold) gives the
-    same store and counts as the direct join."""
-    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
-    a, b = scratch_path(spark, "t-large-a"), scratch_path(spark, "t-large-b")
-    half = docs.where(F.col("doc_id") % 2 == 0)
-    for path, threshold in ((a, 10**12), (b, 0)):
-        add_to_knowledge(half, path, "kb", None, parse_docs=False)
-        counts = add_to_knowledge(docs, path, "kb", None, parse_docs=False, large_store_rows=threshold)
-        if path == a:
-            want_counts = counts
-    assert counts == want_counts and counts["duplicate"] > 0
-    ids = lambda p: sorted(r.id for r in store_scan(spark, p, "kb").collect())
-    assert ids(a) == ids(b)
+def test_second_ingest_embeds_nothing_and_metadata_is_kept(spark):
+    import numpy as np
+
+    from tessera.operators.embed import model_embedder
+    from tessera.plans.knowledge import get_from_knowledge, match_list
+    calls = spark.sparkContext.accumulator(0)
+
+    def factory():
+        def fn(texts):
+            calls.add(len(texts))
+            return np.array([[len(t), t.count("e"), 1.0] for t in texts], dtype=np.float32)
+        return fn
+    embedder = model_embedder(factory, 3)
+    docs = (spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(40)
+            .select("doc_id", "text", F.create_map(F.lit("lang"), F.col("lang"), F.lit("index"), F.lit("user")).alias("meta")))
+    path = scratch_path(spark, "t-model")
+    args = dict(dim=3, embedder=embedder, metadata_col="meta", parse_docs=False, split=False)
+    first = add_to_knowledge(docs, path, "kb", None, **args)
+    assert calls.value == first["written"] > 0
+    again = add_to_knowledge(docs, path, "kb", None, **args)
+    assert calls.value == first["written"] and again["written"] == 0 and again["duplicate"] == 40
+    rows = store_scan(spark, path, "kb")
+    assert {r.metadata["index"] for r in rows.collect()} == {"0"}
+    q = spark.createDataFrame([(1, "some question"), (2, None)], "query_id int, text string")
+    hits = get_from_knowledge(rows, q, 3, 0.0, dim=3, embedder=embedder, store_filter='metadataKey("lang").isEqualTo("fr")')
+    got = hits.collect()
+    assert {r.metadata["lang"] for r in got} == {"fr"} and {r.query_id for r in got} == {1}
+    m = match_list(hits).first().matches
+    assert [x.score for x in m] == sorted((x.score for x in m), reverse=True)
+    assert set(m[0].asDict()) == {"score", "embeddingId", "embedding", "embedded"} and set(m[0].embedded.asDict()) == {"text", "metadata"}
+
+
+def test_same_text_in_two_namespaces_is_two_hits(spark):
+    from tessera.operators.embed import hash_embed
+    from tessera.plans.knowledge import get_from_knowledge
+    from tessera.sources.vector_store import store_append
+    path = scratch_path(spark, "t-ns")
+    row = hash_embed(spark.createDataFrame([("x", "alpha beta")], "id string, text string"), 256).withColumn("metadata", F.expr("map('k', 'v')"))
+    for ns in ("a", "b"):
+        store_append(row, path, "s", ns)
+    q = spark.createDataFrame([(1, "alpha beta")], "query_id int, text string")
+    hits = get_from_knowledge(store_scan(spark, path), q, 5, 0.5).collect()
+    assert sorted((r["rank"], r.namespace) for r in hits) == [(1, "a"), (2, "b")]
+
+
+def test_bad_batches_go_to_quarantine_and_the_stream_goes_on(spark):
+    from tessera.streaming.ingest import ingest_stream
+    src, path, bad = (scratch_path(spark, f"t-poison-{x}") for x in ("in", "store", "bad"))
+    for part, rows in enumerate([[(1, "  "), (2, None)], [(3, "good words"), (4, "")]]):
+        spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(f"{src}/p{part}")
+        _arrive_later(f"{src}/p{part}")
+    stream = (spark.readStream.schema("doc_id long, text string").option("maxFilesPerTrigger", "1")
+              .option("recursiveFileLookup", "true").parquet(src))
+    counts = ingest_stream(stream, path, "kb", parse_docs=False, split=False, quarantine_path=bad)
+    assert counts["written"] == 1 and counts["invalid"] == 3 and counts["batches"] == 2
+    rows = spark.read.parquet(bad).collect()
+    assert sorted(int(r.metadata["doc_id"]) for r in rows) == [1, 2, 4] and all(r.error_code for r in rows)
+
+
+def test_one_failing_prompt_does_not_take_the_others_answers(spark):
+    from tessera.operators.infer import complete
+
+    def factory():
+        def fn(prompts):
+            if "bad" in prompts:
+                raise RuntimeError("no")
+            return [p.upper() for p in prompts]
+        return fn
+    df = spark.createDataFrame([("a",), ("bad",), ("b",)], "prompt string").coalesce(1)
+    got = {r.prompt: (r.answer, r.error_code) for r in complete(df, factory, code_col="error_code").collect()}
+    assert got == {"a": ("A", None), "b": ("B", None), "bad": (None, "701174")}
+
+
+def test_scratch_folder_is_an_error_on_a_cluster_without_a_shared_one():
+    from tessera.session import ensure_checkpoint_dir
+
+    class Fake:
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+        class sparkContext:
+            master = "spark://host:7077"
+
+            @staticmethod
+            def getConf():
+                return Fake.conf
+
+            @staticmethod
+            def getCheckpointDir():
+                return None
+    with pytest.raises(ValueError):
+        ensure_checkpoint_dir(Fake)
 
 
 def test_stream_ingest_replay_is_idempotent(spark):
@@ -250,5 +386,5 @@ def test_stream_ingest_replay_is_idempotent(spark):
     n = store_scan(spark, path, "kb").count()
     again = ingest_stream(file_stream(spark, src, schema).select("doc_id", "text"), path, "kb",
                           parse_docs=False, split=False)
-    assert store_scan(spark, path, "kb").count() == n == sum(c["written"] for c in first)
-    assert sum(c["written"] for c in again) == 0
+    assert store_scan(spark, path, "kb").count() == n == first["written"]
+    assert again["written"] == 0
