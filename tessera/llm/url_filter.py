@@ -112,7 +112,7 @@ def filter_urls(pages: DataFrame, rules: list[Rule], url_col: str = "url", defau
     named = cut_lineage(judged.select("_url", F.col("_b.name").alias("_name"), F.col("_b.action").alias("_action"),
                                       F.col("_b.o.site").alias("_site")))
     old = [c for c in pages.columns if c.lower() not in ("host", "path", "rule", "pattern", "verdict")]
-    return (pages.select(F.struct(*[f"`{c}`" for c in old]).alias("_page"), url.alias("_url")).join(named, "_url", "left")
+    return (pages.select(F.struct(*[f"`{c}`" for c in old]).alias("_page"), url.alias("_url")).join(named.hint("merge"), "_url", "left")
             .select(*[F.col("_page").getField(c).alias(c) for c in old],
                     host_of(F.col("_url")).alias("host"), path_of(F.col("_url")).alias("path"),
                     F.when(F.col("_site"), F.col("_name")).alias("rule"),
