@@ -17,19 +17,19 @@ from tessera import errors as E
 CompleteFn = Callable[[list[str]], list[str | None]]
 
 
-def answers(fn: CompleteFn, prompts: list[str]) -> list[str | None]:
-    """One answer per prompt from one call of the model.  If the call fails, each
-    prompt is tried alone, and only those that fail again are None."""
-    if not prompts:
+def isolate(fn: Callable[[list], list], inputs: list) -> list:
+    """One output per input from one call of a model.  If the call fails, each
+    input is tried alone, and only those that fail again give None."""
+    if not inputs:
         return []
     try:
-        out = list(fn(prompts))
+        out = list(fn(inputs))
     except Exception:  # noqa: BLE001 - whatever a model raises
-        if len(prompts) == 1:
+        if len(inputs) == 1:
             return [None]
-        return [x for p in prompts for x in answers(fn, [p])]
-    if len(out) != len(prompts):
-        raise ValueError("completion function must return one answer per prompt")
+        return [x for p in inputs for x in isolate(fn, [p])]
+    if len(out) != len(inputs):
+        raise ValueError("a model must return one output per input")
     return out
 
 
@@ -42,7 +42,7 @@ def complete(df: DataFrame, fn_factory: Callable[[], CompleteFn], *, prompt_col:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fn = fn_factory()
         for pdf in batches:
-            pdf[out_col] = answers(fn, pdf[prompt_col].tolist())
+            pdf[out_col] = isolate(fn, pdf[prompt_col].tolist())
             yield pdf
     out = df.mapInPandas(run, schema)
     if code_col is not None:

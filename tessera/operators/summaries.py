@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.text import summary_of
-from tessera.operators.infer import CompleteFn, answers
+from tessera.operators.infer import CompleteFn, isolate
 from tessera.operators.memory import SUMMARY_PREFIX, SUMMARY_PROMPT
 
 Message = tuple[int, str, str | None]  # seq, type, text
@@ -54,7 +54,7 @@ def fold(memories: dict, new: dict, limit: int, complete: CompleteFn) -> dict:
                 del waiting[session]
         if not due:
             break
-        for session, answer in zip(due, answers(complete, [prompt_for(memories[s]) for s in due])):
+        for session, answer in zip(due, isolate(complete, [prompt_for(memories[s]) for s in due])):
             memory = memories[session]
             if answer is None:
                 memory.append(waiting[session].pop())

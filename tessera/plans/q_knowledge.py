@@ -608,3 +608,66 @@ def q_stream_ingest_quarantine(spark, sf_dir):
     ingest_stream(docs.select("doc_id", text.alias("text")), store, "kb", parse_docs=False, split=False, quarantine_path=bad)
     return spark.read.parquet(bad).where(F.col("metadata")["doc_id"].cast("bigint") % 7 == 3).select(
         F.col("metadata")["doc_id"].cast("bigint").alias("doc_id"), "error_code")
+
+
+_CHAT_SQL = _RETRIEVAL_SQL + f"""
+, {FX.MESSAGES_SQL},
+ctx AS (SELECT query_id, string_agg(d.text, chr(10) || chr(10) ORDER BY rank) AS context, count(*) AS n
+        FROM r JOIN documents d USING (doc_id) WHERE rank <= 5 GROUP BY query_id),
+h AS (SELECT session_id, least(count(*), 3) AS n_history, max(seq) AS last_seq FROM messages GROUP BY session_id),
+a AS (SELECT b.item_id AS request_id, CASE WHEN b.item_id % 4 = 3 THEN 'default' ELSE b.item_id::VARCHAR END AS session_id, b.text AS prompt,
+        coalesce(n, 0)::INTEGER AS n_matches,
+        CASE WHEN length(coalesce(context, '')) > 0 THEN chr(10) || chr(10) || 'Knowledge:' || chr(10) || context
+             WHEN b.item_id % 2 = 0 THEN 'file ' || b.item_id ELSE b.text END AS said
+      FROM benchmark b LEFT JOIN ctx ON ctx.query_id = b.item_id),
+c AS (SELECT a.*, coalesce(n_history, 0)::INTEGER AS n_history, coalesce(last_seq, -1) AS last_seq, length(said) % 5 = 0 AS failed,
+             {G.extractive_answer('said')} AS content FROM a LEFT JOIN h USING (session_id))
+"""
+
+
+def _chat(spark, sf_dir):
+    """Benchmark passages as requests (every fourth without a session, every
+    second with a text attached) to the sessions of the conversations."""
+    from tessera.plans.chat import chat
+    from tessera.plans.standin import extractive_chat_factory
+    rows = knowledge_rows(_docs(spark, sf_dir), parse_docs=False, split=False)
+    store = cut_lineage(rows.where(F.col("status") == "written").select("id", "embedding", "text", "metadata"))
+    i = F.col("item_id")
+    attached = F.to_json(F.struct(F.lit("text/plain").alias("type"), F.concat(F.lit("file "), i.cast("string")).alias("content")))
+    requests = table(spark, sf_dir, "benchmark").select(
+        i.alias("request_id"), F.when(i % 4 != 3, i.cast("string")).alias("session_id"), F.col("text").alias("prompt"),
+        F.when(i % 2 == 0, attached).alias("attachments"))
+    messages = FX.messages(spark, sf_dir)
+    return messages, *chat(requests, messages, extractive_chat_factory, max_history=3, store=store, k=RAG_K, min_score=RAG_MIN_SCORE)
+
+
+@register("chat_with_memory", _CHAT_SQL + """
+SELECT request_id, session_id, n_history, n_matches, CASE WHEN NOT failed THEN content END AS content,
+       CASE WHEN NOT failed THEN n_history + length(content) END::BIGINT AS total_tokens,
+       CASE WHEN NOT failed THEN 'STOP' END AS finish_reason, CASE WHEN failed THEN '701174' END AS error_code FROM c
+""")
+def q_chat_with_memory(spark, sf_dir):
+    """Chat over requests with session window, system prompt,
+    attachments and knowledge; failed calls have a code of their own."""
+    _, responses, _ = _chat(spark, sf_dir)
+    r = F.col("response")
+    return responses.select("request_id", "session_id", "n_history", "n_matches", r["content"].alias("content"),
+                            r["tokenUsage"]["totalTokenCount"].alias("total_tokens"), r["finishReason"].alias("finish_reason"), "error_code")
+
+
+@register("chat_memory_after", _CHAT_SQL + """
+, t AS (SELECT request_id, session_id, last_seq, 0 AS turn, 'USER' AS type, prompt AS text FROM c WHERE NOT failed
+        UNION ALL SELECT request_id, session_id, last_seq, 1, 'AI', content FROM c WHERE NOT failed)
+SELECT session_id, seq::BIGINT AS seq, type, text FROM messages
+UNION ALL
+SELECT session_id, (last_seq + row_number() OVER (PARTITION BY session_id ORDER BY request_id, turn))::BIGINT, type, text FROM t
+""")
+def q_chat_memory_after(spark, sf_dir):
+    """The message table on disk after the turns of those chats were
+    appended to it."""
+    from tessera.sources import memory_store as MS
+    messages, _, turns = _chat(spark, sf_dir)
+    path = scratch_path(spark, "chat-memory")
+    MS.append_messages(messages, path)
+    MS.append_messages(turns, path)
+    return MS.read_messages(spark, path).select("session_id", "seq", "type", "text")

@@ -36,3 +36,18 @@ def failing_answer_factory() -> CompleteFn:
             raise RuntimeError("the model is not available")
         return answer(prompts)
     return fn
+
+
+def extractive_chat_factory():
+    """The same as a chat model: it answers the request's last part of text, says
+    how many messages it saw and how long its answer is, and raises for
+    requests whose last text has a number of characters that 5 divides."""
+    answer = extractive_answer_factory()
+
+    def fn(requests: list[dict]) -> list[dict]:
+        texts = [[p["text"] for p in r["parts"] if p["kind"] == "TEXT"][-1] for r in requests]
+        if any(len(t) % 5 == 0 for t in texts):
+            raise RuntimeError("the model is not available")
+        return [{"content": a, "input_tokens": len(r["messages"]), "output_tokens": len(a), "finish_reason": "STOP"}
+                for a, r in zip(answer(texts), requests)]
+    return fn
