@@ -113,8 +113,8 @@ RULES = (
     Rule("symbols", "false", "n_symbols > 0.1 * n_words"),
     Rule("shouting", "false", "n_exclaim > 0.2 * n_words"),
     Rule("capitals", "false", "n_upper > 0.4 * word_chars"),
-    Rule("lines", "false", "n_dup_lines > 0.3 * n_lines"),
-    Rule("windows", "false", "n_repeat_words > 0.3 * n_words"),
+    Rule("lines", "false", "n_dup_lines > 0.5 * n_lines"),
+    Rule("windows", "false", "n_repeat_words > 0.45 * n_words"),
     Rule("word_length", "word_chars BETWEEN 3 * n_words AND 9 * n_words", "word_chars < 2 * n_words OR word_chars > 15 * n_words"),
     Rule("sentences", "n_stops * 50 >= n_words AND n_stops * 2 <= n_words", "n_stops * 500 < n_words"),
 )
@@ -127,20 +127,27 @@ def fit(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200, tolerance:
     bad documents, as junk is of several kinds that know nothing of each
     other, and a single bad class would let a kind that only one rule
     knows pass as a habit of good documents.  It starts from: patterns without a
-    bad vote are good, others belong to the first rule that votes bad.  Laplace
-    smoothing keeps all probabilities positive; without patterns all is uniform."""
+    bad vote are good, others belong to the first rule that votes bad.  As prior,
+    each rule's class holds as many more documents as it has bad votes, all with
+    that vote; without it, classes of few documents drain into the good one.
+    Laplace smoothing keeps all probabilities positive; without patterns all is uniform."""
     n_rules = patterns.shape[1]
     shares, prob = np.full(n_rules + 1, 1 / (n_rules + 1)), np.full((n_rules, n_rules + 1, 3), 1 / 3)
     if not len(patterns):
         return shares, prob
     onehot = np.eye(3)[patterns]  # pattern, rule, vote
     bad = patterns == 0
+    trust = (bad * counts[:, None]).sum(0)
+    rules = np.arange(n_rules)
     belongs = np.eye(n_rules + 1)[np.where(bad.any(1), bad.argmax(1) + 1, 0)] * 0.99 + 0.01 / (n_rules + 1)
     for _ in range(rounds):
         weight = belongs * counts[:, None]  # pattern, class
         prob = np.einsum("pc,prv->rcv", weight, onehot) + 0.5
+        prob[rules, rules + 1, 0] += trust
         prob /= prob.sum(2, keepdims=True)
-        shares = (weight.sum(0) + 0.5) / (counts.sum() + 0.5 * (n_rules + 1))
+        shares = weight.sum(0) + 0.5
+        shares[1:] += trust
+        shares /= shares.sum()
         like = np.log(shares) + np.einsum("prv,rcv->pc", onehot, np.log(prob))
         new = np.exp(like - like.max(1, keepdims=True))
         new /= new.sum(1, keepdims=True)
