@@ -14,7 +14,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.util import previous_value
 
 DEFAULT_SYSTEM_PROMPT = "You are a helpful assistant."
 TOOL_REQUEST_TEXT = "Tool Execution Request"
@@ -25,9 +24,6 @@ SUMMARY_PREFIX = ("This session is being continued from a previous conversation
 SUMMARY_PROMPT = ("Summarise the conversation below so that it can be continued without it. "
                   "Reply with <summary>...</summary>.\n\n")
 
-# Consecutive seq values processed together by the skew-safe windows.
-SEQ_BUCKET = 4096
-
 ROLE_TO_TYPE = {"system": "SYSTEM", "user": "USER", "assistant": "AI", "tool": "TOOL"}
 
 
@@ -71,38 +67,32 @@ def sanitize_tool_messages(messages: DataFrame, strict: bool = False, *,
     """Drop tool results without an earlier unconsumed request, then drop AI
     messages whose requests are not all answered.
 
-    Pass 1 is one ``lag`` window over the request / result events of each
-    (session, id): a result is kept iff the previous event for its id is a
-    request.  Pass 2 keeps an AI message iff every id it requests has a kept
-    result.  With ``strict`` a kept result whose request message was dropped
-    in pass 2 is dropped too.
+    Requests and results are events of their (session, id).  One window over
+    them tells which results follow an open request and whether the id has such a
+    result at all; a second grouping brings the events of a message together: an
+    AI message stays iff all its ids are answered.  Messages without tool
+    events are not shuffled.  With ``strict`` a kept result whose request
+    message was dropped is dropped too.
     """
-    m = messages.withColumn("_row", F.struct(F.col(session_col), F.col("seq")))
-    reqs = m.where(F.col("type") == "AI").select(
-        session_col, "seq", F.explode("tool_requests").alias("r")).select(
-        session_col, "seq", F.col("r.id").alias("tid"), F.lit(0).alias("kind"))
-    ress = m.where(F.col("type") == "TOOL").select(
-        session_col, "seq", F.col("tool_result_id").alias("tid"), F.lit(1).alias("kind"))
-    ev = reqs.unionByName(ress)
-    # lag(kind) per (session, id), split by seq range so one busy session /
-    # id does not land in one task
-    ev = previous_value(ev, [session_col, "tid"], ["seq", "kind"], "kind",
-                        F.floor(F.col("seq") / SEQ_BUCKET).cast("bigint"), "_prev")
-    kept_results = ev.where((F.col("kind") == 1) & (F.col("_prev") == 0)).select(
-        session_col, "seq", "tid")
-    answered = kept_results.select(session_col, "tid").distinct().withColumn("_ans", F.lit(True))
-    req_ok = (reqs.join(answered, [session_col, "tid"], "left")
-              .groupBy(session_col, "seq")
-              .agg(F.bool_and(F.coalesce("_ans", F.lit(False))).alias("_ok")))
-    bad_ai = req_ok.where(~F.col("_ok")).select(session_col, "seq")
-    good_results = kept_results.select(session_col, "seq")
+    whole = F.struct(*[F.col(f"`{c}`") for c in messages.columns]).alias("_m")
+    is_tool = F.coalesce(F.col("type") == "TOOL", F.lit(False))
+    asks = F.coalesce(F.col("type") == "AI", F.lit(False)) & (F.coalesce(F.size("tool_requests"), F.lit(0)) > 0)
+    plain = messages.where(~is_tool & ~asks)
+    ids = F.when(is_tool, F.array(F.col("tool_result_id"))).otherwise(F.col("tool_requests.id"))
+    events = (messages.where(is_tool | asks)
+              .select(F.col(session_col).alias("_s"), F.col("seq").alias("_seq"), is_tool.alias("_result"), whole, F.explode(ids).alias("_id")))
+    by_id = Window.partitionBy("_s", "_id")
+    before = F.lag("_result").over(by_id.orderBy("_seq", "_result"))
+    events = events.withColumn("_kept", F.col("_result") & F.coalesce(~before, F.lit(False)))
+    events = events.withColumn("_answered", F.max("_kept").over(by_id))
     if strict:
-        dropped_ids = reqs.join(bad_ai, [session_col, "seq"], "left_semi").select(session_col, "tid")
-        good_results = kept_results.join(dropped_ids, [session_col, "tid"], "left_anti").select(
-            session_col, "seq")
-    others = m.where(F.col("type") != "TOOL").join(bad_ai, [session_col, "seq"], "left_anti")
-    tools = m.where(F.col("type") == "TOOL").join(good_results, [session_col, "seq"], "left_semi")
-    return others.unionByName(tools).drop("_row")
+        by_message = Window.partitionBy("_s", "_seq", "_result")
+        events = events.withColumn("_ok", F.col("_result") | F.min("_answered").over(by_message))
+        events = events.withColumn("_kept", F.col("_kept") & F.min("_ok").over(by_id))
+    tools = events.where("_kept").select("_m.*")
+    asked = (events.where("NOT _result").groupBy("_s", "_seq").agg(F.bool_and("_answered").alias("_all"), F.first("_m").alias("_m"))
+             .where("_all").select("_m.*"))
+    return plain.unionByName(tools).unionByName(asked)
 
 
 def tool_request_text(messages: DataFrame) -> DataFrame:

@@ -44,8 +44,10 @@ def _matrix(series: pd.Series) -> np.ndarray:
 
 
 def _local_topk(ids: np.ndarray, smat: np.ndarray, qids: np.ndarray, qmat: np.ndarray,
-                k: int, min_score: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Top-k (score desc, id asc) of one block; scores are (1+cos)/2 rounded to 6."""
+                k: int, min_score: float | np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Top-k (score desc, id asc) of one block; scores are (1+cos)/2 rounded to 6.
+    ``min_score`` is one number or one for each query."""
+    least = np.broadcast_to(np.asarray(min_score, dtype=np.float64), (len(qids),))
     snorm = np.linalg.norm(smat, axis=1)
     qnorm = np.linalg.norm(qmat, axis=1)
     out_q, out_s, out_v = [], [], []
@@ -61,7 +63,7 @@ def _local_topk(ids: np.ndarray, smat: np.ndarray, qids: np.ndarray, qmat: np.nd
             kth = np.partition(score, ns - k, axis=1)[:, ns - k]
         else:
             kth = np.full(score.shape[0], -np.inf)
-        floor = np.maximum(kth, min_score)
+        floor = np.maximum(kth, least[lo:hi])
         qi, si = np.nonzero(score >= floor[:, None])  # ties at the k-th value included
         if len(qi) == 0:
             continue
@@ -93,7 +95,8 @@ def _score_groups(s: DataFrame, q: DataFrame, keys: list[str], k: int, min_score
                                  "_id": pd.Series([], dtype=object),
                                  "score": pd.Series([], dtype="float64")})
         qi, si, sc = _local_topk(sdf["_id"].to_numpy(), _matrix(sdf["_v"]),
-                                 qdf["_qid"].to_numpy(), _matrix(qdf["_qv"]), k, min_score)
+                                 qdf["_qid"].to_numpy(), _matrix(qdf["_qv"]), k,
+                                 qdf["_least"].to_numpy(dtype=np.float64) if "_least" in qdf else min_score)
         return pd.DataFrame({"_qid": qi, "_id": si, "score": sc})
 
     return (s.groupBy(*keys).cogroup(q.groupBy(*keys))
@@ -112,24 +115,24 @@ def _reduce_topk(q: np.ndarray, i: np.ndarray, sc: np.ndarray, k: int):
     return q[keep], i[keep], sc[keep]
 
 
-def _broadcast_scores(s: DataFrame, queries_pdf: pd.DataFrame, k: int, min_score: float,
+def _broadcast_scores(s: DataFrame, queries_pdf: pd.DataFrame, k: int, min_score: float | np.ndarray,
                       qid_type: T.DataType, id_type: T.DataType) -> DataFrame:
     """Score every store partition against a broadcast query matrix; each
     partition keeps a running top-k across its Arrow batches, so it emits at
     most ``k`` rows per query."""
     spark = s.sparkSession
     qids = queries_pdf["_qid"].to_numpy()
-    bc = spark.sparkContext.broadcast((qids, _matrix(queries_pdf["_qv"])))
+    bc = spark.sparkContext.broadcast((qids, _matrix(queries_pdf["_qv"]), min_score))
     out_schema = T.StructType([T.StructField("_qid", qid_type), T.StructField("_id", id_type),
                                T.StructField("score", T.DoubleType())])
 
     def run(batches):
-        bq, bmat = bc.value
+        bq, bmat, least = bc.value
         acc_q, acc_i, acc_s = None, None, None
         for pdf in batches:
             if len(pdf) == 0:
                 continue
-            q, i, sc = _local_topk(pdf["_id"].to_numpy(), _matrix(pdf["_v"]), bq, bmat, k, min_score)
+            q, i, sc = _local_topk(pdf["_id"].to_numpy(), _matrix(pdf["_v"]), bq, bmat, k, least)
             if acc_q is None:
                 acc_q, acc_i, acc_s = q, i, sc
             else:
@@ -142,37 +145,58 @@ def _broadcast_scores(s: DataFrame, queries_pdf: pd.DataFrame, k: int, min_score
 
 
 # Largest query matrix (rows x dim x 8 bytes) shipped to every executor.
-BROADCAST_QUERY_BYTES = 512 * 1024 * 1024
+BROADCAST_QUERY_BYTES = 64 * 1024 * 1024
+
+
+# One in so many store rows is scored first, to know a score that each query's
+# k-th hit reaches at least.
+FLOOR_SHARE = 64
+
+
+def _kth_scores(partial: DataFrame, k: int) -> DataFrame:
+    """``_qid, _least``: the k-th best score of the queries that have k hits."""
+    w = Window.partitionBy("_qid").orderBy(F.col("score").desc(), F.col("_id").asc())
+    return (partial.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") == k)
+            .select("_qid", F.col("score").alias("_least")))
+
+
+def _cells(s: DataFrame, q: DataFrame, store_blocks: int, query_blocks: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides dealt to the cells of a grid of blocks."""
+    return (s.withColumn("_sb", F.pmod(F.xxhash64("_id"), F.lit(store_blocks)).cast("int"))
+            .withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)))),
+            q.withColumn("_qb", F.pmod(F.xxhash64("_qid"), F.lit(query_blocks)).cast("int"))
+            .withColumn("_sb", F.explode(F.sequence(F.lit(0), F.lit(store_blocks - 1)))))
 
 
 def vector_topk(store: DataFrame, queries: DataFrame, k: int, min_score: float = 0.0, *,
                 id_col: str = "id", vec_col: str = "embedding",
                 query_id_col: str = "query_id", query_vec_col: str = "embedding",
                 store_blocks: int | None = None, query_blocks: int | None = None,
-                dim: int | None = None, strategy: str | None = None) -> DataFrame:
+                dim: int | None = None, strategy: str | None = None, floor_share: int = FLOOR_SHARE) -> DataFrame:
     """Exact top-``k`` store rows per query by cosine relevance ``(1+cos)/2``.
 
     ``min_score`` is applied before ranking.  Result columns:
     ``query_id, id, score, rank`` (names taken from the arguments).  Vectors of
     another width than ``dim`` (default: the widest stored) match nothing.
 
-    Two physical strategies, chosen after one ``count`` of the query side:
+    One in ``floor_share`` store rows is scored first: the k-th hit among them
+    bounds the k-th hit of all, so later only rows at or above that bound leave
+    a task, about ``k * floor_share`` a query however many tasks there are.
 
-    * *broadcast* (``rows * dim * 8 <= BROADCAST_QUERY_BYTES``): the query
-      matrix is broadcast once per executor and every store partition is
-      scored where it lies, keeping a running top-k; the store is never
-      shuffled or replicated.
-    * *blocked* (larger query sets): store rows are hashed into
-      ``store_blocks`` and queries into ``query_blocks``; every (store block,
-      query block) cell is one cogroup group, so a task holds one block of
-      each side.  The numbers of blocks follow from the row counts, so that a
-      block of either side is at most ``BLOCK_BYTES``.
+    Two physical strategies; both give the same rows:
+
+    * *broadcast*: the query matrix (at most ``BROADCAST_QUERY_BYTES``, proved by
+      one capped pass that also fetches it) is sent once to every executor and
+      every store partition is scored where it lies; the store is never shuffled.
+    * *blocked* (larger query sets): store rows are hashed into ``store_blocks``
+      and queries into ``query_blocks``, and every (store block, query block) cell
+      is one cogroup group.  The numbers of blocks follow from the row counts,
+      so that a block of either side is at most ``BLOCK_BYTES``.
 
-    Either way only local top-k rows reach the final windowed ranking.
     ``strategy`` forces one of ``"broadcast"`` / ``"blocked"``.
     """
-    spark = store.sparkSession
-    par = spark.sparkContext.defaultParallelism
+    from tessera.session import cut_lineage
+
     if dim is None:  # the widest stored vector, so that no bound is too small
         dim = store.agg(F.max(F.size(vec_col))).first()[0] or 1
     id_type = store.schema[id_col].dataType
@@ -181,32 +205,26 @@ def vector_topk(store: DataFrame, queries: DataFrame, k: int, min_score: float =
          .where(F.col("_v").isNotNull() & (F.size("_v") == dim)))
     q = (queries.select(F.col(query_id_col).alias("_qid"), F.col(query_vec_col).alias("_qv"))
          .where(F.col("_qv").isNotNull() & (F.size("_qv") == dim)))
+    first = s.where(F.pmod(F.xxhash64("_id"), F.lit(floor_share)) == 0)
     limit_rows = max(1, BROADCAST_QUERY_BYTES // max(1, dim * 8))
     qpdf = None
-    if strategy in (None, "broadcast") and query_blocks is None and store_blocks is None:
-        # one capped pass over the query side both proves the bound and
-        # fetches the rows: at most limit_rows + 1 rows ever reach the driver
+    if strategy == "broadcast" or (strategy is None and query_blocks is None and store_blocks is None):
         qpdf = q.limit(limit_rows + 1).toPandas()
-        fits = len(qpdf) <= limit_rows
-        if strategy == "broadcast" and not fits:
-            raise ValueError("query side exceeds the broadcast bound; use strategy='blocked'")
-        strategy = "broadcast" if fits else "blocked"
-    if strategy == "broadcast":
-        if qpdf is None:
-            qpdf = q.limit(limit_rows + 1).toPandas()
-            if len(qpdf) > limit_rows:
+        if len(qpdf) > limit_rows:
+            if strategy == "broadcast":
                 raise ValueError("query side exceeds the broadcast bound; use strategy='blocked'")
-        partial = _broadcast_scores(s, qpdf, k, min_score, qid_type, id_type)
+            qpdf = None
+    if qpdf is not None:
+        found = _kth_scores(_broadcast_scores(first, qpdf, k, min_score, qid_type, id_type), k).toPandas()  # a row a query
+        at = dict(zip(found["_qid"], found["_least"]))
+        least = np.array([at.get(x, min_score) for x in qpdf["_qid"]], dtype=np.float64)
+        partial = _broadcast_scores(s, qpdf, k, least, qid_type, id_type)
     else:
-        if store_blocks is None:
-            store_blocks = _blocks(s.count(), dim, par)
-        if query_blocks is None:
-            query_blocks = _blocks(q.count(), dim, 1)
-        sb = (s.withColumn("_sb", F.pmod(F.xxhash64("_id"), F.lit(store_blocks)).cast("int"))
-              .withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)))))
-        qb = (q.withColumn("_qb", F.pmod(F.xxhash64("_qid"), F.lit(query_blocks)).cast("int"))
-              .withColumn("_sb", F.explode(F.sequence(F.lit(0), F.lit(store_blocks - 1)))))
-        partial = _score_groups(sb, qb, ["_sb", "_qb"], k, min_score, qid_type, id_type)
+        store_blocks = store_blocks or _blocks(s.count(), dim, store.sparkSession.sparkContext.defaultParallelism)
+        query_blocks = query_blocks or _blocks(q.count(), dim, 1)
+        found = _kth_scores(_score_groups(*_cells(first, q, store_blocks, query_blocks), ["_sb", "_qb"], k, min_score, qid_type, id_type), k)
+        bounded = cut_lineage(q.join(found, "_qid", "left").withColumn("_least", F.coalesce("_least", F.lit(float(min_score)))))
+        partial = _score_groups(*_cells(s, bounded, store_blocks, query_blocks), ["_sb", "_qb"], k, min_score, qid_type, id_type)
     w = Window.partitionBy("_qid").orderBy(F.col("score").desc(), F.col("_id").asc())
     return (partial.withColumn("rank", F.row_number().over(w))
             .where(F.col("rank") <= k)

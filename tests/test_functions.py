@@ -129,3 +129,39 @@ def test_coerce_output(spark):
     assert abs(got[2][1] - 4.5) < 1e-6
     assert got[3][2] is True and got[4][2] is False             # only "true" is true
     assert got[5][3] == "text" and got[6][4] == "701173"         # unknown output type
+
+
+HTML_CASES = [
+    ("<p>Hello</p>", "Hello"),
+    ("plain &amp; simple", "plain & simple"),
+    ("<html><head><title>T</title></head><p>No body tag</p>", "No body tag"),
+    ("<header>kept</header> text", "kept text"),
+    ("<body>it&#8217;s &mdash; caf&eacute; &#x27;x&#X27; &hellip;</body>", "it’s — café 'x' …"),
+    ("<body>&amp;lt; &amp;#65; &unknown; a&b &; &#0;</body>", "&lt; &#65; &unknown; a&b &; �"),
+    ('<body><a title="x > y" href=\'a>b\'>link</a> <b data-x="1>2">bold</b></body>', "link bold"),
+    ("<body>a&nbsp;&nbsp;b<br>c<script>var x = '<p>';</script></body>", "a b c"),
+    ("<BODY class=x>&#128512;&NotEqualTilde;</BODY> after", "😀≂̸"),
+    ("<body></body>", ""),
+    (None, None),
+]
+
+
+def test_html_to_text_expected_by_hand(spark):
+    from tessera.functions.text import html_to_text
+    df = spark.createDataFrame([(k, h) for k, (h, _) in enumerate(HTML_CASES)], "k int, html string")
+    got = {r.k: r.t for r in df.select("k", html_to_text("html").alias("t")).collect()}
+    assert got == {k: t for k, (_, t) in enumerate(HTML_CASES)}
+
+
+def test_filter_equality_is_of_texts_and_order_of_exact_numbers(spark):
+    from tessera.functions.filters import compile_filter
+    values = ["9007199254740992", "9007199254740993", "1", "1.0", "1_000", "nan", "inf", "-2.5", "10", "abc", None]
+    df = spark.createDataFrame([(v,) for v in values], "v string").selectExpr("v", "map('k', v) AS metadata")
+
+    def hits(op, value):
+        return [r.v for r in df.where(compile_filter(f'metadataKey("k").{op}("{value}")')).collect()]
+    assert hits("isEqualTo", "9007199254740993") == ["9007199254740993"]
+    assert hits("isEqualTo", "1") == ["1"] == hits("isIn", "1")
+    assert "1.0" in hits("isNotEqualTo", "1") and None in hits("isNotEqualTo", "1")
+    assert hits("isGreaterThan", "9007199254740992") == ["9007199254740993", "nan", "inf", "abc"]
+    assert set(hits("isLessThanOrEqualTo", "1.00")) == {"1", "1.0", "-2.5"}
