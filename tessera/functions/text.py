@@ -6,6 +6,7 @@ in Java regex and in RE2, which keeps the SQL oracle honest.
 
 from __future__ import annotations
 
+import json
 import re
 from html.entities import html5
 
@@ -26,10 +27,19 @@ def jtrim(x) -> Column:
 _REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
 
 
+# The usual references, for texts that hold no others; the ampersand's comes
+# last, so that nothing is decoded twice.
+_COMMON = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
+
+
 def _entity_names() -> Column:
-    """The HTML5 names (the standard library's table) with a closing semicolon."""
-    names = [(k[:-1], v) for k, v in html5.items() if k.endswith(";")]
-    return F.map_from_arrays(F.array(*[F.lit(k) for k, _ in names]), F.array(*[F.lit(v) for _, v in names]))
+    """The HTML5 names (the standard library's table) with a closing semicolon,
+    filed under their first letters, as a look-up walks through a map."""
+    filed: dict[str, dict[str, str]] = {}
+    for name, character in html5.items():
+        if name.endswith(";"):
+            filed.setdefault(name[0], {})[name[:-1]] = character
+    return F.from_json(F.lit(json.dumps(filed)), "map<string,map<string,string>>")  # folded to a constant
 
 
 def _character(code: Column) -> Column:
@@ -48,11 +58,16 @@ def decode_entities(c: Column) -> Column:
         body = F.substring(x, 2, F.length(x) - 2)
         number = (F.when(body.rlike("^#[xX]"), F.conv(F.substring(body, 3, F.length(body)), 16, 10))
                   .when(body.startswith("#"), F.substring(body, 2, F.length(body)))).try_cast("bigint")
-        return F.when(body.startswith("#"), _character(number)).otherwise(F.coalesce(names[body], x))
+        return F.when(body.startswith("#"), _character(number)).otherwise(F.coalesce(names[F.substring(body, 1, 1)][body], x))
 
+    few = c
+    for name, character in _COMMON:
+        few = F.replace(few, F.lit(name), F.lit(character))
+    others = c.rlike("&(?!" + "|".join(n[1:] for n, _ in _COMMON) + ")[A-Za-z#]")
     parts = F.regexp_extract_all(c, F.lit("(?s)" + _REFERENCE + "|[^&]+|&"), F.lit(0))
     whole = F.array_join(F.transform(parts, lambda x: F.when(x.rlike("^" + _REFERENCE + "$"), one(x)).otherwise(x)), "")
-    return F.when(c.contains("&"), F.replace(whole, F.lit("\u00a0"), F.lit(" "))).otherwise(c)
+    return (F.when(~c.contains("&"), c).when(~others, few)
+            .otherwise(F.replace(whole, F.lit("\u00a0"), F.lit(" "))))
 
 
 # Inline elements whose tags vanish without a separating space.
