@@ -17,8 +17,11 @@ from tessera.sources.tables import table
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model doesn't reject (score under 0.5)."""
     net = queries.toxicity_model(docs, table(spark, sf_dir, "labels"))
-    scored = toxicity.score(docs, net, out_col="_toxicity")
-    return scored.where(F.col("_toxicity") < 0.5).select(docs.columns)
+    name = "_toxicity"
+    while name in docs.columns:
+        name += "_"
+    scored = toxicity.score(docs, net, out_col=name)
+    return scored.where(F.col(name) < 0.5).drop(name)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import json
 import unicodedata
-from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
@@ -19,9 +18,9 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tessera.llm.words import slices
+from tessera.llm.words import add_columns
 
-CACHE_WORDS = 150_000
+CACHE_WORDS = 100_000
 
 
 def byte_symbols() -> list[str]:
@@ -165,39 +164,30 @@ def _share(df: DataFrame, path: str):
         return df.sparkSession.sparkContext.broadcast(f.read())
 
 
-def plus(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
-    return T.StructType([*df.schema.fields, T.StructField(name, kind)])
-
-
 def encode(df: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """``df`` with ``ids_col``: the text's ids as little-endian unsigned 32-bit
     integers (binary).  Null texts count as empty and have no ids.  A column
     of that name is replaced; all other columns and all rows stay."""
     shared = _share(df, path)
-    kept = df.select(*[f"`{c}`" for c in df.columns if c.lower() != ids_col.lower()])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def make():
         bpe = _load(Bpe, shared)
-        for batch in batches:
-            for part in slices(batch, text_col):
-                ids, off = bpe.encode([t or "" for t in part.column(text_col).to_pylist()])
-                out = pa.array([ids[a:b].tobytes() for a, b in zip(off[:-1], off[1:])], pa.binary())
-                yield pa.RecordBatch.from_arrays([*part.columns, out], names=[*part.schema.names, ids_col])
 
-    return kept.mapInArrow(run, plus(kept, ids_col, T.BinaryType()))
+        def of(col: pa.Array) -> list[pa.Array]:
+            ids, off = bpe.encode([t or "" for t in col.to_pylist()])
+            return [pa.array([ids[a:b].tobytes() for a, b in zip(off[:-1], off[1:])], pa.binary())]
+        return of
+
+    return add_columns(df, text_col, [T.StructField(ids_col, T.BinaryType())], make)
 
 
 def decode(df: DataFrame, path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """``df`` with ``out_col``: the text of the ids in ``ids_col`` (binary as made by
     :func:`encode`; null: empty text)."""
     shared = _share(df, path)
-    kept = df.select(*[f"`{c}`" for c in df.columns if c.lower() != out_col.lower()])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def make():
         tokens = _load(vocabulary, shared)
-        for batch in batches:
-            for part in slices(batch, ids_col):
-                out = pa.array([decode_ids(tokens, np.frombuffer(x or b"", "<u4")) for x in part.column(ids_col).to_pylist()], pa.string())
-                yield pa.RecordBatch.from_arrays([*part.columns, out], names=[*part.schema.names, out_col])
+        return lambda col: [pa.array([decode_ids(tokens, np.frombuffer(x or b"", "<u4")) for x in col.to_pylist()], pa.string())]
 
-    return kept.mapInArrow(run, plus(kept, out_col, T.StringType()))
+    return add_columns(df, ids_col, [T.StructField(out_col, T.StringType())], make)

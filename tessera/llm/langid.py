@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.words import mix, slices
+from tessera.llm.words import add_columns, mix
 
 BUCKETS = 1 << 15
 ORDERS = (2, 3)
@@ -106,20 +106,18 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     alone.  Null texts, texts without a letter, and all texts if nothing was
     learned: ``und`` and 0.  Columns of these names are replaced."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kept = docs.select(*[f"`{c}`" for c in docs.columns if c.lower() not in ("lang_pred", "score")])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def make():
         model = shared.value
-        for batch in batches:
-            for part in slices(batch, text_col):
-                langs, scores = [], []
-                for text in part.column(text_col):
-                    grams = ngrams(text.as_py() or "") if model.languages else None
-                    lang, score = model.score(grams) if grams is not None else ("und", 0.0)
-                    langs.append(lang)
-                    scores.append(score)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                                                 names=[*part.schema.names, "lang_pred", "score"])
-
-    schema = T.StructType([*kept.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    return kept.mapInArrow(run, schema)
+
+        def of(col: pa.Array) -> list[pa.Array]:
+            langs, scores = [], []
+            for text in col:
+                grams = ngrams(text.as_py() or "") if model.languages else None
+                lang, score = model.score(grams) if grams is not None else ("und", 0.0)
+                langs.append(lang)
+                scores.append(score)
+            return [pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
+        return of
+
+    return add_columns(docs, text_col, [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())], make)

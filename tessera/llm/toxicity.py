@@ -8,7 +8,6 @@ labelled rows; scoring runs in Arrow batches on the executors."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import chain
 
@@ -18,13 +17,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.words import mix, slices
+from tessera.llm.words import add_columns, mix
 
 WINDOW, STRIDE = 32, 16
 WORD_BUCKETS, CHAR_BUCKETS = 1 << 14, 1 << 16
 WORD_DIM, CHAR_DIM, HIDDEN, ATTENTION = 8, 16, 8, 8
 ORDERS = (3, 4, 5)
-CACHE_WORDS = 100_000
+CACHE_WORDS = 60_000
 BLOCK = 16_384
 #: The training sample: so many rows of each label at most, none above so many bytes.
 MOST_TOXIC, MOST_CLEAN, MOST_BYTES = 1500, 3000, 20_000
@@ -366,14 +365,13 @@ def score(docs: DataFrame, net: Net | None, text_col: str = "text", out_col: str
     alone.  Null, empty and wordless texts, and all texts without a network, get
     0.  A column of that name is replaced; all rows and other columns stay."""
     shared = docs.sparkSession.sparkContext.broadcast(net)
-    kept = docs.select(*[f"`{c}`" for c in docs.columns if c.lower() != out_col.lower()])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def make():
         scorer = Scorer(shared.value) if shared.value is not None else None
-        for batch in batches:
-            for part in slices(batch, text_col):
-                texts = [x or b"" for x in part.column(text_col).cast(pa.binary()).to_pylist()]
-                out = scorer.score(texts) if scorer else np.zeros(len(texts))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out)], names=[*part.schema.names, out_col])
 
-    return kept.mapInArrow(run, T.StructType([*kept.schema.fields, T.StructField(out_col, T.DoubleType())]))
+        def of(col: pa.Array) -> list[pa.Array]:
+            texts = [x or b"" for x in col.cast(pa.binary()).to_pylist()]
+            return [pa.array(scorer.score(texts) if scorer else np.zeros(len(texts)))]
+        return of
+
+    return add_columns(docs, text_col, [T.StructField(out_col, T.DoubleType())], make)

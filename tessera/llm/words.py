@@ -11,6 +11,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 _NOT_SPACE = np.ones(256, bool)
@@ -66,6 +68,30 @@ def span_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
     return mix(out + lens.astype(np.uint64) * _SEED)
 
 
+def add_columns(df: DataFrame, text_col: str, fields: list[T.StructField], make) -> DataFrame:
+    """``df`` with the columns ``fields``, which replace any of those names.  ``make()``
+    runs once a task and gives a function from a text column (rows of about
+    ``slices`` size) to the arrays of the new columns.
+
+    Columns are numbered on their way through Python, as their names may hold
+    anything, dots too."""
+    new = {f.name.lower() for f in fields}
+    names = [c for c in df.columns if c.lower() not in new]
+    if text_col not in names:
+        raise ValueError(f"no column {text_col!r} besides the new ones")
+    kept = df.select(*["`" + c.replace("`", "``") + "`" for c in names]).toDF(*[f"c{k}" for k in range(len(names))])
+    text = f"c{names.index(text_col)}"
+    made = [T.StructField(f"n{k}", f.dataType) for k, f in enumerate(fields)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = make()
+        for batch in batches:
+            for part in slices(batch, text):
+                yield pa.RecordBatch.from_arrays([*part.columns, *of(part.column(text))], names=[*part.schema.names, *[f.name for f in made]])
+
+    return kept.mapInArrow(run, T.StructType([*kept.schema.fields, *made])).toDF(*names, *[f.name for f in fields])
+
+
 class Words:
     """Words of all rows of a text column: ``starts`` and ``ends`` are byte
     positions in ``data``, row i holds words ``offsets[i]:offsets[i + 1]``."""
