@@ -183,3 +183,9 @@ def word_count(text) -> Column:
     t = F.trim(_c(text))
     return F.when(F.coalesce(F.length(t), F.lit(0)) == 0, F.lit(0)).otherwise(
         F.size(F.split(t, " ")))
+
+
+def flatten_metadata(metadata, prefix: str = "meta_") -> Column:
+    """The map with prefixed keys and '' for NULL values."""
+    return F.transform_values(F.transform_keys(_c(metadata), lambda k, v: F.concat(F.lit(prefix), k)),
+                              lambda k, v: F.coalesce(v, F.lit("")))

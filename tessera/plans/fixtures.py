@@ -1,8 +1,9 @@
 """Stand-in inputs shaped from the driver's tables.
 
 Each builder only renames / re-types columns of a test table into the schema
-an operator expects (fixed mappings, no filtering of rows, no operator
-work).  The ``*_SQL`` strings build the same rows in DuckDB for the oracle.
+an operator expects (fixed mappings, no operator work).  All rows are mapped,
+except where a row is of another kind than the schema holds: the tool tables
+take the events of the types that stand for calls, results and tools.  The ``*_SQL`` strings build the same rows in DuckDB for the oracle.
 """
 
 from __future__ import annotations
@@ -159,6 +160,14 @@ agent_log AS (
 """
 
 
+# double_log: the agent log in which every request message with an even seq asks
+# for a second result, q<k>, which never comes.
+def double_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = agent_log(spark, sf_dir)
+    second = F.transform("tool_requests", lambda r: r.withField("id", F.concat(F.lit("q"), r["id"])))
+    return log.withColumn("tool_requests", F.when(F.col("seq") % 2 == 0, F.concat("tool_requests", second)).otherwise(F.col("tool_requests")))
+
+
 # tool_calls: click and view events as calls of tools "search" / "browse";
 # request id k<k>; views carry a trailing comma in their JSON arguments.
 def tool_calls(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:

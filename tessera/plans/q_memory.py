@@ -131,6 +131,28 @@ def q_memory_sanitize(spark, sf_dir):
     return M.sanitize_tool_messages(FX.agent_log(spark, sf_dir)).select("session_id", "seq", "type")
 
 
+@register("memory_sanitize_strict", f"""
+WITH {FX.AGENT_LOG_SQL},
+req AS (SELECT session_id, seq, tid FROM agent_log WHERE event_type = 'click'
+        UNION ALL SELECT session_id, seq, 'q' || tid FROM agent_log WHERE event_type = 'click' AND seq % 2 = 0),
+ev AS (SELECT session_id, seq, tid, 0 AS kind FROM req
+       UNION ALL SELECT session_id, seq, tid, 1 FROM agent_log WHERE event_type = 'purchase'),
+l AS (SELECT *, lag(kind) OVER (PARTITION BY session_id, tid ORDER BY seq, kind) AS prev FROM ev),
+kept AS (SELECT session_id, seq, tid FROM l WHERE kind = 1 AND prev = 0),
+ans AS (SELECT DISTINCT session_id, tid FROM kept),
+bad AS (SELECT DISTINCT r.session_id, r.seq FROM req r LEFT JOIN ans a USING (session_id, tid) WHERE a.tid IS NULL),
+gone AS (SELECT DISTINCT session_id, tid FROM req JOIN bad USING (session_id, seq)),
+good AS (SELECT k.session_id, k.seq FROM kept k LEFT JOIN gone g USING (session_id, tid) WHERE g.tid IS NULL)
+SELECT session_id, seq, type FROM agent_log
+WHERE (type <> 'TOOL' AND (session_id, seq) NOT IN (SELECT (session_id, seq) FROM bad))
+   OR (type = 'TOOL' AND (session_id, seq) IN (SELECT (session_id, seq) FROM good))
+""")
+def q_memory_sanitize_strict(spark, sf_dir):
+    """W5 strict: messages that ask for two results of which one never comes are
+    dropped, and with them the results that they got."""
+    return M.sanitize_tool_messages(FX.double_log(spark, sf_dir), strict=True).select("session_id", "seq", "type")
+
+
 @register("tool_request_text", f"""
 WITH {FX.AGENT_LOG_SQL}
 SELECT session_id, seq, CASE WHEN event_type = 'click' THEN 'Tool Execution Request' ELSE text END AS text

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import prompt as P
 from tessera.functions.filters import compile_filter
+from tessera.functions.text import flatten_metadata
 from tessera.operators.infer import coerce_output
 from tessera.plans import fixtures as FX
 from tessera.plans.registry import register
@@ -155,9 +156,7 @@ def q_metadata_flatten(spark, sf_dir):
     m = F.create_map(F.lit("lang"), F.col("lang"), F.lit("source"), F.col("source"),
                      F.lit("n_chars"), F.col("n_chars").cast("string"),
                      F.lit("quality"), F.col("quality").cast("string"))
-    flat = F.transform_values(F.transform_keys(m, lambda k, v: F.concat(F.lit("meta_"), k)),
-                              lambda k, v: F.coalesce(v, F.lit("")))
-    return d.join(lab, "doc_id", "left").select("doc_id", F.explode(flat).alias("key", "value"))
+    return d.join(lab, "doc_id", "left").select("doc_id", F.explode(flatten_metadata(m)).alias("key", "value"))
 
 
 @register("output_coerce", """
