@@ -51,7 +51,7 @@ def q_memory_scan(spark, sf_dir):
     other buckets are not scanned."""
     path = _stored(spark, sf_dir)
     wanted = FX.messages(spark, sf_dir).where(F.col("type") == "SYSTEM").select("session_id")
-    return MS.scan_sessions(MS.read_sessions(spark, path, wanted), wanted).select("session_id", "seq", "pos")
+    return MS.with_positions(MS.read_sessions(spark, path, wanted)).select("session_id", "seq", "pos")
 
 
 @register("memory_append", f"""

@@ -78,13 +78,17 @@ POS_BUCKET = 4096
 
 
 def scan_sessions(messages: DataFrame, sessions: DataFrame) -> DataFrame:
-    """Full history of the given sessions, oldest first (``pos`` from 0).
-    Positions are assigned per seq range plus an offset (``ranked``), so a
-    very long session is not numbered in one task."""
+    """Full history of the given sessions, oldest first (``pos`` from 0)."""
+    return with_positions(messages.join(sessions.select("session_id").distinct(), "session_id", "left_semi"))
+
+
+def with_positions(messages: DataFrame) -> DataFrame:
+    """``pos`` in the order of ``seq``, from 0 in each session.  Positions are
+    assigned per seq range plus an offset (``ranked``), so a very long session
+    is not numbered in one task."""
     from tessera.operators.util import ranked
 
-    picked = messages.join(sessions.select("session_id").distinct(), "session_id", "left_semi")
-    out = ranked(picked, ["session_id"], ["seq"], F.floor(F.col("seq") / POS_BUCKET).cast("bigint"), "pos")
+    out = ranked(messages, ["session_id"], ["seq"], F.floor(F.col("seq") / POS_BUCKET).cast("bigint"), "pos")
     return out.withColumn("pos", (F.col("pos") - 1).cast("int"))
 
 
