@@ -94,7 +94,7 @@ def q_vector_normalize(spark, sf_dir):
 WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
 planes AS (SELECT t.t AS t, b.b AS b, list_transform(range(0, 64), lambda p:
              CASE WHEN substr(md5('17:' || t.t || ':' || b.b || ':' || p), 1, 1) < '8' THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END) AS s
-           FROM range(0, 20) AS t(t), range(0, 4) AS b(b)),
+           FROM range(0, 12) AS t(t), range(0, 3) AS b(b)),
 codes AS (SELECT vec_id, t, sum(CASE WHEN list_dot_product(e, s) > 0 THEN 1 << b ELSE 0 END) AS code FROM v, planes GROUP BY vec_id, t),
 cand AS (SELECT DISTINCT q.vec_id AS query_id, c.vec_id AS id FROM codes q JOIN codes c ON q.t = c.t AND q.code = c.code),
 p AS (SELECT query_id, id, round((1 + list_dot_product(a.e, b.e)
@@ -104,13 +104,13 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id
 SELECT query_id, id, score, rank::INTEGER AS rank FROM r WHERE rank <= 5
 """)
 def q_vector_topk_approx(spark, sf_dir):
-    """J-7: approximate top-5 (20 LSH tables x 4 bits) with exact re-scoring;
+    """J-7: approximate top-5 (12 LSH tables x 3 bits) with exact re-scoring;
     every stored vector is also a query."""
     from tessera.operators.search import vector_topk_approx
     emb = table(spark, sf_dir, "embeddings")
     store = emb.select(F.col("vec_id").alias("id"), "embedding")
     queries = emb.select(F.col("vec_id").alias("query_id"), "embedding")
-    return vector_topk_approx(store, queries, TOPK_K, TOPK_MIN_SCORE, dim=EMB_DIM, n_tables=20, n_bits=4)
+    return vector_topk_approx(store, queries, TOPK_K, TOPK_MIN_SCORE, dim=EMB_DIM, n_tables=12, n_bits=3)
 
 
 @register("vector_search_one", """
