@@ -74,5 +74,21 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tessera-table-{uuid.uuid4().hex}"
+    _SCRATCH.append(path)
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+# Tables that cut_lineage wrote for this driver.
+_SCRATCH: list[str] = []
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Removes the tables that :func:`cut_lineage` wrote for this driver, once the
+    results that read them are written; returns their number.  A long-lived driver
+    calls it between jobs."""
+    hadoop, n = spark.sparkContext._jvm.org.apache.hadoop.fs, 0
+    while _SCRATCH:
+        folder = hadoop.Path(_SCRATCH.pop())
+        n += bool(folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True))
+    return n

@@ -388,3 +388,14 @@ def test_stream_ingest_replay_is_idempotent(spark):
                           parse_docs=False, split=False)
     assert store_scan(spark, path, "kb").count() == n == first["written"]
     assert again["written"] == 0
+
+
+def test_scratch_tables_are_removed_on_request(spark):
+    from tessera import session as S
+    from tessera.sources.vector_store import path_exists
+    before, S._SCRATCH[:] = list(S._SCRATCH), []
+    df = S.cut_lineage(spark.range(5))
+    (path,) = S._SCRATCH
+    assert df.count() == 5 and path_exists(spark, path)
+    assert S.clear_scratch(spark) == 1 and not path_exists(spark, path) and not S._SCRATCH
+    S._SCRATCH[:] = before
