@@ -22,12 +22,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.words import Words, mix, slices, span_hash
+from tessera.llm.words import Words, mix, slices
 from tessera.session import cut_lineage
 
 GRAM = 7
-#: A minimizer with more distinct segments is settled by counting its windows.
-HOT_SEGMENTS = 20_000
+#: A minimizer with more distinct segments is settled by counting its windows, so
+#: that no shard holds more of one minimizer.
+HOT_SEGMENTS = 1_000
 SHARD_WORDS = 1_500_000
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2 ** 64
 
