@@ -221,10 +221,10 @@ class Sample:
         n1, n0 = max(1, (self.label == 1).sum()), max(1, (self.label == 0).sum())
         # Shrunk towards none, so that rare n-grams of one text don't lead.
         odds = np.log((inside / n1 + 3 / (n1 + n0)) / (outside / n0 + 3 / (n1 + n0)))
-        best = np.zeros(len(self.word))
+        best = np.zeros(len(self.word), np.float32)
         full = np.flatnonzero(self.size)
-        best[full] = np.maximum.reduceat(odds[self.grams], self.gram_start[full])
-        return np.where(self.mask > 0, best[self.at], -np.inf).max(1)
+        best[full] = np.maximum.reduceat(odds.astype(np.float32)[self.grams], self.gram_start[full])
+        return np.where(self.mask, best[self.at], np.float32(-np.inf)).max(1)
 
 
 def _train(sample: Sample, seed: int = 7, rounds: int = 3, steps: int = 70, batch: int = 256) -> Net:
@@ -268,9 +268,12 @@ def _train(sample: Sample, seed: int = 7, rounds: int = 3, steps: int = 70, batc
 
 
 def _window_logits(net: Net, sample: Sample) -> np.ndarray:
-    words = np.arange(len(sample.word))
-    xp = np.concatenate([net.project(net.inputs(*sample.take(words[k:k + BLOCK]))) for k in range(0, len(words), BLOCK)])
-    return np.concatenate([net.forward(xp, sample.at[a:a + 1024], sample.mask[a:a + 1024]) for a in range(0, len(sample.at), 1024)])
+    out = np.empty(len(sample.at), np.float32)
+    for a in range(0, len(sample.at), 2048):
+        part = slice(a, a + 2048)
+        words, at = np.unique(sample.at[part], return_inverse=True)
+        out[part] = net.forward(net.project(net.inputs(*sample.take(words))), at.reshape(-1, WINDOW), sample.mask[part])
+    return out
 
 
 def _calibrate(net: Net, sample: Sample, toxic_share: float) -> None:
