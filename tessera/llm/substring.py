@@ -29,7 +29,7 @@ GRAM = 7
 #: A minimizer with more distinct segments is settled by counting its windows, so
 #: that no shard holds more of one minimizer.
 HOT_SEGMENTS = 1_000
-SHARD_WORDS = 1_500_000
+SHARD_WORDS = 500_000
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2 ** 64
 
 
