@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.util import max_by_key, previous_value
 
 DEFAULT_SYSTEM_PROMPT = "You are a helpful assistant."
 TOOL_REQUEST_TEXT = "Tool Execution Request"
@@ -24,6 +25,9 @@ SUMMARY_PREFIX = ("This session is being continued from a previous conversation
 SUMMARY_PROMPT = ("Summarise the conversation below so that it can be continued without it. "
                   "Reply with <summary>...</summary>.\n\n")
 
+# Consecutive seq values processed together by the skew-safe windows.
+SEQ_BUCKET = 4096
+
 ROLE_TO_TYPE = {"system": "SYSTEM", "user": "USER", "assistant": "AI", "tool": "TOOL"}
 
 
@@ -67,32 +71,35 @@ def sanitize_tool_messages(messages: DataFrame, strict: bool = False, *,
     """Drop tool results without an earlier unconsumed request, then drop AI
     messages whose requests are not all answered.
 
-    Requests and results are events of their (session, id).  One window over
-    them tells which results follow an open request and whether the id has such a
-    result at all; a second grouping brings the events of a message together: an
-    AI message stays iff all its ids are answered.  Messages without tool
-    events are not shuffled.  With ``strict`` a kept result whose request
-    message was dropped is dropped too.
+    It is decided on slim events: a result of (session, id, seq) is kept iff a
+    request comes with it or was the last event before it; an id is answered iff
+    it has a kept result.  Both are told by seq ranges, so a busy (session, id)
+    is spread over its ranges.  The verdicts meet the messages by all that they
+    follow from (session, seq, ids), so no message stands for another: copies of
+    a message share its fate, and differing messages of one seq have their own.
+    Messages without tool events are not shuffled.  With ``strict`` a kept result
+    whose request message was dropped is dropped too.
     """
-    whole = F.struct(*[F.col(f"`{c}`") for c in messages.columns]).alias("_m")
     is_tool = F.coalesce(F.col("type") == "TOOL", F.lit(False))
     asks = F.coalesce(F.col("type") == "AI", F.lit(False)) & (F.coalesce(F.size("tool_requests"), F.lit(0)) > 0)
     plain = messages.where(~is_tool & ~asks)
     ids = F.when(is_tool, F.array(F.col("tool_result_id"))).otherwise(F.col("tool_requests.id"))
-    events = (messages.where(is_tool | asks)
-              .select(F.col(session_col).alias("_s"), F.col("seq").alias("_seq"), is_tool.alias("_result"), whole, F.explode(ids).alias("_id")))
-    by_id = Window.partitionBy("_s", "_id")
-    before = F.lag("_result").over(by_id.orderBy("_seq", "_result"))
-    events = events.withColumn("_kept", F.col("_result") & F.coalesce(~before, F.lit(False)))
-    events = events.withColumn("_answered", F.max("_kept").over(by_id))
+    # Structs are keys in which a null equals a null.
+    called = messages.where(is_tool | asks).withColumn(
+        "_key", F.struct(F.col(session_col).alias("s"), F.col("seq").alias("seq"), is_tool.alias("result"), ids.alias("ids")))
+    calls = (called.select("_key").distinct()
+             .select("_key", F.col("_key.seq").alias("_seq"), F.col("_key.result").alias("_result"), F.explode("_key.ids").alias("_id"))
+             .withColumn("_pair", F.struct(F.col("_key.s"), F.col("_id")))
+             .withColumn("_range", F.coalesce(F.floor(F.col("_seq") / SEQ_BUCKET).cast("bigint"), F.lit(-2**63))))  # null seqs come first
+    calls = previous_value(calls, ["_pair"], ["_seq", "_result"], "_result", F.col("_range"), "_before")
+    calls = calls.withColumn("_kept", F.col("_result") & F.coalesce(~F.col("_before"), F.lit(False)))
+    calls = max_by_key(calls, ["_pair"], "_kept", "_range", "_answered")
+    verdicts = calls.groupBy("_key").agg(F.min(F.when(F.col("_result"), F.col("_kept")).otherwise(F.col("_answered"))).alias("_stays"))
     if strict:
-        by_message = Window.partitionBy("_s", "_seq", "_result")
-        events = events.withColumn("_ok", F.col("_result") | F.min("_answered").over(by_message))
-        events = events.withColumn("_kept", F.col("_kept") & F.min("_ok").over(by_id))
-    tools = events.where("_kept").select("_m.*")
-    asked = (events.where("NOT _result").groupBy("_s", "_seq").agg(F.bool_and("_answered").alias("_all"), F.first("_m").alias("_m"))
-             .where("_all").select("_m.*"))
-    return plain.unionByName(tools).unionByName(asked)
+        gone = calls.join(verdicts, "_key").withColumn("_gone", ~F.col("_result") & ~F.col("_stays"))
+        verdicts = (max_by_key(gone, ["_pair"], "_gone", "_range", "_taken").groupBy("_key")
+                    .agg(F.min(F.col("_stays") & ~(F.col("_result") & F.col("_taken"))).alias("_stays")))
+    return plain.unionByName(called.join(verdicts.where("_stays"), "_key", "left_semi").drop("_key"))
 
 
 def tool_request_text(messages: DataFrame) -> DataFrame:

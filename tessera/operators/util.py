@@ -61,3 +61,14 @@ def previous_value(df: DataFrame, keys: list[str], order_cols: list[str], value_
     return (local.join(carry, [*keys, "_bucket"])
             .withColumn(out_col, F.when(F.col("_first"), F.col("_carry")).otherwise(F.col("_lag")))
             .drop("_bucket", "_lag", "_first", "_carry"))
+
+
+def max_by_key(df: DataFrame, keys: list[str], value_col: str, bucket_col: str, out_col: str) -> DataFrame:
+    """``max(value_col)`` over ``keys`` for every row without putting a whole key
+    into one task: the maxima of (key, bucket) (a partial aggregate), then a
+    window over buckets only, which meets the rows by (key, bucket)."""
+    from pyspark.sql import Window
+
+    most = df.groupBy(*keys, bucket_col).agg(F.max(value_col).alias("_most"))
+    most = most.select(*keys, bucket_col, F.max("_most").over(Window.partitionBy(*keys)).alias(out_col))
+    return df.join(most, [*keys, bucket_col])

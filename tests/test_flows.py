@@ -61,6 +61,47 @@ def test_sanitize_tool_messages(spark):
     assert strict == {1, 5, 6}
 
 
+def test_sanitize_keeps_every_row_of_a_seq(spark):
+    req = lambda *ids: [(i, "t", "{}") for i in ids]
+    rows = [("s", 1, "AI", "one", req("a"), None),
+            ("s", 1, "AI", "two", req("a"), None),         # the same seq, another text
+            ("s", 1, "AI", "two", req("a"), None),         # delivered again
+            ("s", 1, "AI", "open", req("b"), None),        # the same seq, never answered -> dropped
+            ("s", 2, "TOOL", "ra", None, "a"), ("s", 2, "TOOL", "ra", None, "a"),
+            ("s", 2, "TOOL", "orphan", None, "x"),         # the same seq, no request -> dropped
+            ("s", 3, "TOOL", "late", None, "a"),           # already answered -> dropped
+            (None, None, "AI", "n", req(None, "c"), None), (None, None, "AI", "n", req(None, "c"), None),
+            (None, 1, "TOOL", "rn", None, None), (None, 2, "TOOL", "rc", None, "c")]
+    want = ["n", "n", "one", "ra", "ra", "rc", "rn", "two", "two"]
+    for strict in (False, True):
+        got = M.sanitize_tool_messages(_msgs(spark, rows), strict=strict)
+        assert sorted(r.text for r in got.collect()) == want
+
+
+def test_sanitize_splits_a_busy_id(spark, monkeypatch):
+    import random
+    random.seed(5)
+    rows, open_, want = [], False, set()
+    for seq in random.sample(range(2000), 400):
+        rows.append(("s", seq, *random.choice([("AI", None, [("a", "t", "{}")], None), ("TOOL", "r", None, "a")])))
+    for r in sorted(rows, key=lambda r: r[1]):
+        if r[2] == "AI" or open_:
+            want.add(r[1])
+        open_ = r[2] == "AI"
+    for width in (1, 7, 300, 4096):
+        monkeypatch.setattr(M, "SEQ_BUCKET", width)
+        assert {r.seq for r in M.sanitize_tool_messages(_msgs(spark, rows)).collect()} == want
+    monkeypatch.undo()
+    wide = spark.range(40_000).selectExpr("'s' AS session_id", "id AS seq", "if(id % 2 = 0, 'AI', 'TOOL') AS type", "'x' AS text",
+        "if(id % 2 = 0, array(named_struct('id', 'a', 'name', 't', 'arguments', '{}')), NULL) AS tool_requests", "if(id % 2 = 1, 'a', NULL) AS tool_result_id")
+    out = M.sanitize_tool_messages(wide)
+    assert out.count() == 40_000
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    windows = [x for x in plan.splitlines() if "Window [" in x]
+    assert windows and all("text" not in x for x in windows)  # windows see events, not messages
+    assert all("_bucket" in x or "_last" in x or "_most" in x for x in windows)  # by seq range, or over ranges
+
+
 def test_system_message_fix(spark):
     rows = [("a", 1, "SYSTEM", "s1", None, None), ("a", 2, "USER", "u", None, None),
             ("a", 3, "SYSTEM", "s2", None, None), ("b", 5, "USER", "u", None, None)]
