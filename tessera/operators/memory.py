@@ -28,6 +28,10 @@ SUMMARY_PROMPT = ("Summarise the conversation below so that it can be continued
 # Consecutive seq values processed together by the skew-safe windows.
 SEQ_BUCKET = 4096
 
+# Consecutive seq values of a transcript joined in one group, and bytes of transcript in one string.
+TRANSCRIPT_WIDTH = 1000
+TRANSCRIPT_BYTES = 8 * 1024 * 1024
+
 ROLE_TO_TYPE = {"system": "SYSTEM", "user": "USER", "assistant": "AI", "tool": "TOOL"}
 
 
@@ -115,15 +119,34 @@ def transcript_line(type_col="type", text_col="text") -> Column:
             .when((t == "AI") & x.isNotNull(), F.concat(F.lit("Assistant: "), x, F.lit("\n"))))
 
 
-def transcript(window: DataFrame, *, session_col: str = "session_id") -> DataFrame:
-    """Ordered ``User: / Assistant:`` transcript per session, one string each:
-    bound very long sessions with ``last_n`` first."""
-    lines = window.select(session_col, "seq", transcript_line().alias("line")).where(
-        F.col("line").isNotNull())
-    return (lines.groupBy(session_col)
+def _lines(messages: DataFrame, session_col: str, width: int) -> DataFrame:
+    return (messages.select(session_col, F.floor(F.col("seq") / width).cast("bigint").alias("chunk"), "seq", transcript_line().alias("line"))
+            .where(F.col("line").isNotNull()))
+
+
+def transcript_chunks(messages: DataFrame, *, session_col: str = "session_id", width: int = TRANSCRIPT_WIDTH) -> DataFrame:
+    """``session_id, chunk, text, n_lines``: the ``User: / Assistant:`` transcript in
+    ordered chunks of ``width`` consecutive ``seq`` values, so no group grows with
+    the session."""
+    return (_lines(messages, session_col, width).groupBy(session_col, "chunk")
             .agg(F.array_sort(F.collect_list(F.struct("seq", "line"))).alias("_l"))
-            .select(session_col, F.array_join(F.transform("_l", lambda x: x["line"]), "")
-                    .alias("transcript"), F.size("_l").alias("n_lines")))
+            .select(session_col, "chunk", F.array_join(F.transform("_l", lambda x: x["line"]), "").alias("text"), F.size("_l").alias("n_lines")))
+
+
+def transcript(messages: DataFrame, *, session_col: str = "session_id", width: int = TRANSCRIPT_WIDTH,
+               max_bytes: int = TRANSCRIPT_BYTES) -> DataFrame:
+    """``session_id, part, transcript, n_lines``: ordered ``User: / Assistant:``
+    transcripts, one string (part 0) per session.  A longer one has several parts,
+    in order whole: those chunks are joined that begin in the same ``max_bytes``,
+    told by lengths summed before, so no string is longer than ``max_bytes`` and
+    one chunk."""
+    before = Window.partitionBy(session_col).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    at = F.struct(F.col(session_col), F.col("chunk")).alias("_at")  # a key in which a null equals a null
+    parts = (_lines(messages, session_col, width).groupBy(session_col, "chunk").agg(F.sum(F.octet_length("line")).alias("_bytes"))
+             .select(at, F.floor(F.coalesce(F.sum("_bytes").over(before), F.lit(0)) / max_bytes).cast("bigint").alias("part")))
+    return (transcript_chunks(messages, session_col=session_col, width=width).withColumn("_at", at).join(parts, "_at")
+            .groupBy(session_col, "part").agg(F.array_sort(F.collect_list(F.struct("chunk", "text"))).alias("_c"), F.sum("n_lines").cast("int").alias("n_lines"))
+            .select(session_col, "part", F.array_join(F.transform("_c", lambda x: x["text"]), "").alias("transcript"), "n_lines"))
 
 
 def overflow(messages: DataFrame, limit: int, *, session_col: str = "session_id") -> DataFrame:
@@ -145,12 +168,14 @@ def history_validate(history: DataFrame, *, session_col: str = "session_id",
 def rebuild_with_summary(system_msgs: DataFrame, summaries: DataFrame, *,
                          session_col: str = "session_id") -> DataFrame:
     """New memory = first system message (seq 0) + summary as a USER message
-    (seq 1).  ``summaries``: ``session_id, summary``."""
+    (seq 1).  ``summaries``: ``session_id, summary``, and ``part`` where a summary
+    comes in several: its later parts follow as USER messages."""
+    part = F.col("part") if "part" in summaries.columns else F.lit(0)
     sys_rows = system_msgs.select(session_col, F.lit(0).cast("bigint").alias("seq"),
                                   F.lit("SYSTEM").alias("type"), "text")
-    sum_rows = summaries.select(session_col, F.lit(1).cast("bigint").alias("seq"),
+    sum_rows = summaries.select(session_col, (part + 1).cast("bigint").alias("seq"),
                                 F.lit("USER").alias("type"),
-                                F.concat(F.lit(SUMMARY_PREFIX), F.col("summary")).alias("text"))
+                                F.concat(F.when(part == 0, F.lit(SUMMARY_PREFIX)).otherwise(F.lit("")), F.col("summary")).alias("text"))
     return sys_rows.unionByName(sum_rows)
 
 

@@ -185,8 +185,9 @@ t AS (SELECT session_id, string_agg(line, '' ORDER BY seq) AS transcript, count(
 
 @register("transcript", _TRANSCRIPT_SQL + "SELECT session_id, transcript, n_lines FROM t")
 def q_transcript(spark, sf_dir):
-    """User/Assistant transcript of every session."""
-    return M.transcript(FX.messages(spark, sf_dir))
+    """User/Assistant transcript of every session (one over
+    ``TRANSCRIPT_BYTES`` has a row for each part)."""
+    return M.transcript(FX.messages(spark, sf_dir)).select("session_id", "transcript", "n_lines")
 
 
 @register("memory_rebuild", f"""
@@ -204,7 +205,7 @@ def q_memory_rebuild(spark, sf_dir):
     """Memory rebuilt as system message + summary message (the summary
     here is the transcript of the whole session)."""
     msgs = FX.messages(spark, sf_dir)
-    tr = M.transcript(msgs).select("session_id", F.col("transcript").alias("summary"))
+    tr = M.transcript(msgs).select("session_id", "part", F.col("transcript").alias("summary"))
     sys_msgs = (msgs.where(F.col("type") == "SYSTEM").groupBy("session_id")
                 .agg(F.min_by("text", "seq").alias("text")).join(tr, "session_id", "left_semi"))
     return M.rebuild_with_summary(sys_msgs, tr)

@@ -102,6 +102,30 @@ def test_sanitize_splits_a_busy_id(spark, monkeypatch):
     assert all("_bucket" in x or "_last" in x or "_most" in x for x in windows)  # by seq range, or over ranges
 
 
+def test_long_transcripts_come_in_bounded_ordered_parts(spark):
+    rows = [("long", k, "AI" if k % 2 else "USER", f"text {k}", None, None) for k in range(300)]
+    rows += [("long", 300, "AI", None, None, None), ("long", 301, "SYSTEM", "s", None, None),
+             ("short", 5, "USER", None, None, None), (None, None, "USER", "a", None, None), (None, 2000, "AI", "b", None, None)]
+    line = lambda r: ("User: " if r[2] == "USER" else "Assistant: ") + (r[3] or "") + "\n"
+    whole = "".join(map(line, rows[:300]))
+    msgs = _msgs(spark, rows)
+    chunks = sorted((r.chunk, r.text, r.n_lines) for r in M.transcript_chunks(msgs, width=10).where("session_id = 'long'").collect())
+    assert [c[0] for c in chunks] == list(range(30)) and {c[2] for c in chunks} == {10}
+    assert "".join(c[1] for c in chunks) == whole
+    out = M.transcript(msgs, width=10, max_bytes=500).collect()
+    parts = sorted((r.part, r.transcript, r.n_lines) for r in out if r.session_id == "long")
+    assert len(parts) > 5 and parts[0][0] == 0 and "".join(p[1] for p in parts) == whole and sum(p[2] for p in parts) == 300
+    assert max(len(p[1]) for p in parts) <= 500 + max(len(c[1]) for c in chunks)
+    assert {(r.session_id, r.part, r.transcript, r.n_lines) for r in out if r.session_id != "long"} == {
+        ("short", 0, "User: \n", 1), (None, 0, "User: a\nAssistant: b\n", 2)}
+    one = [r for r in M.transcript(msgs).collect() if r.session_id == "long"]
+    assert [(r.part, r.transcript, r.n_lines) for r in one] == [(0, whole, 300)]
+    memory = M.rebuild_with_summary(msgs.where("type = 'SYSTEM'"), M.transcript(msgs, width=10, max_bytes=500).withColumnRenamed("transcript", "summary"))
+    got = sorted((r.seq, r.type, r.text) for r in memory.collect() if r.session_id == "long")
+    assert got[0] == (0, "SYSTEM", "s") and {g[1] for g in got[1:]} == {"USER"}
+    assert [g[0] for g in got[1:]] == [p[0] + 1 for p in parts] and "".join(g[2] for g in got[1:]) == M.SUMMARY_PREFIX + whole
+
+
 def test_system_message_fix(spark):
     rows = [("a", 1, "SYSTEM", "s1", None, None), ("a", 2, "USER", "u", None, None),
             ("a", 3, "SYSTEM", "s2", None, None), ("b", 5, "USER", "u", None, None)]
