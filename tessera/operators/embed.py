@@ -101,13 +101,19 @@ def model_embed(df: DataFrame, embed_fn_factory: Callable[[], Callable[[list[str
     return out
 
 
-#: An embedder adds ARRAY<FLOAT> column ``out_col`` for ``text_col`` (null for null texts).
+#: An embedder adds ARRAY<FLOAT> column ``out_col`` for ``text_col`` (null for null
+#: texts); its attribute ``dim``, if it has one, is the vectors' width.
 Embedder = Callable[..., DataFrame]
 
 
+def _of_width(dim: int, embedder: Embedder) -> Embedder:
+    embedder.dim = dim
+    return embedder
+
+
 def hashing_embedder(dim: int) -> Embedder:
-    return lambda df, *, text_col="text", out_col="embedding": hash_embed(df, dim, text_col=text_col, out_col=out_col)
+    return _of_width(dim, lambda df, *, text_col="text", out_col="embedding": hash_embed(df, dim, text_col=text_col, out_col=out_col))
 
 
 def model_embedder(embed_fn_factory: Callable[[], Callable[[list[str]], np.ndarray]], dim: int) -> Embedder:
-    return lambda df, *, text_col="text", out_col="embedding": model_embed(df, embed_fn_factory, dim, text_col=text_col, out_col=out_col)
+    return _of_width(dim, lambda df, *, text_col="text", out_col="embedding": model_embed(df, embed_fn_factory, dim, text_col=text_col, out_col=out_col))

@@ -43,10 +43,11 @@ def chat_complete(df: DataFrame, fn_factory: Callable[[], ChatFn], *, request_co
 
 def chat(requests: DataFrame, messages: DataFrame, fn_factory: Callable[[], ChatFn], *, max_history: int = 20,
          role: str = "", instructions: str = "", output_type: str = "string", store: DataFrame | None = None,
-         k: int = 5, min_score: float = 0.75, store_filter=None, embedder=None) -> tuple[DataFrame, DataFrame]:
+         k: int = 5, min_score: float = 0.75, store_filter=None, embedder=None,
+         dim: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Answers ``requests`` (request_id, session_id, prompt, attachments JSON) with the
     last ``max_history`` messages of their sessions, the system prompt, and the texts
-    that ``store`` holds near the prompt.
+    that ``store`` holds near the prompt (``embedder`` and ``dim`` as in ``get_from_knowledge``).
 
     Returns the responses (``request_id, session_id, n_history, n_matches, response``,
     typed views, ``error_code``) and the turns to append to ``messages``: the user's
@@ -61,7 +62,7 @@ def chat(requests: DataFrame, messages: DataFrame, fn_factory: Callable[[], Chat
     ends = messages.groupBy("session_id").agg(F.max("seq").alias("_end"))
     if store is not None:
         hits = get_from_knowledge(store, asked.select(F.col("request_id").alias("query_id"), F.col("prompt").alias("text")),
-                                  k, min_score, store_filter=store_filter, embedder=embedder)
+                                  k, min_score, store_filter=store_filter, embedder=embedder, dim=dim)
         asked = rag_context(asked.withColumnRenamed("request_id", "query_id"), hits).withColumnRenamed("query_id", "request_id")
     else:
         asked = asked.withColumns({"context": F.lit(""), "n_matches": F.lit(0)})

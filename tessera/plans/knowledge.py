@@ -169,20 +169,26 @@ def _identity(store: DataFrame) -> Column:
 
 
 def get_from_knowledge(store: DataFrame, queries: DataFrame, k: int = 5, min_score: float = 0.75, *,
-                       store_filter=None, dim: int | None = DEFAULT_DIM, query_id_col: str = "query_id",
+                       store_filter=None, dim: int | None = None, query_id_col: str = "query_id",
                        query_text_col: str = "text", embed: bool = True, embedder: Embedder | None = None,
                        store_blocks: int | None = None, query_blocks: int | None = None) -> DataFrame:
     """Top-k store rows per query text (or per query vector when ``embed=False``):
     ``query_id, rank, score, id, embedding, text, metadata`` (and ``store``,
     ``namespace`` where the store has them).  ``store_filter``: a Column, or text of the
-    filter language over ``metadata``."""
+    filter language over ``metadata``.  ``dim`` is by default the embedder's width, or
+    where it tells none, as with vectors given, the query vectors' own."""
     from tessera.functions.filters import compile_filter
 
     s = store
     if store_filter is not None:
         s = s.where(compile_filter(store_filter) if isinstance(store_filter, str) else store_filter)
     s = s.withColumn("_key", _identity(store))
+    if embed and dim is None:
+        dim = getattr(embedder, "dim", None) if embedder else DEFAULT_DIM
     q = embed_queries(queries, dim, text_col=query_text_col, embedder=embedder) if embed else queries
+    if dim is None:
+        q = cut_lineage(q.select(query_id_col, "embedding"))  # the embedder runs once
+        dim = q.agg(F.max(F.size("embedding"))).first()[0]
     hits = vector_topk(s.select(F.col("_key").alias("id"), "embedding"), q.select(query_id_col, "embedding"), k, min_score,
                        query_id_col=query_id_col, dim=dim, store_blocks=store_blocks, query_blocks=query_blocks)
     # The hits (k a query) meet the store again for its other columns.  Written,
@@ -220,7 +226,7 @@ RAG_TEMPLATE = ("Answer the question using the knowledge below.\n\n"
 
 def rag_chat(questions: DataFrame, store: DataFrame, complete_fn_factory, *, k: int = 5,
              min_score: float = 0.75, output_type: str = "string", query_id_col: str = "query_id",
-             template: str = RAG_TEMPLATE, dim: int | None = DEFAULT_DIM,
+             template: str = RAG_TEMPLATE, dim: int | None = None,
              embedder: Embedder | None = None, store_filter=None) -> DataFrame:
     """render -> embed -> search -> attach knowledge -> complete -> coerce.
 

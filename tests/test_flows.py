@@ -401,6 +401,39 @@ def test_bad_batches_go_to_quarantine_and_the_stream_goes_on(spark):
     assert sorted(int(r.metadata["doc_id"]) for r in rows) == [1, 2, 4] and all(r.error_code for r in rows)
 
 
+def test_flows_take_the_embedders_width(spark):
+    import numpy as np
+
+    from tessera.operators.embed import model_embedder
+    from tessera.plans.chat import chat
+    from tessera.plans.knowledge import get_from_knowledge, rag_chat
+
+    def factory():
+        return lambda texts: np.array([[t.count(c) for c in "abc"] for t in texts], dtype=np.float32)
+
+    known = model_embedder(factory, 3)
+    bare = lambda df, **cols: known(df, **cols)  # noqa: E731 - tells no width
+    texts = [("1", "aaab"), ("2", "bbbc"), ("3", "ccca")]
+    store = known(spark.createDataFrame(texts, "id string, text string")).withColumn("metadata", F.create_map().cast("map<string,string>"))
+    wide = spark.createDataFrame([("4", "stray", [1.0] * 5)], "id string, text string, embedding array<float>")
+    store = store.unionByName(wide.withColumn("metadata", F.create_map().cast("map<string,string>")))  # another width
+    q = spark.createDataFrame([(1, "aab"), (2, "cca")], "query_id int, text string")
+    want = {(1, "1"), (2, "3")}
+    requests = q.selectExpr("query_id AS request_id", "'s' AS session_id", "text AS prompt", "cast(NULL AS string) AS attachments")
+
+    def models(replies):
+        return lambda: lambda asked: [replies(a) for a in asked]
+    said = models(lambda r: {"content": r["parts"][-1]["text"], "input_tokens": 1, "output_tokens": 1, "finish_reason": "STOP"})
+    for embedder in (known, bare):
+        assert {(r.query_id, r.id) for r in get_from_knowledge(store, q, 1, 0.5, embedder=embedder).collect()} == want
+        rag = rag_chat(q.withColumnRenamed("text", "question"), store, models(lambda p: p), k=1, min_score=0.5, embedder=embedder).collect()
+        assert {(r.query_id, r.n_matches, r.answer.split("Knowledge:")[1].strip()) for r in rag} == {(1, 1, "aaab"), (2, 1, "ccca")}
+        responses, _ = chat(requests, _msgs(spark, [("s", 1, "USER", "hi", None, None)]), said, store=store, k=1, min_score=0.5, embedder=embedder)
+        assert {(r.request_id, r.n_matches, r.response.content.split("Knowledge:")[1].strip()) for r in responses.collect()} == {(1, 1, "aaab"), (2, 1, "ccca")}
+    vectors = known(q).select("query_id", "embedding")
+    assert {(r.query_id, r.id) for r in get_from_knowledge(store, vectors, 1, 0.5, embed=False).collect()} == want
+
+
 def test_one_failing_prompt_does_not_take_the_others_answers(spark):
     from tessera.operators.infer import complete
 
