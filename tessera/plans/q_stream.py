@@ -30,7 +30,7 @@ STREAM_PARTS, FILES_PER_PART = 3, 4
 
 def _stream(spark, sf_dir, name, order, key):
     """The table as a stream of several micro-batches: its rows by ranges of
-    ``order``, one range after the other, rows of a ``key`` together."""
+    ``order``, one range after the other (nulls in the first), rows of a ``key`` together."""
     rows = table(spark, sf_dir, name)
     bounds = rows.approxQuantile(order, [k / STREAM_PARTS for k in range(1, STREAM_PARTS)], 0.01)
     path = scratch_path(spark, f"{name}-stream")
@@ -39,7 +39,8 @@ def _stream(spark, sf_dir, name, order, key):
         if low is not None:
             part = part.where(F.col(order) >= low)
         if high is not None:
-            part = part.where(F.col(order) < high)
+            early = F.col(order) < high
+            part = part.where(early | F.col(order).isNull() if low is None else early)
         part.repartition(FILES_PER_PART, key).write.mode("append").parquet(path)
     return file_stream(spark, path, rows.schema, max_files_per_trigger=FILES_PER_PART)
 
@@ -81,11 +82,12 @@ def q_stream_tool_results(spark, sf_dir):
     src = scratch_path(spark, "events-stream")
     events = table(spark, sf_dir, "events")
     events.write.parquet(f"{src}/part=0")
-    last = events.agg(F.max("ts").alias("m")).collect()[0]["m"]
+    last, least = events.agg(F.max("ts"), F.min("event_id")).first()
+    own = min(least or 0, 0) - 2  # event ids that no event has
     # one sentinel per input stream (a call and a result): the query's
     # watermark is the minimum over both streams.
     sentinel = (spark.range(2).select(
-        (F.col("id") - 2).alias("event_id"),
+        (F.col("id") + own).alias("event_id"),
         (F.lit(last) + F.expr(f"INTERVAL {TIMEOUT_SECONDS + 2 * WATERMARK_DELAY_SECONDS} SECONDS"))
         .cast(events.schema["ts"].dataType).alias("ts"),
         F.lit(-1).cast("bigint").alias("user_id"),
@@ -100,7 +102,7 @@ def q_stream_tool_results(spark, sf_dir):
     matched = stream_match(FX.tool_calls(spark, sf_dir, stream), FX.tool_results(spark, sf_dir, stream),
                            TIMEOUT_SECONDS, WATERMARK_DELAY_SECONDS)
     out = run_available_now(matched, name="tool-stream")
-    return spark.read.parquet(out).where(F.col("session_id") != "-1").select("session_id", "request_id", "seq", "result", "matched")
+    return spark.read.parquet(out).where(~F.col("seq").eqNullSafe(own)).select("session_id", "request_id", "seq", "result", "matched")
 
 
 @register("stream_questions", _RETRIEVAL_SQL + """

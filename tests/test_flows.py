@@ -434,6 +434,25 @@ def test_flows_take_the_embedders_width(spark):
     assert {(r.query_id, r.id) for r in get_from_knowledge(store, vectors, 1, 0.5, embed=False).collect()} == want
 
 
+def test_streams_hold_rows_without_order_or_user(spark, tmp_path):
+    import datetime as dt
+
+    from tessera.plans import q_stream
+    from tessera.streaming.runner import run_available_now
+    docs = [(None, "no id"), *[(k, f"text {k}") for k in range(9)]]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    stream = q_stream._stream(spark, str(tmp_path), "documents", "doc_id", "text")
+    assert sorted(r.text for r in spark.read.parquet(run_available_now(stream, name="t-null-order")).collect()) == sorted(t for _, t in docs)
+
+    at = lambda s: dt.datetime(2024, 1, 1, 0, 0, s)
+    events = [(-3, at(1), -1, "click", 1.0, '{"k": 0}'), (-2, at(2), -1, "purchase", 50.0, '{"k": 0}'),
+              (1, at(3), None, "click", 1.0, '{"k": 2}'), (2, at(4), 7, "click", 1.0, '{"k": 3}')]
+    spark.createDataFrame(events, "event_id long, ts timestamp, user_id long, event_type string, value double, props string").coalesce(1).write.parquet(
+        f"{tmp_path}/events.parquet")
+    got = {(r.session_id, r.seq) for r in q_stream.q_stream_tool_results(spark, str(tmp_path)).collect()}
+    assert got == {("-1", -3), (None, 1), ("7", 2)}
+
+
 def test_one_failing_prompt_does_not_take_the_others_answers(spark):
     from tessera.operators.infer import complete
 
