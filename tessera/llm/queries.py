@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, chat, langid, mixing, quality, simhash, substring, toxicity, url_filter
+from tessera.llm import bpe, chat, divergence, langid, mixing, quality, simhash, substring, toxicity, url_filter
 from tessera.llm import exact_dedup as dedup
 from tessera.sources.tables import table
 
@@ -173,3 +173,31 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the words of repeated 35-word windows."""
     return substring.remove_repeats(table(spark, sf_dir, "documents"), window=35)
+
+
+@_query(rf"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all(coalesce(text, ''), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+o AS (SELECT r, lang, source, translate(unnest(ts), {_AZ}) AS term FROM d),
+c AS (SELECT lang, source, term, count(*) AS n, count(DISTINCT r) AS docs FROM o GROUP BY ALL),
+k AS (SELECT lang, term, sum(n) AS ln FROM c GROUP BY ALL HAVING sum(docs) >= 3),
+v AS (SELECT lang, count(*) AS v, sum(ln) AS lt FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+w AS (SELECT lang, source, term, n FROM c JOIN k USING (lang, term)),
+s AS (SELECT lang, source, sum(n) AS total FROM w GROUP BY ALL),
+p AS (SELECT g.lang, g.source, k.term, coalesce(w.n, 0) AS n,
+             1 + (1000000000::HUGEINT * (coalesce(w.n, 0) + 1)) // (coalesce(s.total, 0) + v.v) AS p,
+             1 + (1000000000::HUGEINT * (k.ln + 1)) // (v.lt + v.v) AS q
+      FROM g JOIN k ON g.lang = k.lang JOIN v ON g.lang = v.lang LEFT JOIN s ON g.lang = s.lang AND g.source = s.source
+      LEFT JOIN w ON g.lang = w.lang AND g.source = w.source AND k.term = w.term),
+f AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+      FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+x AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+      FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+      LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+      UNION ALL SELECT lang, source, 'term', term, CAST((p - q) * (p - q) // q AS BIGINT) FROM p WHERE n > 0 AND p > q),
+y AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM x)
+SELECT * FROM y WHERE part = 'pair' OR rank <= 200""")
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of all sources within each language, and the terms that mark them."""
+    return divergence.source_divergence(table(spark, sf_dir, "documents"))
