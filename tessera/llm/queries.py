@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, chat, divergence, langid, mixing, quality, simhash, substring, toxicity, url_filter
+from tessera.llm import bpe, chat, divergence, fingerprint, langid, mixing, quality, simhash, substring, toxicity, url_filter
 from tessera.llm import exact_dedup as dedup
 from tessera.sources.tables import table
 
@@ -201,3 +201,29 @@ SELECT * FROM y WHERE part = 'pair' OR rank <= 200""")
 def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Divergence of all sources within each language, and the terms that mark them."""
     return divergence.source_divergence(table(spark, sf_dir, "documents"))
+
+
+@_query(r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(lead(text) OVER (ORDER BY doc_id), first_value(text) OVER (ORDER BY doc_id), '') AS next FROM documents),
+e AS (SELECT doc_id, text, next, left(text, length(text) - length(text) // 4) || left(next, length(text) // 4) AS edited FROM d),
+t AS (SELECT DISTINCT text FROM (SELECT text FROM e UNION ALL SELECT edited FROM e UNION ALL SELECT next FROM e)),
+h AS (SELECT text, list_transform(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), lambda w: CAST('0x' || substr(md5(w), 1, 12) AS BIGINT)) AS h FROM t),
+a AS (SELECT text, CASE WHEN len(h) >= 5 THEN list_transform(range(1, len(h) - 3), lambda i: (h[i] + 3 * h[i + 1] + 9 * h[i + 2] + 27 * h[i + 3] + 81 * h[i + 4]) & 281474976710655)
+        WHEN len(h) > 0 THEN [(h[1] + 3 * coalesce(h[2], 0) + 9 * coalesce(h[3], 0) + 27 * coalesce(h[4], 0)) & 281474976710655] ELSE [] END AS s FROM h),
+b AS (SELECT text, list_sort(list_distinct(s))[1:128] AS s FROM a),
+c AS (SELECT text, s, CASE WHEN len(s) >= 128 THEN s[128] ELSE 281474976710655 END AS top, list_transform(s, lambda x: printf('%012x', x)) AS hex FROM b),
+n AS (SELECT e.*, x.s AS s, x.top AS s_top, array_to_string(x.hex, '') AS fingerprint, array_to_string(y.hex, '') AS edited_fingerprint, y.s AS ys, z.s AS zs,
+             least(x.top, y.top) AS ytop, least(x.top, z.top) AS ztop
+      FROM e JOIN c x ON x.text = e.text JOIN c y ON y.text = e.edited JOIN c z ON z.text = e.next),
+o AS (SELECT *, list_filter(s, lambda v: v <= ytop) AS sy, list_filter(ys, lambda v: v <= ytop) AS yy,
+             list_filter(s, lambda v: v <= ztop) AS sz, list_filter(zs, lambda v: v <= ztop) AS zz FROM n),
+p AS (SELECT *, len(list_intersect(sy, yy)) AS iy, len(list_intersect(sz, zz)) AS iz FROM o)
+SELECT doc_id, length(text) AS n_chars, sha256(edited) AS edited_sha256, fingerprint, edited_fingerprint,
+       CASE WHEN len(sy) + len(yy) = 0 THEN 1.0::DOUBLE ELSE iy / (len(sy) + len(yy) - iy) END AS near_edited,
+       CASE WHEN len(sz) + len(zz) = 0 THEN 1.0::DOUBLE ELSE iz / (len(sz) + len(zz) - iz) END AS near_next,
+       CASE WHEN len(sz) = 0 THEN 1.0::DOUBLE ELSE iz / len(sz) END AS contained_next,
+       CASE WHEN len(s) < 128 THEN CAST(len(s) AS DOUBLE) ELSE 127 / ((s_top + 1) / 281474976710656::DOUBLE) END AS n_shingles
+FROM p""")
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bottom-k sketches of every document and its edited text, and how near they and the next document are."""
+    return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
