@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, chat, divergence, fingerprint, langid, mixing, quality, simhash, substring, toxicity, url_filter
+from tessera.llm import bpe, chat, divergence, fingerprint, interaction, langid, mixing, quality, simhash, substring, toxicity, url_filter
 from tessera.llm import exact_dedup as dedup
 from tessera.sources.tables import table
 
@@ -227,3 +227,29 @@ FROM p""")
 def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bottom-k sketches of every document and its edited text, and how near they and the next document are."""
     return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
+
+
+@_query(r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws, min(doc_id) OVER (PARTITION BY text) AS least FROM d),
+l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+m AS (SELECT part, CASE WHEN len(ws) < 200 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(ws)) < 50 * len(ws) THEN 2 ELSE 0 END
+             + CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text) THEN 4 ELSE 0 END
+             + CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END + CASE WHEN w.doc_id > least THEN 16 ELSE 0 END AS mask,
+             coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic FROM w LEFT JOIN l ON w.doc_id = l.doc_id),
+c AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY ALL),
+f(f, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+o AS (SELECT a.f || b.f || c.f || d.f || e.f AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits FROM f a, f b, f c, f d, f e
+      WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+s AS (SELECT filter_order, CAST(step AS INTEGER) AS step, bits[step] AS own, CAST(coalesce(list_sum(bits[1:step - 1]), 0) AS INTEGER) AS before FROM o, range(1, 6) r(step))
+SELECT part, filter_order, step, CAST(sum(CASE WHEN mask & (own | before) = 0 THEN n ELSE 0 END) AS BIGINT) AS kept,
+       CAST(sum(CASE WHEN mask & own <> 0 AND mask & before = 0 THEN n ELSE 0 END) AS BIGINT) AS removed,
+       CAST(sum(CASE WHEN mask & own <> 0 AND mask & before <> 0 THEN n ELSE 0 END) AS BIGINT) AS redundant,
+       CAST(sum(CASE WHEN mask = own THEN n ELSE 0 END) AS BIGINT) AS unique_fails,
+       CAST(sum(CASE WHEN mask & own <> 0 AND mask & before = 0 THEN good ELSE 0 END) AS BIGINT) AS good_lost,
+       CAST(sum(CASE WHEN mask & own <> 0 AND mask & before = 0 THEN toxic ELSE 0 END) AS BIGINT) AS toxic_lost,
+       CAST(sum(CASE WHEN mask & own <> 0 THEN n * 120 // bit_count(mask) ELSE 0 END) AS BIGINT) AS shapley
+FROM c, s GROUP BY ALL""")
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Interaction of five filters in all their orders, by source, from a stream over all files."""
+    return interaction.audit_path(spark, f"{sf_dir.rstrip('/')}/documents.parquet", table(spark, sf_dir, "labels"))
