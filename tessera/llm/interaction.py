@@ -34,8 +34,7 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 _UPPER, _SYMBOL = np.zeros(256, bool), np.zeros(256, bool)
 _UPPER[65:91] = True
 _SYMBOL[list(b"#$%&*|")] = True
-_CARRIED = 64
-_ROW = "key string, id long, part string, code int, n long"
+_ROW = "bucket long, key string, id long, part string, code int, n long"
 
 
 def text_mask(col: pa.Array) -> np.ndarray:
@@ -84,17 +83,18 @@ def meet(least: int | None, held: Counter, id: int, rows: Counter, change) -> tu
     return least, held
 
 
-def _fold_task(batches: Iterator[pa.RecordBatch], most: int = 200_000) -> Iterator[pa.RecordBatch]:
+def _fold_task(batches: Iterator[pa.RecordBatch], state_keys: int, most: int = 200_000) -> Iterator[pa.RecordBatch]:
     """Of a task's rows of one text, those with the least id go on to the text's state; all others have a
-    smaller id in this very task and are counted as copies for good.  So a text
+    smaller id in this very task and are counted as copies for good (key null).  So a text
     that a third of all rows hold sends one row a task.  Null ids are compared with none."""
     def rows():
-        out = [(key, least, part, code, n) for key, (least, held) in texts.items() for (part, code), n in held.items()]
-        out += [(f"+{k % _CARRIED}", None, part, code, n) for k, ((part, code), n) in enumerate(sums.items()) if n]
+        out = [(int(key[:16], 16) % state_keys, key, least, part, code, n) for key, (least, held) in texts.items() for (part, code), n in held.items()]
+        out += [(k % state_keys, None, None, part, code, n) for k, ((part, code), n) in enumerate(sums.items()) if n]
         texts.clear()
         sums.clear()
-        columns = list(zip(*out)) if out else [()] * 5
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.string(), pa.int32(), pa.int64()))], names=["key", "id", "part", "code", "n"])
+        columns = list(zip(*out)) if out else [()] * 6
+        kinds = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int32(), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["bucket", "key", "id", "part", "code", "n"])
 
     texts: dict[str, tuple[int, Counter]] = {}
     sums: Counter = Counter()
@@ -125,29 +125,32 @@ def _fold_task(batches: Iterator[pa.RecordBatch], most: int = 200_000) -> Iterat
 
 
 def _step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """One text's state: its least id and the counts of the rows that hold it."""
+    """The texts of one state key: each one's least id and the counts of the rows that hold it."""
     changes: Counter = Counter()
 
     def change(part: str, code: int, n: int) -> None:
         changes[part, code] += n
 
-    by_id: defaultdict = defaultdict(Counter)
+    new: dict = {}
     for pdf in batches:
-        for id, part, code, n in zip(*[pdf[c].tolist() for c in ("id", "part", "code", "n")]):
-            if key[0].startswith("+"):  # counted for good
+        for text, id, part, code, n in zip(*[pdf[c].tolist() for c in ("key", "id", "part", "code", "n")]):
+            if text is None:
                 change(part, int(code), int(n))
             else:
-                by_id[int(id)][part, int(code)] += int(n)
-    if by_id:
-        least, held = None, Counter()
-        if state.exists:
-            least, packed = state.get
-            held = Counter({(p, c): n for p, c, n in json.loads(packed)})
-        before = (least, len(held), sum(held.values()))
-        for id in sorted(by_id):
-            least, held = meet(least, held, id, by_id[id], change)
-        if before != (least, len(held), sum(held.values())):
-            state.update((least, json.dumps([[p, c, n] for (p, c), n in held.items()])))
+                new.setdefault(text, {}).setdefault(int(id), Counter())[part, int(code)] += int(n)
+    if new:
+        texts = json.loads(state.get[0]) if state.exists else {}
+        changed = False
+        for text, by_id in new.items():
+            least, rows = texts.get(text, (None, []))
+            held = Counter({(p, c): n for p, c, n in rows})
+            for id in sorted(by_id):
+                if least is None or id <= least:
+                    changed = True
+                least, held = meet(least, held, id, by_id[id], change)
+            texts[text] = (least, [[p, c, n] for (p, c), n in held.items()])
+        if changed:
+            state.update((json.dumps(texts),))
     out = [(p, c, n) for (p, c), n in changes.items() if n]
     if out:
         part, code, n = zip(*out)
@@ -164,15 +167,18 @@ def _sum_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int32(), pa.int64()))], names=["part", "code", "n"])
 
 
-def counter_changes(stream: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_col: str = "source") -> DataFrame:
+def counter_changes(stream: DataFrame, labels: DataFrame, state_keys: int, id_col: str = "doc_id", text_col: str = "text", part_col: str = "source") -> DataFrame:
     """Changes (``part, code, n``) to the counters that every micro-batch of ``stream`` brings.  ``labels`` has
-    ``doc_id, quality, toxic``; an id with several rows has a label if one of them says 1."""
+    ``doc_id, quality, toxic``; an id with several rows has a label if one of them says 1.
+
+    The texts' state is kept under ``state_keys`` keys (digests modulo that number), some hundred texts each: a key
+    costs a task over a millisecond, a text some microseconds.  The number is fixed for a checkpoint's life."""
     bits = (labels.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("id"))
             .agg((F.max(F.when(F.col("quality") == 1, GOOD).otherwise(0)) + F.max(F.when(F.col("toxic") == 1, TOXIC).otherwise(0))).alias("_bits")).where("_bits > 0"))
     rows = measured(stream, id_col, text_col, part_col).join(cut_lineage(bits), "id", "left")
     rows = rows.select("key", "id", "part", (F.col("code") + F.coalesce("_bits", F.lit(0))).cast("int").alias("code"))
-    return (rows.mapInArrow(_fold_task, _ROW).groupBy("key")
-            .applyInPandasWithState(_step, "part string, code int, n long", "least long, held string", "append", GroupStateTimeout.NoTimeout)
+    return (rows.mapInArrow(lambda batches: _fold_task(batches, state_keys), _ROW).groupBy("bucket")
+            .applyInPandasWithState(_step, "part string, code int, n long", "texts string", "append", GroupStateTimeout.NoTimeout)
             .mapInArrow(_sum_task, "part string, code int, n long"))
 
 
@@ -215,7 +221,8 @@ def interactions(counters: DataFrame, filters: str = FILTERS) -> DataFrame:
 
 
 def audit_path(spark: SparkSession, path: str, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_col: str = "source",
-               micro_batches: int = 4, provider: str = ROCKSDB, checkpoint: str | None = None, sink: str | None = None) -> DataFrame:
+               micro_batches: int = 4, provider: str = ROCKSDB, checkpoint: str | None = None, sink: str | None = None,
+               state_keys: int | None = None) -> DataFrame:
     """Interaction of filters A to E over all Parquet files at ``path``, taken as about ``micro_batches`` micro-batches
     of files: one row per part, order of the filters and step, zeros included.
 
@@ -224,11 +231,16 @@ def audit_path(spark: SparkSession, path: str, labels: DataFrame, id_col: str =
     A folder without rows gives an empty result.
 
     Only 64 hexadecimal digits of a text are shuffled.  The stream's checkpoint and sink lie in the shared checkpoint folder:
-    a run that stopped goes on from its last micro-batch with the same ``checkpoint`` and ``sink``, and then reads new files only."""
+    a run that stopped goes on from its last micro-batch with the same ``checkpoint``, ``sink`` and ``state_keys``, and then reads new files only.
+    Without a checkpoint of the caller's, ``state_keys`` is one for 128 rows (counted in the files' footers)."""
     batch = spark.read.parquet(path)
+    if state_keys is None:
+        if checkpoint is not None:
+            raise ValueError("a checkpoint that outlives this call needs a fixed state_keys")
+        state_keys = max(64, batch.count() // 128)
     files = len(batch.inputFiles())
     stream = file_stream(spark, path, batch.schema, max_files_per_trigger=max(1, -(-files // micro_batches)))
-    changes = counter_changes(stream, labels, id_col, text_col, part_col)
+    changes = counter_changes(stream, labels, state_keys, id_col, text_col, part_col)
     setting = "spark.sql.streaming.stateStore.providerClass"
     old = spark.conf.get(setting)
     spark.conf.set(setting, provider)

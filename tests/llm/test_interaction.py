@@ -73,7 +73,7 @@ def test_equals_brute_force_when_smaller_ids_come_later(spark, tmp_path, seed):
     for k in range(6):
         write(tmp_path, k, rows[k * 11:(k + 1) * 11])
     labels = [(i, rng.randrange(2), rng.randrange(2)) for i in range(0, 60, 2)] + [(4, 1, 0), (4, 0, 1), (None, 1, 1), (999, 1, 1), (7, None, 1)]
-    got = I.audit_path(spark, str(tmp_path), spark.createDataFrame(labels, LABELS), micro_batches=6)
+    got = I.audit_path(spark, str(tmp_path), spark.createDataFrame(labels, LABELS), micro_batches=6, state_keys=[3, 64][seed])
     assert got.columns == ["part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"]
     assert collected(got) == brute(rows, labels)
 
@@ -83,11 +83,13 @@ def test_stopped_stream_goes_on_and_retracts(spark, tmp_path):
     rows = [(9, "same", "a"), (8, "same", "b"), (5, "other", "a"), (1, "same", "a")]
     checkpoint, sink = scratch_path(spark, "t"), scratch_path(spark, "t")
     write(tmp_path, 0, rows[:2])
-    first = I.audit_path(spark, str(tmp_path), labels, checkpoint=checkpoint, sink=sink)
+    first = I.audit_path(spark, str(tmp_path), labels, checkpoint=checkpoint, sink=sink, state_keys=8)
     assert collected(first) == brute(rows[:2], [])
     write(tmp_path, 1, rows[2:])
-    again = I.audit_path(spark, str(tmp_path), labels, checkpoint=checkpoint, sink=sink)
+    again = I.audit_path(spark, str(tmp_path), labels, checkpoint=checkpoint, sink=sink, state_keys=8)
     assert collected(again) == brute(rows, [(1, 1, 0)])
+    with pytest.raises(ValueError):
+        I.audit_path(spark, str(tmp_path), labels, checkpoint=checkpoint)
     changes = spark.read.parquet(sink)
     assert changes.where("n < 0").agg({"n": "sum"}).first()[0] == -1  # (8, same) was counted as no copy
 
@@ -98,10 +100,10 @@ def test_empty_table(spark, tmp_path):
 
 
 def test_a_task_sends_one_row_of_a_hot_text():
-    batch = pa.RecordBatch.from_pylist([{"key": "k", "id": 100 - k % 50, "part": "p", "code": 0} for k in range(5000)])
-    (out,) = I._fold_task(iter([batch]))
+    batch = pa.RecordBatch.from_pylist([{"key": "0a" * 8, "id": 100 - k % 50, "part": "p", "code": 0} for k in range(5000)])
+    (out,) = I._fold_task(iter([batch]), 16)
     rows = out.to_pylist()
-    assert {(r["key"], r["id"], r["code"], r["n"]) for r in rows} == {("k", 51, 0, 100), ("+0", None, I.COPY, 4900)}
+    assert {(r["bucket"], r["key"], r["id"], r["code"], r["n"]) for r in rows} == {(10, "0a" * 8, 51, 0, 100), (0, None, None, I.COPY, 4900)}
 
 
 def test_masks_equal_brute_force():
