@@ -221,7 +221,7 @@ def interactions(counters: DataFrame, filters: str = FILTERS) -> DataFrame:
 
 
 def audit_path(spark: SparkSession, path: str, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_col: str = "source",
-               micro_batches: int = 4, provider: str = ROCKSDB, checkpoint: str | None = None, sink: str | None = None,
+               micro_batches: int = 4, provider: str | None = None, checkpoint: str | None = None, sink: str | None = None,
                state_keys: int | None = None) -> DataFrame:
     """Interaction of filters A to E over all Parquet files at ``path``, taken as about ``micro_batches`` micro-batches
     of files: one row per part, order of the filters and step, zeros included.
@@ -232,6 +232,7 @@ def audit_path(spark: SparkSession, path: str, labels: DataFrame, id_col: str =
 
     Only 64 hexadecimal digits of a text are shuffled.  The stream's checkpoint and sink lie in the shared checkpoint folder:
     a run that stopped goes on from its last micro-batch with the same ``checkpoint``, ``sink`` and ``state_keys``, and then reads new files only.
+    ``provider`` names the state store (:data:`ROCKSDB` where the texts' digests don't fit the executors' memory); else the session's is used.
     Without a checkpoint of the caller's, ``state_keys`` is one for 128 rows (counted in the files' footers)."""
     batch = spark.read.parquet(path)
     if state_keys is None:
@@ -243,7 +244,7 @@ def audit_path(spark: SparkSession, path: str, labels: DataFrame, id_col: str =
     changes = counter_changes(stream, labels, state_keys, id_col, text_col, part_col)
     setting = "spark.sql.streaming.stateStore.providerClass"
     old = spark.conf.get(setting)
-    spark.conf.set(setting, provider)
+    spark.conf.set(setting, provider or old)
     try:
         sink = run_available_now(changes, sink or scratch_path(spark, "filter-audit-out"), name="filter-audit", checkpoint=checkpoint)
     finally:

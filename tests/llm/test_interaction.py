@@ -73,7 +73,7 @@ def test_equals_brute_force_when_smaller_ids_come_later(spark, tmp_path, seed):
     for k in range(6):
         write(tmp_path, k, rows[k * 11:(k + 1) * 11])
     labels = [(i, rng.randrange(2), rng.randrange(2)) for i in range(0, 60, 2)] + [(4, 1, 0), (4, 0, 1), (None, 1, 1), (999, 1, 1), (7, None, 1)]
-    got = I.audit_path(spark, str(tmp_path), spark.createDataFrame(labels, LABELS), micro_batches=6, state_keys=[3, 64][seed])
+    got = I.audit_path(spark, str(tmp_path), spark.createDataFrame(labels, LABELS), micro_batches=6, state_keys=[3, 64][seed], provider=[None, I.ROCKSDB][seed])
     assert got.columns == ["part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"]
     assert collected(got) == brute(rows, labels)
 
