@@ -1,6 +1,7 @@
 """Scalar functions: ids, filters, summaries, prompts, HTML."""
 
 import hashlib
+import time
 import uuid
 
 import pytest
@@ -143,6 +144,37 @@ HTML_CASES = [
     ("<BODY class=x>&#128512;&NotEqualTilde;</BODY> after", "😀≂̸"),
     ("<body></body>", ""),
     (None, None),
+    ("<body>&#0000000065;&#x0000000042;&#99999999999;&#xFFFFFFFFFF;</body>", "AB\ufffd\ufffd"),
+    ("a < b and <3 </ c", "a < b and <3"),
+    ("x<b ", "x"),
+    ("one<!-- two > <p>three", "one"),
+    ("<p>a</p><script>if (x</p>) '</scripts>'", "a"),
+    ('<!-- <body> --><body>real <img alt=it\'s src="a>b">end</body>', "real end"),
+    ("<script>'<body>'</script><body>x<SCRIPT type=a>y</SCRIPT >z", "x z"),
+]
+
+MARKDOWN_CASES = [
+    ("<ul><li>a<ul><li>b</li><li>c<ol><li>x</li><li>y</li></ol></li></ul></li><li>d</li></ul>", "- a\n  - b\n  - c\n    1. x\n    2. y\n\n- d"),
+    ("<ol><li>one</li><li>two <b>bold</b></li></ol>end", "1. one\n2. two **bold**\nend"),
+    ("<pre>  a\n   b &lt; c\n\n\n\td</pre> after", "```\n  a\n   b < c\n\n\n\td\n```\nafter"),
+    ('<a title="x > y" href="/p?a>b">link</a> 1 &lt; 2 <b data-x="1>2">bold</b>', "[link](/p?a>b) 1 < 2 **bold**"),
+    ("<a href='q'>single</a> <a name=x>anchor</a>", "[single](q) anchor"),
+    ("<p><b>never closed<br>x", "never closed\nx"),
+    ("<b>a</strong> <i>b</em> c</i>", "**a** *b* c"),
+    ("<h2>Two</h2>text<h3>open", "## Two\n\ntext open"),
+    ("</ul></pre></a></b>loose ends", "loose ends"),
+    ("", ""),
+    (None, None),
+]
+
+# Parts of pages that never end, or are very long: (page, text, Markdown); None where only the time counts.
+LARGE_PAGES = [
+    ("<p>x</p><img src=data:" + "a" * 5_000_000, "x", "x"),
+    ("<p>x</p><img src='" + "a>" * 2_500_000 + "'>" + "<p>y</p>" * 50_000, "x " + "y " * 49_999 + "y", "x\n\n" + "y\n\n" * 49_999 + "y"),
+    ("x<b " + "c" * 1_000_000, "x", "x"),
+    ("<a " + "k=v " * 20_000 + ">z", "z", "z"),
+    *[(part * 100_000, None, None) for part in ("<b ", "<a '", "<!--", "<script>", "<", "<title><", '<a href="', "</body", "&#", "&lt", "<!- ")],
+    ("<ul><li>" * 2000 + "deep", None, None),
 ]
 
 
@@ -153,6 +185,31 @@ def test_html_to_text_expected_by_hand(spark):
     assert got == {k: t for k, (_, t) in enumerate(HTML_CASES)}
 
 
+def test_html_to_markdown_expected_by_hand(spark):
+    df = spark.createDataFrame([(k, h) for k, (h, _) in enumerate(MARKDOWN_CASES)], "k int, html string")
+    got = {r.k: r.t for r in df.select("k", X.html_to_markdown("html").alias("t")).collect()}
+    assert got == {k: t for k, (_, t) in enumerate(MARKDOWN_CASES)}
+
+
+def test_lists_go_on_over_blocks_of_the_fold(spark, monkeypatch):
+    page = "<ol>" + "".join(f"<li>item <b>{k}</b><ul><li>sub</li></ul></li>" for k in range(90)) + "</ol>"
+    df = spark.createDataFrame([(page,)], "html string")
+    whole = df.select(X.html_to_markdown("html")).first()[0]
+    monkeypatch.setattr(X, "_STEP", 7)
+    assert df.select(X.html_to_markdown("html")).first()[0] == whole
+    assert whole.startswith("1. item **0**\n  - sub\n\n2. item **1**") and "90. item **89**" in whole
+
+
+@pytest.mark.parametrize("case", range(len(LARGE_PAGES)))
+def test_large_and_broken_pages_take_linear_time(spark, case):
+    page, text, markdown = LARGE_PAGES[case]
+    df = spark.createDataFrame([(page,)], "html string")
+    began = time.time()
+    got = df.select(X.html_to_text("html").alias("t"), X.html_to_markdown("html").alias("m")).first()
+    assert time.time() - began < 30
+    assert text is None or (got.t, got.m) == (text, markdown)
+
+
 def test_filter_equality_is_of_texts_and_order_of_exact_numbers(spark):
     from tessera.functions.filters import compile_filter
     values = ["9007199254740992", "9007199254740993", "1", "1.0", "1_000", "nan", "inf", "-2.5", "10", "abc", None]
