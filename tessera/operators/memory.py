@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.util import max_by_key, previous_value
+from tessera.operators.util import max_by_key, own_hash, previous_value
 
 DEFAULT_SYSTEM_PROMPT = "You are a helpful assistant."
 TOOL_REQUEST_TEXT = "Tool Execution Request"
@@ -44,30 +44,34 @@ def role_type(role) -> Column:
 def last_n(messages: DataFrame, n: int, *, session_col: str = "session_id",
            order_cols: tuple[str, ...] = ("seq",)) -> DataFrame:
     """Last ``n`` messages per session (newest by ``order_cols``), returned with
-    ``pos`` = 0 for the oldest kept message."""
-    w = Window.partitionBy(session_col).orderBy(*[F.col(c).desc() for c in order_cols])
+    ``pos`` = 0 for the oldest kept message.  Nulls are oldest; messages that are equal in the order are
+    ordered by their own values, so the same ones stay in every run."""
+    tie = own_hash(messages)
+    w = Window.partitionBy(session_col).orderBy(*[F.col(c).desc() for c in order_cols], tie.desc())
     kept = messages.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n)
-    w2 = Window.partitionBy(session_col).orderBy(*[F.col(c).asc() for c in order_cols])
-    return kept.drop("_rn").withColumn("pos", (F.row_number().over(w2) - 1).cast("int"))
+    w2 = Window.partitionBy(session_col).orderBy(F.col("_rn").desc())
+    return kept.withColumn("pos", (F.row_number().over(w2) - 1).cast("int")).drop("_rn")
 
 
 def fix_system_message(messages: DataFrame, default_text: str = DEFAULT_SYSTEM_PROMPT, *,
                        session_col: str = "session_id") -> DataFrame:
     """Keep only the first SYSTEM message of a session; sessions without one
-    get ``default_text`` as a SYSTEM message before their first message."""
-    is_sys = F.col("type") == "SYSTEM"
-    first_sys = (messages.where(is_sys).groupBy(session_col)
-                 .agg(F.min("seq").alias("_first_sys")))
-    kept = (messages.join(first_sys, session_col, "left")
-            .where(~is_sys | (F.col("seq") == F.col("_first_sys"))).drop("_first_sys"))
-    lacking = (messages.groupBy(session_col).agg(F.min("seq").alias("_min_seq"))
-               .join(first_sys, session_col, "left_anti"))
+    get ``default_text`` as a SYSTEM message, its seq one below their least.
+
+    The first is that of the least seq (null least of all), of several by their own
+    values, so exactly one row stays; rows without a session are a session.  Only system
+    messages pass a window (with a limit before the shuffle); others aren't shuffled."""
+    is_sys = F.coalesce(F.col("type") == "SYSTEM", F.lit(False))
+    by = Window.partitionBy(session_col).orderBy(F.col("seq").asc_nulls_first(), own_hash(messages))
+    first = messages.where(is_sys).withColumn("_rn", F.row_number().over(by)).where(F.col("_rn") == 1).drop("_rn")
+    lacking = (messages.groupBy(session_col).agg(F.min("seq").alias("_min_seq"), F.bool_or(is_sys).alias("_has"))
+               .where(~F.col("_has")))
     generated = lacking.select(session_col, (F.col("_min_seq") - 1).alias("seq"),
                                F.lit("SYSTEM").alias("type"), F.lit(default_text).alias("text"))
-    for c in kept.columns:
+    for c in messages.columns:
         if c not in generated.columns:
-            generated = generated.withColumn(c, F.lit(None).cast(kept.schema[c].dataType))
-    return kept.unionByName(generated.select(*kept.columns))
+            generated = generated.withColumn(c, F.lit(None).cast(messages.schema[c].dataType))
+    return messages.where(~is_sys).unionByName(first).unionByName(generated.select(*messages.columns))
 
 
 def sanitize_tool_messages(messages: DataFrame, strict: bool = False, *,

@@ -36,9 +36,13 @@ def match_results(calls: DataFrame, results: DataFrame,
     candidate pairs are ever materialised.
 
     Adds ``result`` (the text, or ``Tool execution failed``), ``matched``,
-    ``result_seq``.
+    ``result_seq``.  A null session, request id or time matches nothing: such calls stay, unmatched, spread
+    over as many groups as they have times and seqs.
     """
     good = results.where(~is_blank("result"))
+    for c in (*KEY, "ts"):
+        good = good.where(F.col(c).isNotNull())
+    known = F.col("session_id").isNotNull() & F.col("request_id").isNotNull() & F.col("ts").isNotNull()
     if timeout_seconds is None:
         width = None
         cb = F.lit(0).cast("bigint")
@@ -47,7 +51,7 @@ def match_results(calls: DataFrame, results: DataFrame,
         cb = F.floor(F.unix_micros(F.col("ts")) / F.lit(width)).cast("bigint")
     # The call rows ride along as a struct so no join back is needed.
     call_struct = F.struct(*[F.col(x) for x in calls.columns])
-    c = calls.select(*KEY, "ts", "seq", cb.alias("_pb"), F.lit(0).alias("_kind"),
+    c = calls.select(*KEY, "ts", "seq", F.when(known, cb).otherwise(F.xxhash64("ts", "seq")).alias("_pb"), F.lit(0).alias("_kind"),
                      F.lit(None).cast("string").alias("_res"), call_struct.alias("_call"))
     r = good.select(*KEY, "ts", "seq", cb.alias("_rb"), F.lit(1).alias("_kind"),
                     F.col("result").alias("_res"),
@@ -62,9 +66,9 @@ def match_results(calls: DataFrame, results: DataFrame,
     nxt = F.last(F.when(F.col("_kind") == 1, F.struct(F.col("ts").alias("ts"), F.col("_res").alias("res"),
                                                        F.col("seq").alias("seq"))), ignorenulls=True)
     found = ev.withColumn("_next", nxt.over(w)).where(F.col("_kind") == 0)
-    in_time = F.col("_next").isNotNull()
+    in_time = known & F.col("_next").isNotNull()
     if width is not None:
-        in_time = in_time & (F.unix_micros(F.col("_next.ts")) - F.unix_micros(F.col("ts")) <= width)
+        in_time = in_time & F.coalesce(F.unix_micros(F.col("_next.ts")) - F.unix_micros(F.col("ts")) <= width, F.lit(False))
     return found.select("_call.*", F.when(in_time, F.col("_next.seq")).alias("result_seq"),
                         in_time.alias("matched"),
                         F.when(in_time, F.col("_next.res")).otherwise(F.lit(TOOL_EXECUTION_FAILED))
@@ -98,12 +102,14 @@ CALL_BUCKET_SECONDS = 3600
 def cap_calls(calls: DataFrame, cap: int = MAX_TOOL_EXECUTIONS, *,
               request_cols: tuple[str, ...] = ("session_id",)) -> DataFrame:
     """Number the known calls of each request by time; calls beyond ``cap``
-    get ``error_code`` 701191.  Unknown tools do not count.  Numbering is
+    get ``error_code`` 701191.  Unknown tools do not count; calls without a time come first, those without a
+    request's columns are one request's.  Numbering is
     split by hour (``ranked``), so one request with a huge log does not land
     in a single task."""
     hour = F.floor(F.unix_micros(F.col("ts")) / F.lit(CALL_BUCKET_SECONDS * 1_000_000)).cast("bigint")
-    known = ranked(calls.where(F.col("known")), list(request_cols), ["ts", "seq"], hour, "call_no")
-    unknown = calls.where(~F.col("known")).withColumn("call_no", F.lit(None).cast("int"))
+    is_known = F.coalesce(F.col("known"), F.lit(False))
+    known = ranked(calls.where(is_known), list(request_cols), ["ts", "seq"], hour, "call_no")
+    unknown = calls.where(~is_known).withColumn("call_no", F.lit(None).cast("int"))
     return (known.unionByName(unknown)
             .withColumn("error_code", F.when(F.col("call_no") > cap, F.lit(E.TOO_MANY_TOOL_CALLS))))
 

@@ -55,11 +55,12 @@ def chat(requests: DataFrame, messages: DataFrame, fn_factory: Callable[[], Chat
     none.  All requests of a call see the messages as given; several of one
     session are appended in the order of request_id."""
     asked = requests.select("request_id", session_default("session_id").alias("session_id"), "prompt", "attachments")
-    window = last_n(messages.join(asked.select("session_id").distinct(), "session_id", "left_semi"), max_history)
+    own = messages.join(asked.select("session_id").distinct(), "session_id", "left_semi")
+    window = last_n(own, max_history)
     history = (window.groupBy("session_id")
                .agg(F.array_sort(F.collect_list(F.struct("pos", "type", "text"))).alias("_h"))
                .select("session_id", F.transform("_h", lambda m: F.struct(m["type"].alias("type"), m["text"].alias("text"))).alias("history")))
-    ends = messages.groupBy("session_id").agg(F.max("seq").alias("_end"))
+    ends = own.groupBy("session_id").agg(F.max("seq").alias("_end"))
     if store is not None:
         hits = get_from_knowledge(store, asked.select(F.col("request_id").alias("query_id"), F.col("prompt").alias("text")),
                                   k, min_score, store_filter=store_filter, embedder=embedder, dim=dim)

@@ -54,6 +54,31 @@ def q_memory_scan(spark, sf_dir):
     return MS.with_positions(MS.read_sessions(spark, path, wanted)).select("session_id", "seq", "pos")
 
 
+@register("memory_nulls", f"""
+WITH {FX.MESSAGES_SQL},
+m AS (SELECT CASE WHEN hash_key % 4 > 0 THEN session_id END AS session_id, CASE WHEN hash_key % 5 > 0 THEN seq END AS seq, type, text
+      FROM (SELECT *, session_id::BIGINT + 3 * seq AS hash_key FROM messages)),
+p AS (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY seq NULLS FIRST) - 1 AS pos,
+             row_number() OVER (PARTITION BY session_id ORDER BY seq DESC NULLS LAST) AS back FROM m),
+s AS (SELECT session_id, count(*) AS n, max(pos)::INTEGER AS last_pos, sum(CASE WHEN seq IS NOT NULL THEN pos END)::BIGINT AS known_pos,
+             count(*) FILTER (WHERE back <= {WINDOW_N}) AS n_window, count(*) FILTER (WHERE type = 'SYSTEM') AS n_system FROM p GROUP BY session_id)
+SELECT session_id, n, last_pos, known_pos, n_window, n - n_system + 1 AS n_fixed FROM s
+""")
+def q_memory_nulls(spark, sf_dir):
+    """S6, W2 and W4 on messages some of which lack session or seq: no row is lost in positions,
+    windows hold N, and every session, also that of null, has one system message."""
+    m, key = FX.messages(spark, sf_dir), F.col("session_id").cast("bigint") + 3 * F.col("seq")
+    m = m.withColumn("_key", key).withColumns({"session_id": F.when(F.col("_key") % 4 > 0, F.col("session_id")), "seq": F.when(F.col("_key") % 5 > 0, F.col("seq"))}).drop("_key")
+    at = MS.with_positions(m).select(F.struct("session_id").alias("s"), F.lit(1).alias("a"), F.col("pos").alias("last_pos"),
+                                     F.when(F.col("seq").isNotNull(), F.col("pos")).alias("known_pos"), F.lit(0).alias("w"), F.lit(0).alias("f"))
+    none = F.lit(None).cast("int")
+    window = M.last_n(m, WINDOW_N).select(F.struct("session_id").alias("s"), F.lit(0).alias("a"), none.alias("last_pos"), none.alias("known_pos"), F.lit(1).alias("w"), F.lit(0).alias("f"))
+    fixed = M.fix_system_message(m).select(F.struct("session_id").alias("s"), F.lit(0).alias("a"), none.alias("last_pos"), none.alias("known_pos"), F.lit(0).alias("w"), F.lit(1).alias("f"))
+    return (at.unionByName(window).unionByName(fixed).groupBy("s").agg(
+        F.sum("a").alias("n"), F.max("last_pos").alias("last_pos"), F.sum("known_pos").alias("known_pos"), F.sum("w").alias("n_window"), F.sum("f").alias("n_fixed"))
+        .select("s.session_id", "n", "last_pos", "known_pos", "n_window", "n_fixed"))
+
+
 @register("memory_append", f"""
 WITH {FX.MESSAGES_SQL} SELECT session_id, seq, type FROM messages
 """)

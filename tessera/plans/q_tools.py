@@ -78,6 +78,27 @@ def q_tool_call_cap(spark, sf_dir):
     return TL.cap_calls(flagged).select("session_id", "seq", "call_no", "error_code")
 
 
+@register("tool_call_cap_nulls", f"""
+WITH {FX.TOOL_CALLS_SQL},
+c AS (SELECT CASE WHEN seq % 3 > 0 THEN session_id END AS session_id, CASE WHEN seq % 11 > 0 THEN ts END AS ts,
+             CASE WHEN seq % 7 > 0 THEN seq END AS seq, seq % 5 > 0 AS known FROM tool_calls),
+n AS (SELECT *, CASE WHEN known THEN row_number() OVER (PARTITION BY session_id, known ORDER BY ts NULLS FIRST, seq NULLS FIRST) END AS call_no FROM c)
+SELECT session_id, count(*) AS n_calls, count(call_no) AS n_numbered, max(call_no)::INTEGER AS last_no,
+       sum(CASE WHEN ts IS NOT NULL THEN call_no END)::BIGINT AS timed_nos, count(*) FILTER (WHERE call_no > 100) AS n_over
+FROM n GROUP BY session_id
+""")
+def q_tool_call_cap_nulls(spark, sf_dir):
+    """W6 on calls a third of which lack their session, others their time or seq: all are
+    numbered, those without a time first."""
+    c = FX.tool_calls(spark, sf_dir)
+    c = c.select(F.when(F.col("seq") % 3 > 0, F.col("session_id")).alias("session_id"), "request_id", "name",
+                 F.when(F.col("seq") % 11 > 0, F.col("ts")).alias("ts"), F.when(F.col("seq") % 7 > 0, F.col("seq")).alias("seq"),
+                 (F.col("seq") % 5 > 0).alias("known"))
+    return TL.cap_calls(c).groupBy("session_id").agg(
+        F.count(F.lit(1)).alias("n_calls"), F.count("call_no").alias("n_numbered"), F.max("call_no").alias("last_no"),
+        F.sum(F.when(F.col("ts").isNotNull(), F.col("call_no"))).alias("timed_nos"), F.count("error_code").alias("n_over"))
+
+
 @register("tool_args_decode", f"""
 WITH {FX.TOOL_CALLS_SQL},
 r AS (SELECT seq, regexp_replace(arguments, ',(\\s*[}}\\]])', '\\1', 'g') AS j FROM tool_calls),

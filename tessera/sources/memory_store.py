@@ -83,7 +83,7 @@ def scan_sessions(messages: DataFrame, sessions: DataFrame) -> DataFrame:
 
 
 def with_positions(messages: DataFrame) -> DataFrame:
-    """``pos`` in the order of ``seq``, from 0 in each session.  Positions are
+    """``pos`` in the order of ``seq`` (nulls first, ties by the rows' own values), from 0 in each session.  Positions are
     assigned per seq range plus an offset (``ranked``), so a very long session
     is not numbered in one task."""
     from tessera.operators.util import ranked

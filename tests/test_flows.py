@@ -99,7 +99,7 @@ def test_sanitize_splits_a_busy_id(spark, monkeypatch):
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     windows = [x for x in plan.splitlines() if "Window [" in x]
     assert windows and all("text" not in x for x in windows)  # windows see events, not messages
-    assert all("_bucket" in x or "_last" in x or "_most" in x for x in windows)  # by seq range, or over ranges
+    assert all("_place" in x or "_last" in x or "_most" in x for x in windows)  # by seq range, or over ranges
 
 
 def test_long_transcripts_come_in_bounded_ordered_parts(spark):
