@@ -2,9 +2,9 @@
 
 Text statistics are measured in Arrow batches; rules vote good, bad or
 abstain on them; expectation-maximisation over the counts of vote patterns
-estimates how good documents and each kind of bad ones fare with each rule,
-and a document's posterior probability of being good decides instead of
-all-must-pass."""
+estimates from the rules' agreement how often each votes bad on bad and on good
+documents, and a document's posterior probability of being good decides
+instead of all-must-pass: a rule that often stands alone counts for little."""
 
 from __future__ import annotations
 
@@ -19,7 +19,8 @@ from pyspark.sql import types as T
 
 from tessera.llm.words import Words, mix, slices, span_hash
 
-STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_exclaim", "n_upper", "n_stops")
+STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_exclaim", "n_upper", "n_stops",
+         "n_distinct", "n_symbol_words", "n_upper_words")
 
 
 def _flags(chars: bytes) -> np.ndarray:
@@ -29,6 +30,7 @@ def _flags(chars: bytes) -> np.ndarray:
 
 
 _SYMBOL, _EXCLAIM, _UPPER, _STOP = _flags(b"#*$%&|<>"), _flags(b"!"), _flags(bytes(range(65, 91))), _flags(b".!?")
+_LOWER = _flags(bytes(range(97, 123)))
 _NEWLINE = 10
 
 
@@ -77,9 +79,15 @@ def measure(col: pa.Array) -> list[np.ndarray]:
         for k in range(3):
             covered[hit + k] = True
     stops = _STOP[data[w.ends - 1]] if len(w) else np.zeros(0, bool)
+    _, again = _repeats(_with_row(h, rows))
+
+    def held(chars):  # how many of the characters each word holds
+        total = np.concatenate([[0], np.cumsum(chars[data], dtype=np.int64)])
+        return total[w.ends] - total[w.starts]
+    shouted = (held(_UPPER) >= 2) & (held(_LOWER) == 0)
     return [n_words, w.per_row(head & w.inside), w.per_row(_SYMBOL[data]), w.per_row(dup, line_off),
             w.per_row(covered, w.offsets), np.diff(line_off), w.per_row(_EXCLAIM[data]), w.per_row(_UPPER[data]),
-            w.per_row(stops, w.offsets)]
+            w.per_row(stops, w.offsets), w.per_row(~again, w.offsets), w.per_row(held(_SYMBOL) > 0, w.offsets), w.per_row(shouted, w.offsets)]
 
 
 def text_stats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -98,84 +106,112 @@ def text_stats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 @dataclass(frozen=True)
 class Rule:
-    """Votes bad where ``bad`` holds, else good where ``good`` holds, else abstains."""
+    """Votes bad where ``bad`` holds, else good where ``applies`` does, else abstains; it knows one ``kind`` of junk."""
     name: str
-    good: str
+    kind: str
     bad: str
+    applies: str = "n_words > 0"
 
     def vote(self) -> Column:
-        return F.expr(f"CASE WHEN {self.bad} THEN 0 WHEN {self.good} THEN 1 ELSE 2 END")
+        return F.expr(f"CASE WHEN NOT ({self.applies}) THEN 2 WHEN {self.bad} THEN 0 ELSE 1 END")
 
 
-#: Most rules know one kind of junk and abstain otherwise: a text without
-#: symbols may still shout.  The last two see prose as such.
+#: Every kind of junk is looked for by two rules or more, each by a statistic of its own,
+#: so that a rule's accuracy shows in its agreement with others.
 RULES = (
-    Rule("symbols", "false", "n_symbols > 0.1 * n_words"),
-    Rule("shouting", "false", "n_exclaim > 0.2 * n_words"),
-    Rule("capitals", "false", "n_upper > 0.4 * word_chars"),
-    Rule("lines", "false", "n_dup_lines > 0.5 * n_lines"),
-    Rule("windows", "false", "n_repeat_words > 0.45 * n_words"),
-    Rule("word_length", "word_chars BETWEEN 3 * n_words AND 9 * n_words", "word_chars < 2 * n_words OR word_chars > 15 * n_words"),
-    Rule("sentences", "n_stops * 50 >= n_words AND n_stops * 2 <= n_words", "n_stops * 500 < n_words"),
+    Rule("symbols", "symbols", "n_symbols > 0.1 * n_words"),
+    Rule("symbol_words", "symbols", "n_symbol_words > 0.2 * n_words"),
+    Rule("symbol_chars", "symbols", "n_symbols > 0.05 * word_chars"),
+    Rule("shouting", "shouting", "n_exclaim > 0.2 * n_words"),
+    Rule("exclaimed", "shouting", "n_exclaim > 0.5 * n_stops", "n_stops >= 5"),
+    Rule("capitals", "shouting", "n_upper > 0.4 * word_chars"),
+    Rule("capital_words", "shouting", "n_upper_words > 0.5 * n_words"),
+    Rule("lines", "repeats", "n_dup_lines > 0.3 * n_lines", "n_lines >= 4"),
+    Rule("windows", "repeats", "n_repeat_words > 0.3 * n_words", "n_words >= 20"),
+    Rule("distinct", "repeats", "n_distinct < 0.3 * n_words", "n_words >= 50"),
+    Rule("word_length", "form", "word_chars NOT BETWEEN 3.5 * n_words AND 9 * n_words"),
+    Rule("sentences", "form", "n_stops * 30 < n_words", "n_words >= 30"),
 )
 
 
-def fit(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200, tolerance: float = 1e-9) -> tuple[np.ndarray, np.ndarray]:
-    """EM on distinct vote patterns (rows; 0 bad, 1 good, 2 abstain) with their
-    ``counts``: the share of each class, and P(vote | class) as an array
-    [rule, class, vote].  Class 0 is good; each rule k begins a class k + 1 of
-    bad documents, as junk is of several kinds that know nothing of each
-    other, and a single bad class would let a kind that only one rule
-    knows pass as a habit of good documents.  It starts from: patterns without a
-    bad vote are good, others belong to the first rule that votes bad.  As prior,
-    each rule's class holds as many more documents as it has bad votes, all with
-    that vote; without it, classes of few documents drain into the good one.
-    Laplace smoothing keeps all probabilities positive; without patterns all is uniform."""
+@dataclass(frozen=True)
+class Model:
+    """``shares`` of good documents and of each kind of bad ones; by rule its kind's place among ``shares``, and the
+    probability of a bad vote on documents of that kind (``hit``) and on all others (``slip``),
+    where the rule doesn't abstain."""
+    shares: np.ndarray
+    kinds: np.ndarray
+    hit: np.ndarray
+    slip: np.ndarray
+
+    def odds(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Log odds of each kind to good: without a vote, and what a bad and a good vote of a rule add to its kind's."""
+        return np.log(self.shares[1:] / self.shares[0]), np.log(self.hit / self.slip), np.log((1 - self.hit) / (1 - self.slip))
+
+    def classes(self, patterns: np.ndarray) -> np.ndarray:
+        """Posterior of good and of each kind, by vote pattern."""
+        start, bad, good = self.odds()
+        mine = np.eye(len(self.shares))[self.kinds][:, 1:]  # rule, kind
+        odds = start + ((patterns == 0) * bad) @ mine + ((patterns == 1) * good) @ mine
+        like = np.exp(np.column_stack([np.zeros(len(patterns)), odds]))
+        return like / like.sum(1, keepdims=True)
+
+    def good(self, patterns: np.ndarray) -> np.ndarray:
+        return self.classes(patterns)[:, 0]
+
+    def accuracy(self) -> np.ndarray:
+        """P(the document is bad | the rule votes bad), by rule."""
+        own, bad = self.shares[self.kinds], 1 - self.shares[0]
+        right = own * self.hit + (bad - own) * self.slip
+        return right / (right + self.shares[0] * self.slip)
+
+
+def fit(patterns: np.ndarray, counts: np.ndarray, kinds: list[str] | None = None, rounds: int = 500, tolerance: float = 1e-9) -> Model:
+    """EM on distinct vote patterns (rows; 0 bad, 1 good, 2 abstain) with their ``counts``.  ``kinds`` names the kind
+    of junk that each rule knows (default: all the same).  A document is good or of one kind; rules of other
+    kinds treat it as they treat good ones, so a small kind isn't drowned by a large one.
+
+    It starts from agreement: two bad votes of a kind or more are probably right, a lone one
+    is probably not.  The prior is fixed and small whatever the number of
+    documents: half a document a class, two for each rule on its kind and, on others,
+    one bad vote in twenty.  So what a rule's votes are worth comes from the data.  One thing is set: a
+    rule sees half of its kind at least, else a kind without votes could take the place of the good ones."""
     n_rules = patterns.shape[1]
-    shares, prob = np.full(n_rules + 1, 1 / (n_rules + 1)), np.full((n_rules, n_rules + 1, 3), 1 / 3)
-    if not len(patterns):
-        return shares, prob
-    onehot = np.eye(3)[patterns]  # pattern, rule, vote
-    bad = patterns == 0
-    trust = (bad * counts[:, None]).sum(0)
-    rules = np.arange(n_rules)
-    belongs = np.eye(n_rules + 1)[np.where(bad.any(1), bad.argmax(1) + 1, 0)] * 0.99 + 0.01 / (n_rules + 1)
+    names = list(dict.fromkeys(kinds or ["bad"]))
+    kind = np.array([names.index(k) + 1 for k in kinds or ["bad"] * n_rules], int)
+    bad, voted = (patterns == 0).astype(float), (patterns != 2).astype(float)
+    many = np.column_stack([bad[:, kind == c + 1].sum(1) for c in range(len(names))]) if len(patterns) else np.zeros((0, len(names)))
+    first = np.column_stack([np.ones(len(patterns)), np.select([many >= 2, many == 1], [9, 0.25], 0.01)])
+    belongs = first / first.sum(1, keepdims=True)
+    model = None
     for _ in range(rounds):
-        weight = belongs * counts[:, None]  # pattern, class
-        prob = np.einsum("pc,prv->rcv", weight, onehot) + 0.5
-        prob[rules, rules + 1, 0] += trust
-        prob /= prob.sum(2, keepdims=True)
+        weight = belongs * counts[:, None]
+        own = weight[:, kind]  # pattern, rule
+        rest = weight.sum(1, keepdims=True) - own
         shares = weight.sum(0) + 0.5
-        shares[1:] += trust
-        shares /= shares.sum()
-        like = np.log(shares) + np.einsum("prv,rcv->pc", onehot, np.log(prob))
-        new = np.exp(like - like.max(1, keepdims=True))
-        new /= new.sum(1, keepdims=True)
-        if np.abs(new - belongs).max() < tolerance:
+        hit = np.maximum(((own * bad).sum(0) + 1) / ((own * voted).sum(0) + 2), 0.5)
+        model = Model(shares / shares.sum(), kind, hit, ((rest * bad).sum(0) + 1) / ((rest * voted).sum(0) + 20))
+        new = model.classes(patterns)
+        if not len(new) or np.abs(new - belongs).max() < tolerance:
             break
         belongs = new
-    return shares, prob
-
-
-def rule_accuracy(shares: np.ndarray, prob: np.ndarray) -> np.ndarray:
-    """P(the document is bad | the rule votes bad), by rule."""
-    votes = prob[:, :, 0] * shares
-    return votes[:, 1:].sum(1) / votes.sum(1)
+    return model
 
 
 def judge(stats: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``stats`` with ``quality``, the posterior probability of being good.
 
-    The vote patterns that reach the driver are at most 3 ** len(rules); their
-    counts come from all rows, by partial aggregation."""
+    The vote patterns that reach the driver are at most 3 ** len(rules), and in practice
+    some hundreds; their counts come from all rows, by partial aggregation."""
     votes = [r.vote() for r in rules]
     rows = stats.select(*[v.alias(f"v{k}") for k, v in enumerate(votes)]).groupBy(*[f"v{k}" for k in range(len(rules))]).count().collect()
-    shares, prob = fit(np.array([r[:-1] for r in rows], int).reshape(-1, len(rules)), np.array([r[-1] for r in rows], float))
+    model = fit(np.array([r[:-1] for r in rows], int).reshape(-1, len(rules)), np.array([r[-1] for r in rows], float), [r.kind for r in rules])
+    start, bad, good = model.odds()
     against = F.lit(0.0)  # odds of all kinds of bad to good
-    for c in range(1, len(shares)):
-        odds = F.lit(float(np.log(shares[c] / shares[0])))
-        for vote, p in zip(votes, np.log(prob[:, c] / prob[:, 0])):
-            odds = odds + F.element_at(F.array(*[F.lit(float(x)) for x in p]), vote + 1)
+    for c, odds in enumerate(start):
+        odds = F.lit(float(odds))
+        for k in np.flatnonzero(model.kinds == c + 1):
+            odds = odds + F.when(votes[k] == 0, F.lit(float(bad[k]))).when(votes[k] == 1, F.lit(float(good[k]))).otherwise(F.lit(0.0))
         against = against + F.exp(odds)
     return stats.withColumn("quality", 1 / (1 + against))
 
@@ -184,7 +220,11 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lea
     """``id_col``, :data:`STATS`, ``base_failed`` (under 50 words, or over half of the
     words in repeated 3-word windows), ``quality`` and ``kept`` (not
     base_failed and ``quality >= least``), one row per input row.  Texts are read
-    twice, for the patterns and for the verdicts."""
+    twice, for the patterns and for the verdicts.
+
+    Null and empty texts have zeros, no votes and fail the base rules; a null id stays null; repeated rows
+    are judged alike, and rows of one vote pattern have one posterior; a posterior of just ``least`` is kept.
+    Other columns are not read.  An empty table gives an empty result."""
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return (judge(text_stats(docs, id_col, text_col)).withColumn("base_failed", failed)
             .withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= least)))
