@@ -3,6 +3,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import functions as F
 
 from tessera.plans import fixtures as FX
@@ -18,14 +20,27 @@ from tessera.sources.vector_store import scratch_path, store_scan
 from tessera.streaming.ingest import ingest_stream
 from tessera.streaming.questions import answer_stream
 from tessera.streaming.runner import file_stream, run_available_now
-from tessera.streaming.sessions import latest_windows, running_window
+from tessera.streaming.sessions import expiring_window, latest_windows, running_window, stored_windows
 from tessera.streaming.summaries import summarizing_memory
-from tessera.streaming.tool_calls import stream_match
+from tessera.streaming.tool_calls import CALL_SCHEMA, match_as_they_come, stream_match
 
 WATERMARK_DELAY_SECONDS = 3600
 
 
 STREAM_PARTS, FILES_PER_PART = 3, 4
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextmanager
+def _rocksdb(spark):
+    """State stores of the streams started within are RocksDB's."""
+    setting = "spark.sql.streaming.stateStore.providerClass"
+    old = spark.conf.get(setting)
+    spark.conf.set(setting, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, old)
 
 
 def _stream(spark, sf_dir, name, order, key):
@@ -73,12 +88,35 @@ def q_stream_session_window(spark, sf_dir):
     return latest_windows(spark.read.parquet(out)).select("session_id", "seq", "type", "pos")
 
 
+@register("stream_window_stored", f"""
+WITH {FX.MESSAGES_SQL},
+r AS (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY seq DESC) AS rn FROM messages)
+SELECT session_id, seq, type FROM r WHERE rn <= {WINDOW_N}
+""")
+def q_stream_window_stored(spark, sf_dir):
+    """The same windows as list state with expiry; after the stream has stopped they are read
+    from its state store."""
+    msgs = FX.messages(spark, sf_dir, _stream(spark, sf_dir, "conversations", "turn", "conv_id"))
+    checkpoint = scratch_path(spark, "window-state")
+    with _rocksdb(spark):
+        run_available_now(expiring_window(msgs, WINDOW_N), name="window-state", checkpoint=checkpoint, empty_batches=False)
+        return cut_lineage(stored_windows(spark, checkpoint)).select("session_id", "seq", "type")
+
+
 @register("stream_tool_results", _MATCH_SQL + "SELECT session_id, request_id, seq, result, matched FROM m")
 def q_stream_tool_results(spark, sf_dir):
     """T4/T5: calls and results as two streams joined with watermarks and
     the time-out interval, one row a call as in the batch query.  The events are copied to a stream
     folder followed by one sentinel event past the last time-out, so the
     watermark passes every call and the unmatched ones are emitted."""
+    calls, results, own = _tool_streams(spark, sf_dir)
+    matched = stream_match(calls, results, TIMEOUT_SECONDS, WATERMARK_DELAY_SECONDS)
+    out = run_available_now(matched, name="tool-stream")
+    return spark.read.parquet(out).where(~F.col("seq").eqNullSafe(own)).select("session_id", "request_id", "seq", "result", "matched")
+
+
+def _tool_streams(spark, sf_dir):
+    """All calls and results, and one of each past the last time-out in a later micro-batch; the seq of that call."""
     src = scratch_path(spark, "events-stream")
     events = table(spark, sf_dir, "events")
     events.write.parquet(f"{src}/part=0")
@@ -99,10 +137,23 @@ def q_stream_tool_results(spark, sf_dir):
     n_files = len(spark.read.parquet(f"{src}/part=0").inputFiles())
     stream = (spark.readStream.schema(events.schema).option("maxFilesPerTrigger", str(max(1, n_files)))
               .option("recursiveFileLookup", "true").parquet(src))
-    matched = stream_match(FX.tool_calls(spark, sf_dir, stream), FX.tool_results(spark, sf_dir, stream),
-                           TIMEOUT_SECONDS, WATERMARK_DELAY_SECONDS)
-    out = run_available_now(matched, name="tool-stream")
-    return spark.read.parquet(out).where(~F.col("seq").eqNullSafe(own)).select("session_id", "request_id", "seq", "result", "matched")
+    return FX.tool_calls(spark, sf_dir, stream), FX.tool_results(spark, sf_dir, stream), own
+
+
+@register("stream_tool_calls_early", _MATCH_SQL + "SELECT session_id, request_id, seq, result, matched, matched AS early FROM m")
+def q_stream_tool_calls_early(spark, sf_dir):
+    """T4/T5: the same calls with state and timers: those with a result come out in the
+    micro-batch that brings it (``early``), the others when the watermark passes their time-out."""
+    calls, results, own = _tool_streams(spark, sf_dir)
+    path = scratch_path(spark, "tool-calls")
+
+    def batch(df, batch_id):
+        df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    with _rocksdb(spark):
+        run_available_now(match_as_they_come(calls, results, TIMEOUT_SECONDS, WATERMARK_DELAY_SECONDS), name="tool-calls", foreach_batch=batch)
+    rows = spark.read.schema(f"{CALL_SCHEMA}, batch_id int").parquet(path).where(F.col("kind") == "call")
+    return rows.where(~F.col("seq").eqNullSafe(own)).select("session_id", "request_id", "seq", "result", "matched", (F.col("batch_id") == 0).alias("early"))
 
 
 @register("stream_questions", _RETRIEVAL_SQL + """

@@ -13,8 +13,23 @@ from tessera.sources.vector_store import scratch_path
 
 def run_available_now(stream: DataFrame, sink_path: str | None = None, *, name: str = "stream",
                       output_mode: str = "append", checkpoint: str | None = None,
-                      foreach_batch: Callable[[DataFrame, int], None] | None = None) -> str:
-    """Process everything available now, then stop; returns the sink path."""
+                      foreach_batch: Callable[[DataFrame, int], None] | None = None, empty_batches: bool = True) -> str:
+    """Process everything available now, then stop; returns the sink path.
+
+    ``empty_batches=False`` runs no batch without input: state that expires by processing time asks for
+    one more at all times, so a stream of it would never stop."""
+    spark = stream.sparkSession
+    setting = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, before if empty_batches else "false")
+    try:
+        return _drain(stream, sink_path, name, output_mode, checkpoint, foreach_batch)
+    finally:
+        spark.conf.set(setting, before)
+
+
+def _drain(stream: DataFrame, sink_path: str | None, name: str, output_mode: str, checkpoint: str | None,
+           foreach_batch: Callable[[DataFrame, int], None] | None) -> str:
     spark = stream.sparkSession
     checkpoint = checkpoint or scratch_path(spark, f"{name}-ckpt")
     writer = stream.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)

@@ -29,12 +29,23 @@ def newest(spark: SparkSession, path: str, first: int, before: int) -> DataFrame
     return rows.join(last, ["session_id", "batch_id"], "left_semi")
 
 
+def last_batch(spark: SparkSession, path: str) -> int:
+    """Number of the newest batch with a finished folder at ``path`` (-1: none)."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return -1
+    names = [f.getPath().getName() for f in fs.listStatus(folder) if fs.exists(hadoop.Path(f.getPath(), "_SUCCESS"))]
+    return max((int(n.partition("=")[2]) for n in names if n.startswith("batch_id=")), default=-1)
+
+
 def summarizing_memory(messages_stream: DataFrame, path: str, limit: int, complete_fn_factory, *,
                        checkpoint: str | None = None, compact_every: int = COMPACT_EVERY) -> DataFrame:
-    """Drains the stream; returns the newest memory of every session.  Batches
+    """Drains the stream; returns the newest memory of every session, also where a restart
+    on the same checkpoint and ``path`` finds nothing new.  Batches
     are taken as they arrive; within one, ``seq`` decides the order."""
     spark = messages_stream.sparkSession
-    seen = {"last": -1}
 
     def batch(df: DataFrame, batch_id: int) -> None:
         whole = batch_id % compact_every == 0
@@ -47,8 +58,7 @@ def summarizing_memory(messages_stream: DataFrame, path: str, limit: int, comple
             continue_memories(messages, limit, complete_fn_factory, before).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
         finally:
             messages.unpersist()
-        seen["last"] = batch_id
 
     run_available_now(messages_stream, name="summaries", foreach_batch=batch, checkpoint=checkpoint)
-    last = seen["last"]
+    last = last_batch(spark, path)
     return newest(spark, path, last - last % compact_every, last + 1).drop("batch_id")

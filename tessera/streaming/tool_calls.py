@@ -5,12 +5,17 @@ condition ``call.ts <= result.ts <= call.ts + timeout`` and watermarks on
 both sides, then one row per call: the earliest non-blank result, or the
 text for a failed execution.  A call's row is emitted once the watermark passes
 its time-out; results arriving after that are dropped as late (the original
-ignores results after completion)."""
+ignores results after completion).  ``match_as_they_come`` keeps the open calls as
+state with event-time timers instead, and answers a call as soon as it can."""
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tessera.functions.text import is_blank
 from tessera.operators.tools import TOOL_EXECUTION_FAILED
@@ -34,3 +39,89 @@ def stream_match(calls: DataFrame, results: DataFrame, timeout_seconds: int,
     return first.select("session_id", "request_id", "seq", "ts", F.col("found.seq").alias("result_seq"),
                         F.col("found").isNotNull().alias("matched"),
                         F.coalesce("found.result", F.lit(TOOL_EXECUTION_FAILED)).alias("result"))
+
+
+CALL_SCHEMA = "session_id string, request_id string, seq bigint, ts timestamp, result_seq bigint, matched boolean, result string, kind string"
+
+
+class OpenCalls(StatefulProcessor):
+    """The open calls and recent results of a session, by request id.
+
+    A call is answered the moment its result is there; a timer answers it when the
+    watermark passes its time-out.  A result is held until the watermark passes it, as a
+    call that comes later in the stream may precede it in time; one that answered nothing by
+    then is told as ``late``.  State is one entry a request id with something open."""
+
+    def __init__(self, timeout_seconds: int):
+        self.timeout = timeout_seconds * 1_000_000
+        self.grain = max(1000, timeout_seconds * 100)  # milliseconds; timers of a session in one grain are one
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.open = handle.getMapState("open", "request_id string", "calls string, results string")
+
+    def handleInputRows(self, key, rows, timerValues):
+        new: dict = {}
+        out = []
+        for pdf in rows:
+            for request, at, seq, text, is_call in zip(pdf["request_id"], pdf["at"].tolist(), pdf["seq"].tolist(), pdf["result"], pdf["is_call"]):
+                number = None if pd.isna(seq) else int(seq)
+                if is_call and (key[0] is None or request is None or pd.isna(at)):
+                    out.append((request, number, at, None, False, TOOL_EXECUTION_FAILED, "call"))
+                elif not (key[0] is None or request is None or pd.isna(at)):
+                    new.setdefault(request, ([], []))[0 if is_call else 1].append([int(at), number] if is_call else [int(at), number, text, False])
+        expiries = set()
+        for request, (calls, results) in new.items():
+            if self.open.containsKey((request,)):
+                held = self.open.getValue((request,))
+                calls, results = json.loads(held[0]) + calls, json.loads(held[1]) + results
+            waiting = []
+            results.sort(key=lambda r: (r[0], r[1] is not None, r[1]))
+            for at, number in calls:
+                found = next((r for r in results if at <= r[0] <= at + self.timeout), None)
+                if found is None:
+                    waiting.append([at, number])
+                else:
+                    found[3] = True
+                    out.append((request, number, at, found[1], True, found[2], "call"))
+            self.open.updateValue((request,), (json.dumps(waiting), json.dumps(results)))
+            expiries |= {(at + self.timeout) // 1000 // self.grain for at, _ in waiting} | {r[0] // 1000 // self.grain for r in results}
+        for grain in expiries:
+            self.handle.registerTimer((grain + 1) * self.grain)
+        yield self.rows(key, out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        passed, out = timerValues.getCurrentWatermarkInMs() * 1000, []
+        for (request,), (calls, results) in list(self.open.iterator()):
+            calls, results = json.loads(calls), json.loads(results)
+            out += [(request, number, at, None, False, TOOL_EXECUTION_FAILED, "call") for at, number in calls if at + self.timeout < passed]
+            out += [(request, r[1], r[0], None, False, r[2], "late") for r in results if r[0] < passed and not r[3]]
+            calls, results = [c for c in calls if c[0] + self.timeout >= passed], [r for r in results if r[0] >= passed]
+            if calls or results:
+                self.open.updateValue((request,), (json.dumps(calls), json.dumps(results)))
+            else:
+                self.open.removeKey((request,))
+        yield self.rows(key, out)
+
+    @staticmethod
+    def rows(key, out) -> pd.DataFrame:
+        request, seq, at, result_seq, matched, result, kind = zip(*out) if out else [()] * 7
+        return pd.DataFrame({"session_id": pd.Series([key[0]] * len(out), dtype=object), "request_id": pd.Series(request, dtype=object), "seq": pd.Series(seq, dtype="Int64"),
+                             "ts": pd.to_datetime(pd.Series(at, dtype="float64").astype("Int64"), unit="us", utc=True), "result_seq": pd.Series(result_seq, dtype="Int64"),
+                             "matched": pd.Series(matched, dtype=bool), "result": pd.Series(result, dtype=object), "kind": pd.Series(kind, dtype=object)})
+
+    def close(self) -> None:
+        pass
+
+
+def match_as_they_come(calls: DataFrame, results: DataFrame, timeout_seconds: int, delay_seconds: int) -> DataFrame:
+    """:data:`CALL_SCHEMA`: a row a call as in ``stream_match``, but in the micro-batch in which its result is in, and
+    only the unanswered ones when the watermark has passed their time-out; no pairs of calls and results
+    are built.  The first result to come completes a call: an earlier one that arrives later doesn't change it.
+    Rows of kind ``late`` are results that answered no call.  Calls without session, request id or time are
+    answered at once, unmatched.  Needs the RocksDB state store."""
+    def side(df: DataFrame, is_call: bool) -> DataFrame:
+        return df.select("session_id", "request_id", "ts", F.unix_micros(F.col("ts").cast("timestamp")).alias("at"), F.col("seq").cast("bigint").alias("seq"),
+                         (F.lit(None).cast("string") if is_call else F.col("result")).alias("result"), F.lit(is_call).alias("is_call"))
+    both = side(calls, True).unionByName(side(results.where(~is_blank("result")), False)).withWatermark("ts", f"{delay_seconds} seconds")
+    return both.groupBy("session_id").transformWithStateInPandas(OpenCalls(timeout_seconds), CALL_SCHEMA, "Append", "EventTime")
