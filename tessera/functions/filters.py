@@ -108,8 +108,19 @@ class _Parser:
         raise FilterSyntaxError(f"expected a value, got {v!r}")
 
 
-_PLAIN = r"^[+-]?[0-9]{1,20}([.][0-9]{1,18})?$"
-_EXACT = "decimal(38,18)"
+_PLAIN = r"^[+-]?[0-9]+([.][0-9]+)?$"
+
+
+def _number(text: Column) -> Column:
+    """A key in the order of plain numbers of any length: sign, digits before the point, those
+    digits, digits after it.  Negative numbers have their digits turned about (9 for 0), and an end mark above all digits."""
+    whole = F.regexp_replace(F.regexp_extract(text, r"^[+-]?([0-9]*)", 1), "^0+", "")
+    part = F.regexp_replace(F.regexp_extract(text, r"[.]([0-9]*)", 1), "0+$", "")
+    minus = text.startswith("-")
+    zero = (whole == "") & (part == "")
+    turned = [F.translate(x, "0123456789", "9876543210") for x in (whole, part)]
+    return F.struct(F.when(zero, 0).when(minus, -1).otherwise(1).alias("sign"), F.when(minus, -F.length(whole)).otherwise(F.length(whole)).alias("digits"),
+                    F.when(minus, turned[0]).otherwise(whole).alias("whole"), F.when(minus & ~zero, F.concat(turned[1], F.lit("~"))).otherwise(part).alias("part"))
 
 
 def compare(v: Column, op: str, vals: list[str]) -> Column:
@@ -126,8 +137,7 @@ def compare(v: Column, op: str, vals: list[str]) -> Column:
 
     order = apply(v, F.lit(lit))
     if re.search(_PLAIN, lit):
-        number = F.when(v.rlike(_PLAIN), v.try_cast(_EXACT))
-        order = F.when(number.isNotNull(), apply(number, F.lit(lit).cast(_EXACT))).otherwise(order)
+        order = F.when(v.rlike(_PLAIN), apply(_number(v), _number(F.lit(lit)))).otherwise(order)
     return F.coalesce(order, F.lit(False))
 
 

@@ -46,7 +46,10 @@ def _matrix(series: pd.Series) -> np.ndarray:
 def _local_topk(ids: np.ndarray, smat: np.ndarray, qids: np.ndarray, qmat: np.ndarray,
                 k: int, min_score: float | np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Top-k (score desc, id asc) of one block; scores are (1+cos)/2 rounded to 6.
-    ``min_score`` is one number or one for each query."""
+    ``min_score`` is one number or one for each query.  Rows of one id are one, with its best score."""
+    order = np.argsort(ids, kind="stable")
+    ids, smat = ids[order], smat[order]
+    firsts = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]]) if len(ids) else np.zeros(0, np.int64)
     least = np.broadcast_to(np.asarray(min_score, dtype=np.float64), (len(qids),))
     snorm = np.linalg.norm(smat, axis=1)
     qnorm = np.linalg.norm(qmat, axis=1)
@@ -58,6 +61,8 @@ def _local_topk(ids: np.ndarray, smat: np.ndarray, qids: np.ndarray, qmat: np.nd
             cos = (qmat[lo:hi] @ smat.T) / np.outer(qnorm[lo:hi], snorm)
         score = np.round((1.0 + cos) / 2.0, 6)
         score = np.where(np.isfinite(score), score, -np.inf)
+        if len(firsts) < len(ids):
+            score = np.maximum.reduceat(score, firsts, axis=1)
         ns = score.shape[1]
         if ns > k:
             kth = np.partition(score, ns - k, axis=1)[:, ns - k]
@@ -68,6 +73,7 @@ def _local_topk(ids: np.ndarray, smat: np.ndarray, qids: np.ndarray, qmat: np.nd
         if len(qi) == 0:
             continue
         sc = score[qi, si]
+        si = firsts[si]
         order = np.lexsort((ids[si], -sc, qi))
         qi, si, sc = qi[order], si[order], sc[order]
         first = np.r_[True, qi[1:] != qi[:-1]]
@@ -104,9 +110,13 @@ def _score_groups(s: DataFrame, q: DataFrame, keys: list[str], k: int, min_score
 
 
 def _reduce_topk(q: np.ndarray, i: np.ndarray, sc: np.ndarray, k: int):
-    """Keep the first ``k`` (score desc, id asc) candidates of every query."""
+    """Keep the first ``k`` (score desc, id asc) candidates of every query; an id counts once, with its best score."""
     if len(q) == 0:
         return q, i, sc
+    order = np.lexsort((-sc, i, q))
+    q, i, sc = q[order], i[order], sc[order]
+    once = np.r_[True, (q[1:] != q[:-1]) | (i[1:] != i[:-1])]
+    q, i, sc = q[once], i[once], sc[once]
     order = np.lexsort((i, -sc, q))
     q, i, sc = q[order], i[order], sc[order]
     first = np.r_[True, q[1:] != q[:-1]]
@@ -153,10 +163,15 @@ BROADCAST_QUERY_BYTES = 64 * 1024 * 1024
 FLOOR_SHARE = 64
 
 
+def _once(partial: DataFrame) -> DataFrame:
+    """One row per query and id, with its best score, dealt by query (so ranks need no other shuffle)."""
+    return partial.repartition("_qid").groupBy("_qid", "_id").agg(F.max("score").alias("score"))
+
+
 def _kth_scores(partial: DataFrame, k: int) -> DataFrame:
     """``_qid, _least``: the k-th best score of the queries that have k hits."""
     w = Window.partitionBy("_qid").orderBy(F.col("score").desc(), F.col("_id").asc())
-    return (partial.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") == k)
+    return (_once(partial).withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") == k)
             .select("_qid", F.col("score").alias("_least")))
 
 
@@ -177,7 +192,8 @@ def vector_topk(store: DataFrame, queries: DataFrame, k: int, min_score: float =
 
     ``min_score`` is applied before ranking.  Result columns:
     ``query_id, id, score, rank`` (names taken from the arguments).  Vectors of
-    another width than ``dim`` (default: the widest stored) match nothing.
+    another width than ``dim`` (default: the widest stored) and such with a null element match nothing.  Several
+    store rows of one id are one hit, with the best of their scores; several queries of one id are one query.
 
     One in ``floor_share`` store rows is scored first: the k-th hit among them
     bounds the k-th hit of all, so later only rows at or above that bound leave
@@ -226,7 +242,7 @@ def vector_topk(store: DataFrame, queries: DataFrame, k: int, min_score: float =
         bounded = cut_lineage(q.join(found, "_qid", "left").withColumn("_least", F.coalesce("_least", F.lit(float(min_score)))))
         partial = _score_groups(*_cells(s, bounded, store_blocks, query_blocks), ["_sb", "_qb"], k, min_score, qid_type, id_type)
     w = Window.partitionBy("_qid").orderBy(F.col("score").desc(), F.col("_id").asc())
-    return (partial.withColumn("rank", F.row_number().over(w))
+    return (_once(partial).withColumn("rank", F.row_number().over(w))
             .where(F.col("rank") <= k)
             .select(F.col("_qid").alias(query_id_col), F.col("_id").alias(id_col),
                     "score", F.col("rank").cast("int").alias("rank")))

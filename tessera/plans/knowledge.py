@@ -3,7 +3,7 @@ retrieval context, and chat with knowledge."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera import errors as E
@@ -12,6 +12,7 @@ from tessera.operators.ingest import with_content_id
 from tessera.operators.parse import parse
 from tessera.operators.search import vector_topk
 from tessera.operators.split import DEFAULT_MAX_CHARS, DEFAULT_OVERLAP, split_documents
+from tessera.operators.util import own_hash
 from tessera.operators.validate import embedding_error, segment_error
 from tessera.session import cut_lineage
 from tessera.sources.vector_store import store_append, store_ids
@@ -69,7 +70,7 @@ def classify_ingest(unique: DataFrame, existing_ids: DataFrame | None, dim: int
     """Tag the unique segments, ``stored`` (id already in the store) first, and
     embed those that are neither stored nor invalid: ``status`` written /
     duplicate / invalid, ``copies``.  The embedder sees each new text once and no
-    other."""
+    other; a good text for which it has no vector has code 701161."""
     if existing_ids is not None:
         # The store's ids are reduced to the batch's before they meet it again.
         hits = (existing_ids.select("id").join(unique.select("id"), "id", "left_semi")
@@ -79,7 +80,8 @@ def classify_ingest(unique: DataFrame, existing_ids: DataFrame | None, dim: int
         tagged = unique.withColumn("stored", F.lit(False))
     new = F.col("error_code").isNull() & ~F.col("stored")
     emb = (embedder or hashing_embedder(dim or DEFAULT_DIM))(tagged.withColumn("_new_text", F.when(new, F.col("text"))), text_col="_new_text").drop("_new_text")
-    emb = emb.withColumn("error_code", F.coalesce("error_code", F.when(~F.col("stored"), embedding_error("text", "embedding", dim))))
+    failed = F.when(new & F.col("embedding").isNull(), F.lit(E.EMBEDDING_GENERATION))
+    emb = emb.withColumn("error_code", F.coalesce("error_code", failed, F.when(~F.col("stored"), embedding_error("text", "embedding", dim))))
     return emb.withColumn("status", F.when(F.col("error_code").isNotNull(), F.lit("invalid"))
                           .when(F.col("stored"), F.lit("duplicate")).otherwise(F.lit("written")))
 
@@ -174,7 +176,8 @@ def get_from_knowledge(store: DataFrame, queries: DataFrame, k: int = 5, min_sco
                        store_blocks: int | None = None, query_blocks: int | None = None) -> DataFrame:
     """Top-k store rows per query text (or per query vector when ``embed=False``):
     ``query_id, rank, score, id, embedding, text, metadata`` (and ``store``,
-    ``namespace`` where the store has them).  ``store_filter``: a Column, or text of the
+    ``namespace`` where the store has them).  A store that holds an identity (store, namespace, id) twice gives it as one
+    hit.  ``store_filter``: a Column, or text of the
     filter language over ``metadata``.  ``dim`` is by default the embedder's width, or
     where it tells none, as with vectors given, the query vectors' own."""
     from tessera.functions.filters import compile_filter
@@ -195,7 +198,10 @@ def get_from_knowledge(store: DataFrame, queries: DataFrame, k: int = 5, min_sco
     # their true size is known when Spark chooses the join.
     hits = cut_lineage(hits.withColumnRenamed("id", "_key"))
     where = [c for c in ("store", "namespace") if c in store.columns]
-    return s.join(hits, "_key").select(query_id_col, "rank", "score", "id", "embedding", "text", "metadata", *where)
+    found = s.join(hits, "_key").select(query_id_col, "rank", "score", "id", "embedding", "text", "metadata", *where)
+    # Rows that repeat an identity (a replayed or concurrent append) are one hit: the first by its own values.
+    one = Window.partitionBy(query_id_col, "rank").orderBy(own_hash(found))
+    return found.withColumn("_copy", F.row_number().over(one)).where(F.col("_copy") == 1).drop("_copy")
 
 
 def match_list(hits: DataFrame, query_id_col: str = "query_id") -> DataFrame:
@@ -231,7 +237,8 @@ def rag_chat(questions: DataFrame, store: DataFrame, complete_fn_factory, *, k:
     """render -> embed -> search -> attach knowledge -> complete -> coerce.
 
     ``questions``: ``query_id, question``.  Returns ``query_id, prompt,
-    answer, n_matches`` + the typed views of the answer and ``error_code``.
+    answer, n_matches`` + the typed views of the answer and ``error_code`` (701174 where the
+    model failed, before all others).
     """
     from tessera.functions.prompt import render_prompts
     from tessera.operators.infer import coerce_output, complete
@@ -241,11 +248,11 @@ def rag_chat(questions: DataFrame, store: DataFrame, complete_fn_factory, *, k:
                               store_filter=store_filter, query_id_col=query_id_col)
     with_ctx = rag_context(q.withColumnRenamed("text", "question"), hits, query_id_col=query_id_col)
     prompts = render_prompts(with_ctx, template)
-    answered = complete(prompts.select(query_id_col, "prompt", "n_matches"), complete_fn_factory)
+    answered = complete(prompts.select(query_id_col, "prompt", "n_matches"), complete_fn_factory, code_col="_failed")
     typed = coerce_output("answer", "_out_type")
     answered = answered.withColumn("_out_type", F.lit(output_type))
-    return answered.select(query_id_col, "prompt", "answer", "n_matches",
-                           *[c.alias(n) for n, c in typed.items()])
+    return answered.select(query_id_col, "prompt", "answer", "n_matches", *[c.alias(n) for n, c in typed.items() if n != "error_code"],
+                           F.coalesce("_failed", typed["error_code"]).alias("error_code"))
 
 
 def add_to_store(embeddings: DataFrame, store_path: str, store: str | None = None,

@@ -594,20 +594,108 @@ def q_get_from_two_namespaces(spark, sf_dir):
     return hits.select("query_id", "rank", "namespace", F.col("metadata")["doc_id"].cast("bigint").alias("doc_id"), F.round("score", 3).alias("score"))
 
 
-@register("stream_ingest_quarantine", """
-SELECT doc_id, '701162' AS error_code FROM documents WHERE doc_id % 7 = 3
+@register("get_from_replayed_store", _RETRIEVAL_SQL + """
+SELECT query_id, rank::INTEGER AS rank, doc_id, round(score, 3) AS score, 0 AS left_over FROM r WHERE rank <= 5
+""")
+def q_get_from_replayed_store(spark, sf_dir):
+    """A store to which the same rows were appended twice gives each hit once, before and after
+    it is compacted (``left_over``: rows beyond one an identity, after)."""
+    from tessera.sources.vector_store import compact_store
+    path = scratch_path(spark, "kb-replayed")
+    rows = cut_lineage(knowledge_rows(_docs(spark, sf_dir), parse_docs=False, split=False)
+                       .where(F.col("status") == "written").select("id", "embedding", "text", "metadata"))
+    for _ in range(2):
+        store_append(rows, path, "kb")
+    questions = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    hits = cut_lineage(get_from_knowledge(store_scan(spark, path, "kb"), questions, RAG_K, RAG_MIN_SCORE))
+    if compact_store(spark, path) != rows.count():
+        raise AssertionError("the second copy of every row should have gone")
+    stored = store_scan(spark, path, "kb")
+    again = get_from_knowledge(stored, questions, RAG_K, RAG_MIN_SCORE).select("query_id", "rank", "id")
+    left = stored.count() - rows.count()
+    return hits.join(again, ["query_id", "rank", "id"]).select("query_id", "rank", F.col("metadata")["doc_id"].cast("bigint").alias("doc_id"),
+                                                               F.round("score", 3).alias("score"), F.lit(left).cast("int").alias("left_over"))
+
+
+def _choosy_embedder():
+    """``letter_embedder`` as a model that raises where a text's number of characters is a multiple of 3."""
+    embed = letter_embedder()
+
+    def fn(texts):
+        if any(len(t) % 3 == 0 for t in texts):
+            raise RuntimeError("the model is not available")
+        return embed(texts)
+    return fn
+
+
+@register("add_to_knowledge_failing", f"""
+WITH c AS (SELECT {G.uuid3('text')} AS id, doc_id, text FROM documents WHERE length(coalesce(text, '')) > 0),
+f AS (SELECT id, min(text) AS text, count(*) AS n FROM c GROUP BY id)
+SELECT id, n AS copies, CASE WHEN length(text) % 3 = 0 THEN '701161' END AS error_code FROM f
+UNION ALL SELECT NULL, 1, '701162' FROM documents WHERE length(coalesce(text, '')) = 0
+""")
+def q_add_to_knowledge_failing(spark, sf_dir):
+    """M1/§2.12: ingest with a model that fails for a third of all texts: those are in the quarantine
+    table with 701161, the others in the store."""
+    from tessera.operators.embed import model_embedder
+    from tessera.plans.knowledge import add_to_knowledge
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    path, bad = scratch_path(spark, "kb-failing"), scratch_path(spark, "kb-failing-quarantine")
+    add_to_knowledge(docs, path, "kb", None, parse_docs=False, split=False, dim=5, embedder=model_embedder(_choosy_embedder, 5), quarantine_path=bad)
+    copies = docs.where("length(text) > 0").groupBy(content_uuid("text").alias("id")).agg(F.count(F.lit(1)).alias("copies"))
+    stored = store_scan(spark, path, "kb").select("id").join(copies, "id").select("id", "copies", F.lit(None).cast("string").alias("error_code"))
+    return stored.unionByName(spark.read.parquet(bad).select("id", "copies", "error_code"))
+
+
+@register("rag_chat_failing", _RETRIEVAL_SQL + f"""
+, ctx AS (SELECT query_id, string_agg(d.text, chr(10) || chr(10) ORDER BY rank) AS context
+          FROM r JOIN documents d USING (doc_id) WHERE rank <= 5 GROUP BY query_id),
+pr AS (SELECT b.item_id AS query_id, 'Answer the question using the knowledge below.' || chr(10) || chr(10) || 'Question: ' || b.text
+         || chr(10) || chr(10) || 'Knowledge:' || chr(10) || coalesce(ctx.context, '') AS prompt
+       FROM benchmark b LEFT JOIN ctx ON ctx.query_id = b.item_id)
+SELECT query_id, CASE WHEN length(prompt) % 3 <> 0 THEN {G.extractive_answer('prompt')} END AS answer,
+       CASE WHEN length(prompt) % 3 = 0 THEN '701174' ELSE '701173' END AS error_code
+FROM pr
+""")
+def q_rag_chat_failing(spark, sf_dir):
+    """M6/§2.12: a model that fails for a third of all prompts gives 701174 there, also where the
+    output type asked for (an integer) doesn't fit the others (701173)."""
+    from tessera.plans.knowledge import rag_chat
+    from tessera.plans.standin import failing_answer_factory
+    rows = knowledge_rows(_docs(spark, sf_dir), parse_docs=False, split=False)
+    store = cut_lineage(rows.where(F.col("status") == "written").select("id", "embedding", "text", "metadata"))
+    qs = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("question"))
+    return rag_chat(qs, store, failing_answer_factory, k=RAG_K, min_score=RAG_MIN_SCORE, output_type="integer").select("query_id", "answer", "error_code")
+
+
+@register("match_list", _RETRIEVAL_SQL + """
+SELECT query_id, count(*)::INTEGER AS n, string_agg(doc_id || ':' || round(score, 3)::DECIMAL(5,3), ',' ORDER BY rank) AS matches FROM r WHERE rank <= 5 GROUP BY query_id
+""")
+def q_match_list(spark, sf_dir):
+    """M5: the hits of each question as one list, in the documented result shape."""
+    from tessera.plans.knowledge import match_list
+    rows = knowledge_rows(_docs(spark, sf_dir), parse_docs=False, split=False)
+    store = cut_lineage(rows.where(F.col("status") == "written").select("id", "embedding", "text", "metadata"))
+    questions = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    lists = match_list(get_from_knowledge(store, questions, RAG_K, RAG_MIN_SCORE))
+    one = F.transform("matches", lambda m: F.concat(m["embedded"]["metadata"]["doc_id"], F.lit(":"), F.round(m["score"], 3).cast("decimal(5,3)").cast("string")))
+    return lists.select("query_id", F.size("matches").alias("n"), F.array_join(one, ",").alias("matches"))
+
+
+@register("stream_ingest_quarantine", r"""
+SELECT doc_id, CASE WHEN doc_id % 7 = 3 OR length(coalesce(text, '')) = 0 THEN '701162' ELSE '701161' END AS error_code FROM documents
+WHERE doc_id % 7 = 3 OR len(list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: length(x) > 0)) = 0
 """)
 def q_stream_ingest_quarantine(spark, sf_dir):
     """T1/§2.12: a stream in which some texts are empty (here: a seventh); their
-    rows are in the quarantine table, and the stream goes on."""
+    rows, and those of texts without a token, are the whole quarantine table, and the stream goes on."""
     from tessera.plans.q_stream import _stream
     from tessera.streaming.ingest import ingest_stream
     docs = _stream(spark, sf_dir, "documents", "doc_id", "doc_id")
     text = F.when(F.col("doc_id") % 7 != 3, F.col("text")).otherwise(F.lit(""))
     store, bad = scratch_path(spark, "kb-poison"), scratch_path(spark, "kb-quarantine")
     ingest_stream(docs.select("doc_id", text.alias("text")), store, "kb", parse_docs=False, split=False, quarantine_path=bad)
-    return spark.read.parquet(bad).where(F.col("metadata")["doc_id"].cast("bigint") % 7 == 3).select(
-        F.col("metadata")["doc_id"].cast("bigint").alias("doc_id"), "error_code")
+    return spark.read.parquet(bad).select(F.col("metadata")["doc_id"].cast("bigint").alias("doc_id"), "error_code")
 
 
 _CHAT_SQL = _RETRIEVAL_SQL + f"""

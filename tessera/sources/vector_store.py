@@ -81,6 +81,28 @@ def store_scan(spark: SparkSession, path: str, store: str | None = None,
     return df
 
 
+def compact_store(spark: SparkSession, path: str) -> int:
+    """Leaves one row per identity (store, namespace, id) where a replayed or concurrent append has left several;
+    returns the number of rows that went.  Only partitions with such rows are rewritten: first
+    to the shared scratch folder, then in place of the old ones, so after a failure it is run again.  Of rows that
+    differ, the first by its own values stays."""
+    from pyspark.sql import Window
+
+    from tessera.operators.util import own_hash
+    from tessera.session import cut_lineage
+
+    rows = store_scan(spark, path)
+    counts = rows.groupBy("store", "namespace", "id").agg(F.count(F.lit(1)).alias("_n"))
+    bad = cut_lineage(counts.groupBy("store", "namespace").agg(F.sum(F.col("_n") - 1).alias("_more")).where("_more > 0"))
+    more = bad.agg(F.sum("_more")).first()[0] or 0
+    if more:
+        one = Window.partitionBy("store", "namespace", "id").orderBy(own_hash(rows))
+        kept = rows.join(bad.drop("_more"), ["store", "namespace"], "left_semi").withColumn("_copy", F.row_number().over(one)).where("_copy = 1").drop("_copy")
+        kept = cut_lineage(kept.select(*rows.columns))
+        kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("store", "namespace").parquet(path)
+    return more
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the Hadoop FileSystem of the path (works for
     any scheme the cluster is configured for)."""

@@ -222,3 +222,14 @@ def test_filter_equality_is_of_texts_and_order_of_exact_numbers(spark):
     assert "1.0" in hits("isNotEqualTo", "1") and None in hits("isNotEqualTo", "1")
     assert hits("isGreaterThan", "9007199254740992") == ["9007199254740993", "nan", "inf", "abc"]
     assert set(hits("isLessThanOrEqualTo", "1.00")) == {"1", "1.0", "-2.5"}
+
+
+def test_plain_numbers_of_any_length_are_in_order(spark):
+    from decimal import Decimal
+    texts = ["0", "-0", "+0.0", "1", "01", "1.0", "1.5", "1.45", "-1", "-1.5", "-1.45", "-10", "10", "9", "-9", "1" + "0" * 24, "-1" + "0" * 24, "9" * 40, "0." + "0" * 30 + "1",
+             "-0." + "0" * 30 + "1", "123456789012345678901234567890.5", "123456789012345678901234567890.49"]
+    df = spark.createDataFrame([(t,) for t in texts], "v string").selectExpr("v", "map('k', v) AS metadata")
+    for lit in texts:
+        for op, holds in (("isGreaterThan", lambda a, b: a > b), ("isLessThan", lambda a, b: a < b), ("isGreaterThanOrEqualTo", lambda a, b: a >= b), ("isLessThanOrEqualTo", lambda a, b: a <= b)):
+            got = {r.v for r in df.where(compile_filter(f'metadataKey("k").{op}("{lit}")')).collect()}
+            assert got == {t for t in texts if holds(Decimal(t), Decimal(lit))}, (op, lit)

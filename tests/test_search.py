@@ -83,3 +83,37 @@ def test_lsh_with_stored_codes_equals_on_the_fly(spark):
                               store_codes_col="lsh_codes")._jdf.queryExecution().executedPlan().toString()
     # the store side reads its stored codes: the code UDF runs on query vectors only
     assert "codes(_v#" not in plan and "codes(_qv#" in plan
+
+
+def test_rows_of_one_id_are_one_hit(spark):
+    rng = np.random.default_rng(4)
+    vectors = rng.normal(size=(40, 8))
+    rows = [(i % 20, [float(x) for x in vectors[i % 20]]) for i in range(80)] + [(i, [float(x) for x in vectors[20 + i]]) for i in range(20)]
+    queries = spark.createDataFrame([(k, [float(x) for x in vectors[k]]) for k in range(5)], "query_id long, embedding array<double>")
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    score = np.round((1 + unit[:5] @ unit.T) / 2, 6)
+    best = np.maximum(score[:, :20], score[:, 20:])  # id i has two vectors
+    want = {(q, int(i), float(best[q, i])) for q in range(5) for i in np.lexsort((np.arange(20), -best[q]))[:6]}
+    for parts in (1, 7):
+        store = spark.createDataFrame(rows, "id long, embedding array<double>").repartition(parts)
+        for kw in ({}, {"strategy": "blocked", "store_blocks": 3, "query_blocks": 2}, {"floor_share": 1}):
+            got = vector_topk(store, queries, 6, **kw).collect()
+            assert {(r.query_id, r.id, r.score) for r in got} == want and len(got) == 30
+            assert sorted(r["rank"] for r in got) == sorted(list(range(1, 7)) * 5)
+
+
+def test_compaction_leaves_one_row_an_identity_and_other_partitions_alone(spark, tmp_path):
+    import os
+
+    from tessera.sources.vector_store import compact_store, store_append, store_scan
+    schema = "id string, embedding array<float>, text string, metadata map<string,string>"
+    rows = spark.createDataFrame([(f"i{k}", [1.0, float(k)], f"t{k}", {"k": str(k)}) for k in range(6)], schema)
+    path = str(tmp_path / "s")
+    for ns in ("a", "b", "a"):
+        store_append(rows, path, "kb", ns)
+    store_append(spark.createDataFrame([("i0", [2.0, 2.0], "other", None)], schema), path, "kb", "a")
+    before = set(os.listdir(f"{path}/store=kb/namespace=b"))
+    assert compact_store(spark, path) == 7 and compact_store(spark, path) == 0
+    assert set(os.listdir(f"{path}/store=kb/namespace=b")) == before
+    got = [(r.namespace, r.id) for r in store_scan(spark, path, "kb").collect()]
+    assert sorted(got) == sorted((ns, f"i{k}") for ns in "ab" for k in range(6))
