@@ -22,7 +22,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,6 +34,8 @@ SEED = 42
 SEGMENTS = (22, 21, 21)
 GENERATOR = 0b110001110101  # x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1
 SMALL_RUN, LARGE_RUN = 16, 2048
+#: Keys that a fingerprint has on average, at most, and keys dealt to one task.
+KEYS_A_PRINT, KEYS_A_TASK = 116, 4_000_000
 
 
 def fingerprints(texts: list[bytes], shingle: int) -> np.ndarray:
@@ -145,12 +147,15 @@ def link_keys(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.concatenate(keys)
 
 
-def midpoints(fp: np.ndarray) -> np.ndarray:
-    """All words within 2 bits of each fingerprint (rows): sharing one is the
-    same as being within 4 bits."""
+def midpoints(fp: np.ndarray, distance: int = 4) -> tuple[np.ndarray, np.ndarray]:
+    """All words within half of ``distance`` (rounded up) of each fingerprint (rows), and which are within half rounded
+    down: two fingerprints are within ``distance`` where a word is near to one and
+    within the larger half of the other."""
     one = [1 << b for b in range(64)]
-    masks = np.array([0, *one, *[x | y for x, y in combinations(one, 2)]], np.uint64)
-    return fp[:, None] ^ masks[None, :]
+    by_bits = [[0], one, [x | y for x, y in combinations(one, 2)]]
+    masks = [m for bits in by_bits[:(distance + 1) // 2 + 1] for m in bits]
+    near = np.arange(len(masks)) < sum(map(len, by_bits[:distance // 2 + 1]))
+    return fp[:, None] ^ np.array(masks, np.uint64)[None, :], near
 
 
 def _runs(batches: Iterator[pa.RecordBatch], large: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -226,35 +231,36 @@ def links(prints: DataFrame, distance: int = 4, large_run: int = LARGE_RUN) -> D
             fp = batch.column("a").to_numpy()
             for at in range(0, len(fp), 64):
                 part = fp[at:at + 64]
-                mid = midpoints(part.view(np.uint64)).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(mid.ravel()), pa.array(np.repeat(part, mid.shape[1]))], names=["_key", "_fp"])
+                mid, near = midpoints(part.view(np.uint64), distance)
+                yield pa.RecordBatch.from_arrays([pa.array(mid.view(np.int64).ravel()), pa.array(np.repeat(part, mid.shape[1])), pa.array(np.tile(near, len(part)))], names=["_key", "_fp", "near"])
 
     pair = "_key long, _fp long"
-    ordered = prints.select("_fp").distinct().mapInArrow(keyed, pair).repartition("_key").sortWithinPartitions("_key", "_fp")
+    distinct = prints.select("_fp").distinct()
+    # Fingerprints are 8 bytes and their keys over a hundred times as much, so tasks are counted by keys.
+    tasks = max(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")), prints.count() * KEYS_A_PRINT // KEYS_A_TASK)
+    ordered = distinct.repartition(tasks, "_fp").mapInArrow(keyed, pair).repartition(tasks, "_key").sortWithinPartitions("_key", "_fp")
     found = cut_lineage(ordered.mapInArrow(verify, "a long, b long, large boolean").distinct())
     near = found.where("NOT large").select("a", "b")
     large = found.where("large").select("a").distinct()
     if large.isEmpty():
         return near
-    if distance < 4:
-        raise ValueError("very large groups are linked through midpoints, which tell 4 bits only")
-    mids = large.mapInArrow(spread, pair)
-    least = cut_lineage(mids.groupBy("_key").agg(F.min("_fp").alias("b"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n"))
+    mids = large.mapInArrow(spread, f"{pair}, near boolean")
+    least = cut_lineage(mids.groupBy("_key").agg(F.min(F.when(F.col("near"), F.col("_fp"))).alias("b"), F.count(F.lit(1)).alias("_n"))
+                        .where("_n > 1 AND b IS NOT NULL").drop("_n"))
     return near.unionByName(mids.join(least, "_key").where("_fp != b").select(F.col("_fp").alias("a"), "b").distinct())
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, distance: int = 4) -> DataFrame:
     """One row per input row: ``id_col``, ``fingerprint`` (16 hex digits),
     ``component_id`` (smallest id reachable over links of ``distance`` or fewer bits)
-    and ``kept`` (the row of that id; of several such rows those with the smallest
-    text hash).
+    and ``kept``: one row of a component, that of the smallest id; of several such rows the one with the smallest
+    text hash, of rows that repeat id and text one.
 
     Null, empty and wordless texts have fingerprint 0 and link to each other like any
-    others.  Null ids count as above all others.  Repeated rows are kept or dropped
-    together.  Only the two named columns are read; an empty table gives an empty
+    others.  Null ids count as above all others.  Only the two named columns are read; an empty table gives an empty
     result."""
-    rows = cut_lineage(fingerprint(docs, id_col, text_col, shingle))
-    first = F.min(F.struct(F.col("_id").isNull().alias("n"), F.col("_id").alias("id"), F.col("_text_hash").alias("h"))).alias("_first")
+    rows = cut_lineage(fingerprint(docs, id_col, text_col, shingle).withColumn("_row", F.monotonically_increasing_id()))
+    first = F.min(F.struct(F.col("_id").isNull().alias("n"), F.col("_id").alias("id"), F.col("_text_hash").alias("h"), F.col("_row").alias("row"))).alias("_first")
     prints = cut_lineage(rows.groupBy("_fp").agg(first, F.count(F.lit(1)).alias("_n")))
     roots = cut_lineage(components(links(prints, distance)))
     joined = prints.join(roots.withColumnRenamed("node", "_fp"), "_fp").select("root", "_fp", "_first")
@@ -266,14 +272,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return rows.join(classes, "_fp", "left").select(
         F.col("_id").alias(id_col), F.lower(F.lpad(F.hex("_fp"), 16, "0")).alias("fingerprint"),
         F.when(alone, F.col("_id")).otherwise(F.col("_first.id")).alias("component_id"),
-        (alone | (F.col("_id").eqNullSafe(F.col("_first.id")) & (F.col("_text_hash") == F.col("_first.h")))).alias("kept"),
+        (alone | (F.col("_row") == F.col("_first.row"))).alias("kept"),
         F.col("_text_hash").alias("text_hash"))
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, distance: int = 4) -> DataFrame:
-    """The rows of ``docs`` (all columns) that :func:`near_duplicates` keeps."""
-    kept = (near_duplicates(docs, id_col, text_col, shingle, distance).where("kept")
-            .select(F.col(id_col).alias("_id"), F.col("text_hash").alias("_h")).distinct())
+    """The rows of ``docs`` (all columns) that :func:`near_duplicates` keeps, one of each component.  Only
+    documents with rows that repeat id and text pass a window, cut to one row a task before its shuffle; the texts of
+    others aren't shuffled for it."""
+    found = near_duplicates(docs, id_col, text_col, shingle, distance)
+    key = [F.col(id_col).alias("_id"), F.col("text_hash").alias("_h")]
+    keys = cut_lineage(found.select(*key, "kept").groupBy("_id", "_h").agg(F.bool_or("kept").alias("_kept"), F.count(F.lit(1)).alias("_n")).where("_kept").drop("_kept"))
     mine = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
     whole = docs.select(F.struct("*").alias("_doc"), F.col(id_col).alias("_key"), mine.alias("_mine"))
-    return whole.join(kept, F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_mine") == F.col("_h")), "left_semi").select("_doc.*")
+
+    def those(which: DataFrame) -> DataFrame:
+        return whole.join(which, F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_mine") == F.col("_h")), "left_semi")
+    again = those(keys.where("_n > 1")).withColumn("_copy", F.row_number().over(Window.partitionBy("_key", "_mine").orderBy(F.lit(0)))).where("_copy = 1")
+    return those(keys.where("_n = 1")).select("_doc.*").unionByName(again.select("_doc.*"))

@@ -2,6 +2,7 @@ import re
 
 import numpy as np
 import pandas as pd
+import pytest
 import xxhash
 
 from tessera.llm import simhash as S
@@ -74,6 +75,26 @@ def test_classes_of_dense_groups_equal_brute_force_on_both_paths(spark):
         assert {r.node: r.root for r in got.collect()} == want
 
 
+@pytest.mark.parametrize("distance", [0, 1, 2, 3])
+def test_large_groups_are_exact_at_all_distances(spark, distance):
+    rng = np.random.default_rng(3)
+    centre = int(rng.integers(0, 1 << 62))
+    u = np.unique(np.array([centre ^ sum(1 << int(b) * 3 for b in rng.choice(20, rng.integers(0, 6), replace=False)) for _ in range(400)], np.uint64))
+    near = np.bitwise_count(u[:, None] ^ u[None, :]) <= distance
+    label = np.arange(len(u))
+    while not (new := np.where(near, label[None, :], len(u)).min(1)).__eq__(label).all():
+        label = new
+    alone = np.bincount(label, minlength=len(u))[label] == 1
+    want = {int(a): int(c) for a, c, one in zip(u.view(np.int64), label, alone) if not one}
+    df = spark.createDataFrame(pd.DataFrame({"_fp": u.view(np.int64)}))
+    for large in (2048, 20):
+        got = {r.node: r.root for r in components(S.links(df, distance, large)).collect()}
+        place = {int(v): k for k, v in enumerate(u.view(np.int64))}
+        assert got.keys() == want.keys()
+        assert len({(got[n], want[n]) for n in got}) == len(set(want.values())) == len(set(got.values()))
+        assert all(got[n] == min(m for m in want if want[m] == want[n]) for n in got) and place
+
+
 def test_components_of_paths_stars_and_loops(spark):
     edges = [(k, k + 1) for k in range(60)] + [(100, 100 + k) for k in range(1, 50)] + [(7, 7), (500, 500), (205, 201), (203, 205), (201, 205)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
@@ -99,7 +120,9 @@ def test_documents(spark):
     kept = S.drop_near_copies(df)
     assert kept.columns == df.columns
     alone = [9] if label[2] != label[0] else []
-    assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted([3, 2, 8, 8, None, *alone], key=str)
+    assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted([3, 2, 8, None, *alone], key=str)
+    flags = [r.kept for r in got if r.doc_id == 8]
+    assert sorted(flags) == [False, True] and sum(r.kept for r in got) == kept.count()
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert S.near_duplicates(empty).collect() == [] and S.drop_near_copies(empty).collect() == []
 
