@@ -1,7 +1,7 @@
 """Language identification: multinomial naive Bayes over hashed character
 n-grams.  Counts are summed over all training rows; the matrix of log
-probabilities (languages x buckets) is broadcast, and batches are scored as
-sparse rows of bucket numbers against it."""
+probabilities (languages x buckets) is broadcast, and slices of texts are scored as
+sparse rows of bucket numbers against it, all texts of a slice at once."""
 
 from __future__ import annotations
 
@@ -15,12 +15,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.words import add_columns, mix
+from tessera.llm.words import add_columns, mix, slices
 
 BUCKETS = 1 << 15
 ORDERS = (2, 3)
-MOST_LANGUAGES = 2000
-BLOCK = 1 << 20
+MOST_LANGUAGES = 256
+#: Bytes of text whose n-grams are made at once, and log-probabilities gathered at once.
+SLICE, CELLS = 1 << 17, 1 << 18
 
 _letters: list[np.ndarray] = []
 
@@ -32,27 +33,35 @@ def is_letter() -> np.ndarray:
     return _letters[0]
 
 
-def ngrams(text: str, orders: tuple[int, ...] = ORDERS, buckets: int = BUCKETS) -> np.ndarray | None:
-    """Bucket numbers of the n-grams of a lower-cased text, in which every run of
-    other characters than letters is one space, with a space at either end;
-    n-grams of spaces alone don't occur.  None if there is no letter."""
-    c = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-    letter = is_letter()[c]
-    if not letter.any():
-        return None
-    padded = np.zeros(len(c) + 2, np.uint64)
-    padded[1:-1] = np.where(letter, c, 0)
+def ngrams(texts: list[str | None], orders: tuple[int, ...] = ORDERS, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket numbers of the n-grams of all texts, and the text's number of each, ascending.  A text is
+    lower-cased, every run of other characters than letters is one space, with a space at
+    either end; n-grams of spaces alone don't occur, so texts without a letter (and nulls) have none."""
+    codes = [np.frombuffer((t or "").lower().encode("utf-32-le", "surrogatepass"), np.uint32) for t in texts]
+    sizes = np.array([len(c) + 2 for c in codes], np.int64)
+    row = np.repeat(np.arange(len(codes)), sizes)
+    padded = np.zeros(len(row), np.uint64)
+    if codes:
+        flat = np.concatenate(codes)
+        inside = np.ones(len(row), bool)
+        ends = np.cumsum(sizes)
+        inside[ends - 1] = inside[ends - sizes] = False
+        padded[inside] = np.where(is_letter()[flat], flat, 0)
     keep = np.ones(len(padded), bool)
-    keep[1:] = (padded[1:] != 0) | (padded[:-1] != 0)
-    padded = padded[keep]
-    out, key = [], padded
+    keep[1:] = (padded[1:] != 0) | (padded[:-1] != 0) | (row[1:] != row[:-1])
+    padded, row = padded[keep], row[keep]
+    grams, rows, key = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], padded
     for n in range(2, max(orders) + 1):
         if len(padded) < n:
             break
         key = (key[:len(padded) - n + 1] << np.uint64(21)) | padded[n - 1:]
         if n in orders:
-            out.append((mix(key + np.uint64(n)) % np.uint64(buckets)).astype(np.int32))
-    return np.concatenate(out)
+            whole = row[n - 1:] == row[:len(row) - n + 1]  # within one text
+            grams.append((mix(key[whole] + np.uint64(n)) % np.uint64(buckets)).astype(np.int32))
+            rows.append(row[n - 1:][whole])
+    grams, rows = np.concatenate(grams), np.concatenate(rows)
+    order = np.argsort(rows, kind="stable")
+    return grams[order], rows[order]
 
 
 @dataclass(frozen=True)
@@ -61,13 +70,19 @@ class Model:
     prior: np.ndarray
     logp: np.ndarray  # bucket, language
 
-    def score(self, grams: np.ndarray) -> tuple[str, float]:
-        """The likeliest language (ties: the first) and its posterior."""
-        total = self.prior.copy()
-        for a in range(0, len(grams), BLOCK):
-            total += self.logp[grams[a:a + BLOCK]].sum(0)
-        k = int(total.argmax())
-        return self.languages[k], float(1 / np.exp(total - total[k]).sum())
+    def score(self, grams: np.ndarray, rows: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """For ``n`` texts the number of the likeliest language (ties: the first; -1: no n-gram) and its
+        posterior.  Log-probabilities of many texts' n-grams are gathered at once and added up by text."""
+        total = np.repeat(self.prior[None], n, axis=0)
+        step = max(1024, CELLS // max(1, len(self.prior)))
+        for a in range(0, len(grams), step):
+            mine = rows[a:a + step]
+            first = np.flatnonzero(np.r_[True, mine[1:] != mine[:-1]])
+            total[mine[first]] += np.add.reduceat(self.logp[grams[a:a + step]], first, axis=0)
+        best = total.argmax(1)
+        posterior = 1 / np.exp(total - total[np.arange(n), best][:, None]).sum(1)
+        none = np.bincount(rows, minlength=n) == 0
+        return np.where(none, -1, best), np.where(none, 0.0, posterior)
 
 
 def fit(train: DataFrame, text_col: str = "text", lang_col: str = "lang", buckets: int = BUCKETS) -> Model:
@@ -83,10 +98,12 @@ def fit(train: DataFrame, text_col: str = "text", lang_col: str = "lang", bucket
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = defaultdict(lambda: np.zeros(buckets, np.int64))
         for batch in batches:
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("_text")):
-                grams = ngrams(text.as_py(), buckets=buckets)
-                if grams is not None:
-                    sums[lang] += np.bincount(grams, minlength=buckets)
+            for part in slices(batch, "_text", SLICE):
+                grams, rows = ngrams(part.column("_text").to_pylist(), buckets=buckets)
+                langs = part.column("lang").dictionary_encode()
+                mine = langs.indices.to_numpy(zero_copy_only=False)[rows]
+                for k, lang in enumerate(langs.dictionary.to_pylist()):
+                    sums[lang] += np.bincount(grams[mine == k], minlength=buckets)
         for lang, total in sums.items():
             at = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(total[at])], names=["lang", "bucket", "n"])
@@ -110,14 +127,17 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     def make():
         model = shared.value
 
+        names = pa.array([*model.languages, "und"], pa.string())
+
         def of(col: pa.Array) -> list[pa.Array]:
-            langs, scores = [], []
-            for text in col:
-                grams = ngrams(text.as_py() or "") if model.languages else None
-                lang, score = model.score(grams) if grams is not None else ("und", 0.0)
-                langs.append(lang)
+            if not model.languages:
+                return [pa.array(["und"] * len(col), pa.string()), pa.array([0.0] * len(col))]
+            found, scores = [], []
+            for part in slices(pa.RecordBatch.from_arrays([col], names=["t"]), "t", SLICE):
+                best, score = model.score(*ngrams(part.column(0).to_pylist()), len(part))
+                found.append(np.where(best < 0, len(model.languages), best))
                 scores.append(score)
-            return [pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
+            return [names.take(pa.array(np.concatenate([np.zeros(0, np.int64), *found]))), pa.array(np.concatenate([np.zeros(0), *scores]))]
         return of
 
     return add_columns(docs, text_col, [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())], make)
