@@ -238,7 +238,8 @@ def links(prints: DataFrame, distance: int = 4, large_run: int = LARGE_RUN) -> D
     distinct = prints.select("_fp").distinct()
     # Fingerprints are 8 bytes and their keys over a hundred times as much, so tasks are counted by keys.
     tasks = max(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")), prints.count() * KEYS_A_PRINT // KEYS_A_TASK)
-    ordered = distinct.repartition(tasks, "_fp").mapInArrow(keyed, pair).repartition(tasks, "_key").sortWithinPartitions("_key", "_fp")
+    # Dealt by another value than the distinct fingerprints are, else Spark takes the second shuffle for the first.
+    ordered = distinct.repartition(tasks, F.xxhash64("_fp")).mapInArrow(keyed, pair).repartition(tasks, "_key").sortWithinPartitions("_key", "_fp")
     found = cut_lineage(ordered.mapInArrow(verify, "a long, b long, large boolean").distinct())
     near = found.where("NOT large").select("a", "b")
     large = found.where("large").select("a").distinct()
