@@ -98,3 +98,44 @@ def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.1"
     out = op10_toxicity(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("held_out").toPandas()
     assert len(out) > 500 and (out.predicted == out.toxic).mean() > 0.95
+
+
+def plain_score(net, text):
+    """The score of one text, word by word and window by window, as the formulas say."""
+    p = {k: v.astype(np.float64) for k, v in net.p.items()}
+    h = X.HIDDEN
+    words = text.split()
+    if not words:
+        return 0.0
+    vectors = []
+    for w in words:
+        bucket, grams, _ = X.featurise([w])
+        vectors.append(np.concatenate([p["word"][bucket[0]], sum(p["char"][g] for g in grams)]))
+
+    def run(seq, d):
+        state, out = np.zeros(h), []
+        for x in seq:
+            gate, back = x @ p["wx"][d] + p["bx"][d, 0], state @ p["u"][d]
+            z, r = (1 / (1 + np.exp(-(gate[a:a + h] + back[a:a + h]))) for a in (0, h))
+            new = np.tanh(gate[2 * h:] + r * back[2 * h:])
+            state = z * state + (1 - z) * new
+            out.append(state)
+        return out
+    n = len(words)
+    starts = [0] if n <= X.WINDOW else sorted({*range(0, n - X.WINDOW, X.STRIDE), n - X.WINDOW})
+    logits = []
+    for s in starts:
+        window = vectors[s:s + X.WINDOW]
+        both = [np.concatenate(x) for x in zip(run(window, 0), run(window[::-1], 1)[::-1])]
+        weight = np.exp([np.tanh(b @ p["wa"] + p["ba"]) @ p["va"] for b in both])
+        logits.append(sum(a * b for a, b in zip(weight / weight.sum(), both)) @ p["out"] + p["c"][0])
+    return 1 / (1 + np.exp(-(net.scale * max(logits) + net.shift)))
+
+
+def test_scores_equal_plain_loops(net):
+    texts, _ = corpus(40, 3)
+    texts = [t.encode() for t in [*texts, "", " \n", "one", "A, b! é", " ".join(texts)]]
+    got = X.Scorer(net).score(texts)
+    assert np.abs(got - [plain_score(net, t) for t in texts]).max() < 1e-3
+    again = X.Scorer(net)
+    assert np.abs(np.concatenate([again.score([t]) for t in texts]) - got).max() < 1e-5
