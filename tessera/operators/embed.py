@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.errors import EMBEDDING_GENERATION
+from tessera.operators.memo import Memo, ask_once
 
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
 
@@ -65,14 +66,15 @@ def hash_embed(df: DataFrame, dim: int = 256, *, text_col: str = "text",
 
 
 def model_embed(df: DataFrame, embed_fn_factory: Callable[[], Callable[[list[str]], np.ndarray]],
-                dim: int, *, text_col: str = "text", out_col: str = "embedding", code_col: str | None = None) -> DataFrame:
+                dim: int, *, text_col: str = "text", out_col: str = "embedding", code_col: str | None = None, memo: Memo | None = None) -> DataFrame:
     """Embed with a user model: the factory runs once per partition (load the
     model there), the model sees batches of texts and returns a (batch, dim)
     matrix; row order is preserved.
 
     Null texts get a null vector and don't reach the model.  If a call fails, each
     text is tried alone; those that fail again get a null vector and, in
-    ``code_col`` if named, 701161."""
+    ``code_col`` if named, 701161.  With ``memo`` a text is embedded once and its vector
+    kept for later runs."""
     schema = T.StructType(df.schema.fields + [T.StructField(out_col, T.ArrayType(T.FloatType()))])
 
     def vectors(fn, texts: list[str]) -> list:
@@ -95,7 +97,15 @@ def model_embed(df: DataFrame, embed_fn_factory: Callable[[], Callable[[list[str
                     out[k] = v
             pdf[out_col] = out
             yield pdf
-    out = df.mapInPandas(run, schema)
+
+    def ask_factory():
+        fn = embed_fn_factory()
+        return lambda texts: vectors(fn, texts)
+
+    if memo is not None:
+        out = ask_once(df, memo, ask_factory, T.ArrayType(T.FloatType()), text_col=text_col, out_col=out_col)
+    else:
+        out = df.mapInPandas(run, schema)
     if code_col is not None:
         out = out.withColumn(code_col, F.when(F.col(text_col).isNotNull() & F.col(out_col).isNull(), F.lit(EMBEDDING_GENERATION)))
     return out
@@ -115,5 +125,6 @@ def hashing_embedder(dim: int) -> Embedder:
     return _of_width(dim, lambda df, *, text_col="text", out_col="embedding": hash_embed(df, dim, text_col=text_col, out_col=out_col))
 
 
-def model_embedder(embed_fn_factory: Callable[[], Callable[[list[str]], np.ndarray]], dim: int) -> Embedder:
-    return _of_width(dim, lambda df, *, text_col="text", out_col="embedding": model_embed(df, embed_fn_factory, dim, text_col=text_col, out_col=out_col))
+def model_embedder(embed_fn_factory: Callable[[], Callable[[list[str]], np.ndarray]], dim: int, memo: Memo | None = None) -> Embedder:
+    return _of_width(dim, lambda df, *, text_col="text", out_col="embedding": model_embed(
+        df, embed_fn_factory, dim, text_col=text_col, out_col=out_col, memo=memo))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera import errors as E
+from tessera.operators.memo import Memo, ask_once
 
 CompleteFn = Callable[[list[str]], list[str | None]]
 
@@ -34,9 +35,10 @@ def isolate(fn: Callable[[list], list], inputs: list) -> list:
 
 
 def complete(df: DataFrame, fn_factory: Callable[[], CompleteFn], *, prompt_col: str = "prompt",
-             out_col: str = "answer", code_col: str | None = None) -> DataFrame:
+             out_col: str = "answer", code_col: str | None = None, memo: Memo | None = None) -> DataFrame:
     """Add ``out_col`` (STRING, NULL when the model failed for that row) and, if
-    named, ``code_col`` (701174 for those rows)."""
+    named, ``code_col`` (701174 for those rows).  With ``memo`` a prompt is asked once and its
+    answer kept for later runs; null prompts are then not asked and count as failed."""
     schema = T.StructType(df.schema.fields + [T.StructField(out_col, T.StringType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -44,7 +46,14 @@ def complete(df: DataFrame, fn_factory: Callable[[], CompleteFn], *, prompt_col:
         for pdf in batches:
             pdf[out_col] = isolate(fn, pdf[prompt_col].tolist())
             yield pdf
-    out = df.mapInPandas(run, schema)
+
+    def ask_factory():
+        fn = fn_factory()
+        return lambda prompts: isolate(fn, prompts)
+    if memo is not None:
+        out = ask_once(df, memo, ask_factory, T.StringType(), text_col=prompt_col, out_col=out_col)
+    else:
+        out = df.mapInPandas(run, schema)
     if code_col is not None:
         out = out.withColumn(code_col, F.when(F.col(out_col).isNull(), F.lit(E.CHAT_COMPLETION)))
     return out

@@ -233,12 +233,13 @@ RAG_TEMPLATE = ("Answer the question using the knowledge below.\n\n"
 def rag_chat(questions: DataFrame, store: DataFrame, complete_fn_factory, *, k: int = 5,
              min_score: float = 0.75, output_type: str = "string", query_id_col: str = "query_id",
              template: str = RAG_TEMPLATE, dim: int | None = None,
-             embedder: Embedder | None = None, store_filter=None) -> DataFrame:
+             embedder: Embedder | None = None, store_filter=None, memo=None) -> DataFrame:
     """render -> embed -> search -> attach knowledge -> complete -> coerce.
 
     ``questions``: ``query_id, question``.  Returns ``query_id, prompt,
     answer, n_matches`` + the typed views of the answer and ``error_code`` (701174 where the
-    model failed, before all others).
+    model failed, before all others).  ``memo`` (:class:`tessera.operators.memo.Memo`) keeps the
+    answers, so that a prompt is asked once.
     """
     from tessera.functions.prompt import render_prompts
     from tessera.operators.infer import coerce_output, complete
@@ -248,7 +249,7 @@ def rag_chat(questions: DataFrame, store: DataFrame, complete_fn_factory, *, k:
                               store_filter=store_filter, query_id_col=query_id_col)
     with_ctx = rag_context(q.withColumnRenamed("text", "question"), hits, query_id_col=query_id_col)
     prompts = render_prompts(with_ctx, template)
-    answered = complete(prompts.select(query_id_col, "prompt", "n_matches"), complete_fn_factory, code_col="_failed")
+    answered = complete(prompts.select(query_id_col, "prompt", "n_matches"), complete_fn_factory, code_col="_failed", memo=memo)
     typed = coerce_output("answer", "_out_type")
     answered = answered.withColumn("_out_type", F.lit(output_type))
     return answered.select(query_id_col, "prompt", "answer", "n_matches", *[c.alias(n) for n, c in typed.items() if n != "error_code"],

@@ -428,6 +428,23 @@ def q_batch_complete(spark, sf_dir):
     return complete(prompts.select("item_id", "prompt"), extractive_answer_factory).select("item_id", "answer")
 
 
+@register("batch_complete_kept", f"""
+SELECT item_id, {G.extractive_answer("'Summarise:' || chr(10) || chr(10) || text")} AS answer, 0 AS unkept FROM benchmark
+""")
+def q_batch_complete_kept(spark, sf_dir):
+    """M1/M2: the same prompts asked twice through a memo of answers, the second time of a model that
+    always fails: every answer comes from the memo (``unkept``: answers it lacks)."""
+    from tessera.functions.prompt import render_prompts
+    from tessera.operators.infer import complete
+    from tessera.operators.memo import Memo
+    from tessera.plans.standin import broken_answer_factory, extractive_answer_factory
+    prompts = render_prompts(table(spark, sf_dir, "benchmark"), "Summarise:\n\n${text}").select("item_id", "prompt")
+    memo = Memo(scratch_path(spark, "memo"), "extractive", attempts=1)
+    complete(prompts, extractive_answer_factory, memo=memo)
+    again = complete(prompts, broken_answer_factory, memo=memo)
+    return again.select("item_id", "answer", F.col("answer").isNull().cast("int").alias("unkept"))
+
+
 @register("rag_chat", _RETRIEVAL_SQL + f"""
 , ctx AS (SELECT query_id, string_agg(d.text, chr(10) || chr(10) ORDER BY rank) AS context, count(*) AS n
           FROM r JOIN documents d USING (doc_id) WHERE rank <= 5 GROUP BY query_id),

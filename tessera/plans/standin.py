@@ -38,6 +38,13 @@ def failing_answer_factory() -> CompleteFn:
     return fn
 
 
+def broken_answer_factory() -> CompleteFn:
+    """A model that always raises."""
+    def fn(prompts: list[str]) -> list[str | None]:
+        raise RuntimeError("the model is not available")
+    return fn
+
+
 def extractive_chat_factory():
     """The same as a chat model: it answers the request's last part of text, says
     how many messages it saw and how long its answer is, and raises for
