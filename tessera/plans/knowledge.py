@@ -3,6 +3,8 @@ retrieval context, and chat with knowledge."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,7 +17,7 @@ from tessera.operators.split import DEFAULT_MAX_CHARS, DEFAULT_OVERLAP, split_do
 from tessera.operators.util import own_hash
 from tessera.operators.validate import embedding_error, segment_error
 from tessera.session import cut_lineage
-from tessera.sources.vector_store import store_append, store_ids
+from tessera.sources.vector_store import admit_ids, store_append, store_ids, uses_buckets
 
 DEFAULT_DIM = 256
 
@@ -105,18 +107,22 @@ def ingest_summary(classified: DataFrame) -> DataFrame:
             .withColumn("success", F.col("status").isin("written", "duplicate")))
 
 
-def knowledge_rows(docs: DataFrame, existing_ids: DataFrame | None = None, *, dim: int | None = DEFAULT_DIM,
+def knowledge_rows(docs: DataFrame, existing_ids: DataFrame | Callable[[DataFrame], DataFrame | None] | None = None, *, dim: int | None = DEFAULT_DIM,
                    key_cols: tuple[str, ...] = ("doc_id",), metadata_col: str | None = None,
                    embedder: Embedder | None = None, staged: bool = False, **opts) -> DataFrame:
     """Classified rows (``status``, ``copies``) with store columns ``id, embedding,
     text, metadata``: the map in ``metadata_col``, if any, with index and key columns
     added (which win).  ``staged`` writes the unique segments to the shared
     scratch folder before they are compared with the store, so that they are
-    parsed and split once."""
+    parsed and split once; ``existing_ids`` may then be a function of their ids."""
     carried = (*key_cols, *([metadata_col] if metadata_col else []))
     segs = prepare_segments(docs, key_cols=key_cols, carried=carried, **opts)
     unique = dedup_segments(segs, key_cols=key_cols)
-    classified = classify_ingest(cut_lineage(unique) if staged else unique, existing_ids, dim, embedder)
+    if staged:
+        unique = cut_lineage(unique)
+    if callable(existing_ids):
+        existing_ids = existing_ids(unique.where(F.col("error_code").isNull()).select("id"))
+    classified = classify_ingest(unique, existing_ids, dim, embedder)
     own = F.create_map(F.lit("index"), F.col("index").cast("string"),
                        *[x for k in key_cols for x in (F.lit(k), F.col(k).cast("string"))])
     if metadata_col is None:
@@ -126,30 +132,53 @@ def knowledge_rows(docs: DataFrame, existing_ids: DataFrame | None = None, *, di
     return classified.withColumn("metadata", F.map_concat(user, own))
 
 
+def _append_written(rows: DataFrame, path: str, store: str | None, namespace: str | None, bucketed: bool, *,
+                    staged: bool = False, extra: dict[str, Column] | None = None) -> tuple[DataFrame, dict[str, int]]:
+    """Append the ``written`` ones of classified rows, with ``extra`` columns; also ``rows`` to read
+    further and the counts per status.  With ``staged`` the rows are first written to the shared scratch folder
+    (so that the embedder runs once) and counted there, else they are observed during the
+    append.  A bucketed store needs the former: its rows are shuffled, and Spark drops
+    what it observed before a shuffle that turned out empty."""
+    from pyspark.sql import Observation
+
+    def append(found: DataFrame) -> None:
+        written = found.where(F.col("status") == "written").select("id", "embedding", "text", "metadata")
+        store_append(written.withColumns(extra or {}), path, store, namespace, id_buckets=bucketed, noted=bucketed)
+
+    if staged or bucketed:
+        rows = cut_lineage(rows)
+        append(rows)
+        counts = rows.agg(*_status_counts()).first().asDict()
+    else:
+        obs = Observation("ingest")
+        append(rows.observe(obs, *_status_counts()))
+        counts = obs.get
+    return rows, {k: int(v or 0) for k, v in counts.items()}
+
+
 def add_to_knowledge(docs: DataFrame, store_path: str, store: str | None = None,
                      namespace: str | None = None, *, dim: int | None = DEFAULT_DIM,
                      key_cols: tuple[str, ...] = ("doc_id",), metadata_col: str | None = None,
                      embedder: Embedder | None = None, quarantine_path: str | None = None,
-                     quarantine_mode: str = "append", strict: bool = True, **opts) -> dict[str, int]:
+                     quarantine_mode: str = "append", strict: bool = True, id_buckets: bool = False, **opts) -> dict[str, int]:
     """parse -> split -> validate -> dedup -> look the ids up in the store -> embed
     the new ones -> append; the status counts are observed during the write.
 
-    With ``quarantine_path`` invalid rows are written there with their codes.
+    With ``quarantine_path`` invalid rows are written there with their codes.  A store that begins
+    with ``id_buckets`` has membership filters, and later ingests open only buckets whose filters say maybe.
     Returns ``{"written", "duplicate", "invalid"}``.  Raises (``strict``) when rows were
     given and none could be written or were already present.
     """
-    from pyspark.sql import Observation
-
     spark = docs.sparkSession
-    existing = store_ids(spark, store_path, store, namespace)
+    bucketed = uses_buckets(spark, store_path, id_buckets)
+    if bucketed:
+        def existing(ids):
+            return admit_ids(ids, store_path, store, namespace)
+    else:
+        existing = store_ids(spark, store_path, store, namespace)
     rows = knowledge_rows(docs, existing, dim=dim, key_cols=key_cols, metadata_col=metadata_col, embedder=embedder,
                           staged=existing is not None or quarantine_path is not None, **opts)
-    if quarantine_path is not None:
-        rows = cut_lineage(rows)  # the embedder runs once for both writes
-    obs = Observation("ingest")
-    observed = rows.observe(obs, *_status_counts())
-    store_append(observed.where(F.col("status") == "written").select("id", "embedding", "text", "metadata"), store_path, store, namespace)
-    counts = {k: int(v or 0) for k, v in obs.get.items()}
+    rows, counts = _append_written(rows, store_path, store, namespace, bucketed, staged=quarantine_path is not None)
     if quarantine_path is not None and counts["invalid"]:
         (rows.where(F.col("status") == "invalid").select("id", "text", "metadata", "copies", "error_code")
          .withColumn("error_message", E.error_message(F.col("error_code"))).write.mode(quarantine_mode).parquet(quarantine_path))
@@ -258,19 +287,17 @@ def rag_chat(questions: DataFrame, store: DataFrame, complete_fn_factory, *, k:
 
 def add_to_store(embeddings: DataFrame, store_path: str, store: str | None = None,
                  namespace: str | None = None, *, dim: int | None = None, avoid_dups: bool = True,
-                 order_cols: tuple[str, ...] = (), lsh: dict | None = None) -> dict[str, int]:
+                 order_cols: tuple[str, ...] = (), lsh: dict | None = None, id_buckets: bool = False) -> dict[str, int]:
     """Append pre-computed vectors (``text, embedding, metadata``) to a store.
 
     Rows with empty text / vector (or the wrong ``dim``) are invalid (701111);
     with ``avoid_dups`` the id is the content UUID of the text, the first copy
     (by ``order_cols``, then text) wins and ids already stored are skipped.
     ``lsh`` (keyword arguments of ``lsh_codes``) also writes the LSH codes as
-    an ``lsh_codes`` index column for ``vector_topk_approx``.
+    an ``lsh_codes`` index column for ``vector_topk_approx``; ``id_buckets``: as in :func:`add_to_knowledge`.
     Counts are observed during the write; returns ``{"written",
     "duplicate", "invalid"}``.
     """
-    from pyspark.sql import Observation
-
     spark = embeddings.sparkSession
     df = (embeddings.withColumn("error_code", embedding_error("text", "embedding", dim))
           .transform(lambda d: with_content_id(d, avoid_dups)))
@@ -281,7 +308,12 @@ def add_to_store(embeddings: DataFrame, store_path: str, store: str | None = Non
     unique = (df.withColumn("_g", group).groupBy("_g")
               .agg(F.min_by(payload, order).alias("_r"), F.count(F.lit(1)).alias("copies"))
               .select("_r.*", "copies"))
-    existing = store_ids(spark, store_path, store, namespace)
+    bucketed = uses_buckets(spark, store_path, id_buckets)
+    if bucketed:
+        unique = cut_lineage(unique)
+        existing = admit_ids(unique.where(F.col("error_code").isNull()).select("id"), store_path, store, namespace)
+    else:
+        existing = store_ids(spark, store_path, store, namespace)
     if existing is not None:
         hits = existing.select("id").distinct().withColumn("stored", F.lit(True))
         unique = unique.join(hits, "id", "left").withColumn("stored", F.coalesce("stored", F.lit(False)))
@@ -289,15 +321,12 @@ def add_to_store(embeddings: DataFrame, store_path: str, store: str | None = Non
         unique = unique.withColumn("stored", F.lit(False))
     classified = unique.withColumn("status", F.when(F.col("error_code").isNotNull(), F.lit("invalid"))
                                    .when(F.col("stored"), F.lit("duplicate")).otherwise(F.lit("written")))
-    obs = Observation("add_to_store")
-    observed = classified.observe(obs, *_status_counts())
-    written = observed.where(F.col("status") == "written").select("id", "embedding", "text", "metadata")
+    extra = {}
     if lsh is not None:
         # LSH index column, e.g. {"dim": 64, "n_tables": 8, "n_bits": 6, "seed": 17}
         from tessera.operators.search import lsh_codes
-        written = written.withColumn("lsh_codes", lsh_codes("embedding", **lsh))
-    store_append(written, store_path, store, namespace)
-    counts = {k: int(v or 0) for k, v in obs.get.items()}
+        extra["lsh_codes"] = lsh_codes("embedding", **lsh)
+    _, counts = _append_written(classified, store_path, store, namespace, bucketed, extra=extra)
     if sum(counts.values()) > 0 and counts["written"] == 0 and counts["duplicate"] == 0:
         raise E.TesseraError(E.INVALID_INGEST, "no row could be stored")
     return counts

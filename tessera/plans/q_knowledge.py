@@ -348,6 +348,23 @@ def q_add_to_knowledge(spark, sf_dir):
         F.length("text").alias("n_chars"))
 
 
+@register("add_to_knowledge_buckets", _ADD_SQL)
+def q_add_to_knowledge_buckets(spark, sf_dir):
+    """J-2/M4: a bucketed store filled by two ingests, then given all inputs once more: its filters tell
+    which buckets to open, and nothing is written twice."""
+    from tessera.plans.knowledge import add_to_knowledge
+    path = scratch_path(spark, "kb-buckets")
+    docs = spread(FX.typed_docs(spark, sf_dir))
+    parts = [docs.where("origin = 'documents'"), docs.where("origin <> 'documents'"), docs]
+    for part in parts:
+        add_to_knowledge(part, path, "kb", None, key_cols=("origin", "doc_id"), id_buckets=True)
+    return store_scan(spark, path, "kb").select(
+        "id", F.col("metadata")["origin"].alias("origin"),
+        F.col("metadata")["doc_id"].cast("bigint").alias("doc_id"),
+        F.col("metadata")["index"].cast("int").alias("index"),
+        F.length("text").alias("n_chars"))
+
+
 _RETRIEVAL_SQL = f"""
 WITH {_TOKENS_SQL},
 btoks AS (SELECT item_id, unnest(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+')) AS tok FROM benchmark),
