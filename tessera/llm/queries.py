@@ -41,28 +41,29 @@ SITE_RULES = tuple(url_filter.site_rule(*r) for r in (
     ("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"),
     ("net/es/", "block"), ("net/fr/", "block")))
 
+URL_RULES = [*SITE_RULES, *url_filter.BLOCK_PATTERNS, *url_filter.name_rules()]
+
 
 def _rule_values() -> str:
-    rules = [*SITE_RULES, *url_filter.BLOCK_PATTERNS]
-    return ", ".join(f"('{r.name}', '{r.regex()}', '{r.action}', {r.site})" for r in rules)
+    return ", ".join(f"('{r.name}', '{r.regex()}', '{r.literal()}', '{r.action}', {r.site})" for r in URL_RULES)
 
 
 @_query(f"""
 WITH u AS (SELECT page_id, coalesce(url, '') AS url FROM pages),
 t AS (SELECT page_id, translate(regexp_extract(url, '^.*?://([^/?#]*)', 1), {_AZ}) AS host,
              regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1) AS path FROM u),
-r(name, regex, action, site) AS (VALUES {_rule_values()}),
+r(name, regex, literal, action, site) AS (VALUES {_rule_values()}),
 f AS (SELECT page_id, name, action, site, row_number() OVER (
         PARTITION BY page_id ORDER BY site DESC, CASE WHEN site THEN length(name) ELSE 0 END DESC,
                                       action = 'block' DESC, name) AS place
-      FROM t JOIN r ON regexp_matches(host || path, regex))
+      FROM t JOIN r ON contains(host || path, literal) AND regexp_matches(host || path, regex))
 SELECT t.page_id, host, path, CASE WHEN site THEN name END AS rule,
        CASE WHEN NOT site THEN name END AS pattern, coalesce(action, 'allow') AS verdict
 FROM t LEFT JOIN f ON t.page_id = f.page_id AND place = 1""")
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on the url of every page, by rules filed under rare tokens."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    return url_filter.filter_urls(pages, [*SITE_RULES, *url_filter.BLOCK_PATTERNS]).drop("url")
+    return url_filter.filter_urls(pages, URL_RULES).drop("url")
 
 
 @_query(r"""

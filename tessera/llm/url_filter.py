@@ -30,19 +30,9 @@ class Rule:
         out = "".join({"*": ".*", "^": "(?:[^0-9A-Za-z_.%-]|$)"}.get(c, re.escape(c)) for c in body)
         return (r"^(?:[^/]*\.)?" if self.pattern.startswith("||") else "") + out
 
-    def tokens(self) -> list[str]:
-        """Literal tokens that any matching URL holds as whole tokens: runs of
-        letters and digits with a literal separator, ``^`` or ``||`` on either
-        side.  None: the rule is tried on every URL."""
-        body = self.pattern.removeprefix("||").lower()
-        anchored = body != self.pattern.lower()
-        found = set()
-        for m in re.finditer(r"[a-z0-9]+", body):
-            before = anchored if m.start() == 0 else body[m.start() - 1] not in "*"
-            after = m.end() < len(body) and body[m.end()] not in "*"
-            if before and after and m[0].isascii():
-                found.add(m[0])
-        return sorted(found) or [""]
+    def literal(self) -> str:
+        """The longest run without wildcards: every matching URL holds it."""
+        return max(re.split(r"[*^]", self.pattern.removeprefix("||")), key=len)
 
 
 def site_rule(site: str, action: str) -> Rule:
@@ -51,10 +41,27 @@ def site_rule(site: str, action: str) -> Rule:
     return Rule(site, "||" + site, action, True)
 
 
-#: Sites of advertising and spam, by the first label of the registered name.
+#: Words that make up the names of advertising and spam sites, subjects and companions.
+SUBJECTS = ("ads", "adult", "bets", "betting", "bitcoin", "bonus", "casino", "click", "coupon", "crypto", "dating", "diet", "escort", "forex",
+            "gambling", "jackpot", "loans", "lottery", "pills", "poker", "porn", "promo", "replica", "slots", "spam", "traffic", "viagra", "xxx")
+COMPANIONS = ("best", "buy", "cash", "cheap", "city", "club", "deal", "easy", "farm", "fast", "free", "girls", "hot", "king", "live", "lucky", "mania",
+              "mega", "money", "now", "online", "palace", "shop", "store", "super", "track", "tracker", "vip", "win", "world", "x", "zone")
+
+
+def name_rules(subjects: tuple[str, ...] = SUBJECTS, companions: tuple[str, ...] = COMPANIONS) -> list[Rule]:
+    """Block rules for host labels ``subject-companion`` and ``companion-subject``."""
+    names = [n for a in subjects for b in companions for n in (f"||{a}-{b}.", f"||{b}-{a}.")]
+    return [Rule(n, n, "block") for n in names]
+
+
+#: Other sites and paths of advertising, and labels of any length about casinos.
 BLOCK_PATTERNS = tuple(Rule(p, p, "block") for p in (
-    "||spam-farm.", "||cheap-pills.", "||ads-track.", "||casino-*.", "||*-casino.", "||free-viagra.",
-    "||doubleclick.", "/wp-login.", "/adserver/", "/banner-ads/"))
+    "||casino-*.", "||*-casino.", "||doubleclick.", "/wp-login.", "/adserver/", "/banner-ads/"))
+
+
+def rule_table(spark: SparkSession, rules: list[Rule]) -> DataFrame:
+    """``name, pattern, action, site``, as a stored list of rules has them."""
+    return spark.createDataFrame([(r.name, r.pattern, r.action, r.site) for r in rules], "name string, pattern string, action string, site boolean")
 
 
 def host_of(url: Column) -> Column:
@@ -69,39 +76,65 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+def query_of(url: Column) -> Column:
+    """From ``?`` up to ``#`` or the end; empty where there is none or no host part."""
+    return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^?#]*(\?[^#]*)", 1), F.lit(""))
+
+
 def _tokens(target: Column) -> Column:
     return F.array_distinct(F.concat(F.split(F.lower(target), "[^a-z0-9]+"), F.array(F.lit(""))))
 
 
-def rule_index(spark: SparkSession, rules: list[Rule], tokens: DataFrame) -> DataFrame:
-    """``token, name, regex, action, site``: every rule once, under the token
+def _regex(pattern: Column) -> Column:
+    """A rule's pattern as a regular expression (:meth:`Rule.regex`)."""
+    body = F.regexp_replace(F.regexp_replace(pattern, r"^\|\|", ""), r"([\\.+?$|(){}\[\]])", r"\\$1")
+    body = F.replace(F.replace(body, F.lit("^"), F.lit("(?:[^0-9A-Za-z_.%-]|$)")), F.lit("*"), F.lit(".*"))
+    return F.concat(F.when(F.startswith(pattern, F.lit("||")), F.lit(r"^(?:[^/]*\.)?")).otherwise(F.lit("")), body)
+
+
+def rule_tokens(pattern: Column) -> Column:
+    """Literal tokens that any matching URL holds as whole tokens: runs of
+    letters and digits with a literal separator, ``^`` or ``||`` on either
+    side.  Without any it is the empty token: the rule is tried on every URL."""
+    anchored = F.startswith(pattern, F.lit("||"))
+    body = F.concat(F.when(anchored, F.lit("|")).otherwise(F.lit("*")), F.lower(F.regexp_replace(pattern, r"^\|\|", "")))
+    found = F.array_distinct(F.regexp_extract_all(body, F.lit(r"(?<=[^a-z0-9*])[a-z0-9]+(?=[^a-z0-9*])"), F.lit(0)))
+    return F.when(F.size(found) > 0, found).otherwise(F.array(F.lit("")))
+
+
+def rule_index(rules: DataFrame, tokens: DataFrame) -> DataFrame:
+    """``token, name, regex, action, site``: every rule of a table (:func:`rule_table`) once, under the token
     of its own that the fewest of the URLs (``tokens``: one row for each URL and
-    token) hold; ties go to the first token in order."""
-    told = spark.createDataFrame(
-        [(k, t, r.name, r.regex(), r.action, r.site) for k, r in enumerate(rules) for t in r.tokens()],
-        "rule_no int, token string, name string, regex string, action string, site boolean")
+    token) hold; ties go to the first token in order.  Rules of one name and pattern are
+    one; those without a pattern fit nothing."""
+    rules = rules.where("pattern IS NOT NULL").dropDuplicates(["name", "pattern", "action", "site"])
+    told = rules.select("name", "pattern", "action", F.coalesce("site", F.lit(False)).alias("site"), F.explode(rule_tokens(F.col("pattern"))).alias("token"))
     seen = tokens.join(told.select("token").distinct(), "token", "left_semi").groupBy("token").count()
-    rarest = F.row_number().over(Window.partitionBy("rule_no").orderBy(F.coalesce("count", F.lit(0)), "token"))
+    rarest = F.row_number().over(Window.partitionBy("name", "pattern", "action", "site").orderBy(F.coalesce("count", F.lit(0)), "token"))
     return (told.join(seen, "token", "left").withColumn("_place", rarest).where("_place = 1")
-            .select("token", "name", "regex", "action", "site"))
+            .select("token", "name", _regex(F.col("pattern")).alias("regex"), "action", "site"))
 
 
-def filter_urls(pages: DataFrame, rules: list[Rule], url_col: str = "url", default: str = "allow") -> DataFrame:
-    """``pages`` with ``host``, ``path``, ``rule`` (the deciding host/path rule or
+def filter_urls(pages: DataFrame, rules: list[Rule] | DataFrame, url_col: str = "url", default: str = "allow",
+                with_query: bool = False) -> DataFrame:
+    """``pages``, judged by a list or a table of rules (:func:`rule_table`; of any size), with ``host``, ``path``, ``rule`` (the deciding host/path rule or
     null), ``pattern`` (the deciding other pattern or null) and ``verdict``.
 
     Of the fitting host/path rules the longest decides (ties: first in code
     point order); without one, a fitting block pattern blocks, then a fitting
     allow pattern allows, else ``default`` holds.  Null urls and urls without ``://``
     have empty host and path and get ``default`` unless a rule fits the empty
-    text.  Columns of those five names in ``pages`` are replaced; repeated
+    text.  Rules are matched against host and path, ``with_query`` also against what follows up to ``#``.  Columns of those five names in ``pages`` are replaced; repeated
     urls are judged once and every row keeps its place in the result."""
     spark = pages.sparkSession
     url = F.coalesce(F.col(url_col), F.lit(""))
     targets = (pages.select(url.alias("_url")).distinct()
-               .select("_url", F.concat(host_of(F.col("_url")), path_of(F.col("_url"))).alias("_target")))
+               .select("_url", F.concat(host_of(F.col("_url")), path_of(F.col("_url")),
+                                        query_of(F.col("_url")) if with_query else F.lit("")).alias("_target")))
     tokens = targets.select("_url", "_target", F.explode(_tokens(F.col("_target"))).alias("token"))
-    index = cut_lineage(rule_index(spark, rules, tokens))  # as small as the list of rules
+    if not isinstance(rules, DataFrame):
+        rules = rule_table(spark, rules)
+    index = cut_lineage(rule_index(rules, tokens))  # a row a rule
     order = F.struct(F.col("site"), F.when(F.col("site"), F.length("name")).otherwise(F.lit(0)).alias("size"),
                      (F.col("action") == "block").alias("block"))
     best = F.struct(order.alias("o"), F.col("name"), F.col("action"))

@@ -1,3 +1,7 @@
+import re
+
+from pyspark.sql import functions as F
+
 from tessera.llm import url_filter as U
 from tessera.llm.queries import SITE_RULES
 
@@ -27,16 +31,42 @@ def test_patterns_need_their_token_but_wildcards_do_not_hide_matches(spark):
             "http://q.org/x", "http://q.org/x/", "http://q.org/xy"]
     got = verdicts(spark, urls, rules)
     assert [got[k].pattern for k in range(8)] == ["ads", "ads", None, "any", "ok", "end", "end", None]
-    assert U.Rule("r", "spam*farm", "block").tokens() == [""] and U.Rule("r", "||a.b/cd", "block").tokens() == ["a", "b"]
+    told = spark.createDataFrame([("spam*farm",), ("||a.b/cd",), ("/x^y-*",), ("ab/cd/",), ("||a.a.",)], "p string").select(U.rule_tokens(F.col("p")).alias("t"))
+    assert [r.t for r in told.collect()] == [[""], ["a", "b"], ["x", "y"], ["cd"], ["a"]]
 
 
 def test_rules_are_filed_under_their_rarest_token(spark):
     urls = ["http://example.com/en/"] * 3 + ["http://other.com/en/"] * 2 + ["http://example.org/"]
     df = spark.createDataFrame([(u,) for u in urls], "url string")
     tokens = df.selectExpr("url", "explode(split(url, '[^a-z0-9]+')) AS token")
-    index = U.rule_index(spark, [U.site_rule("example.com/en/", "block"), U.site_rule("never.com/", "allow")], tokens)
+    index = U.rule_index(U.rule_table(spark, [U.site_rule("example.com/en/", "block"), U.site_rule("never.com/", "allow")]), tokens)
     assert {(r.name, r.token) for r in index.collect()} == {("example.com/en/", "example"), ("never.com/", "never")}
 
 
 def test_empty_table(spark):
     assert verdicts(spark, [], list(SITE_RULES)) == {}
+
+
+def test_tables_of_rules_from_the_pages_own_paths(spark):
+    """A rule for every third page's host and path, as a table: what fits equals trying every rule on every URL."""
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("page_id", "url")
+    target = F.concat(U.host_of(F.col("url")), U.path_of(F.col("url")))
+    name = F.concat(F.lit("||"), F.regexp_replace(target, r"[0-9](?=[0-9]*$)", "*"), F.lit("^"))
+    rules = pages.where("page_id % 3 = 0").select(name.alias("name"), name.alias("pattern"), F.lit("block").alias("action"), F.lit(False).alias("site")).distinct()
+    rules = rules.unionByName(spark.createDataFrame([("none", None, "block", None), ("($x[", "($x[", "block", None)], "name string, pattern string, action string, site boolean"))
+    got = {r.page_id: r.pattern for r in U.filter_urls(pages, rules).collect()}
+    plain = sorted((r.name, re.compile(U.Rule(r.name, r.pattern, "block").regex())) for r in rules.collect() if r.pattern)
+    want = {r.page_id: next((n for n, x in plain if x.search(r.target)), None) for r in pages.select("page_id", target.alias("target")).collect()}
+    assert got == want and sum(v is not None for v in got.values()) > len(got) / 3 > 5
+
+
+def test_names_of_spam_sites_and_queries(spark):
+    urls = ["http://m.casino-win.example.org/en/1", "http://free-bets.example.net/", "https://adult-x.example.org/a", "http://carefree-bets.example.org/",
+            "http://x.org/free-bets.html", "http://x.org/a?ref=sponsor&b#c", "http://x.org/ref=sponsor&"]
+    rules = [*U.BLOCK_PATTERNS, *U.name_rules()]
+    assert len(rules) > 1500
+    got = verdicts(spark, urls, rules)
+    assert [got[k].verdict for k in range(7)] == ["block"] * 3 + ["allow"] * 4
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    asked = {r.page_id: r.verdict for r in U.filter_urls(df, [U.Rule("s", "?ref=sponsor&", "block")], with_query=True).collect()}
+    assert [k for k, v in asked.items() if v == "block"] == [5]
