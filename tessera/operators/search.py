@@ -27,9 +27,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Memory budget for one side of one block in a task (bytes of DOUBLE vectors).
-BLOCK_BYTES = 64 * 1024 * 1024
-# Scores materialised at once inside a block (rows x cols of DOUBLE).
-SCORE_CHUNK_CELLS = 8 * 1024 * 1024
+BLOCK_BYTES = 16 * 1024 * 1024
+# Scores materialised at once inside a block (rows x cols of DOUBLE), and store rows among them.
+SCORE_CHUNK_CELLS = 512 * 1024
+SCORE_CHUNK_ROWS = 4096
+# A cosine so far below the one that a score stands for can't round up to that score (6 digits).
+COSINE_SLACK = 2e-6
 
 
 def _blocks(n_rows: int, dim: int, minimum: int) -> int:
@@ -43,48 +46,67 @@ def _matrix(series: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=np.float64) for v in series.values])
 
 
-def _local_topk(ids: np.ndarray, smat: np.ndarray, qids: np.ndarray, qmat: np.ndarray,
+def _unit(mat: np.ndarray) -> np.ndarray:
+    """The rows at length 1, in place; a row without a direction gets NaN, which is near nothing."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.divide(mat, np.linalg.norm(mat, axis=1)[:, None], out=mat)
+
+
+def _local_topk(ids: np.ndarray, smat: np.ndarray, qids: np.ndarray, qunit: np.ndarray,
                 k: int, min_score: float | np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Top-k (score desc, id asc) of one block; scores are (1+cos)/2 rounded to 6.
-    ``min_score`` is one number or one for each query.  Rows of one id are one, with its best score."""
+    ``qunit`` has rows of length 1.  ``min_score`` is one number or one for each query.  Rows of one id are one, with its
+    best score.  Chunks of at most ``SCORE_CHUNK_CELLS`` cosines are met by what each query
+    asks for at least, which rises with its k-th hit so far; only the others are rounded and sorted."""
+    if len(ids) == 0 or len(qids) == 0:
+        return qids[:0], ids[:0], np.zeros(0)
     order = np.argsort(ids, kind="stable")
-    ids, smat = ids[order], smat[order]
-    firsts = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]]) if len(ids) else np.zeros(0, np.int64)
+    ids, sunit = ids[order], _unit(smat[order])
+    first = np.r_[True, ids[1:] != ids[:-1]]
+    number, firsts = np.cumsum(first) - 1, np.flatnonzero(first)
     least = np.broadcast_to(np.asarray(min_score, dtype=np.float64), (len(qids),))
-    snorm = np.linalg.norm(smat, axis=1)
-    qnorm = np.linalg.norm(qmat, axis=1)
+    width = min(len(ids), SCORE_CHUNK_ROWS)
+    step = max(1, SCORE_CHUNK_CELLS // width)
     out_q, out_s, out_v = [], [], []
-    step = max(1, SCORE_CHUNK_CELLS // max(1, len(ids)))
     for lo in range(0, len(qids), step):
-        hi = min(len(qids), lo + step)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            cos = (qmat[lo:hi] @ smat.T) / np.outer(qnorm[lo:hi], snorm)
-        score = np.round((1.0 + cos) / 2.0, 6)
-        score = np.where(np.isfinite(score), score, -np.inf)
-        if len(firsts) < len(ids):
-            score = np.maximum.reduceat(score, firsts, axis=1)
-        ns = score.shape[1]
-        if ns > k:
-            kth = np.partition(score, ns - k, axis=1)[:, ns - k]
-        else:
-            kth = np.full(score.shape[0], -np.inf)
-        floor = np.maximum(kth, least[lo:hi])
-        qi, si = np.nonzero(score >= floor[:, None])  # ties at the k-th value included
-        if len(qi) == 0:
-            continue
-        sc = score[qi, si]
-        si = firsts[si]
-        order = np.lexsort((ids[si], -sc, qi))
-        qi, si, sc = qi[order], si[order], sc[order]
-        first = np.r_[True, qi[1:] != qi[:-1]]
-        starts = np.maximum.accumulate(np.where(first, np.arange(len(qi)), 0))
-        keep = (np.arange(len(qi)) - starts) < k
-        out_q.append(qids[lo:hi][qi[keep]])
-        out_s.append(ids[si[keep]])
-        out_v.append(sc[keep])
-    if not out_q:
-        return np.array([], dtype=qids.dtype), np.array([], dtype=ids.dtype), np.array([])
-    return np.concatenate(out_q), np.concatenate(out_s), np.concatenate(out_v)
+        q, floor = qunit[lo:lo + step], least[lo:lo + step].copy()
+        hits = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        for at in range(0, len(ids), width):
+            cos = q @ sunit[at:at + width].T
+            qi, si = _near(cos, floor)
+            if len(qi) > 4 * k * len(q):  # many: the chunk's own k-th hits tell more
+                floor = np.maximum(floor, _kth(cos, first[at:at + width], k))
+                qi, si = _near(cos, floor)
+            sc = np.round((1.0 + cos[qi, si]) / 2.0, 6)
+            good = sc >= floor[qi]
+            if good.any():
+                hits = _reduce_topk(*(np.concatenate(x) for x in zip(hits, (qi[good], number[at + si[good]], sc[good]))), k)
+                _raise_floor(floor, hits[0], hits[2], k)
+        out_q.append(lo + hits[0])
+        out_s.append(hits[1])
+        out_v.append(hits[2])
+    return qids[np.concatenate(out_q)], ids[firsts[np.concatenate(out_s)]], np.concatenate(out_v)
+
+
+def _near(cos: np.ndarray, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places whose score may be ``floor`` or more (never a NaN)."""
+    return np.divmod(np.flatnonzero(cos >= (2.0 * floor - 1.0 - COSINE_SLACK)[:, None]), cos.shape[1])
+
+
+def _kth(cos: np.ndarray, first: np.ndarray, k: int) -> np.ndarray:
+    """Score of each query's k-th hit in a chunk, of which ``first`` marks where ids begin (the
+    chunk may begin within one)."""
+    cos = np.where(np.isnan(cos), -np.inf, cos)
+    if not first.all():
+        cos = np.maximum.reduceat(cos, np.flatnonzero(np.r_[True, first[1:]]), axis=1)
+    n = cos.shape[1]
+    return np.round((1.0 + np.partition(cos, n - k, axis=1)[:, n - k]) / 2.0, 6) if n >= k else np.full(len(cos), -np.inf)
+
+
+def _raise_floor(floor: np.ndarray, q: np.ndarray, sc: np.ndarray, k: int) -> None:
+    """Where reduced hits (by query number) have a k-th, no lower score is asked for."""
+    last = np.flatnonzero(q[k - 1:] == q[:len(q) - k + 1]) + k - 1 if len(q) >= k else np.zeros(0, np.int64)
+    floor[q[last]] = np.maximum(floor[q[last]], sc[last])
 
 
 def _score_groups(s: DataFrame, q: DataFrame, keys: list[str], k: int, min_score: float,
@@ -101,7 +123,7 @@ def _score_groups(s: DataFrame, q: DataFrame, keys: list[str], k: int, min_score
                                  "_id": pd.Series([], dtype=object),
                                  "score": pd.Series([], dtype="float64")})
         qi, si, sc = _local_topk(sdf["_id"].to_numpy(), _matrix(sdf["_v"]),
-                                 qdf["_qid"].to_numpy(), _matrix(qdf["_qv"]), k,
+                                 qdf["_qid"].to_numpy(), _unit(_matrix(qdf["_qv"])), k,
                                  qdf["_least"].to_numpy(dtype=np.float64) if "_least" in qdf else min_score)
         return pd.DataFrame({"_qid": qi, "_id": si, "score": sc})
 
@@ -131,31 +153,37 @@ def _broadcast_scores(s: DataFrame, queries_pdf: pd.DataFrame, k: int, min_score
     partition keeps a running top-k across its Arrow batches, so it emits at
     most ``k`` rows per query."""
     spark = s.sparkSession
-    qids = queries_pdf["_qid"].to_numpy()
-    bc = spark.sparkContext.broadcast((qids, _matrix(queries_pdf["_qv"]), min_score))
+    bc = spark.sparkContext.broadcast((queries_pdf["_qid"].to_numpy(), _unit(_matrix(queries_pdf["_qv"])), min_score))
     out_schema = T.StructType([T.StructField("_qid", qid_type), T.StructField("_id", id_type),
                                T.StructField("score", T.DoubleType())])
 
     def run(batches):
         bq, bmat, least = bc.value
-        acc_q, acc_i, acc_s = None, None, None
+        number = np.arange(len(bq))
+        floor = np.broadcast_to(np.asarray(least, dtype=np.float64), (len(bq),)).copy()
+        hits, n_reduced = [], 0
         for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            q, i, sc = _local_topk(pdf["_id"].to_numpy(), _matrix(pdf["_v"]), bq, bmat, k, least)
-            if acc_q is None:
-                acc_q, acc_i, acc_s = q, i, sc
-            else:
-                acc_q, acc_i, acc_s = _reduce_topk(np.concatenate([acc_q, q]), np.concatenate([acc_i, i]),
-                                                   np.concatenate([acc_s, sc]), k)
-        if acc_q is not None and len(acc_q):
-            yield pd.DataFrame({"_qid": acc_q, "_id": acc_i, "score": acc_s})
+            for at in range(0, len(pdf), SCORE_CHUNK_ROWS):
+                part = pdf.iloc[at:at + SCORE_CHUNK_ROWS]
+                found = _local_topk(part["_id"].to_numpy(), _matrix(part["_v"]), number, bmat, k, floor)
+                if len(found[0]):
+                    hits.append(found)
+                if sum(len(x[0]) for x in hits) > 2 * n_reduced + KEPT_HITS:
+                    hits = [_reduce_topk(*(np.concatenate(x) for x in zip(*hits)), k)]
+                    n_reduced = len(hits[0][0])
+                    _raise_floor(floor, hits[0][0], hits[0][2], k)
+        if hits:
+            q, i, sc = _reduce_topk(*(np.concatenate(x) for x in zip(*hits)), k)
+            for at in range(0, len(q), KEPT_HITS):
+                yield pd.DataFrame({"_qid": bq[q[at:at + KEPT_HITS]], "_id": i[at:at + KEPT_HITS], "score": sc[at:at + KEPT_HITS]})
 
     return s.select("_id", "_v").mapInPandas(run, out_schema)
 
 
 # Largest query matrix (rows x dim x 8 bytes) shipped to every executor.
-BROADCAST_QUERY_BYTES = 64 * 1024 * 1024
+BROADCAST_QUERY_BYTES = 16 * 1024 * 1024
+# Hits that a task keeps beyond twice the reduced ones before it reduces them again.
+KEPT_HITS = 64 * 1024
 
 
 # One in so many store rows is scored first, to know a score that each query's

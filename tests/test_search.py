@@ -117,3 +117,27 @@ def test_compaction_leaves_one_row_an_identity_and_other_partitions_alone(spark,
     assert set(os.listdir(f"{path}/store=kb/namespace=b")) == before
     got = [(r.namespace, r.id) for r in store_scan(spark, path, "kb").collect()]
     assert sorted(got) == sorted((ns, f"i{k}") for ns in "ab" for k in range(6))
+
+
+def test_scoring_holds_few_scores_at_once_whatever_the_block(spark):
+    import tracemalloc
+
+    from tessera.operators import search
+    rng = np.random.default_rng(8)
+    store, queries = rng.standard_normal((20000, 8)), rng.standard_normal((3000, 8))
+    store[50] = 0.0  # no direction: matches nothing
+    ids = rng.permutation(20000) // 2  # two rows an id
+    unit = search._unit(queries.copy())
+    tracemalloc.start()
+    q, i, sc = search._local_topk(ids, store, np.arange(3000), unit, 5, 0.0)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60e6  # 3,000 x 20,000 scores are 480 MB
+    with np.errstate(invalid="ignore", divide="ignore"):
+        score = np.round((1 + (unit[:20] @ store.T) / np.linalg.norm(store, axis=1)) / 2, 6)
+    best = np.full((20, 10000), -np.inf)
+    for row in range(20000):
+        best[:, ids[row]] = np.fmax(best[:, ids[row]], score[:, row])
+    for at in range(20):
+        want = np.lexsort((np.arange(10000), -best[at]))[:5]
+        assert list(i[q == at]) == list(want) and list(sc[q == at]) == list(best[at][want])
