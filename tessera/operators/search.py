@@ -109,10 +109,15 @@ def _raise_floor(floor: np.ndarray, q: np.ndarray, sc: np.ndarray, k: int) -> No
     floor[q[last]] = np.maximum(floor[q[last]], sc[last])
 
 
+# Most tasks that cells are dealt to.
+CELL_TASKS = 2000
+
+
 def _score_groups(s: DataFrame, q: DataFrame, keys: list[str], k: int, min_score: float,
-                  qid_type: T.DataType, id_type: T.DataType) -> DataFrame:
+                  qid_type: T.DataType, id_type: T.DataType, n_groups: int | None = None) -> DataFrame:
     """Cogroup store rows (``_id, _v``) and query rows (``_qid, _qv``) on
-    ``keys`` and keep each group's local top-k per query."""
+    ``keys`` and keep each group's local top-k per query.  The ``n_groups`` groups are dealt to tasks by their
+    number: their work grows with both sides, so tasks joined by their bytes would be uneven."""
     out_schema = T.StructType([
         T.StructField("_qid", qid_type), T.StructField("_id", id_type),
         T.StructField("score", T.DoubleType())])
@@ -127,6 +132,8 @@ def _score_groups(s: DataFrame, q: DataFrame, keys: list[str], k: int, min_score
                                  qdf["_least"].to_numpy(dtype=np.float64) if "_least" in qdf else min_score)
         return pd.DataFrame({"_qid": qi, "_id": si, "score": sc})
 
+    if n_groups:
+        s, q = (df.repartition(min(2 * n_groups, CELL_TASKS), *keys) for df in (s, q))
     return (s.groupBy(*keys).cogroup(q.groupBy(*keys))
             .applyInPandas(score_block, out_schema))
 
@@ -249,7 +256,8 @@ def vector_topk(store: DataFrame, queries: DataFrame, k: int, min_score: float =
          .where(F.col("_v").isNotNull() & (F.size("_v") == dim)))
     q = (queries.select(F.col(query_id_col).alias("_qid"), F.col(query_vec_col).alias("_qv"))
          .where(F.col("_qv").isNotNull() & (F.size("_qv") == dim)))
-    first = s.where(F.pmod(F.xxhash64("_id"), F.lit(floor_share)) == 0)
+    in_first = F.pmod(F.xxhash64("_id"), F.lit(floor_share)) == 0
+    first = s.where(in_first)
     limit_rows = max(1, BROADCAST_QUERY_BYTES // max(1, dim * 8))
     qpdf = None
     if strategy == "broadcast" or (strategy is None and query_blocks is None and store_blocks is None):
@@ -264,11 +272,15 @@ def vector_topk(store: DataFrame, queries: DataFrame, k: int, min_score: float =
         least = np.array([at.get(x, min_score) for x in qpdf["_qid"]], dtype=np.float64)
         partial = _broadcast_scores(s, qpdf, k, least, qid_type, id_type)
     else:
-        store_blocks = store_blocks or _blocks(s.count(), dim, store.sparkSession.sparkContext.defaultParallelism)
+        sizes = s.agg(F.count(F.lit(1)).alias("all"), F.count_if(in_first).alias("first")).first()
+        store_blocks = store_blocks or _blocks(sizes["all"], dim, 2 * store.sparkSession.sparkContext.defaultParallelism)
         query_blocks = query_blocks or _blocks(q.count(), dim, 1)
-        found = _kth_scores(_score_groups(*_cells(first, q, store_blocks, query_blocks), ["_sb", "_qb"], k, min_score, qid_type, id_type), k)
+        first_blocks = _blocks(sizes["first"], dim, 1)  # few, as the queries go to each
+        found = _kth_scores(_score_groups(*_cells(first, q, first_blocks, query_blocks), ["_sb", "_qb"], k, min_score, qid_type, id_type,
+                                          first_blocks * query_blocks), k)
         bounded = cut_lineage(q.join(found, "_qid", "left").withColumn("_least", F.coalesce("_least", F.lit(float(min_score)))))
-        partial = _score_groups(*_cells(s, bounded, store_blocks, query_blocks), ["_sb", "_qb"], k, min_score, qid_type, id_type)
+        partial = _score_groups(*_cells(s, bounded, store_blocks, query_blocks), ["_sb", "_qb"], k, min_score, qid_type, id_type,
+                                store_blocks * query_blocks)
     w = Window.partitionBy("_qid").orderBy(F.col("score").desc(), F.col("_id").asc())
     return (_once(partial).withColumn("rank", F.row_number().over(w))
             .where(F.col("rank") <= k)

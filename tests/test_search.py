@@ -141,3 +141,11 @@ def test_scoring_holds_few_scores_at_once_whatever_the_block(spark):
     for at in range(20):
         want = np.lexsort((np.arange(10000), -best[at]))[:5]
         assert list(i[q == at]) == list(want) and list(sc[q == at]) == list(best[at][want])
+
+
+def test_uneven_cells_are_not_joined_into_one_task(spark):
+    rng = np.random.default_rng(9)
+    s, q = _frames(spark, rng.standard_normal((400, 8)), rng.standard_normal((100, 8)))
+    hits = vector_topk(s, q, 3, 0.0, dim=8, strategy="blocked", store_blocks=6, query_blocks=2)
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") >= 2 and "_qb#" in plan
