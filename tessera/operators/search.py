@@ -114,7 +114,7 @@ CELL_TASKS = 2000
 
 
 def _score_groups(s: DataFrame, q: DataFrame, keys: list[str], k: int, min_score: float,
-                  qid_type: T.DataType, id_type: T.DataType, n_groups: int | None = None) -> DataFrame:
+                  qid_type: T.DataType, id_type: T.DataType, n_groups: int) -> DataFrame:
     """Cogroup store rows (``_id, _v``) and query rows (``_qid, _qv``) on
     ``keys`` and keep each group's local top-k per query.  The ``n_groups`` groups are dealt to tasks by their
     number: their work grows with both sides, so tasks joined by their bytes would be uneven."""
@@ -132,9 +132,8 @@ def _score_groups(s: DataFrame, q: DataFrame, keys: list[str], k: int, min_score
                                  qdf["_least"].to_numpy(dtype=np.float64) if "_least" in qdf else min_score)
         return pd.DataFrame({"_qid": qi, "_id": si, "score": sc})
 
-    if n_groups:
-        s, q = (df.repartition(min(2 * n_groups, CELL_TASKS), *keys) for df in (s, q))
-    return (s.groupBy(*keys).cogroup(q.groupBy(*keys))
+    tasks = min(2 * n_groups, CELL_TASKS)
+    return (s.repartition(tasks, *keys).groupBy(*keys).cogroup(q.repartition(tasks, *keys).groupBy(*keys))
             .applyInPandas(score_block, out_schema))
 
 
@@ -324,7 +323,7 @@ def vector_topk_approx(store: DataFrame, queries: DataFrame, k: int, min_score:
                        dim: int, id_col: str = "id", vec_col: str = "embedding",
                        query_id_col: str = "query_id", query_vec_col: str = "embedding",
                        n_tables: int = 8, n_bits: int = 6, seed: int = 17,
-                       block_rows: int | None = None, store_codes_col: str | None = None) -> DataFrame:
+                       block_rows: int | None = None, store_codes_col: str | None = None, floor_share: int = FLOOR_SHARE) -> DataFrame:
     """Approximate top-``k``: candidates share an LSH bucket in at least one
     of ``n_tables`` tables; candidates are scored exactly.
 
@@ -335,8 +334,11 @@ def vector_topk_approx(store: DataFrame, queries: DataFrame, k: int, min_score:
     sub-block), sized from a pre-aggregated count per bucket; that count
     table has at most ``n_tables * 2**n_bits`` rows, so broadcasting it is
     bounded by the parameters.  No candidate pairs are materialised: each
-    group emits only its local top-k.
+    group emits only its local top-k.  As in ``vector_topk``, one in ``floor_share`` store rows is
+    scored first, among the same candidates, and bounds each query's k-th hit.
     """
+    from tessera.session import cut_lineage
+
     if block_rows is None:
         block_rows = max(1, BLOCK_BYTES // max(1, dim * 8))
     codes = _lsh_codes(dim, n_tables, n_bits, seed)
@@ -350,24 +352,35 @@ def vector_topk_approx(store: DataFrame, queries: DataFrame, k: int, min_score:
          .where(F.col("_v").isNotNull() & (F.size("_v") > 0))
          .select("_id", "_v", F.posexplode(store_codes).alias("_t", "_b")))
     q = (queries.select(F.col(query_id_col).alias("_qid"), F.col(query_vec_col).alias("_qv"))
-         .where(F.col("_qv").isNotNull() & (F.size("_qv") > 0))
-         .select("_qid", "_qv", F.posexplode(codes(F.col("_qv"))).alias("_t", "_b")))
-
-    def sub_blocks(df: DataFrame, name: str) -> DataFrame:
-        return (df.groupBy("_t", "_b").agg(F.count(F.lit(1)).alias("_n"))
-                .select("_t", "_b", F.ceil(F.col("_n") / F.lit(block_rows)).cast("int").alias(name)))
-
-    sizes = (sub_blocks(s, "_ns").join(sub_blocks(q, "_nq"), ["_t", "_b"], "inner"))
-    sizes = F.broadcast(sizes)  # <= n_tables * 2**n_bits rows
-    s = (s.join(sizes, ["_t", "_b"])
-         .withColumn("_sb", F.pmod(F.xxhash64("_id"), F.col("_ns")).cast("int"))
-         .withColumn("_qb", F.explode(F.sequence(F.lit(0), F.col("_nq") - 1))))
-    q = (q.join(sizes, ["_t", "_b"])
-         .withColumn("_qb", F.pmod(F.xxhash64("_qid"), F.col("_nq")).cast("int"))
-         .withColumn("_sb", F.explode(F.sequence(F.lit(0), F.col("_ns") - 1))))
-    s = s.select("_t", "_b", "_sb", "_qb", "_id", "_v")
-    q = q.select("_t", "_b", "_sb", "_qb", "_qid", "_qv")
-    partial = _score_groups(s, q, ["_t", "_b", "_sb", "_qb"], k, min_score, qid_type, id_type)
+         .where(F.col("_qv").isNotNull() & (F.size("_qv") > 0)))
+
+    def coded(q: DataFrame) -> DataFrame:
+        return q.select("*", F.posexplode(codes(F.col("_qv"))).alias("_t", "_b"))
+
+    def counts(df: DataFrame, **named) -> DataFrame:
+        return df.groupBy("_t", "_b").agg(*[F.count_if(c).alias(n) for n, c in named.items()])
+
+    def blocks(n: str):
+        return F.ceil(F.col(n) / F.lit(block_rows)).cast("int")
+
+    in_first = F.pmod(F.xxhash64("_id"), F.lit(floor_share)) == 0
+    sizes = cut_lineage(counts(s, _all=F.lit(True), _first=in_first).join(counts(coded(q), _asked=F.lit(True)), ["_t", "_b"])
+                        .select("_t", "_b", blocks("_all").alias("_all"), blocks("_first").alias("_first"), blocks("_asked").alias("_nq")))
+
+    def scored(s: DataFrame, q: DataFrame, n: str) -> DataFrame:
+        dealt = F.broadcast(sizes.select("_t", "_b", F.col(n).alias("_ns"), "_nq").where("_ns > 0"))  # <= n_tables * 2**n_bits rows
+        s = (s.join(dealt, ["_t", "_b"])
+             .withColumn("_sb", F.pmod(F.xxhash64("_id"), F.col("_ns")).cast("int"))
+             .withColumn("_qb", F.explode(F.sequence(F.lit(0), F.col("_nq") - 1))))
+        q = (coded(q).join(dealt, ["_t", "_b"])
+             .withColumn("_qb", F.pmod(F.xxhash64("_qid"), F.col("_nq")).cast("int"))
+             .withColumn("_sb", F.explode(F.sequence(F.lit(0), F.col("_ns") - 1))))
+        cells = sizes.agg(F.sum(F.col(n) * F.col("_nq"))).first()[0] or 1
+        return _score_groups(s.drop("_ns", "_nq"), q.drop("_ns", "_nq"), ["_t", "_b", "_sb", "_qb"], k, min_score, qid_type, id_type, cells)
+
+    found = cut_lineage(_kth_scores(scored(s.where(in_first), q, "_first"), k))
+    bounded = q.join(found, "_qid", "left").withColumn("_least", F.coalesce("_least", F.lit(float(min_score))))
+    partial = scored(s, bounded, "_all")
     # the same pair can be found through several tables: same exact score
     pairs = partial.groupBy("_qid", "_id").agg(F.max("score").alias("score"))
     w = Window.partitionBy("_qid").orderBy(F.col("score").desc(), F.col("_id").asc())

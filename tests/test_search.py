@@ -149,3 +149,13 @@ def test_uneven_cells_are_not_joined_into_one_task(spark):
     hits = vector_topk(s, q, 3, 0.0, dim=8, strategy="blocked", store_blocks=6, query_blocks=2)
     plan = hits._jdf.queryExecution().executedPlan().toString()
     assert plan.count("REPARTITION_BY_NUM") >= 2 and "_qb#" in plan
+
+
+def test_lsh_floor_changes_no_hit(spark):
+    rng = np.random.default_rng(14)
+    store = rng.standard_normal((600, 16))
+    store[100:140] = store[7]  # ties, broken by id
+    s, q = _frames(spark, store, store[:60])
+    got = [{tuple(r) for r in vector_topk_approx(s, q, 5, 0.5, dim=16, n_tables=6, n_bits=3, block_rows=rows, floor_share=share).collect()}
+           for rows, share in ((None, 10**9), (None, 1), (40, 4))]
+    assert got[0] == got[1] == got[2] and len(got[0]) > 200
