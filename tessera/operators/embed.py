@@ -4,8 +4,8 @@ The hashing embedder (feature hashing, Weinberger et al., ICML 2009) is a
 deterministic baseline, not a semantic model: tokens are lower-cased runs of
 letters/digits, bucket = first 32 bits of md5(token) mod ``dim``, the vector
 is the L2-normalised bucket-count histogram.  Tokenising and hashing run in
-the JVM; only the histogram is built in an Arrow-batched pandas UDF (one
-vectorised ``np.bincount`` per batch, no per-token Python).
+the JVM; only the histogram is built in an Arrow UDF (one vectorised
+``np.bincount`` per slice of a batch, no per-token Python).
 """
 
 from __future__ import annotations
@@ -13,7 +13,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,22 +36,33 @@ def token_buckets(text, dim: int) -> Column:
         F.conv(F.substring(F.md5(tok), 1, 8), 16, 10).cast("bigint"), F.lit(dim)).cast("int"))
 
 
+# Rows and tokens whose histograms are built at once, whatever Spark's batch.
+SLICE_ROWS, SLICE_TOKENS = 1024, 512 * 1024
+
+
+def histograms(buckets: pa.Array, dim: int) -> pa.Array:
+    """The unit histogram of each list of bucket numbers; null where there is none."""
+    lens = pc.fill_null(pc.list_value_length(buckets), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    ends = np.cumsum(lens)
+    parts, at, done = [], 0, 0
+    while at < len(buckets):
+        end = min(at + SLICE_ROWS, max(at + 1, int(np.searchsorted(ends, done + SLICE_TOKENS, side="right"))))
+        end = min(end, len(buckets))
+        n = end - at
+        flat = buckets.slice(at, n).flatten().to_numpy(zero_copy_only=False)
+        cells = np.repeat(np.arange(n, dtype=np.int64) * dim, lens[at:end]) + flat
+        counts = np.bincount(cells, minlength=n * dim).reshape(n, dim).astype(np.float64)[lens[at:end] > 0]
+        unit = (counts / np.linalg.norm(counts, axis=1, keepdims=True)).astype(np.float32)
+        bounds = np.r_[0, np.cumsum(np.where(lens[at:end] > 0, dim, 0))].astype(np.int32)
+        parts.append(pa.ListArray.from_arrays(pa.array(bounds), pa.array(unit.ravel()), mask=pa.array(lens[at:end] == 0)))
+        at, done = end, ends[end - 1]
+    return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.float32()))
+
+
 def _histogram_udf(dim: int):
-    @F.pandas_udf(T.ArrayType(T.FloatType()))
-    def histogram(buckets: pd.Series) -> pd.Series:
-        n = len(buckets)
-        lens = np.fromiter((0 if b is None else len(b) for b in buckets), dtype=np.int64, count=n)
-        if lens.sum() > 0:
-            flat = np.concatenate([np.asarray(b, dtype=np.int64) for b in buckets
-                                   if b is not None and len(b) > 0])
-            cells = np.repeat(np.arange(n, dtype=np.int64) * dim, lens) + flat
-            counts = np.bincount(cells, minlength=n * dim).reshape(n, dim).astype(np.float64)
-        else:
-            counts = np.zeros((n, dim), dtype=np.float64)
-        norms = np.linalg.norm(counts, axis=1, keepdims=True)
-        with np.errstate(invalid="ignore", divide="ignore"):
-            unit = np.where(norms > 0, counts / norms, 0.0).astype(np.float32)
-        return pd.Series([None if lens[i] == 0 else unit[i] for i in range(n)])
+    @F.arrow_udf(T.ArrayType(T.FloatType()))
+    def histogram(buckets: pa.Array) -> pa.Array:
+        return histograms(buckets, dim)
     # Non-deterministic only to the optimizer: it must not copy the UDF into
     # a pushed-down filter (that would evaluate it twice, once before a
     # repartition on the unspread input).
