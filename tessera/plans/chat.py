@@ -23,6 +23,8 @@ from tessera.plans.knowledge import get_from_knowledge, rag_context
 ChatFn = Callable[[list[dict]], list[dict | None]]
 
 KNOWLEDGE = "\n\nKnowledge:\n"
+#: Requests given to a model at once.
+CHAT_ROWS = 256
 _REPLY = {"content": T.StringType(), "input_tokens": T.LongType(), "output_tokens": T.LongType(), "finish_reason": T.StringType()}
 
 
@@ -32,7 +34,7 @@ def chat_complete(df: DataFrame, fn_factory: Callable[[], ChatFn], *, request_co
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fn = fn_factory()
-        for pdf in batches:
+        for pdf in (batch.iloc[at:at + CHAT_ROWS].copy() for batch in batches for at in range(0, len(batch), CHAT_ROWS)):
             replies = [r or {} for r in isolate(fn, [json.loads(x) for x in pdf[request_col]])]
             for name in _REPLY:
                 pdf[name] = pd.Series([r.get(name) for r in replies], dtype="Int64" if "tokens" in name else object, index=pdf.index)
