@@ -77,11 +77,15 @@ def hash_embed(df: DataFrame, dim: int = 256, *, text_col: str = "text",
             .withColumn(out_col, hist(F.col("_buckets"))).drop("_buckets"))
 
 
+# Texts given to a model at once.
+MODEL_ROWS = 512
+
+
 def model_embed(df: DataFrame, embed_fn_factory: Callable[[], Callable[[list[str]], np.ndarray]],
                 dim: int, *, text_col: str = "text", out_col: str = "embedding", code_col: str | None = None, memo: Memo | None = None) -> DataFrame:
     """Embed with a user model: the factory runs once per partition (load the
-    model there), the model sees batches of texts and returns a (batch, dim)
-    matrix; row order is preserved.
+    model there), the model sees batches of at most ``MODEL_ROWS`` texts and returns a (batch, dim)
+    matrix; row order is preserved.  The other columns pass by as Arrow.
 
     Null texts get a null vector and don't reach the model.  If a call fails, each
     text is tried alone; those that fail again get a null vector and, in
@@ -98,17 +102,19 @@ def model_embed(df: DataFrame, embed_fn_factory: Callable[[], Callable[[list[str
             raise ValueError(f"embedder returned {mat.shape}, expected {(len(texts), dim)}")
         return list(mat)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = None
-        for pdf in batches:
-            out = [None] * len(pdf)
-            some = [k for k, t in enumerate(pdf[text_col]) if isinstance(t, str)]
-            if some:
-                fn = fn or embed_fn_factory()
-                for k, v in zip(some, vectors(fn, [pdf[text_col].iloc[k] for k in some])):
-                    out[k] = v
-            pdf[out_col] = out
-            yield pdf
+        for batch in batches:
+            for at in range(0, batch.num_rows, MODEL_ROWS):
+                part = batch.slice(at, MODEL_ROWS)
+                out = [None] * part.num_rows
+                texts = part.column(text_col).to_pylist()
+                some = [k for k, t in enumerate(texts) if t is not None]
+                if some:
+                    fn = fn or embed_fn_factory()
+                    for k, v in zip(some, vectors(fn, [texts[k] for k in some])):
+                        out[k] = v
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.list_(pa.float32()))], names=[*part.schema.names, out_col])
 
     def ask_factory():
         fn = embed_fn_factory()
@@ -117,7 +123,7 @@ def model_embed(df: DataFrame, embed_fn_factory: Callable[[], Callable[[list[str
     if memo is not None:
         out = ask_once(df, memo, ask_factory, T.ArrayType(T.FloatType()), text_col=text_col, out_col=out_col)
     else:
-        out = df.mapInPandas(run, schema)
+        out = df.mapInArrow(run, schema)
     if code_col is not None:
         out = out.withColumn(code_col, F.when(F.col(text_col).isNotNull() & F.col(out_col).isNull(), F.lit(EMBEDDING_GENERATION)))
     return out

@@ -27,3 +27,18 @@ def test_histograms_of_a_batch_are_built_in_slices():
         counts = np.bincount(flat[ends[k] - lens[k]:ends[k]], minlength=256)
         want = None if lens[k] == 0 else (counts / np.linalg.norm(counts)).astype(np.float32).tolist()
         assert got[k].as_py() == want
+
+
+def test_a_model_gets_few_texts_at_once_and_rows_keep_their_other_columns(spark):
+    from tessera.operators.embed import MODEL_ROWS, model_embed
+
+    def factory():
+        return lambda texts: np.array([[len(texts), len(t)] for t in texts], dtype=np.float32)
+
+    df = spark.range(3000).coalesce(1).selectExpr("id", "IF(id % 5 = 0, NULL, repeat('x', CAST(id % 7 AS int))) AS text", "map('k', string(id)) AS meta",
+                                                  "struct(timestamp_seconds(id) AS at, id / 3 AS third) AS s")
+    got = model_embed(df, factory, 2).collect()
+    assert [r.id for r in got] == list(range(3000))
+    assert all((r.embedding is None) == (r.id % 5 == 0) and r.meta == {"k": str(r.id)} for r in got)
+    assert all(r.embedding[0] <= MODEL_ROWS and r.embedding[1] == r.id % 7 for r in got if r.embedding)
+    assert [r.s for r in got] == [r.s for r in df.collect()]
