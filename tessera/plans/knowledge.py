@@ -146,6 +146,10 @@ def _append_written(rows: DataFrame, path: str, store: str | None, namespace: st
         store_append(written.withColumns(extra or {}), path, store, namespace, id_buckets=bucketed, noted=bucketed)
 
     if staged or bucketed:
+        if not staged:  # nobody reads the other rows further: their texts aren't written
+            new = F.col("status") == "written"
+            kept = {c: F.when(new, F.col(c)) for c in ("id", "embedding", "text", "metadata", *(extra or {})) if c in rows.columns}
+            rows = rows.select(*[c.alias(n) for n, c in kept.items()], "status", "copies")
         rows = cut_lineage(rows)
         append(rows)
         counts = rows.agg(*_status_counts()).first().asDict()

@@ -84,7 +84,7 @@ def _write_rows(rows: DataFrame, path: str, bucketed: bool, mode: str) -> None:
     if bucketed:
         rows = rows.withColumn("bucket", bucket_of(F.col("id"))).hint("rebalance", "namespace", "bucket")
         levels.append("bucket")
-    rows.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*levels).parquet(path)
+    rows.write.mode(mode).option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(*levels).parquet(path)
 
 
 def uses_buckets(spark: SparkSession, path: str, wanted: bool = False) -> bool:

@@ -111,3 +111,13 @@ def test_empty_batches(spark, buckets):
         assert add_to_knowledge(docs, path, "kb", None, parse_docs=False, id_buckets=buckets) == {"written": 0, "duplicate": 0, "invalid": 0}
     vectors = spark.createDataFrame([], "text string, embedding array<float>, metadata map<string,string>")
     assert add_to_store(vectors, path, "kb") == {"written": 0, "duplicate": 0, "invalid": 0}
+
+
+def test_a_bucketed_ingest_stages_no_text_of_rows_it_does_not_write(spark, tmp_path):
+    from tessera.plans.knowledge import _append_written
+    rows = spark.createDataFrame([("a", [1.0], "new", {"k": "1"}, "written", 2), ("b", None, "old", {"k": "2"}, "duplicate", 3), (None, None, "bad", None, "invalid", 1)],
+                                 "id string, embedding array<float>, text string, metadata map<string,string>, status string, copies long")
+    staged, counts = _append_written(rows, str(tmp_path / "s"), "kb", None, True)
+    assert counts == {"written": 1, "duplicate": 4, "invalid": 1}
+    assert sorted(str(r.text) for r in staged.select("text").collect()) == ["None", "None", "new"]
+    assert [r.text for r in store_scan(spark, str(tmp_path / "s")).collect()] == ["new"]
