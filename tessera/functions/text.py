@@ -108,7 +108,8 @@ def html_to_text(html) -> Column:
     ">"; a tag, comment or script that never ends takes the rest of the page."""
     c = _body(_c(html))
     c = F.regexp_replace(c, rf"(?is)</?+(?:{INLINE_TAGS})(?=[\s/>]){_INSIDE}|({_MARKUP})", "$1")
-    c = decode_entities(F.regexp_replace(c, "(?is)" + _MARKUP, " "))
+    # Spark evaluates what several branches name once a branch, so the text is given a name of its own.
+    c = _once(F.regexp_replace(c, "(?is)" + _MARKUP, " "), decode_entities)
     c = F.regexp_replace(c, r"\s+", " ")
     return F.trim(c)
 

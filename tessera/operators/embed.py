@@ -3,14 +3,16 @@
 The hashing embedder (feature hashing, Weinberger et al., ICML 2009) is a
 deterministic baseline, not a semantic model: tokens are lower-cased runs of
 letters/digits, bucket = first 32 bits of md5(token) mod ``dim``, the vector
-is the L2-normalised bucket-count histogram.  Tokenising and hashing run in
-the JVM; only the histogram is built in an Arrow UDF (one vectorised
-``np.bincount`` per slice of a batch, no per-token Python).
+is the L2-normalised bucket-count histogram.  Tokens are told apart in
+the JVM; an Arrow UDF numbers them (the MD5 of each different token of a slice
+of a batch) and builds the histograms (one vectorised ``np.bincount`` per slice,
+no per-token Python).
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
@@ -59,10 +61,34 @@ def histograms(buckets: pa.Array, dim: int) -> pa.Array:
     return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.float32()))
 
 
+# Bytes of text that are cut into tokens at once: the more, the fewer tokens are hashed again.
+SLICE_BYTES = 8 << 20
+
+
+def numbered(words: pa.Array, dim: int) -> pa.Array:
+    """As :func:`token_buckets`, of tokens that are joined by single blanks: array<int>, null for null."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(words), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    parts, at, done = [], 0, 0
+    while at < len(words):
+        end = max(at + 1, int(np.searchsorted(ends, done + SLICE_BYTES, side="right")))
+        found = pc.split_pattern(words.slice(at, end - at), " ")
+        lens = pc.fill_null(pc.list_value_length(found), 0).to_numpy(zero_copy_only=False)
+        coded = found.flatten().dictionary_encode()
+        tokens_ = coded.dictionary.cast(pa.binary()).to_pylist()
+        heads = np.frombuffer(b"".join([md5(t).digest() for t in tokens_]), ">u4")[::4]
+        numbers = np.where([t != b"" for t in tokens_], heads % dim, -1).astype(np.int32)
+        flat = numbers[coded.indices.to_numpy(zero_copy_only=False)]
+        some = flat >= 0  # a blank at the begin or end has nothing on its other side
+        bounds = np.r_[0, np.cumsum(some)][np.r_[0, np.cumsum(lens)]].astype(np.int32)
+        parts.append(pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat[some]), mask=pc.is_null(found)))
+        at, done = end, ends[end - 1]
+    return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
+
+
 def _histogram_udf(dim: int):
     @F.arrow_udf(T.ArrayType(T.FloatType()))
-    def histogram(buckets: pa.Array) -> pa.Array:
-        return histograms(buckets, dim)
+    def histogram(words: pa.Array) -> pa.Array:
+        return histograms(numbered(words, dim), dim)
     # Non-deterministic only to the optimizer: it must not copy the UDF into
     # a pushed-down filter (that would evaluate it twice, once before a
     # repartition on the unspread input).
@@ -73,8 +99,8 @@ def hash_embed(df: DataFrame, dim: int = 256, *, text_col: str = "text",
                out_col: str = "embedding") -> DataFrame:
     """Add ``out_col`` ARRAY<FLOAT>(dim); NULL when the text has no token."""
     hist = _histogram_udf(dim)
-    return (df.withColumn("_buckets", token_buckets(text_col, dim))
-            .withColumn(out_col, hist(F.col("_buckets"))).drop("_buckets"))
+    return (df.withColumn("_words", F.regexp_replace(F.lower(F.col(text_col)), TOKEN_SPLIT, " "))
+            .withColumn(out_col, hist(F.col("_words"))).drop("_words"))
 
 
 # Texts given to a model at once.

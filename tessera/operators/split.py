@@ -3,14 +3,13 @@
 Everything runs as native higher-order functions over one document's arrays
 (no Python, no shuffle):
 
-1. *Descent*: only pieces longer than ``max_chars`` are split at the next,
-   finer level (paragraph -> line -> sentence -> word -> hard cut).  Each
-   piece keeps the joiner that separated it from its predecessor.
-2. *Packing*: one ``aggregate`` fold over the pieces carries only integers
-   (current length, open segment start/count, closed bounds) and greedily
-   fills segments left to right.
-3. *Assembly*: segment texts are ``array_join`` of piece slices.
-4. *Overlap*: segment ``i > 0`` is prefixed by the longest run of whole
+1. *Descent*: a piece longer than ``max_chars`` is split at the next, finer
+   level (paragraph -> line -> sentence -> word -> hard cut), level within level, so
+   that a piece that fits is not looked at again.  Each piece keeps the joiner that
+   separated it from its predecessor.
+2. *Packing*: one ``aggregate`` fold over the pieces carries the open segment
+   and the closed ones and greedily fills segments left to right.
+3. *Overlap*: segment ``i > 0`` is prefixed by the longest run of whole
    trailing sentences of segment ``i-1`` that fits ``overlap`` and keeps the
    total within ``max_chars``; otherwise by nothing.
 
@@ -23,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera import errors as E
-from tessera.functions.text import jtrim
+from tessera.functions.text import _once, jtrim
 
 # Split levels (regex, joiner) and the strategies using them.
 LEVELS = {
@@ -40,70 +39,53 @@ STRATEGIES = {
 DEFAULT_MAX_CHARS = 1000
 DEFAULT_OVERLAP = 200
 
-_SENTENCE = LEVELS["sentence"][0]
+# Java tries a look-behind at every character, but this one only at blanks; it finds the same.
+_FASTER = {LEVELS["sentence"][0]: r"\s(?<=[.!?]\s)\s*+"}
+_BLANKS = " \t\n\x0b\f\r"
 
 
-def _piece(t: Column, j: Column) -> Column:
-    return F.struct(t.alias("t"), j.alias("j"))
+def _split(text: Column, regex: str) -> Column:
+    return F.split(text, _FASTER.get(regex, regex))
 
 
-def _descend(pieces: Column, regex: str, joiner: str, max_chars: int) -> Column:
-    def one(p):
-        subs = F.split(jtrim(p["t"]), regex)
-        return F.when(F.length(p["t"]) <= max_chars, F.array(p)).otherwise(
-            F.transform(subs, lambda s, i: _piece(s, F.when(i == 0, p["j"]).otherwise(F.lit(joiner)))))
-    return F.flatten(F.transform(pieces, one))
+def _trim(t: Column) -> Column:
+    """As :func:`jtrim`, by its pattern only where that one's ``$`` has more than one meaning: before a last
+    line separator."""
+    odd = t.endswith("\u0085") | t.endswith("\u2028") | t.endswith("\u2029")
+    return F.when(odd, jtrim(t)).otherwise(F.btrim(t, F.lit(_BLANKS)))
 
 
-def _hard_cut(pieces: Column, max_chars: int) -> Column:
-    def one(p):
-        n = F.floor((F.length(p["t"]) - 1) / max_chars).cast("int")
-        chunks = F.transform(F.sequence(F.lit(0), n), lambda i: _piece(
-            F.substring(p["t"], i * max_chars + 1, max_chars),
-            F.when(i == 0, p["j"]).otherwise(F.lit(""))))
-        return F.when(F.length(p["t"]) <= max_chars, F.array(p)).otherwise(chunks)
-    return F.flatten(F.transform(pieces, one))
+def _piece(t: Column, j: Column) -> Column:
+    return F.struct(t.alias("t"), j.alias("j"))
 
 
-def pieces_expr(text: Column, strategy: str, max_chars: int) -> Column:
-    """Trimmed, non-blank pieces (struct t, j) none longer than ``max_chars``."""
-    pieces = F.array(_piece(text, F.lit("")))
-    for level in STRATEGIES[strategy]:
-        regex, joiner = LEVELS[level]
-        pieces = _descend(pieces, regex, joiner, max_chars)
-    pieces = _hard_cut(pieces, max_chars)
-    pieces = F.transform(pieces, lambda p: _piece(jtrim(p["t"]), p["j"]))
-    return F.filter(pieces, lambda p: F.length(p["t"]) > 0)
+def _descend(t: Column, j: Column, levels: tuple[str, ...], max_chars: int) -> Column:
+    """The pieces of ``t``, whose own joiner is ``j``; a blank piece is empty."""
+    if levels:
+        regex, joiner = LEVELS[levels[0]]
+        finer = F.flatten(F.transform(_split(_trim(t), regex), lambda s, i: _descend(
+            s, F.when(i == 0, j).otherwise(F.lit(joiner)), levels[1:], max_chars)))
+    else:
+        n = F.floor((F.length(t) - 1) / max_chars).cast("int")
+        finer = F.transform(F.sequence(F.lit(0), n), lambda i: _piece(
+            _trim(F.substring(t, i * max_chars + 1, max_chars)), F.when(i == 0, j).otherwise(F.lit(""))))
+    return F.when(F.length(t) <= max_chars, F.array(_piece(_trim(t), j))).otherwise(finer)
 
 
 def _pack(pieces: Column, max_chars: int) -> Column:
-    """Greedy packing -> array<struct<start:int, n:int>> (0-based start)."""
-    indexed = F.transform(pieces, lambda p, i: F.struct(
-        F.length(p["t"]).alias("len"), F.length(p["j"]).alias("jl"), i.alias("i")))
-    zero = F.struct(F.lit(0).alias("cur"), F.lit(-1).alias("start"), F.lit(0).alias("n"),
-                    F.array().cast("array<struct<start:int,n:int>>").alias("closed"))
+    """Greedy packing -> array<string>; empty pieces are passed over."""
+    zero = F.struct(F.lit(0).alias("n"), F.lit("").alias("open"), F.expr("cast(array() as array<string>)").alias("closed"))
 
-    def step(acc, x):
-        fits = (acc["n"] > 0) & (acc["cur"] + x["jl"] + x["len"] <= max_chars)
-        closed = F.when(acc["n"] > 0, F.array_append(acc["closed"], F.struct(
-            acc["start"].alias("start"), acc["n"].alias("n")))).otherwise(acc["closed"])
-        return F.when(fits, F.struct(
-            (acc["cur"] + x["jl"] + x["len"]).alias("cur"), acc["start"].alias("start"),
-            (acc["n"] + 1).alias("n"), acc["closed"].alias("closed"))).otherwise(F.struct(
-                x["len"].alias("cur"), x["i"].alias("start"), F.lit(1).alias("n"),
-                closed.alias("closed")))
-
-    def finish(acc):
-        return F.when(acc["n"] > 0, F.array_append(acc["closed"], F.struct(
-            acc["start"].alias("start"), acc["n"].alias("n")))).otherwise(acc["closed"])
-
-    return F.aggregate(indexed, zero, step, finish)
+    def closed(acc):
+        return F.when(acc["n"] > 0, F.array_append(acc["closed"], acc["open"])).otherwise(acc["closed"])
 
+    def step(acc, x):
+        n = acc["n"] + F.length(x["j"]) + F.length(x["t"])
+        grown = F.struct(n.alias("n"), F.concat(acc["open"], x["j"], x["t"]).alias("open"), acc["closed"].alias("closed"))
+        fresh = F.struct(F.length(x["t"]).alias("n"), x["t"].alias("open"), closed(acc).alias("closed"))
+        return F.when(x["t"] == "", acc).when((acc["n"] > 0) & (n <= max_chars), grown).otherwise(fresh)
 
-def _assemble(pieces: Column, bounds: Column) -> Column:
-    return F.transform(bounds, lambda b: F.array_join(F.transform(
-        F.slice(pieces, b["start"] + 1, b["n"]),
-        lambda p, k: F.when(k == 0, p["t"]).otherwise(F.concat(p["j"], p["t"]))), ""))
+    return F.aggregate(pieces, zero, step, closed)
 
 
 def _with_overlap(segs: Column, overlap: int, max_chars: int) -> Column:
@@ -111,22 +93,32 @@ def _with_overlap(segs: Column, overlap: int, max_chars: int) -> Column:
         return segs
     # Pair each segment with its predecessor up front: a lambda that reads the
     # whole array by index would re-evaluate the array once per element.
-    prevs = F.concat(F.array(F.lit(None).cast("string")),
-                     F.slice(segs, 1, F.greatest(F.size(segs) - 1, F.lit(0))))
+    prevs = F.slice(F.concat(F.array(F.lit(None).cast("string")), segs), 1, F.size(segs))
 
     def one(z):
         cur, prev = z["cur"], z["prev"]
-        sents = F.reverse(F.split(prev, _SENTENCE))
-        run = F.aggregate(
-            sents, F.struct(F.lit(0).alias("tot"), F.array().cast("array<int>").alias("ends")),
-            lambda acc, s: F.struct(
-                (acc["tot"] + F.length(s) + F.when(acc["tot"] > 0, 1).otherwise(0)).alias("tot"),
-                F.array_append(acc["ends"], acc["tot"] + F.length(s)
-                               + F.when(acc["tot"] > 0, 1).otherwise(0)).alias("ends")))
         limit = F.least(F.lit(overlap), F.lit(max_chars - 1) - F.length(cur))
-        c = F.size(F.filter(run["ends"], lambda e: e <= limit))
-        ov = F.array_join(F.reverse(F.slice(sents, 1, F.greatest(c, F.lit(1)))), " ")
-        return F.when(prev.isNotNull() & (c > 0), F.concat(ov, F.lit(" "), cur)).otherwise(cur)
+
+        def fit(acc, s):
+            tot = acc["tot"] + F.length(s) + F.when(acc["tot"] > 0, 1).otherwise(0)
+            return F.struct(tot.alias("tot"), (acc["n"] + F.when(tot <= limit, 1).otherwise(0)).alias("n"))
+
+        def prefixed(text, unless):
+            def use(sents):
+                run = F.aggregate(sents, F.struct(F.lit(0).alias("tot"), F.lit(0).alias("n")), fit)
+
+                def joined(r):
+                    found = F.concat(F.array_join(F.reverse(F.slice(sents, 1, r["n"])), " "), F.lit(" "), cur)
+                    return unless(r, F.when(r["n"] > 0, found).otherwise(cur))
+                return _once(run, joined)
+            return _once(F.reverse(_split(text, LEVELS["sentence"][0])), use)
+
+        # The last characters of the predecessor show what fits, unless they hold so many
+        # blanks that one more sentence might.
+        tail = F.ltrim(F.substring(prev, -(limit + 2), limit + 2), F.lit(_BLANKS))
+        vague = lambda r: (r["tot"] <= limit) & (F.length(prev) > limit + 2)
+        out = prefixed(tail, lambda r, found: F.when(vague(r), prefixed(prev, lambda _, all_: all_)).otherwise(found))
+        return F.when(prev.isNull() | (limit <= 0), cur).otherwise(out)
     zipped = F.arrays_zip(segs.alias("cur"), prevs.alias("prev"))
     return F.transform(zipped, one)
 
@@ -148,11 +140,9 @@ def with_segments(df: DataFrame, text_col: str, strategy: str = "Recursive",
     re-evaluated per element).
     """
     _check(strategy, max_chars, overlap)
-    staged = (df.withColumn("_pieces", pieces_expr(F.col(text_col), strategy, max_chars))
-              .withColumn("_bounds", _pack(F.col("_pieces"), max_chars))
-              .withColumn("_plain", _assemble(F.col("_pieces"), F.col("_bounds"))))
-    return (staged.withColumn(out_col, _with_overlap(F.col("_plain"), overlap, max_chars))
-            .drop("_pieces", "_bounds", "_plain"))
+    pieces = _descend(F.col(text_col), F.lit(""), STRATEGIES[strategy], max_chars)
+    staged = df.withColumn("_pieces", pieces).withColumn("_plain", _pack(F.col("_pieces"), max_chars))
+    return staged.withColumn(out_col, _with_overlap(F.col("_plain"), overlap, max_chars)).drop("_pieces", "_plain")
 
 
 def split_documents(df: DataFrame, strategy: str = "Recursive",

@@ -42,3 +42,23 @@ def test_a_model_gets_few_texts_at_once_and_rows_keep_their_other_columns(spark)
     assert all((r.embedding is None) == (r.id % 5 == 0) and r.meta == {"k": str(r.id)} for r in got)
     assert all(r.embedding[0] <= MODEL_ROWS and r.embedding[1] == r.id % 7 for r in got if r.embedding)
     assert [r.s for r in got] == [r.s for r in df.collect()]
+
+
+def test_tokens_are_numbered_once_a_slice_and_as_by_the_native_expression(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from tessera.operators import embed
+    rng = np.random.default_rng(4)
+    texts = [None, "", " .,! ", "Eins,zwei;DREI", "ÄÖ ß İ Σας 😀 x2²", "a b c", *[" ".join(f"W{n}" for n in rng.integers(0, 90, k)) for k in range(300)]]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string").coalesce(1)
+    rows = df.select("id", F.regexp_replace(F.lower("text"), embed.TOKEN_SPLIT, " ").alias("words"), embed.token_buckets("text", 64).alias("buckets")).orderBy("id").collect()
+    calls, plain = [], embed.md5
+    monkeypatch.setattr(embed, "md5", lambda t: calls.append(t) or plain(t))
+    words = pa.array([r.words for r in rows], pa.string())
+    assert embed.numbered(words, 64).to_pylist() == [r.buckets for r in rows]
+    assert len(calls) < 120  # of 45,000 tokens
+    monkeypatch.setattr(embed, "SLICE_BYTES", 100)
+    assert embed.numbered(words.slice(2), 64).to_pylist() == [r.buckets for r in rows[2:]]
+    assert embed.numbered(words.slice(0, 0), 64).to_pylist() == []
+    plan = embed.hash_embed(df, 64)._jdf.queryExecution().executedPlan().toString()
+    assert "md5" not in plan

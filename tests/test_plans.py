@@ -72,3 +72,9 @@ def test_retrieval_join_back_never_shuffles_the_store(spark):
     import __spark_entry__ as se
     plan = _plan(se.queries()["get_from_knowledge"](spark, SF_SMALL))
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_a_page_is_stripped_once(spark):
+    from tessera.operators.parse import parse
+    plan = _plan(parse(FX.typed_docs(spark, SF_SMALL)).select("doc_id", "text"))
+    assert plan.count(r"(?is)\A") == 4  # what is before the body, and after it, in both parts of the union

@@ -120,3 +120,31 @@ def test_split_window(spark):
 def test_split_plan_has_no_python(spark, docs):
     plan = split_documents(docs, "Recursive")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan
+
+
+ODD = ["  \n\n ", "One.  " * 400, ("Short one. " + " " * 300 + "Next! ") * 60, "x" * 2500 + ". " + "y" * 10 + "\n \n" + "z " * 900,
+       "A b.\x0b\f\r\n\t\n" * 300 + "\u2028", ("Wort für Wort? " * 9 + "\u2028\n\n  \u2028") * 40, "\u0085 a. \u2029" * 500, "é😀. " * 1500,
+       ". " * 1300, "a. b. c.d! " * 300, ("q" * 195 + ". ") * 30, ("r" * 198 + ".   ") * 30, ("s" * 900 + ".\n" + "t" * 70 + ".    u. v.\n") * 9]
+
+
+@pytest.mark.parametrize("mx,ov", [(1000, 200), (300, 250), (12, 5), (1, 0)])
+def test_odd_texts_split_alike(spark, mx, ov):
+    def jtrim(t):  # Java's $ also stands before a last line separator
+        last = t[-1:] if t[-1:] in ("\u0085", "\u2028", "\u2029") else ""
+        return t[:len(t) - len(last)].strip(" \t\n\x0b\f\r") + last
+    plain, globals()["_jtrim"] = _jtrim, jtrim
+    try:
+        for strategy in STRATEGIES:
+            df = spark.createDataFrame(list(enumerate(ODD)), "doc_id long, text string")
+            got = {k: [] for k in range(len(ODD))}
+            for r in split_documents(df, strategy, mx, ov).where("index is not null").collect():
+                got[r.doc_id].append((r["index"], r.text))
+            for k, text in enumerate(ODD):
+                assert [t for _, t in sorted(got[k])] == py_split(text, strategy, mx, ov), (strategy, k)
+    finally:
+        globals()["_jtrim"] = plain
+
+
+def test_each_fold_of_the_splitter_is_named_once(spark, docs):
+    plan = split_documents(docs, "Recursive")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("aggregate(") == 3  # packing; overlap by the last characters, or by all
