@@ -242,12 +242,13 @@ def html_to_markdown(html) -> Column:
 
 def content_uuid(text) -> Column:
     """Name-based (MD5, version 3) UUID of the UTF-8 text."""
-    h = F.md5(F.encode(_c(text), "UTF-8"))
-    variant = F.substring(F.lit("89ab"),
-                          (F.conv(F.substring(h, 17, 1), 16, 10).cast("int") % 4) + 1, 1)
-    return F.concat(F.substring(h, 1, 8), F.lit("-"), F.substring(h, 9, 4), F.lit("-3"),
-                    F.substring(h, 14, 3), F.lit("-"), variant, F.substring(h, 18, 3),
-                    F.lit("-"), F.substring(h, 21, 12))
+    def grouped(h: Column) -> Column:
+        variant = F.substring(F.lit("89ab"),
+                              (F.conv(F.substring(h, 17, 1), 16, 10).cast("int") % 4) + 1, 1)
+        return F.concat(F.substring(h, 1, 8), F.lit("-"), F.substring(h, 9, 4), F.lit("-3"),
+                        F.substring(h, 14, 3), F.lit("-"), variant, F.substring(h, 18, 3),
+                        F.lit("-"), F.substring(h, 21, 12))
+    return _once(F.md5(F.encode(_c(text), "UTF-8")), grouped)
 
 
 # The pattern of a summary in a model's answer, and that of a

@@ -84,7 +84,9 @@ def _write_rows(rows: DataFrame, path: str, bucketed: bool, mode: str) -> None:
     if bucketed:
         rows = rows.withColumn("bucket", bucket_of(F.col("id"))).hint("rebalance", "namespace", "bucket")
         levels.append("bucket")
-    rows.write.mode(mode).option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(*levels).parquet(path)
+    # A dictionary of the vectors' numbers would soon be given up, after it was filled for each file.
+    (rows.write.mode(mode).option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
+     .option("parquet.enable.dictionary#embedding.list.element", "false").partitionBy(*levels).parquet(path))
 
 
 def uses_buckets(spark: SparkSession, path: str, wanted: bool = False) -> bool:

@@ -78,3 +78,8 @@ def test_a_page_is_stripped_once(spark):
     from tessera.operators.parse import parse
     plan = _plan(parse(FX.typed_docs(spark, SF_SMALL)).select("doc_id", "text"))
     assert plan.count(r"(?is)\A") == 4  # what is before the body, and after it, in both parts of the union
+
+
+def test_a_content_id_takes_one_md5(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    assert _plan(docs.select(F.when(F.length("text") > 0, X.content_uuid("text")).alias("id"))).count("md5(") == 1
