@@ -28,6 +28,7 @@ WATERMARK_DELAY_SECONDS = 3600
 
 
 STREAM_PARTS, FILES_PER_PART = 3, 4
+EVENTS_A_KEY = 512
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -145,13 +146,14 @@ def q_stream_tool_calls_early(spark, sf_dir):
     """T4/T5: the same calls with state and timers: those with a result come out in the
     micro-batch that brings it (``early``), the others when the watermark passes their time-out."""
     calls, results, own = _tool_streams(spark, sf_dir)
+    keys = table(spark, sf_dir, "events").count() // EVENTS_A_KEY + 1
     path = scratch_path(spark, "tool-calls")
 
     def batch(df, batch_id):
         df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     with _rocksdb(spark):
-        run_available_now(match_as_they_come(calls, results, TIMEOUT_SECONDS, WATERMARK_DELAY_SECONDS), name="tool-calls", foreach_batch=batch)
+        run_available_now(match_as_they_come(calls, results, TIMEOUT_SECONDS, WATERMARK_DELAY_SECONDS, keys), name="tool-calls", foreach_batch=batch)
     rows = spark.read.schema(f"{CALL_SCHEMA}, batch_id int").parquet(path).where(F.col("kind") == "call")
     return rows.where(~F.col("seq").eqNullSafe(own)).select("session_id", "request_id", "seq", "result", "matched", (F.col("batch_id") == 0).alias("early"))
 

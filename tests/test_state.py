@@ -4,15 +4,17 @@ import datetime as dt
 import os
 import time
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValues
 
 from tessera.plans.q_stream import _rocksdb
 from tessera.sources.vector_store import scratch_path
 from tessera.streaming.runner import file_stream, run_available_now
 from tessera.streaming.sessions import expiring_window, latest_windows, running_window, stored_windows
 from tessera.streaming.summaries import summarizing_memory
-from tessera.streaming.tool_calls import match_as_they_come
+from tessera.streaming.tool_calls import OpenCalls, match_as_they_come
 
 T0 = dt.datetime(2024, 1, 1)
 EVENTS = "kind string, session_id string, request_id string, ts timestamp, seq long, result string"
@@ -66,6 +68,76 @@ def test_calls_are_answered_as_soon_as_they_can_be(spark, tmp_path):
     assert [(r[1], r[5]) for r in rest if r[0] == "late"] == [("a", "one"), ("b", "too late")]
 
 
+def test_a_call_comes_out_as_soon_as_the_watermark_passes_its_time_out(spark, tmp_path):
+    got = run_calls(spark, str(tmp_path / "e"), [[call("a", "x", 0.2, 1)], [call("z", "z", 15.8, 99)]])  # due at 10.2, watermark 10.8
+    assert sum(got.values(), []) == [("call", "a", "x", 1, False, "Tool execution failed")]
+
+
+class Handle:
+    """A state handle that counts what is asked of it."""
+
+    def __init__(self):
+        self.value, self.timers, self.asked = None, set(), 0
+
+    def getValueState(self, name, schema):
+        return self
+
+    def exists(self):
+        self.asked += 1
+        return self.value is not None
+
+    def get(self):
+        self.asked += 1
+        return self.value
+
+    def update(self, value):
+        self.asked, self.value = self.asked + 1, value
+
+    def clear(self):
+        self.update(None)
+
+    def registerTimer(self, at):
+        self.asked += 1
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.asked += 1
+        self.timers.remove(at)
+
+
+def test_many_calls_take_few_state_requests_and_one_timer():
+    n, handle, calls = 500, Handle(), OpenCalls(10)
+    calls.init(handle)
+
+    def rows(ids, at, is_call):
+        return pd.DataFrame({"session_id": "s", "request_id": [f"r{k}" for k in ids], "at": at, "no_time": False, "seq": ids, "has_seq": True,
+                             "result": None if is_call else "done", "is_call": is_call, "known": True})
+
+    def drain(frames):
+        return sorted((r.kind, r.seq, r.matched) for f in frames for r in f.itertuples())
+    times = [1_000_000 * k for k in range(n)]
+    assert drain(calls.handleInputRows((0,), iter([rows(range(n), times, True)]), None)) == []
+    assert handle.asked <= 4 and handle.timers == {10_001}
+    answered = drain(calls.handleInputRows((0,), iter([rows(range(0, n, 2), times[::2], False)]), None))
+    assert answered == [("call", k, True) for k in range(0, n, 2)] and handle.asked <= 8 and len(handle.timers) == 1
+    (due,) = handle.timers
+    late = drain(calls.handleExpiredTimer((0,), TimerValues(0, 2_000_000), ExpiredTimerInfo(due)))
+    assert late == [("call", k, False) for k in range(1, n, 2)] and handle.asked <= 12 and handle.value is None
+
+
+def test_the_first_result_in_time_answers_and_nulls_come_first():
+    handle, calls = Handle(), OpenCalls(10)
+    calls.init(handle)
+    big = 2**60 + 1
+    data = [("s", "x", 5, 1, True, None, True), ("s", "x", 0, big, True, None, True), ("s", "y", 0, 3, True, None, True), ("t", "x", 0, 0, False, None, True),
+            ("s", "x", 5, 8, True, "b", False), ("s", "x", 5, 0, False, "a", False), ("s", "y", 10_000_001, 9, True, "c", False), ("t", "x", 10_000_000, big, True, "d", False)]
+    rows = pd.DataFrame(data, columns=["session_id", "request_id", "at", "seq", "has_seq", "result", "is_call"]).assign(no_time=False, known=True)
+    (found,) = calls.handleInputRows((0,), iter([rows.iloc[:3], rows.iloc[3:]]), None)
+    assert sorted((r.session_id, -1 if r.seq is pd.NA else r.seq, r.result, r.result_seq is pd.NA) for r in found.itertuples()) == [
+        ("s", 1, "a", True), ("s", big, "a", True), ("t", -1, "d", False)]
+    assert big in found["result_seq"].dropna().tolist()
+
+
 def test_windows_with_null_seq_ties_and_expiry(spark, tmp_path):
     rows = [("s", 2, "USER", "b"), ("s", None, "AI", "n"), (None, 1, "USER", "x"), ("s", 2**60 + 1, "AI", "big")], [("s", 2, "USER", "a"), ("t", None, None, None), ("s", 3, "AI", "c")]
     for k, r in enumerate(rows):
