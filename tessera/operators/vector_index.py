@@ -9,7 +9,9 @@ in the same way.  Rows are stored by list number, a partition column.
 
 *Search.*  A query looks only into the lists whose centroids are nearest; the
 other lists' files are pruned by their partition.  There, every row is scored
-by table look-up on its codes, and just the best few of a list are scored by
+by its codes: rows are decoded once by table look-up, and all queries are
+multiplied with what the codes stand for.  Just the best few of every
+:data:`SHORTLIST_ROWS` rows are scored by
 their vectors.  The store is never shuffled: queries are broadcast in
 blocks of checked size, and tasks send their best ``k`` rows a query.
 
@@ -28,11 +30,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tessera.operators.search import BROADCAST_QUERY_BYTES, _reduce_topk
+from tessera.operators.search import BROADCAST_QUERY_BYTES, _raise_floor, _reduce_topk
 
 #: Rows that the index is trained on at most, chosen by a hash of their ids; every row is indexed.
 TRAIN_ROWS = 500_000
+#: A shortlist is taken of so many rows of a list, so that recall doesn't fall as lists grow.
+SHORTLIST_ROWS = 512
 _CELLS = 4 * 1024 * 1024
+# Scores by codes that are held at once, so that they stay in a core's cache.
+_GUESS_CELLS = 512 * 1024
+# Products of unit vectors in FLOAT are off by less than this.
+_FLOAT_SLACK = 1e-5
 
 
 @dataclass(frozen=True)
@@ -52,6 +60,10 @@ class Model:
         """What is left of the vectors without their centroids, by sub-vector."""
         return (units - self.centroids[lists]).reshape(len(units), len(self.words), -1)
 
+    def decode(self, number: int, codes: np.ndarray) -> np.ndarray:
+        """What the codes of rows of a list stand for."""
+        return self.centroids[number] + self.words[np.arange(len(self.words)), codes].reshape(len(codes), self.dim)
+
 
 def _nearest(parts: np.ndarray, words: np.ndarray) -> np.ndarray:
     """Number of the nearest word (least distance, then least number) of each part: parts [row, sub, width]."""
@@ -179,7 +191,7 @@ def append_index(df: DataFrame, path: str, *, id_col: str = "id", vec_col: str =
                          T.StructField("codes", T.BinaryType()), T.StructField("embedding", T.ArrayType(T.FloatType(), False))])
     rows = units.mapInArrow(encode, kind)
     files = max(1, math.ceil(df.count() / len(model.centroids) / rows_per_file))
-    rows = rows.repartition(F.col("list"), F.pmod(F.xxhash64("id"), F.lit(files)))
+    rows = rows.repartition(F.col("list"), F.pmod(F.xxhash64("id"), F.lit(files))).sortWithinPartitions("list", "id")
     rows.write.mode("append").partitionBy("list").parquet(f"{path}/rows")
 
 
@@ -200,34 +212,43 @@ def index_rows(spark: SparkSession, path: str, lists: list[int] | None = None) -
 
 
 def score_list(units: np.ndarray, model: Model, number: int, codes: np.ndarray, stored: np.ndarray, ids: np.ndarray, k: int,
-               shortlist: int, min_score: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-    """Best ``k`` rows of one list for each query (its place, id, score), and how many rows a query was scored against
-    by vectors.  All rows are scored by look-up first: a table [query, sub-vector, code] of products."""
+               shortlist: int, least: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Best ``k`` rows of one list for each query (its place, id, score) at its ``least`` score or more, and how many rows a
+    query was scored against by vectors (``stored``, FLOAT).  All rows are scored by their codes first, by distance: no codes of a list are
+    nearer to a vector than its own, so a stored query meets itself.  Of the shortlist, rows that are
+    among the best by FLOAT products get their scores by DOUBLE ones."""
     n = len(ids)
-    keep = min(shortlist, n)
-    base = units @ model.centroids[number]
+    keep = min(shortlist * math.ceil(n / SHORTLIST_ROWS), n)
+    names, named = np.unique(ids, return_inverse=True)
+    decoded = model.decode(number, codes)
+    decoded = np.vstack([decoded.T, -0.5 * (decoded ** 2).sum(1)])
+    coarse, wide, exact_rows = units.astype(np.float32), np.column_stack([units, np.ones(len(units))]), stored.astype(np.float64)
     out = []
-    step = max(1, _CELLS // max(n, model.words.shape[0] * model.words.shape[1], keep * model.dim))
+    step = max(1, _GUESS_CELLS // max(n, keep * model.dim))
     for a in range(0, len(units), step):
-        q = units[a:a + step]
-        table = np.einsum("qsw,scw->qsc", q.reshape(len(q), len(model.words), -1), model.words).astype(np.float32)
-        guess = np.repeat(base[a:a + step, None].astype(np.float32), n, axis=1)
-        for s in range(len(model.words)):
-            guess += table[:, s][:, codes[:, s]]
-        best = np.argpartition(-guess, keep - 1, axis=1)[:, :keep]
-        exact = np.round((1 + np.einsum("qd,qtd->qt", q, stored[best])) / 2, 6)
-        place = np.repeat(np.arange(a, a + len(q)), keep)
-        hit = exact.ravel() >= min_score
-        out.append(_reduce_topk(place[hit], ids[best.ravel()[hit]], exact.ravel()[hit], k))
-    place, found, score = (np.concatenate(x) for x in zip(*out))
-    return place, found, score, keep
+        q = coarse[a:a + step]
+        if keep < n:  # as FLOAT, rows of the same codes are level whatever the order of additions
+            best = np.argpartition((wide[a:a + step] @ decoded).astype(np.float32), n - keep, axis=1)[:, n - keep:]
+        else:
+            best = np.tile(np.arange(n), (len(q), 1))
+        cos = np.einsum("qd,qtd->qt", q, np.take(stored, best, axis=0))
+        floor = 2 * least[a:a + step] - 1
+        if keep > k and len(names) == n:  # no id twice: only what may be among the k best
+            floor = np.maximum(floor, np.partition(cos, keep - k, axis=1)[:, keep - k])
+        place, at = np.nonzero(cos >= (floor - _FLOAT_SLACK)[:, None])
+        rows, place = best[place, at], place + a
+        score = np.round((1 + np.einsum("nd,nd->n", units[place], exact_rows[rows])) / 2, 6)
+        hit = score >= least[place]
+        out.append((place[hit], named[rows[hit]], score[hit]))
+    place, found, score = _reduce_topk(*(np.concatenate(x) for x in zip(*out)), k)
+    return place, names[found], score, keep
 
 
 def index_topk(spark: SparkSession, path: str, queries: DataFrame, k: int, *, n_probe: int, shortlist: int = 6, min_score: float = 0.0,
                query_id_col: str = "query_id", query_vec_col: str = "embedding") -> DataFrame:
     """``query_id, id, score, rank, n_scored``: approximate top-``k`` by cosine relevance ``(1+cos)/2``, rounded to 6 places,
-    ties by id.  A query looks into the ``n_probe`` nearest lists; of each (and each Arrow batch) the best ``shortlist`` rows by codes
-    are scored by their vectors, which ``n_scored`` counts.
+    ties by id.  A query looks into the ``n_probe`` nearest lists; of each, the best ``shortlist`` rows by codes for every
+    :data:`SHORTLIST_ROWS` rows or part of them (of an Arrow batch) are scored by their vectors, which ``n_scored`` counts.
 
     Queries go to all executors in blocks of at most ``BROADCAST_QUERY_BYTES``; each block reads the lists that it
     probes.  Queries with null, zero or odd vectors have no hits; a repeated query id is one query with several vectors' hits.
@@ -247,8 +268,8 @@ def index_topk(spark: SparkSession, path: str, queries: DataFrame, k: int, *, n_
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             qids, matrix, near, model = shared.value
-            held = (np.zeros(0, np.int64), np.zeros(0, object), np.zeros(0))
-            scored = np.zeros(len(qids), np.int64)
+            held = (np.zeros(0, np.int64), None, np.zeros(0))
+            least, scored = np.full(len(qids), float(min_score)), np.zeros(len(qids), np.int64)
             for batch in batches:
                 lists = batch.column(1).to_numpy(zero_copy_only=False)
                 for number in np.unique(lists):
@@ -257,11 +278,14 @@ def index_topk(spark: SparkSession, path: str, queries: DataFrame, k: int, *, n_
                     if not len(asking):
                         continue
                     codes = np.frombuffer(b"".join(rows.column(2).to_pylist()), np.uint8).reshape(len(rows), -1)
-                    place, ids, score, n = score_list(matrix[asking], model, int(number), codes, _matrix(rows.column(3), model.dim),
-                                                      rows.column(0).to_numpy(zero_copy_only=False), k, shortlist, min_score)
+                    stored = rows.column(3).flatten().to_numpy(zero_copy_only=False).reshape(len(rows), model.dim)
+                    place, ids, score, n = score_list(matrix[asking], model, int(number), codes, stored,
+                                                      rows.column(0).to_numpy(zero_copy_only=False), k, shortlist, least[asking])
                     scored[asking] += n
-                    held = _reduce_topk(np.concatenate([held[0], asking[place]]), np.concatenate([held[1], ids]), np.concatenate([held[2], score]), k)
-            place, ids, score = held
+                    known = ids[:0] if held[1] is None else held[1]
+                    held = _reduce_topk(np.concatenate([held[0], asking[place]]), np.concatenate([known, ids]), np.concatenate([held[2], score]), k)
+                    _raise_floor(least, held[0], held[2], k)
+            place, ids, score = held[0], np.zeros(0, object) if held[1] is None else held[1], held[2]
             first = np.r_[True, place[1:] != place[:-1]] if len(place) else np.zeros(0, bool)
             count = np.where(first, scored[place], 0)
             yield pa.RecordBatch.from_arrays([pa.array(qids[place].tolist(), to_arrow_type(qid_type)), pa.array(ids.tolist(), to_arrow_type(id_type)),

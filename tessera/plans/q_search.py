@@ -118,7 +118,7 @@ SELECT vec_id AS query_id, 5 AS n_hits, true AS itself_first, true AS scores_rig
 """)
 def q_vector_index_topk(spark, sf_dir):
     """J-7: approximate top-5 of every stored vector from a stored index (16 lists, 12 probed; 32 codes of
-    4 bits a vector; 6 rows of a list scored by their vectors), held against the exact search: hits by query, whether
+    4 bits a vector; 6 of 512 rows of a list scored by their vectors), held against the exact search: hits by query, whether
     the vector itself is first, whether all scores are the exact ones, and, over all
     queries, recall@5 of 0.9 or more with under 15 % of all pairs scored by vectors."""
     from tessera.operators.search import vector_topk

@@ -102,3 +102,32 @@ def test_queries_in_several_blocks(spark, tmp_path, monkeypatch):
 def test_sub_vectors_must_divide_the_width(spark, tmp_path):
     with pytest.raises(ValueError):
         VI.build_index(frame(spark, [1], [[1, 2, 3]]), str(tmp_path), dim=3, n_lists=1, n_sub=2)
+
+
+def test_recall_holds_in_long_lists_and_near_copies_meet_themselves(spark, tmp_path):
+    rng = np.random.default_rng(3)
+    plain, near = rng.normal(size=(6000, 64)), rng.normal(size=(40, 64))[np.arange(2000) % 40] + 0.1 * rng.normal(size=(2000, 64))
+    data = np.concatenate([plain, near])
+    VI.build_index(frame(spark, range(8000), data), str(tmp_path), dim=64, n_lists=4)
+    asked = list(range(0, 8000, 40))
+    got = VI.index_topk(spark, str(tmp_path), frame(spark, asked, data[asked], "query_id"), 5, n_probe=4).collect()
+    want = brute(data, data[asked], 5)
+    assert all(r.id == r.query_id and r.score == 1.0 for r in got if r["rank"] == 1)
+    assert sum(r.id in want[asked.index(r.query_id)] for r in got if r.query_id < 6000) / (5 * 150) >= 0.9
+    assert sum(r.n_scored for r in got if r["rank"] == 1) < 0.02 * len(asked) * len(data)
+
+
+def test_codes_are_scored_for_many_queries_in_one_product(monkeypatch):
+    rng = np.random.default_rng(4)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    model = VI.Model(unit(rng.normal(size=(1, 8))), 0.3 * rng.normal(size=(4, 16, 2)))
+    units, codes = unit(rng.normal(size=(300, 8))), rng.integers(0, 16, (1000, 4)).astype(np.uint8)
+    decoded = model.decode(0, codes)
+    assert np.allclose(decoded[7], model.centroids[0] + np.concatenate([model.words[s, codes[7, s]] for s in range(4)]))
+    stored, ids = unit(decoded).astype(np.float32), np.arange(1000)
+    place, found, score, n = VI.score_list(units, model, 0, codes, stored, ids, 3, 2, np.full(300, -1.0))
+    assert n == 4  # two of each 512 rows or part of them
+    nearest = np.argsort(((units[:, None] - decoded[None]) ** 2).sum(2), axis=1)[:, :4]
+    assert all(set(found[place == q]) <= set(nearest[q]) or len(np.unique(codes[nearest[q]], axis=0)) < 4 for q in range(300))
+    assert np.allclose(score, (1 + (units[place] * stored[found]).sum(1)) / 2, atol=1e-6)
+    assert (np.bincount(place) == 3).all()
