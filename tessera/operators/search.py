@@ -56,8 +56,8 @@ def _local_topk(ids: np.ndarray, smat: np.ndarray, qids: np.ndarray, qunit: np.n
                 k: int, min_score: float | np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Top-k (score desc, id asc) of one block; scores are (1+cos)/2 rounded to 6.
     ``qunit`` has rows of length 1.  ``min_score`` is one number or one for each query.  Rows of one id are one, with its
-    best score.  Chunks of at most ``SCORE_CHUNK_CELLS`` cosines are met by what each query
-    asks for at least, which rises with its k-th hit so far; only the others are rounded and sorted."""
+    best score.  Chunks of at most ``SCORE_CHUNK_CELLS`` cosines (FLOAT) are met by what each query
+    asks for at least, which rises with its k-th hit so far; only the others are scored by DOUBLE products, rounded and sorted."""
     if len(ids) == 0 or len(qids) == 0:
         return qids[:0], ids[:0], np.zeros(0)
     order = np.argsort(ids, kind="stable")
@@ -65,6 +65,7 @@ def _local_topk(ids: np.ndarray, smat: np.ndarray, qids: np.ndarray, qunit: np.n
     first = np.r_[True, ids[1:] != ids[:-1]]
     number, firsts = np.cumsum(first) - 1, np.flatnonzero(first)
     least = np.broadcast_to(np.asarray(min_score, dtype=np.float64), (len(qids),))
+    coarse, rows, slack = qunit.astype(np.float32), sunit.astype(np.float32), _float_slack(sunit.shape[1])
     width = min(len(ids), SCORE_CHUNK_ROWS)
     step = max(1, SCORE_CHUNK_CELLS // width)
     out_q, out_s, out_v = [], [], []
@@ -72,12 +73,12 @@ def _local_topk(ids: np.ndarray, smat: np.ndarray, qids: np.ndarray, qunit: np.n
         q, floor = qunit[lo:lo + step], least[lo:lo + step].copy()
         hits = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
         for at in range(0, len(ids), width):
-            cos = q @ sunit[at:at + width].T
-            qi, si = _near(cos, floor)
+            cos = coarse[lo:lo + step] @ rows[at:at + width].T
+            qi, si = _near(cos, floor, slack)
             if len(qi) > 4 * k * len(q):  # many: the chunk's own k-th hits tell more
-                floor = np.maximum(floor, _kth(cos, first[at:at + width], k))
-                qi, si = _near(cos, floor)
-            sc = np.round((1.0 + cos[qi, si]) / 2.0, 6)
+                floor = np.maximum(floor, _kth(cos, first[at:at + width], k) - slack)
+                qi, si = _near(cos, floor, slack)
+            sc = np.round((1.0 + np.einsum("nd,nd->n", q[qi], sunit[at + si])) / 2.0, 6)
             good = sc >= floor[qi]
             if good.any():
                 hits = _reduce_topk(*(np.concatenate(x) for x in zip(hits, (qi[good], number[at + si[good]], sc[good]))), k)
@@ -88,9 +89,24 @@ def _local_topk(ids: np.ndarray, smat: np.ndarray, qids: np.ndarray, qunit: np.n
     return qids[np.concatenate(out_q)], ids[firsts[np.concatenate(out_s)]], np.concatenate(out_v)
 
 
-def _near(cos: np.ndarray, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _float_slack(dim: int) -> float:
+    """No FLOAT product of unit vectors is further off (an addition and a product by 2^-24 each, twice for the sides' own rounding)."""
+    return COSINE_SLACK + (dim + 4) * 2.0 ** -23
+
+
+def _near(cos: np.ndarray, floor: np.ndarray, slack: float) -> tuple[np.ndarray, np.ndarray]:
     """Places whose score may be ``floor`` or more (never a NaN)."""
-    return np.divmod(np.flatnonzero(cos >= (2.0 * floor - 1.0 - COSINE_SLACK)[:, None]), cos.shape[1])
+    return np.divmod(_places(cos >= (2.0 * floor - 1.0 - slack).astype(cos.dtype)[:, None]), cos.shape[1])
+
+
+def _places(mask: np.ndarray) -> np.ndarray:
+    """``np.flatnonzero``, looking at eight places at a time: nearly all are False."""
+    flat = mask.ravel()
+    whole = len(flat) // 8 * 8
+    eights = flat[:whole].reshape(-1, 8)
+    some = np.flatnonzero(flat[:whole].view(np.uint64))
+    row, at = np.nonzero(eights[some])
+    return np.concatenate([some[row] * 8 + at, whole + np.flatnonzero(flat[whole:])])
 
 
 def _kth(cos: np.ndarray, first: np.ndarray, k: int) -> np.ndarray:

@@ -30,17 +30,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tessera.operators.search import BROADCAST_QUERY_BYTES, _raise_floor, _reduce_topk
+from tessera.operators.search import BROADCAST_QUERY_BYTES, _float_slack, _places, _raise_floor, _reduce_topk
 
 #: Rows that the index is trained on at most, chosen by a hash of their ids; every row is indexed.
 TRAIN_ROWS = 500_000
 #: A shortlist is taken of so many rows of a list, so that recall doesn't fall as lists grow.
 SHORTLIST_ROWS = 512
 _CELLS = 4 * 1024 * 1024
-# Scores by codes that are held at once, so that they stay in a core's cache.
+# Scores by codes that are held at once, so that they stay in a core's cache, and rows among them (a whole number of shortlists).
 _GUESS_CELLS = 512 * 1024
-# Products of unit vectors in FLOAT are off by less than this.
-_FLOAT_SLACK = 1e-5
+_GUESS_ROWS = 4 * SHORTLIST_ROWS
 
 
 @dataclass(frozen=True)
@@ -217,31 +216,47 @@ def score_list(units: np.ndarray, model: Model, number: int, codes: np.ndarray,
     query was scored against by vectors (``stored``, FLOAT).  All rows are scored by their codes first, by distance: no codes of a list are
     nearer to a vector than its own, so a stored query meets itself.  Of the shortlist, rows that are
     among the best by FLOAT products get their scores by DOUBLE ones."""
-    n = len(ids)
-    keep = min(shortlist * math.ceil(n / SHORTLIST_ROWS), n)
     names, named = np.unique(ids, return_inverse=True)
-    decoded = model.decode(number, codes)
-    decoded = np.vstack([decoded.T, -0.5 * (decoded ** 2).sum(1)])
-    coarse, wide, exact_rows = units.astype(np.float32), np.column_stack([units, np.ones(len(units))]), stored.astype(np.float64)
-    out = []
-    step = max(1, _GUESS_CELLS // max(n, keep * model.dim))
-    for a in range(0, len(units), step):
-        q = coarse[a:a + step]
-        if keep < n:  # as FLOAT, rows of the same codes are level whatever the order of additions
-            best = np.argpartition((wide[a:a + step] @ decoded).astype(np.float32), n - keep, axis=1)[:, n - keep:]
-        else:
-            best = np.tile(np.arange(n), (len(q), 1))
-        cos = np.einsum("qd,qtd->qt", q, np.take(stored, best, axis=0))
-        floor = 2 * least[a:a + step] - 1
-        if keep > k and len(names) == n:  # no id twice: only what may be among the k best
-            floor = np.maximum(floor, np.partition(cos, keep - k, axis=1)[:, keep - k])
-        place, at = np.nonzero(cos >= (floor - _FLOAT_SLACK)[:, None])
-        rows, place = best[place, at], place + a
-        score = np.round((1 + np.einsum("nd,nd->n", units[place], exact_rows[rows])) / 2, 6)
-        hit = score >= least[place]
-        out.append((place[hit], named[rows[hit]], score[hit]))
+    once = len(names) == len(ids)
+    coarse, wide, exact = units.astype(np.float32), np.column_stack([units, np.ones(len(units))]), stored.astype(np.float64)
+    least, slack = least.copy(), _float_slack(model.dim)
+    out, scored = [], 0
+    for lo in range(0, len(ids), _GUESS_ROWS):
+        decoded = model.decode(number, codes[lo:lo + _GUESS_ROWS])
+        decoded = np.vstack([decoded.T, -0.5 * (decoded ** 2).sum(1)])
+        n = decoded.shape[1]
+        keep = min(shortlist * math.ceil(n / SHORTLIST_ROWS), n)
+        scored += keep
+        step = max(1, _GUESS_CELLS // max(n, keep * model.dim))
+        for a in range(0, len(units), step):
+            q = coarse[a:a + step]
+            # as FLOAT, rows of the same codes are level whatever the order of additions
+            best = lo + _best((wide[a:a + step] @ decoded).astype(np.float32), keep)
+            cos = np.einsum("qd,qtd->qt", q, np.take(stored, best, axis=0))
+            floor = 2 * least[a:a + step] - 1
+            if keep > k and once:  # only what may be among the k best
+                floor = np.maximum(floor, np.partition(cos, keep - k, axis=1)[:, keep - k])
+                least[a:a + step] = np.maximum(least[a:a + step], (1 + floor - slack) / 2 - 1e-6)
+            place, at = np.nonzero(cos >= (floor - slack)[:, None])
+            rows, place = best[place, at], place + a
+            score = np.round((1 + np.einsum("nd,nd->n", units[place], exact[rows])) / 2, 6)
+            hit = score >= least[place]
+            out.append((place[hit], named[rows[hit]], score[hit]))
     place, found, score = _reduce_topk(*(np.concatenate(x) for x in zip(*out)), k)
-    return place, names[found], score, keep
+    return place, names[found], score, scored
+
+
+def _best(guess: np.ndarray, keep: int) -> np.ndarray:
+    """Places of the ``keep`` greatest of each row, of equal ones the first."""
+    n = guess.shape[1]
+    if keep == n:
+        return np.tile(np.arange(n), (len(guess), 1))
+    row, at = np.divmod(_places(guess >= np.partition(guess, n - keep, axis=1)[:, n - keep, None]), n)
+    if len(row) > keep * len(guess):  # ties with the last
+        order = np.lexsort((at, -guess[row, at], row))
+        row, at = row[order], at[order]
+        at = at[np.arange(len(row)) - np.searchsorted(row, row) < keep]
+    return at.reshape(len(guess), keep)
 
 
 def index_topk(spark: SparkSession, path: str, queries: DataFrame, k: int, *, n_probe: int, shortlist: int = 6, min_score: float = 0.0,

@@ -159,3 +159,33 @@ def test_lsh_floor_changes_no_hit(spark):
     got = [{tuple(r) for r in vector_topk_approx(s, q, 5, 0.5, dim=16, n_tables=6, n_bits=3, block_rows=rows, floor_share=share).collect()}
            for rows, share in ((None, 10**9), (None, 1), (40, 4))]
     assert got[0] == got[1] == got[2] and len(got[0]) > 200
+
+
+def test_places_are_those_of_flatnonzero():
+    from tessera.operators.search import _places
+    rng = np.random.default_rng(1)
+    for shape, share in (((3, 5), 0.5), ((7, 9), 0.1), ((16, 8), 0.0), ((0, 4), 0.0), ((5, 13), 1.0)):
+        mask = rng.random(shape) < share
+        assert _places(mask).tolist() == np.flatnonzero(mask).tolist()
+
+
+def test_scores_closer_than_float_products_tell_keep_their_order():
+    from tessera.operators.search import _local_topk
+    rng = np.random.default_rng(2)
+    query = rng.normal(size=(1, 64))
+    store = np.concatenate([query + 1e-3 * rng.normal(size=(300, 64)), rng.normal(size=(9000, 64))])
+    store = store[rng.permutation(len(store))]
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    score = np.round((1 + unit(query) @ unit(store).T) / 2, 6)[0]
+    want = np.lexsort((np.arange(len(store)), -score))[:7]
+    q, i, s = _local_topk(np.arange(len(store)), store.copy(), np.array([0]), unit(query), 7, 0.0)
+    assert i.tolist() == want.tolist() and s.tolist() == score[want].tolist()
+
+
+def test_a_list_of_equal_codes_takes_no_more_than_its_shortlist():
+    from tessera.operators.vector_index import _best
+    level = np.zeros((3, 40), np.float32)
+    level[1, 30] = 1
+    assert _best(level, 4).tolist() == [[0, 1, 2, 3], [30, 0, 1, 2], [0, 1, 2, 3]]
+    mixed = np.random.default_rng(3).normal(size=(5, 40)).astype(np.float32)
+    assert all(set(a) == set(np.argsort(-b)[:4]) for a, b in zip(_best(mixed, 4).tolist(), mixed))
